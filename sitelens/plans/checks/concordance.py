@@ -209,7 +209,7 @@ def concordance_metadata(
             f"cohort_{number}",
             spec.cohort_id,
             spec.cohort_description,
-            spec.time_between_events,
+            None if spec.time_between_events is None else float(spec.time_between_events),
             level or level_of(check_id),
         )
         for check_id, pair in _pairs(specs).items()
