@@ -1,15 +1,16 @@
 """Grouped selections and group-wide values.
 
-These are aggregations joined back to the rows, or aggregations of whole rows, not window
-functions: partial aggregation runs before the shuffle, so a group that holds a large share
-of all rows never has to pass through one task.
+Over facts these are aggregations joined back to the rows, or aggregations of whole rows, not
+window functions: partial aggregation runs before the shuffle, so a group that holds a large
+share of all rows never has to pass through one task. Check results, whose groups hold one row
+per site or per distinct value, use a window instead and so are computed once.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sitelens.operators.joins import null_safe_join
@@ -39,6 +40,14 @@ def with_group_values(
     return null_safe_join(df, aggregates, on=keys, how="left")
 
 
+def with_result_values(
+    df: DataFrame, keys: Sequence[str], values: Mapping[str, Column]
+) -> DataFrame:
+    """As with_group_values, in one pass, for results whose groups are small by construction."""
+    group = Window.partitionBy(*keys)
+    return df.withColumns({name: column.over(group) for name, column in values.items()})
+
+
 def first_row(
     df: DataFrame, keys: Sequence[str], order: Sequence[str], largest: bool = False
 ) -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sitelens.functions.columns import proportion, zero_if_null
+from sitelens.operators.reshape import stack
 from sitelens.operators.sets import union_all
 from sitelens.plans.checks.common import (
     HEADER,
@@ -35,7 +36,8 @@ def expected_concepts(
     check whose cohort has persons there, with 0 when none of them has the concept.
 
     Checks on one table and concept field share one scan and one join with the labelled code
-    sets. Persons are made distinct before they meet the cohorts.
+    sets. Facts are reduced to one row per person, with a flag per check, before they meet the
+    cohorts, which are read once.
     """
     person = ["site", "person_id"]
     hits = []
@@ -44,44 +46,42 @@ def expected_concepts(
     ).items():
         items = [
             (
-                {
-                    "check_name": check_name(check_string, s.check_id),
-                    "cohort_table": s.cohort_table,
-                },
+                {"check_name": check_name(check_string, s.check_id)},
                 code_sets.get(s.conceptset_name),
                 as_predicate(s.filter_logic),
             )
             for s in group
         ]
         hits.append(code_set_rows(tables.scan(table, schema), field, items, person))
-    with_fact = union_all(hits).distinct()
-
+    names = {check_name(check_string, s.check_id): s for s in specs}
+    flags = {name: f"__has_{i}" for i, name in enumerate(names)}
+    persons = union_all(hits).groupBy(*person).agg(
+        *[F.max(F.when(F.col("check_name") == n, 1)).alias(flag) for n, flag in flags.items()]
+    )
     cohorts = union_all(
         tables.scan(table, schema).select(*person).distinct().withColumn("cohort_table", F.lit(table))
         for schema, table in dict.fromkeys((s.cohort_schema, s.cohort_table) for s in specs)
     )
-    found = (
-        with_fact.join(cohorts, ["cohort_table", *person], "leftsemi")
-        .groupBy("site", "check_name")
-        .agg(F.count(F.lit(1)).alias("__found"))
-    )
-    names = {check_name(check_string, s.check_id): s for s in specs}
-    checks_of = grouped(names.items(), lambda item: item[1].cohort_table)
-    applied = F.create_map(
-        *[
-            part
-            for table, members in checks_of.items()
-            for part in (F.lit(table), F.array(*[F.lit(name) for name, _ in members]))
-        ]
-    )
-    sizes = (
-        cohorts.groupBy("site", "cohort_table")
-        .agg(F.count(F.lit(1)).alias("total_pts"))
-        .select("site", "total_pts", F.explode(applied[F.col("cohort_table")]).alias("check_name"))
-    )
-    result = sizes.join(found, ["site", "check_name"], "left").select(
-        "site", "check_name", "total_pts", zero_if_null("__found").alias("pts_with_concept")
+    counts = (
+        cohorts.join(persons, person, "left")
+        .groupBy("site", "cohort_table")
+        .agg(
+            F.count(F.lit(1)).alias("total_pts"),
+            *[F.count(flag).alias(flag) for flag in flags.values()],
+        )
     )
+    result = stack(
+        counts,
+        ["site", "cohort_table", "total_pts"],
+        [
+            {
+                "check_name": F.lit(name),
+                "__cohort": F.lit(spec.cohort_table),
+                "pts_with_concept": F.col(flags[name]),
+            }
+            for name, spec in names.items()
+        ],
+    ).filter(F.col("cohort_table") == F.col("__cohort"))
     headed = with_header(
         result, {n: s.check_description for n, s in names.items()}, check_string, version
     )

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sitelens.operators.joins import null_safe_join
+from sitelens.operators.groups import with_result_values
 from sitelens.operators.sets import union_all
 from sitelens.plans.checks.common import HEADER, check_name, grouped, labelled, with_header
 from sitelens.plans.checks.vocabulary import concept_counts
@@ -67,10 +67,9 @@ def best_mapped_concepts(
         .join(labels, ["check_name", "concept"], "left")
         .join(defaults, "check_name", "left")
     )
-    totals = rows.groupBy("site", "check_name").agg(F.sum("row_cts").alias("total_rows"))
-    result = null_safe_join(rows, totals, on=["site", "check_name"], how="left").withColumn(
-        "best_notbest", F.coalesce("__label", "__default", F.lit(0))
-    )
+    result = with_result_values(
+        rows, ["site", "check_name"], {"total_rows": F.sum("row_cts")}
+    ).withColumn("best_notbest", F.coalesce("__label", "__default", F.lit(0)))
     names = {check_name(check_string, s.check_id): s for s in specs}
     headed = with_header(
         result, {n: s.check_description for n, s in names.items()}, check_string, version

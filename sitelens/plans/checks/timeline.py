@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sitelens.functions.columns import month_start, zero_if_null
-from sitelens.operators.joins import null_safe_join
+from sitelens.operators.groups import with_result_values
 from sitelens.operators.sets import union_all
 from sitelens.plans.checks.common import (
     HEADER,
@@ -101,13 +101,20 @@ def _within(date: Column, first: Column, last: Column) -> Column:
 
 
 def attach_denominators(counts: DataFrame, all_visits: str = "fot_visall") -> DataFrame:
-    """Monthly counts with the counts of all visits of the same site and month."""
-    totals = counts.filter(F.col("check_name") == all_visits).select(
-        "site",
-        "time_start",
-        "time_end",
-        F.col("row_cts").alias("total_row"),
-        F.col("row_visits").alias("total_visit"),
-        F.col("row_pts").alias("total_pt"),
+    """Monthly counts with the counts of all visits of the same site and month.
+
+    A site and month hold one row per check, so the totals are looked up within that group.
+    """
+
+    def of_all(column: str) -> Column:
+        return F.max(F.when(F.col("check_name") == all_visits, F.col(column)))
+
+    return with_result_values(
+        counts,
+        ["site", "time_start", "time_end"],
+        {
+            "total_row": of_all("row_cts"),
+            "total_visit": of_all("row_visits"),
+            "total_pt": of_all("row_pts"),
+        },
     )
-    return null_safe_join(counts, totals, how="left")

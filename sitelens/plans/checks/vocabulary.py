@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sitelens.functions.columns import is_unmapped, listed_in
-from sitelens.operators.joins import null_safe_join
+from sitelens.operators.groups import with_result_values
 from sitelens.operators.sets import union_all
 from sitelens.plans import fixed
 from sitelens.plans.checks.common import (
@@ -83,15 +83,13 @@ def _finish(
     check_string: str,
     version: str,
 ) -> DataFrame:
-    """Denominators per site and check joined to the counts per value."""
-    keys = ["site", "check_name"]
-    denominators = counts.groupBy(*keys).agg(F.sum("tot_ct").alias("total_denom_ct"))
-    joined = null_safe_join(counts, denominators, on=keys, how="left").filter(
-        (F.col("tot_ct") > 0) | (F.col("total_denom_ct") == 0)
-    )
+    """Add denominators. There is one row per distinct value, so groups are small."""
+    counted = with_result_values(
+        counts, ["site", "check_name"], {"total_denom_ct": F.sum("tot_ct")}
+    ).filter((F.col("tot_ct") > 0) | (F.col("total_denom_ct") == 0))
     names = {check_name(check_string, s.check_id): s for s in specs}
     headed = with_header(
-        joined,
+        counted,
         {name: spec.check_description for name, spec in names.items()},
         check_string,
         version,

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sitelens.functions.columns import not_in, zero_if_null
-from sitelens.operators.groups import with_group_values, without_totals
+from sitelens.operators.groups import with_result_values, without_totals
 from sitelens.operators.joins import null_safe_join
 from sitelens.operators.sets import union_distinct
 from sitelens.plans.process import Conformance
@@ -92,7 +92,7 @@ def best_mapped_gate(
         )
     )
     passed = {"__any": F.bool_or(F.col("best_row_prop") > threshold)}
-    judged = with_group_values(rows, ["site", "__group"], passed).withColumn(
+    judged = with_result_values(rows, ["site", "__group"], passed).withColumn(
         "pass_fail", _verdict(F.coalesce("__any", F.lit(False)))
     )
     return _named(judged, "BMC", "best_row_prop", ">", threshold)

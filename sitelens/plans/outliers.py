@@ -11,8 +11,7 @@ from statistics import NormalDist
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sitelens.operators.groups import TOTAL, only_totals, with_group_values, without_totals
-from sitelens.operators.sets import union_all
+from sitelens.operators.groups import TOTAL, with_result_values
 
 
 def distribution(
@@ -23,7 +22,7 @@ def distribution(
     A group is eligible for outlier detection with at least min_values values that differ.
     """
     column = F.col(value).cast("double")
-    stated = with_group_values(
+    stated = with_result_values(
         df,
         group,
         {
@@ -35,7 +34,7 @@ def distribution(
             "__n": F.count(column),
         },
     )
-    centred = with_group_values(
+    centred = with_result_values(
         stated, group, {"mad_val": F.median(F.abs(column - F.col("median_val")))}
     )
     eligible = (F.col("__n") >= min_values) & (F.col("min_val") < F.col("max_val"))
@@ -78,20 +77,27 @@ def suppress_outliers(df: DataFrame, value: str = "prop_total_change") -> DataFr
     The usual values are the smallest and largest ones per application that are no outliers.
     Totals get the tails of their check and application and are dropped where there are none.
     """
-    tails = ["lower_tail", "upper_tail"]
-    bounds = (
-        df.filter(F.col("lower_tail").isNotNull() & F.col("upper_tail").isNotNull())
-        .select("check_name", "application", *tails)
-        .distinct()
+    is_total = F.col("site") == TOTAL
+    tails = F.struct("lower_tail", "upper_tail")
+    known = F.col("lower_tail").isNotNull() & F.col("upper_tail").isNotNull()
+    usual = F.when(F.col("anomaly_yn") != "outlier", F.col(value))
+    stated = with_result_values(
+        df,
+        ["check_name", "application"],
+        {"__tails": F.collect_set(F.when(known & ~is_total, tails))},
+    )
+    stated = with_result_values(
+        stated, ["application"], {"__low": F.min(usual), "__high": F.max(usual)}
     )
-    usual = (
-        df.filter(F.col("anomaly_yn") != "outlier")
-        .groupBy("application")
-        .agg(F.min(value).alias("__low"), F.max(value).alias("__high"))
+    chosen = F.when(is_total, F.col("__tails")).otherwise(F.array(tails))
+    rows = (
+        stated.withColumn("__tails", F.explode(chosen))
+        .withColumns(
+            {"lower_tail": F.col("__tails.lower_tail"), "upper_tail": F.col("__tails.upper_tail")}
+        )
+        .drop("__tails")
     )
-    totals = only_totals(df).drop(*tails).join(bounds, ["check_name", "application"])
-    rows = union_all([without_totals(df), totals]).join(usual, "application", "left")
-    clamped = (F.col("anomaly_yn") == "outlier") | (F.col("site") == TOTAL)
+    clamped = (F.col("anomaly_yn") == "outlier") | is_total
     shown = (
         F.when(clamped & (F.col(value) < F.col("lower_tail")), F.col("__low"))
         .when(clamped & (F.col(value) > F.col("upper_tail")), F.col("__high"))

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from sitelens.functions.columns import proportion, zero_if_null
-from sitelens.operators.groups import with_totals
+from sitelens.operators.groups import with_result_values, with_totals
 from sitelens.operators.joins import null_safe_join
 
 NAMED = ("check_name", "check_description", "check_type", "database_version")
@@ -67,31 +67,34 @@ def process_conformance(counts: DataFrame, value: str) -> Conformance:
     """
     keys = [*NAMED, "table_application", "measurement_column"]
     accepted = F.coalesce("accepted_value", F.lit(True))
+    denominator = F.col("accepted_ct") + F.col("viol_ct")
     flagged = counts.withColumns(
         {
             "accepted_ct": F.when(accepted, F.col("tot_ct")).otherwise(0),
             "viol_ct": F.when(~accepted, F.col("tot_ct")).otherwise(0),
         }
     )
-    shares = with_totals(flagged, keys, ["accepted_ct", "viol_ct"]).withColumn(
-        "total_denom_ct", F.col("accepted_ct") + F.col("viol_ct")
-    )
-    processed = shares.withColumns(
+    processed = with_totals(flagged, keys, ["accepted_ct", "viol_ct"]).withColumns(
         {
+            "total_denom_ct": denominator,
             "accepted_value": F.col("viol_ct") == 0,
-            "prop_accepted": proportion("accepted_ct", "total_denom_ct"),
-            "prop_viol": proportion("viol_ct", "total_denom_ct"),
+            "prop_accepted": proportion("accepted_ct", denominator),
+            "prop_viol": proportion("viol_ct", denominator),
         }
     )
-    rejected = with_totals(flagged.filter(~accepted), [*keys, value], ["tot_ct"])
-    denominators = shares.select("site", *keys, "total_denom_ct")
-    violations = null_safe_join(
-        rejected, denominators, on=["site", *keys], how="left"
-    ).withColumns(
-        {
-            "accepted_value": F.lit(False),
-            "tot_prop": proportion("tot_ct", "total_denom_ct"),
-        }
+    valued = flagged.withColumn(value, F.when(~accepted, F.col(value)))
+    counted = with_totals(valued, [*keys, value], ["accepted_ct", "viol_ct"])
+    violations = (
+        with_result_values(counted, ["site", *keys], {"total_denom_ct": F.sum(denominator)})
+        .filter(F.col("viol_ct") > 0)
+        .withColumnRenamed("viol_ct", "tot_ct")
+        .withColumns(
+            {
+                "accepted_value": F.lit(False),
+                "tot_prop": proportion("tot_ct", "total_denom_ct"),
+            }
+        )
+        .drop("accepted_ct")
     )
     return Conformance(processed, violations)
 
@@ -140,10 +143,9 @@ def process_missing_visits(counts: DataFrame) -> DataFrame:
 def process_best_mapped(counts: DataFrame) -> DataFrame:
     """Rows with best and with other concepts, and their share of all rows."""
     rows = with_totals(counts, [*NAMED, "best_notbest"], ["row_cts"])
-    totals = rows.groupBy("site", *NAMED).agg(F.sum("row_cts").alias("total_rows"))
-    shares = null_safe_join(rows, totals, on=["site", *NAMED], how="left").withColumn(
-        "best_row_prop", proportion("row_cts", "total_rows")
-    )
+    shares = with_result_values(
+        rows, ["site", *NAMED], {"total_rows": F.sum("row_cts")}
+    ).withColumn("best_row_prop", proportion("row_cts", "total_rows"))
     return _application(shares, ROWS_SUFFIX)
 
 

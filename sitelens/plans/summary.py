@@ -8,33 +8,42 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sitelens.functions.columns import zero_if_null
-from sitelens.operators.groups import only_totals, with_group_values, without_totals
-from sitelens.operators.joins import null_safe_join, shared_columns
-from sitelens.operators.sets import union_all
+from sitelens.operators.groups import TOTAL, with_result_values, without_totals
 
 STATISTICS = ("min_val", "q1", "median_val", "mean_val", "q3", "max_val")
 
 
-def summarize_sites(df: DataFrame, value: str, group: Sequence[str]) -> DataFrame:
-    """Rows plus min, quartiles, median, mean and max of the value over their group."""
-    column = F.col(value).cast("double")
-    quartiles = F.percentile(column, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)))
-    return with_group_values(
-        df.drop(*STATISTICS),
+def summarize_sites(
+    df: DataFrame, value: str, group: Sequence[str], suffix: str = ""
+) -> DataFrame:
+    """Rows plus min, quartiles, median, mean and max of the value over their group.
+
+    Rows for all sites together neither count nor receive statistics.
+    """
+    is_site = F.col("site") != F.lit(TOTAL)
+    column = F.when(is_site, F.col(value).cast("double"))
+    stated = with_result_values(
+        df.drop(*[f"{name}{suffix}" for name in STATISTICS]),
         group,
         {
-            "min_val": F.min(column),
-            "q1": quartiles[0],
-            "median_val": quartiles[1],
-            "mean_val": F.avg(column),
-            "q3": quartiles[2],
-            "max_val": F.max(column),
+            "__min": F.min(column),
+            "__quartiles": F.percentile(column, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))),
+            "__mean": F.avg(column),
+            "__max": F.max(column),
         },
     )
+    quartiles = F.col("__quartiles")
+    found = (F.col("__min"), quartiles[0], quartiles[1], F.col("__mean"), quartiles[2], F.col("__max"))
+    return stated.withColumns(
+        {
+            f"{name}{suffix}": F.when(is_site, statistic)
+            for name, statistic in zip(STATISTICS, found, strict=True)
+        }
+    ).drop("__min", "__quartiles", "__mean", "__max")
 
 
 def with_site_summary(
@@ -43,16 +52,16 @@ def with_site_summary(
     group: Sequence[str],
     null_as_zero: bool = False,
     totals: bool = True,
-    drop_from_totals: Sequence[str] = (),
 ) -> DataFrame:
-    """Summary over the site rows, with the total rows appended unchanged."""
-    sites = without_totals(df)
+    """Summary over the site rows; the total rows stay, without statistics."""
     if null_as_zero:
-        sites = sites.withColumn(value, zero_if_null(value))
-    summary = summarize_sites(sites, value, group)
-    if not totals:
-        return summary
-    return union_all([summary, only_totals(df).drop(*drop_from_totals)])
+        df = df.withColumn(value, _zero_at_sites(value))
+    return summarize_sites(df if totals else without_totals(df), value, group)
+
+
+def _zero_at_sites(value: str) -> Column:
+    is_site = F.col("site") != F.lit(TOTAL)
+    return F.when(is_site, zero_if_null(value)).otherwise(F.col(value))
 
 
 # Per result, the value summarised, the grouping and how it is treated.
@@ -67,7 +76,6 @@ PARAMETERS: Mapping[str, Mapping] = {
             "check_name_app",
             "check_description",
         ),
-        "drop_from_totals": ("max_val", "min_val", "mean_val", "median_val"),
     },
     "vs": {
         "value": "prop_viol",
@@ -128,15 +136,15 @@ def summarize_check(df: DataFrame, check_string: str) -> DataFrame:
 
 
 def summarize_documentation(df: DataFrame) -> DataFrame:
-    """Person and visit summaries side by side, with the total rows appended."""
+    """Person and visit summaries side by side; the total rows stay, without statistics."""
     group = ["check_description", "check_name", "visit_type"]
-    sites = without_totals(df)
+    for value, suffix in (("fact_pts_prop", "_pts"), ("fact_visits_prop", "_visits")):
+        df = with_site_values(df, value, group, suffix)
+    return df
 
-    def one(value: str, suffix: str) -> DataFrame:
-        filled = sites.withColumn(value, zero_if_null(value))
-        summary = summarize_sites(filled, value, group)
-        return summary.withColumnsRenamed({name: f"{name}_{suffix}" for name in STATISTICS})
 
-    persons, visits = one("fact_pts_prop", "pts"), one("fact_visits_prop", "visits")
-    joined = null_safe_join(persons, visits, on=shared_columns(persons, visits), how="full")
-    return union_all([joined, only_totals(df)])
+def with_site_values(
+    df: DataFrame, value: str, group: Sequence[str], suffix: str
+) -> DataFrame:
+    """Summary of one value, nulls counting as 0, its columns suffixed."""
+    return summarize_sites(df.withColumn(value, _zero_at_sites(value)), value, group, suffix)
