@@ -372,8 +372,13 @@ SUPPRESSED = """suppressed AS (
 
 
 def dc_suppressed(spark, folder):
-    totals = dc_pp(spark, folder, "nation").filter("site = 'total'")
-    return outliers.suppress_outliers(union_all([dc_anom(spark, folder), totals]))
+    stated = outliers.distribution(
+        dc_pp(spark, folder, "nation"),
+        ["check_type", "application"],
+        "prop_total_change",
+        sites_only=True,
+    )
+    return outliers.suppress_outliers(outliers.flag_outliers(stated, "prop_total_change"))
 
 
 @query("ad_03", f"{DC_OUTLIERS}, {SUPPRESSED} SELECT * REPLACE ({ROUNDED}) FROM suppressed")

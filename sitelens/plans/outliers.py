@@ -15,13 +15,19 @@ from sitelens.operators.groups import TOTAL, with_result_values
 
 
 def distribution(
-    df: DataFrame, group: Sequence[str], value: str, min_values: int = 3
+    df: DataFrame,
+    group: Sequence[str],
+    value: str,
+    min_values: int = 3,
+    sites_only: bool = False,
 ) -> DataFrame:
     """Rows plus mean, median, sd, mad, min and max of their group.
 
     A group is eligible for outlier detection with at least min_values values that differ.
+    With sites_only, rows for all sites together neither count nor receive statistics.
     """
-    column = F.col(value).cast("double")
+    counted = F.col("site") != TOTAL if sites_only else F.lit(True)
+    column = F.when(counted, F.col(value).cast("double"))
     stated = with_result_values(
         df,
         group,
@@ -38,9 +44,14 @@ def distribution(
         stated, group, {"mad_val": F.median(F.abs(column - F.col("median_val")))}
     )
     eligible = (F.col("__n") >= min_values) & (F.col("min_val") < F.col("max_val"))
-    return centred.withColumn(
+    judged = centred.withColumn(
         "analysis_eligible", F.when(eligible, F.lit("yes")).otherwise(F.lit("no"))
     ).drop("__n")
+    if not sites_only:
+        return judged
+    return judged.withColumns(
+        {name: F.when(counted, F.col(name)) for name in judged.columns if name not in df.columns}
+    )
 
 
 def flag_outliers(
@@ -49,7 +60,8 @@ def flag_outliers(
     """Rows plus lower_tail, upper_tail and anomaly_yn.
 
     The tails are mean -/+ z * sd, z being the normal quantile that leaves p between the tails
-    (or on one side of a single tail). Rows of groups that are not eligible have no tails.
+    (or on one side of a single tail). Rows of groups that are not eligible have no tails;
+    rows that were not analysed have no flag either.
     """
     if tail not in ("both", "left", "right"):
         raise ValueError(f"tail is 'both', 'left' or 'right', not {tail!r}")
@@ -65,7 +77,8 @@ def flag_outliers(
         {"lower_tail": low.cast("double"), "upper_tail": high.cast("double")}
     ).withColumn(
         "anomaly_yn",
-        F.when(~eligible, F.lit("not eligible"))
+        F.when(F.col("analysis_eligible").isNull(), F.lit(None))
+        .when(~eligible, F.lit("not eligible"))
         .when(outside, F.lit("outlier"))
         .otherwise(F.lit("not outlier")),
     )
