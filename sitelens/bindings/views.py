@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from sitelens.sources.specs import CodeSets
 from sitelens.sources.tables import Tables, frames
@@ -19,8 +20,15 @@ PREVIOUS_VERSION = "v1"
 CYCLE_CUT = "2001-01-01"
 
 
+_SCHEMAS: dict[str, StructType] = {}
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+    """A driver table. Its schema is read from the files once, not at every mention."""
+    path = f"{folder}/{name}.parquet"
+    if path not in _SCHEMAS:
+        _SCHEMAS[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_SCHEMAS[path]).parquet(path)
 
 
 def _sites(spark: SparkSession, folder: str, site: str) -> DataFrame:
@@ -142,12 +150,12 @@ def clinical_tables(spark: SparkSession, folder: str, site: str = "region") -> T
         {
             "cdm": frames(
                 {
-                    "visit_occurrence": visits(spark, folder, site),
-                    "fact": facts(spark, folder, site),
-                    "person": persons(spark, folder, site),
+                    "visit_occurrence": lambda: visits(spark, folder, site),
+                    "fact": lambda: facts(spark, folder, site),
+                    "person": lambda: persons(spark, folder, site),
                 }
             ),
-            "vocabulary": frames({"concept": concept(spark, folder)}),
+            "vocabulary": frames({"concept": lambda: concept(spark, folder)}),
         }
     )
 

@@ -35,11 +35,11 @@ def best_mapped_concepts(
     """
     parts = []
     for attribute, group in grouped(specs, lambda s: s.concept_table_field).items():
-        for counts in concept_counts(tables, group, check_string, ()).values():
+        for kind, counts in concept_counts(tables, group, check_string, ()).items():
             counts = counts.filter(F.col("concept").isNotNull())
             if concept is not None:
                 names = concept.select(
-                    F.col("concept_id").alias("concept"),
+                    F.col("concept_id").cast(kind).alias("concept"),
                     F.col(attribute).cast("string").alias("concept_value"),
                 )
                 counts = counts.join(names, "concept", "left")

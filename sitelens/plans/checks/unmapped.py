@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+from collections.abc import Callable, Iterable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -108,45 +108,40 @@ def unmapped_by_year(
 ) -> DataFrame:
     """Unmapped share per site, check and year of the check's date field.
 
-    Checks of a table that use the same date field share one scan. A year in which no row
-    meets a check's predicate gives no row for that check.
+    All checks of a table share one scan. A year in which no row meets a check's predicate
+    gives no row for that check.
     """
     dated = [spec for spec in specs if spec.date_field]
-    parts = []
-    for (schema, table, date), group in grouped(
-        dated, lambda s: (s.schema, s.table, s.date_field)
-    ).items():
-        yearly = tables.scan(table, schema).withColumn("year_date", F.year(date))
-        measures = [measure_of(spec, codes, null_counts, check_string) for spec in group]
-        parts.append(count_unmapped(yearly, ["site", "year_date"], measures))
+    rows = _unmapped_rows(
+        tables, dated, codes, null_counts, check_string, "year_date", lambda s: F.year(s.date_field)
+    )
+    names = {check_name(check_string, s.check_id): s.check_description for s in dated}
     return (
-        union_all(parts)
-        .filter(F.col("total_rows") > 0)
+        with_header(rows, names, check_string, version)
         .withColumn("prop_total", proportion("unmapped_rows", "total_rows"))
-        .withColumns({"check_type": F.lit(check_string), "database_version": F.lit(version)})
         .select(*HEADER, "year_date", "total_rows", "unmapped_rows", "prop_total")
     )
 
 
-def unmapped_source_values(
+def _unmapped_rows(
     tables: Tables,
     specs: Sequence[UnmappedSpec],
-    version: str,
-    codes: Iterable = fixed.NULL_CONCEPTS,
-    null_counts: bool = True,
-    check_string: str = "uc",
+    codes: Iterable,
+    null_counts: bool,
+    check_string: str,
+    name: str,
+    column: Callable[[UnmappedSpec], Column],
 ) -> DataFrame:
-    """Unmapped rows per site, check and source value."""
+    """Total and unmapped rows per site, check and a column of each check's own."""
     codes = list(codes)
     parts = []
-    valued = [spec for spec in specs if spec.source_value_field]
-    for (schema, table), group in grouped(valued, lambda s: (s.schema, s.table)).items():
+    for (schema, table), group in grouped(specs, lambda s: (s.schema, s.table)).items():
         items = [
             (
                 check_name(check_string, spec.check_id),
                 as_predicate(spec.filter_logic),
                 {
-                    "source_value": F.col(spec.source_value_field).cast("string"),
+                    name: column(spec),
                     "__unmapped": is_unmapped(spec.concept_field, codes, null_counts),
                 },
             )
@@ -154,11 +149,35 @@ def unmapped_source_values(
         ]
         rows = matching_rows(tables.scan(table, schema), items, ["site"])
         parts.append(
-            rows.filter("__unmapped")
-            .groupBy("site", "check_name", "source_value")
-            .agg(F.count(F.lit(1)).alias("unmapped_rows"))
+            rows.groupBy("site", "check_name", name).agg(
+                F.count(F.lit(1)).alias("total_rows"),
+                F.count_if("__unmapped").alias("unmapped_rows"),
+            )
         )
-    names = {check_name(check_string, s.check_id): s.check_description for s in specs}
-    return with_header(union_all(parts), names, check_string, version).select(
-        *HEADER, "source_value", "unmapped_rows"
+    return union_all(parts)
+
+
+def unmapped_source_values(
+    tables: Tables,
+    specs: Sequence[UnmappedSpec],
+    version: str,
+    codes: Iterable = fixed.NULL_CONCEPTS,
+    null_counts: bool = True,
+    check_string: str = "uc",
+) -> DataFrame:
+    """Unmapped rows per site, check and source value."""
+    valued = [spec for spec in specs if spec.source_value_field]
+    rows = _unmapped_rows(
+        tables,
+        valued,
+        codes,
+        null_counts,
+        check_string,
+        "source_value",
+        lambda s: F.col(s.source_value_field).cast("string"),
+    )
+    names = {check_name(check_string, s.check_id): s.check_description for s in valued}
+    return (
+        with_header(rows.filter(F.col("unmapped_rows") > 0), names, check_string, version)
+        .select(*HEADER, "source_value", "unmapped_rows")
     )

@@ -27,7 +27,10 @@ from sitelens.sources.tables import Tables
 def concept_counts(
     tables: Tables, specs: Sequence[Spec], check_string: str, null_values: Iterable
 ) -> dict[str, DataFrame]:
-    """Rows per site, check and concept, by concept type.
+    """Rows per site, check and concept, by the type in which concepts are held.
+
+    A table is scanned once for all its checks. Its concepts are held as whole numbers, or as
+    text if any of its concept fields is not a whole number.
 
     Counting before any join means that a very frequent concept reaches the join as one row.
     Null and null-like concepts are counted under a null concept with ``tot_ct`` 0, so that a
@@ -37,40 +40,32 @@ def concept_counts(
     by_kind: dict[str, list[DataFrame]] = {}
     for (schema, table), group in grouped(specs, lambda s: (s.schema, s.table)).items():
         df = tables.scan(table, schema)
-        kinds = dict(df.dtypes)
-        for kind, same in grouped(group, lambda s: _family(kinds[s.concept_field])).items():
-            items = []
-            for spec in same:
-                concept = F.col(spec.concept_field).cast(kind)
-                empty = is_unmapped(concept, _of_kind(null_values, kind), null_counts=True)
-                items.append(
-                    (
-                        check_name(check_string, spec.check_id),
-                        as_predicate(spec.filter_logic),
-                        {"concept": F.when(~empty, concept)},
-                    )
-                )
-            rows = matching_rows(df, items, ["site"])
-            counts = rows.groupBy("site", "check_name", "concept").agg(F.count(F.lit(1)).alias("__n"))
-            by_kind.setdefault(kind, []).append(
-                counts.select(
-                    "site",
-                    "check_name",
-                    "concept",
-                    F.when(F.col("concept").isNull(), 0).otherwise(F.col("__n")).alias("tot_ct"),
+        types = dict(df.dtypes)
+        whole = all(types[spec.concept_field] in WHOLE_NUMBERS for spec in group)
+        kind = "bigint" if whole else "string"
+        nulls = [v for v in null_values if isinstance(v, int)] if whole else map(str, null_values)
+        nulls = list(nulls)
+        items = []
+        for spec in group:
+            concept = F.col(spec.concept_field).cast(kind)
+            usable = ~is_unmapped(concept, nulls, null_counts=True)
+            items.append(
+                (
+                    check_name(check_string, spec.check_id),
+                    as_predicate(spec.filter_logic),
+                    {"concept": F.when(usable, concept)},
                 )
             )
+        rows = matching_rows(df, items, ["site"])
+        counts = rows.groupBy("site", "check_name", "concept").agg(F.count(F.lit(1)).alias("__n"))
+        rows_counted = F.when(F.col("concept").isNull(), 0).otherwise(F.col("__n"))
+        by_kind.setdefault(kind, []).append(
+            counts.select("site", "check_name", "concept", rows_counted.alias("tot_ct"))
+        )
     return {kind: union_all(parts) for kind, parts in by_kind.items()}
 
 
-def _family(kind: str) -> str:
-    return "bigint" if kind in ("tinyint", "smallint", "int", "bigint") else "string"
-
-
-def _of_kind(values: list, kind: str) -> list:
-    if kind == "bigint":
-        return [value for value in values if isinstance(value, int)]
-    return [str(value) for value in values]
+WHOLE_NUMBERS = ("tinyint", "smallint", "int", "bigint")
 
 
 MEASURES = ("table_application", "measurement_column")
@@ -117,12 +112,14 @@ def vocabulary_conformance(
     Our definition: a concept that the vocabulary table does not know is not accepted; null
     and null-like concepts count neither in the numerator nor in the denominator.
     """
-    vocabulary = concept.select(F.col("concept_id").alias("concept"), "vocabulary_id")
     accepted_lists = {
         check_name(check_string, s.check_id): s.acceptable_vocabularies for s in specs
     }
     parts = []
-    for counts in concept_counts(tables, specs, check_string, null_values).values():
+    for kind, counts in concept_counts(tables, specs, check_string, null_values).items():
+        vocabulary = concept.select(
+            F.col("concept_id").cast(kind).alias("concept"), "vocabulary_id"
+        )
         known = counts.join(vocabulary, "concept", "left")
         parts.append(
             known.groupBy("site", "check_name", "vocabulary_id", F.isnull("concept").alias("empty"))

@@ -20,13 +20,14 @@ def catalog_schema(spark: SparkSession, schema: str) -> Loader:
     return lambda name: spark.table(f"{schema}.{name}")
 
 
-def frames(named: Mapping[str, DataFrame]) -> Loader:
-    """Relations that are already DataFrames."""
+def frames(named: Mapping[str, DataFrame | Callable[[], DataFrame]]) -> Loader:
+    """Relations that are DataFrames, or functions that build one when it is asked for."""
 
     def load(name: str) -> DataFrame:
         if name not in named:
             raise KeyError(f"no table {name!r}; known: {', '.join(sorted(named))}")
-        return named[name]
+        found = named[name]
+        return found if isinstance(found, DataFrame) else found()
 
     return load
 
