@@ -4,19 +4,27 @@ from __future__ import annotations
 
 import uuid
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from sitelens.bindings import views as v
 from sitelens.bindings.registry import query
 from sitelens.bindings.views import BY_REGION, table
 from sitelens.functions import columns as c
-from sitelens.operators.groups import first_row, rows_at_minimum, with_group_values, with_totals
+from sitelens.operators.groups import (
+    first_row,
+    rows_at_minimum,
+    with_group_values,
+    with_result_values,
+    with_totals,
+)
 from sitelens.operators.joins import decode, join_code_set, natural_join, null_safe_join
 from sitelens.operators.reshape import column_spreads, spread, wide
 from sitelens.operators.sets import union_all, union_distinct
 from sitelens.plans.checks.common import matching_rows
 from sitelens.plans.summary import summarize_sites
 from sitelens.session import shared_folder
+from sitelens.sources.specs import read_code_set, read_csv
 from sitelens.sources.store import Store
 from sitelens.sources.tables import Tables, only_site, parquet_folder
 
@@ -823,3 +831,232 @@ def rounded(df):
 )
 def stacked_statistics(spark, folder):
     return rounded(column_spreads(v.facts(spark, folder), ["site"], ["value", "discount", "tax"]))
+
+
+# --- operators that serve inside others, on their own ------------------------------------
+
+
+@query("src_04", "SELECT n_nationkey AS concept_id, n_name AS concept_name FROM nation")
+def read_code_set_file(spark, folder):
+    """A code set written as CSV and read back with declared types."""
+    path = f"{shared_folder(spark)}/codes-{uuid.uuid4().hex}"
+    rows = table(spark, folder, "nation").selectExpr(
+        "n_nationkey AS concept_id", "n_name AS concept_name", "'x' AS note"
+    )
+    rows.write.option("header", True).csv(path)
+    return read_code_set(spark, path).withColumn("concept_id", F.col("concept_id").cast("int"))
+
+
+@query("snk_03", "SELECT o_orderstatus, count(*) AS n FROM orders GROUP BY 1")
+def write_file(spark, folder):
+    """A result written as a table and as text; the text is read back."""
+    store, text = _store(spark), f"{shared_folder(spark)}/text-{uuid.uuid4().hex}"
+    counts = table(spark, folder, "orders").groupBy("o_orderstatus").agg(F.count("*").alias("n"))
+    store.write(counts, "status_counts", csv=text)
+    return read_csv(spark, f"{text}/status_counts").withColumn("n", F.col("n").cast("bigint"))
+
+
+@query(
+    "snk_04",
+    BY_REGION + """, p AS (SELECT DISTINCT site, person_id FROM visits
+      WHERE visit_concept_id = '1-URGENT')
+    SELECT site, count(*) AS persons, sum(CASE WHEN person_id % 2 = 0 THEN 1 ELSE 0 END)::BIGINT AS even
+    FROM p GROUP BY site""",
+)
+def materialised_intermediate(spark, folder):
+    """An intermediate that is used twice is written once."""
+    urgent = v.visits(spark, folder).filter(F.col("visit_concept_id") == "1-URGENT")
+    people = _store(spark).write(urgent.select("site", "person_id").distinct(), "urgent")
+    every = people.groupBy("site").agg(F.count(F.lit(1)).alias("persons"))
+    even = people.filter(F.col("person_id") % 2 == 0).groupBy("site").agg(
+        F.count(F.lit(1)).alias("even")
+    )
+    return null_safe_join(every, even, how="left")
+
+
+@query(
+    "pj_03",
+    "SELECT o_orderkey AS visit_occurrence_id, o_orderdate::DATE AS time_start,"
+    " o_totalprice AS total_row FROM orders",
+)
+def rename_columns(spark, folder):
+    return (
+        table(spark, folder, "orders")
+        .select(
+            F.col("o_orderkey").alias("visit_occurrence_id"),
+            F.col("o_orderdate").cast("date").alias("time_start"),
+            "o_totalprice",
+        )
+        .withColumnRenamed("o_totalprice", "total_row")
+    )
+
+
+@query(
+    "pj_04",
+    BY_REGION + " SELECT site, min(total_price) AS min_val_pts, max(total_price) AS max_val_pts"
+    " FROM visits GROUP BY site",
+)
+def suffix_columns(spark, folder):
+    rows = (
+        v.visits(spark, folder)
+        .groupBy("site")
+        .agg(F.min("total_price").alias("min_val"), F.max("total_price").alias("max_val"))
+    )
+    return rows.withColumnsRenamed({n: f"{n}_pts" for n in ("min_val", "max_val")})
+
+
+@query(
+    "pj_06",
+    "SELECT c_custkey, CAST(0.7 AS DOUBLE) AS threshold, '>' AS direction FROM customer",
+)
+def literal_columns(spark, folder):
+    return table(spark, folder, "customer").select(
+        "c_custkey", F.lit(0.7).alias("threshold"), F.lit(">").alias("direction")
+    )
+
+
+@query(
+    "jn_03",
+    "SELECT DISTINCT o_custkey FROM orders WHERE o_orderstatus = 'F'"
+    " INTERSECT SELECT o_custkey FROM orders WHERE o_orderstatus = 'O'"
+    " INTERSECT SELECT o_custkey FROM orders WHERE o_orderstatus = 'P'",
+)
+def chained_inner_joins(spark, folder):
+    orders = table(spark, folder, "orders")
+    f, o, p = (
+        orders.filter(F.col("o_orderstatus") == status).select("o_custkey").distinct()
+        for status in "FOP"
+    )
+    return natural_join(natural_join(f, o), p)
+
+
+@query(
+    "jn_08",
+    BY_REGION + """, a AS (SELECT site, visit_concept_id, count(*) AS visits FROM visits
+      WHERE visit_source_concept_id = 'F' AND location_id < 12 GROUP BY ALL),
+    b AS (SELECT site, visit_concept_id, max(total_price) AS largest FROM visits
+      WHERE visit_source_concept_id = 'O' AND location_id > 20 GROUP BY ALL)
+    SELECT * FROM a FULL JOIN b USING (site, visit_concept_id)""",
+)
+def full_join_of_summaries(spark, folder):
+    rows = v.visits(spark, folder)
+    keys = ["site", "visit_concept_id"]
+    status, place = F.col("visit_source_concept_id"), F.col("location_id")
+    counted = (
+        rows.filter((status == "F") & (place < 12))
+        .groupBy(*keys)
+        .agg(F.count(F.lit(1)).alias("visits"))
+    )
+    largest = (
+        rows.filter((status == "O") & (place > 20))
+        .groupBy(*keys)
+        .agg(F.max("total_price").alias("largest"))
+    )
+    return null_safe_join(counted, largest, how="full")
+
+
+@query(
+    "jn_09",
+    "SELECT c_custkey, c_nationkey, c_mktsegment, c_acctbal, low, high FROM customer JOIN"
+    " (SELECT c_nationkey, c_mktsegment, min(c_acctbal) AS low, max(c_acctbal) AS high FROM customer"
+    " WHERE c_acctbal > 0 GROUP BY ALL) USING (c_nationkey, c_mktsegment)",
+)
+def reattach_bounds(spark, folder):
+    rows = table(spark, folder, "customer").drop("c_name")
+    keys = ["c_nationkey", "c_mktsegment"]
+    bounds = (
+        rows.filter(F.col("c_acctbal") > 0)
+        .groupBy(*keys)
+        .agg(F.min("c_acctbal").alias("low"), F.max("c_acctbal").alias("high"))
+    )
+    return rows.join(bounds, keys)
+
+
+@query(
+    "ag_08",
+    BY_REGION + " SELECT site, fact_type, count(*) AS n, sum(count(*)) OVER (PARTITION BY site)::BIGINT"
+    " AS total_rows, count(*)::DOUBLE / total_rows AS prop FROM facts GROUP BY site, fact_type",
+)
+def share_of_total(spark, folder):
+    counts = v.facts(spark, folder).groupBy("site", "fact_type").agg(F.count(F.lit(1)).alias("n"))
+    return with_result_values(counts, ["site"], {"total_rows": F.sum("n")}).withColumn(
+        "prop", c.proportion("n", "total_rows")
+    )
+
+
+@query(
+    "wn_04",
+    """SELECT o_orderstatus, CAST(date_trunc('month', o_orderdate) AS DATE) AS month, count(*) AS n,
+      lag(count(*)) OVER w AS previous, lead(count(*)) OVER w AS following FROM orders
+    GROUP BY 1, 2 WINDOW w AS (PARTITION BY o_orderstatus ORDER BY month)""",
+)
+def neighbouring_periods(spark, folder):
+    counts = (
+        table(spark, folder, "orders")
+        .groupBy("o_orderstatus", c.month_start("o_orderdate").alias("month"))
+        .agg(F.count(F.lit(1)).alias("n"))
+    )
+    months = Window.partitionBy("o_orderstatus").orderBy("month")
+    return counts.withColumns(
+        {"previous": F.lag("n").over(months), "following": F.lead("n").over(months)}
+    )
+
+
+@query(
+    "wn_05",
+    """WITH counts AS (SELECT o_custkey, o_orderstatus, count(*) AS n FROM orders GROUP BY ALL)
+    SELECT *, max(n) OVER w AS max_val, n::DOUBLE / max(n) OVER w AS ratio FROM counts
+    WINDOW w AS (PARTITION BY o_orderstatus)""",
+)
+def ratio_to_peers(spark, folder):
+    counts = (
+        table(spark, folder, "orders")
+        .groupBy("o_custkey", "o_orderstatus")
+        .agg(F.count(F.lit(1)).alias("n"))
+    )
+    stated = with_group_values(counts, ["o_orderstatus"], {"max_val": F.max("n")})
+    return stated.withColumn("ratio", c.proportion("n", "max_val"))
+
+
+@query(
+    "so_02",
+    "SELECT n_nationkey, c_custkey, c_acctbal FROM customer JOIN nation ON c_nationkey = n_nationkey"
+    " QUALIFY row_number() OVER (PARTITION BY n_nationkey ORDER BY c_acctbal, c_custkey) = 1",
+)
+def limit_per_group(spark, folder):
+    rows = table(spark, folder, "customer").selectExpr(
+        "c_nationkey AS n_nationkey", "c_custkey", "c_acctbal"
+    )
+    return first_row(rows, ["n_nationkey"], ["c_acctbal"])
+
+
+@query(
+    "sc_12",
+    "SELECT event_id, CAST(ts AS DATE) - DATE '2024-01-01' AS days FROM events",
+)
+def days_from_timestamps(spark, folder):
+    day = c.days_between(F.lit("2024-01-01").cast("date"), "ts").cast("bigint")
+    return table(spark, folder, "events").select("event_id", day.alias("days"))
+
+
+@query(
+    "sc_15",
+    "SELECT user_id, 1 - round(count(*) FILTER (event_type = 'click')::DOUBLE / count(*), 2) AS rest"
+    " FROM events GROUP BY user_id",
+)
+def rounded_complement(spark, folder):
+    clicks = F.count_if(F.col("event_type") == "click")
+    share = F.round(c.proportion(clicks, F.count(F.lit(1))), 2)
+    return table(spark, folder, "events").groupBy("user_id").agg((1 - share).alias("rest"))
+
+
+@query(
+    "sc_16",
+    "SELECT o_orderkey, CAST(o_orderdate AS DATE) AS day FROM orders"
+    " WHERE CAST(o_orderdate AS DATE) <= current_date",
+)
+def until_today(spark, folder):
+    rows = table(spark, folder, "orders").select(
+        "o_orderkey", F.col("o_orderdate").cast("date").alias("day")
+    )
+    return rows.filter(F.col("day") <= F.current_date())

@@ -115,15 +115,16 @@ def persons_seen_with_diagnosis(
     conditions: DataFrame,
     visit_concepts: Sequence = fixed.FACE_TO_FACE_VISITS,
 ) -> DataFrame:
-    """Persons with a face-to-face visit that carries a condition, once each."""
+    """Persons with a face-to-face visit that carries a condition, once each.
+
+    Conditions are made distinct per visit before the join, in partial aggregation, so a visit
+    with very many of them costs no more than any other.
+    """
     chosen = visits.filter(F.col("visit_concept_id").isin(list(visit_concepts)))
+    keys = ["person_id", "visit_occurrence_id"]
     return (
-        chosen.select("site", "person_id", "visit_occurrence_id")
-        .join(
-            conditions.select("person_id", "visit_occurrence_id"),
-            ["person_id", "visit_occurrence_id"],
-            "leftsemi",
-        )
+        chosen.select("site", *keys)
+        .join(conditions.select(*keys).distinct(), keys, "leftsemi")
         .select("site", "person_id")
         .distinct()
     )
@@ -173,13 +174,13 @@ def location_history_counts(
     """Distinct complete locations per site, person and geocode year (lohis_fips).
 
     ngeo_lohis_tct counts locations with a full tract code, ngeo_lohis_bg with a full block
-    group code. Duplicate locations are removed before they are counted, so a person with a
-    very long history is spread over many tasks.
+    group code. A person's repeated stays at a location are removed before anything is joined,
+    so a very long history shrinks to its locations first.
     """
     located = (
         history.filter(F.lower("domain_id") == "person")
-        .withColumnRenamed("entity_id", "person_id")
-        .select("site", "person_id", "location_id", "start_date", "end_date")
+        .select("site", F.col("entity_id").alias("person_id"), "location_id")
+        .distinct()
         .join(persons.select("site", "person_id").distinct(), ["site", "person_id"], "leftsemi")
         .join(fips, "location_id", "left")
     )
@@ -205,11 +206,14 @@ def location_history_counts(
 
 
 def persons_in_all(*facts: DataFrame) -> DataFrame:
-    """Persons that occur in every one of the fact tables."""
+    """Persons that occur in every one of the fact tables.
+
+    Each table is reduced to its distinct persons first; the semi joins reuse that partitioning.
+    """
     keys = ["site", "person_id"]
     people = facts[0].select(*keys).distinct()
     for other in facts[1:]:
-        people = people.join(other.select(*keys), keys, "leftsemi")
+        people = people.join(other.select(*keys).distinct(), keys, "leftsemi")
     return people
 
 
