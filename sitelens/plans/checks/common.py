@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 
 from sitelens.functions.columns import any_of
 from sitelens.operators.sets import union_all
+from sitelens.sources.specs import Spec
+from sitelens.sources.tables import Tables
 
 Item = TypeVar("Item")
 
@@ -87,8 +89,46 @@ def matching_rows(
         entry if predicate is None else F.when(predicate, entry)
         for entry, predicate in zip(entries, predicates, strict=True)
     ]
-    matches = F.filter(F.array(*tagged), lambda entry: entry.isNotNull())
-    return df.select(*keep, F.explode(matches).alias("__match")).select(*keep, "__match.*")
+    # Exploding and then filtering stays in generated code; filtering the array would not.
+    matches = df.select(*keep, F.explode(F.array(*tagged)).alias("__match"))
+    return matches.filter(F.col("__match").isNotNull()).select(*keep, "__match.*")
+
+
+def flagged_counts(
+    tables: Tables,
+    specs: Sequence[Spec],
+    keys: Callable[[Spec], Mapping[str, Column]],
+) -> DataFrame:
+    """Rows counted per key and per combination of the checks they belong to.
+
+    keys gives the key columns for a check; checks of a table with equal keys share a scan and
+    a count. Column ``__in_<i>`` tells whether the rows belong to check i, ``__n`` how many
+    there are. Whatever is looked up by key afterwards is looked up once, not once per check
+    or per row.
+    """
+    index = {id(spec): i for i, spec in enumerate(specs)}
+    parts = []
+    for (schema, table), same_table in grouped(specs, lambda s: (s.schema, s.table)).items():
+        for group in grouped(same_table, lambda s: str(keys(s))).values():
+            df = tables.scan(table, schema)
+            if all(spec.filter_logic for spec in group):
+                df = df.filter(any_of(spec.predicate for spec in group))
+            flags = {
+                f"__in_{index[id(spec)]}": F.coalesce(spec.predicate, F.lit(False))
+                for spec in group
+            }
+            columns = {**keys(group[0]), **flags}
+            parts.append(
+                df.groupBy(*[column.alias(name) for name, column in columns.items()]).agg(
+                    F.count(F.lit(1)).alias("__n")
+                )
+            )
+    return union_all(parts)
+
+
+def in_check(i: int) -> Column:
+    """Rows of flagged_counts that belong to check i."""
+    return F.coalesce(F.col(f"__in_{i}"), F.lit(False))
 
 
 def code_set_rows(

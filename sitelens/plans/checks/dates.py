@@ -9,13 +9,11 @@ from pyspark.sql import functions as F
 
 from sitelens.functions.columns import proportion, zero_if_null
 from sitelens.operators.reshape import stack
-from sitelens.operators.sets import union_all
 from sitelens.plans.checks.common import (
     HEADER,
-    as_predicate,
     check_name,
-    grouped,
-    matching_rows,
+    flagged_counts,
+    in_check,
     with_header,
 )
 from sitelens.sources.specs import DatePlausibilitySpec
@@ -39,21 +37,17 @@ def date_plausibility(
 
     Rows are counted per person, visit and date before birth dates and visits are joined.
     """
-    keys = ["site", "check_name", "person_id", "visit_occurrence_id", "__date"]
-    parts = []
-    for (schema, table), group in grouped(specs, lambda s: (s.schema, s.table)).items():
-        items = [
-            (
-                check_name(check_string, spec.check_id),
-                as_predicate(spec.filter_logic),
-                {"__date": F.col(spec.date_field).cast("date")},
-            )
-            for spec in group
-        ]
-        rows = matching_rows(
-            tables.scan(table, schema), items, ["site", "person_id", "visit_occurrence_id"]
-        )
-        parts.append(rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n")))
+    specs = list(specs)
+    counted = flagged_counts(
+        tables,
+        specs,
+        lambda spec: {
+            "site": F.col("site"),
+            "person_id": F.col("person_id"),
+            "visit_occurrence_id": F.col("visit_occurrence_id"),
+            "__date": F.col(spec.date_field).cast("date"),
+        },
+    )
     births = persons.select("site", "person_id", F.col("birth_date").cast("date").alias("__birth"))
     spans = visits.select(
         "visit_occurrence_id",
@@ -66,21 +60,32 @@ def date_plausibility(
         "before_visit": date < F.col("__start"),
         "after_visit": date > F.col("__end"),
     }
-    counts = (
-        union_all(parts)
-        .join(spans, "visit_occurrence_id", "left")
+    sums = []
+    for i in range(len(specs)):
+        sums.append(zero_if_null(F.sum(F.when(in_check(i), n))).alias(f"__total_{i}"))
+        for kind in TYPES:
+            rows = F.sum(F.when(in_check(i) & broken[kind], n))
+            sums.append(zero_if_null(rows).alias(f"__{kind}_{i}"))
+    per_site = (
+        counted.join(spans, "visit_occurrence_id", "left")
         .join(births, ["site", "person_id"], "left")
-        .groupBy("site", "check_name")
-        .agg(
-            F.sum(n).alias("total_rows"),
-            *[F.coalesce(F.sum(F.when(broken[t], n)), F.lit(0)).alias(t) for t in TYPES],
-        )
+        .groupBy("site")
+        .agg(*sums)
     )
     rows = stack(
-        counts,
-        ["site", "check_name", "total_rows"],
-        [{"implausible_type": F.lit(t), "implausible_row": F.col(t)} for t in TYPES],
-    )
+        per_site,
+        ["site"],
+        [
+            {
+                "check_name": F.lit(check_name(check_string, spec.check_id)),
+                "implausible_type": F.lit(kind),
+                "total_rows": F.col(f"__total_{i}"),
+                "implausible_row": F.col(f"__{kind}_{i}"),
+            }
+            for i, spec in enumerate(specs)
+            for kind in TYPES
+        ],
+    ).filter(F.col("total_rows") > 0)
     descriptions = {check_name(check_string, s.check_id): s.check_description for s in specs}
     return (
         with_header(rows, descriptions, check_string, version)

@@ -8,13 +8,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sitelens.functions.columns import proportion, zero_if_null
-from sitelens.operators.sets import union_all
+from sitelens.operators.reshape import stack
 from sitelens.plans.checks.common import (
     HEADER,
-    as_predicate,
     check_name,
-    grouped,
-    matching_rows,
+    flagged_counts,
+    in_check,
     with_header,
 )
 from sitelens.sources.specs import MissingVisitSpec
@@ -30,50 +29,47 @@ def missing_visit_ids(
 ) -> DataFrame:
     """Rows, rows with a null visit id and rows whose id no visit has, per site and check.
 
-    Our definition: the missing share is null plus unknown ids over all rows, 0 for no rows.
+    Our definition: the missing share is null plus unknown ids over all rows; a site without
+    rows for a check gives no row.
     Rows are counted per visit id before the visits are looked up, so the many rows of one
     visit, and all rows without one, reach the join as single counts.
     """
     visit = "visit_occurrence_id"
-    counted = []
-    for (schema, table), group in grouped(specs, lambda s: (s.schema, s.table)).items():
-        items = [
-            (
-                check_name(check_string, spec.check_id),
-                as_predicate(spec.filter_logic),
-                {visit: F.col(visit)},
-            )
-            for spec in group
-        ]
-        rows = matching_rows(tables.scan(table, schema), items, ["site"])
-        counted.append(
-            rows.groupBy("site", "check_name", visit).agg(F.count(F.lit(1)).alias("__n"))
-        )
-    known = visits.select(visit).distinct().withColumn("__known", F.lit(True))
-    n = F.col("__n")
-    result = (
-        union_all(counted)
-        .join(known, visit, "left")
-        .groupBy("site", "check_name")
-        .agg(
-            F.sum(n).alias("total_rows"),
-            F.coalesce(F.sum(F.when(F.col(visit).isNull(), n)), F.lit(0)).alias(
-                "null_visit_rows"
-            ),
-            F.coalesce(
-                F.sum(F.when(F.col(visit).isNotNull() & F.col("__known").isNull(), n)), F.lit(0)
-            ).alias("unknown_visit_rows"),
-        )
-        .withColumn(
-            "prop_missing_visits_total",
-            zero_if_null(
-                proportion(F.col("null_visit_rows") + F.col("unknown_visit_rows"), "total_rows")
-            ),
-        )
+    specs = list(specs)
+    counted = flagged_counts(
+        tables, specs, lambda _: {"site": F.col("site"), visit: F.col(visit)}
     )
+    known = visits.select(visit).distinct().withColumn("__known", F.lit(True))
+    absent = F.col(visit).isNull()
+    unknown = ~absent & F.col("__known").isNull()
+    sums = []
+    for i in range(len(specs)):
+        for name, test in (("total", F.lit(True)), ("null", absent), ("unknown", unknown)):
+            counts = F.sum(F.when(in_check(i) & test, F.col("__n")))
+            sums.append(zero_if_null(counts).alias(f"__{name}_{i}"))
+    per_site = counted.join(known, visit, "left").groupBy("site").agg(*sums)
+    rows = stack(
+        per_site,
+        ["site"],
+        [
+            {
+                "check_name": F.lit(check_name(check_string, spec.check_id)),
+                "total_rows": F.col(f"__total_{i}"),
+                "null_visit_rows": F.col(f"__null_{i}"),
+                "unknown_visit_rows": F.col(f"__unknown_{i}"),
+            }
+            for i, spec in enumerate(specs)
+        ],
+    ).filter(F.col("total_rows") > 0)
+    missing = F.col("null_visit_rows") + F.col("unknown_visit_rows")
     descriptions = {check_name(check_string, s.check_id): s.check_description for s in specs}
-    headed = with_header(result, descriptions, check_string, version)
-    return headed.withColumn("domain", F.col("check_description")).select(
+    headed = with_header(rows, descriptions, check_string, version)
+    return headed.withColumns(
+        {
+            "domain": F.col("check_description"),
+            "prop_missing_visits_total": proportion(missing, "total_rows"),
+        }
+    ).select(
         *HEADER,
         "domain",
         "total_rows",

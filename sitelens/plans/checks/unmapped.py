@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable, Sequence
+from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -14,7 +14,6 @@ from sitelens.operators.sets import union_all
 from sitelens.plans import fixed
 from sitelens.plans.checks.common import (
     HEADER,
-    as_predicate,
     check_name,
     grouped,
     matching_rows,
@@ -108,76 +107,77 @@ def unmapped_by_year(
 ) -> DataFrame:
     """Unmapped share per site, check and year of the check's date field.
 
-    All checks of a table share one scan. A year in which no row meets a check's predicate
-    gives no row for that check.
+    All checks of a table share one scan, counted by the years of all their date fields and
+    then regrouped by each check's own. A year in which no row meets a check's predicate gives
+    no row for that check.
     """
     dated = [spec for spec in specs if spec.date_field]
-    rows = _unmapped_rows(
-        tables, dated, codes, null_counts, check_string, "year_date", lambda s: F.year(s.date_field)
-    )
-    names = {check_name(check_string, s.check_id): s.check_description for s in dated}
+    parts = []
+    for (schema, table), group in grouped(dated, lambda s: (s.schema, s.table)).items():
+        years = {field: f"__year_{field}" for field in dict.fromkeys(s.date_field for s in group)}
+        df = tables.scan(table, schema).withColumns(
+            {name: F.year(field) for field, name in years.items()}
+        )
+        counted = count_unmapped(
+            df,
+            ["site", *years.values()],
+            [measure_of(spec, codes, null_counts, check_string) for spec in group],
+        )
+        named = F.create_map(
+            *[
+                part
+                for spec in group
+                for part in (
+                    F.lit(check_name(check_string, spec.check_id)),
+                    F.col(years[spec.date_field]),
+                )
+            ]
+        )
+        parts.append(counted.withColumn("year_date", named[F.col("check_name")]))
+    columns = ["site", "check_name", "check_description", "year_date"]
     return (
-        with_header(rows, names, check_string, version)
-        .withColumn("prop_total", proportion("unmapped_rows", "total_rows"))
+        union_all(part.select(*columns, "total_rows", "unmapped_rows") for part in parts)
+        .groupBy(*columns)
+        .agg(
+            F.sum("total_rows").alias("total_rows"), F.sum("unmapped_rows").alias("unmapped_rows")
+        )
+        .filter(F.col("total_rows") > 0)
+        .withColumns(
+            {
+                "prop_total": proportion("unmapped_rows", "total_rows"),
+                "check_type": F.lit(check_string),
+                "database_version": F.lit(version),
+            }
+        )
         .select(*HEADER, "year_date", "total_rows", "unmapped_rows", "prop_total")
     )
 
 
-def _unmapped_rows(
+def unmapped_source_values(
     tables: Tables,
     specs: Sequence[UnmappedSpec],
-    codes: Iterable,
-    null_counts: bool,
-    check_string: str,
-    name: str,
-    column: Callable[[UnmappedSpec], Column],
+    version: str,
+    codes: Iterable = fixed.NULL_CONCEPTS,
+    null_counts: bool = True,
+    check_string: str = "uc",
 ) -> DataFrame:
-    """Total and unmapped rows per site, check and a column of each check's own."""
+    """Unmapped rows per site, check and source value."""
+    valued = [spec for spec in specs if spec.source_value_field]
     codes = list(codes)
     parts = []
-    for (schema, table), group in grouped(specs, lambda s: (s.schema, s.table)).items():
+    for (schema, table), group in grouped(valued, lambda s: (s.schema, s.table)).items():
         items = [
             (
                 check_name(check_string, spec.check_id),
-                as_predicate(spec.filter_logic),
-                {
-                    name: column(spec),
-                    "__unmapped": is_unmapped(spec.concept_field, codes, null_counts),
-                },
+                spec.predicate & is_unmapped(spec.concept_field, codes, null_counts),
+                {"source_value": F.col(spec.source_value_field).cast("string")},
             )
             for spec in group
         ]
         rows = matching_rows(tables.scan(table, schema), items, ["site"])
-        parts.append(
-            rows.groupBy("site", "check_name", name).agg(
-                F.count(F.lit(1)).alias("total_rows"),
-                F.count_if("__unmapped").alias("unmapped_rows"),
-            )
-        )
-    return union_all(parts)
-
-
-def unmapped_source_values(
-    tables: Tables,
-    specs: Sequence[UnmappedSpec],
-    version: str,
-    codes: Iterable = fixed.NULL_CONCEPTS,
-    null_counts: bool = True,
-    check_string: str = "uc",
-) -> DataFrame:
-    """Unmapped rows per site, check and source value."""
-    valued = [spec for spec in specs if spec.source_value_field]
-    rows = _unmapped_rows(
-        tables,
-        valued,
-        codes,
-        null_counts,
-        check_string,
-        "source_value",
-        lambda s: F.col(s.source_value_field).cast("string"),
-    )
+        counts = rows.groupBy("site", "check_name", "source_value")
+        parts.append(counts.agg(F.count(F.lit(1)).alias("unmapped_rows")))
     names = {check_name(check_string, s.check_id): s.check_description for s in valued}
-    return (
-        with_header(rows.filter(F.col("unmapped_rows") > 0), names, check_string, version)
-        .select(*HEADER, "source_value", "unmapped_rows")
+    return with_header(union_all(parts), names, check_string, version).select(
+        *HEADER, "source_value", "unmapped_rows"
     )
