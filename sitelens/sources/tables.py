@@ -60,6 +60,10 @@ class Tables:
     def vocabulary(self, name: str = "concept") -> DataFrame:
         return self.scan(name, "vocabulary")
 
+    def with_schema(self, schema: str, loader: Loader) -> Tables:
+        """The same relations with one schema replaced."""
+        return Tables({**self._schemas, schema: loader}, self._site)
+
     def adding(self, schema: str, named: Mapping[str, DataFrame]) -> Tables:
         """The same relations with further DataFrames in one schema."""
         known = self._schemas.get(schema)
