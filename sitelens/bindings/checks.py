@@ -512,12 +512,11 @@ def cfd_sql(classes=CLASSES) -> str:
 
 
 def cfd(spark, folder, site="region", classes=CLASSES):
-    linked = (
-        v.facts(spark, folder, site)
-        .drop("visit_occurrence_id")
-        .withColumnRenamed("linked_visit_id", "visit_occurrence_id")
+    lines = v.lines(spark, folder)
+    linked = lines.drop("visit_occurrence_id").withColumnRenamed(
+        "linked_visit_id", "visit_occurrence_id"
     )
-    tables = v.clinical_tables(spark, folder, site).adding("cdm", {"linked": linked})
+    tables = Tables({"cdm": frames({"fact": lines, "linked": linked})})
     visits = v.visits(spark, folder, site).withColumn(
         "stay", F.datediff("visit_end_date", "visit_start_date")
     )

@@ -92,8 +92,12 @@ FACT_COLUMNS = (
 )
 
 
+def lines(spark: SparkSession, folder: str) -> DataFrame:
+    """Facts without their visit's site and person, straight from the scan."""
+    return table(spark, folder, "lineitem").selectExpr(*FACT_COLUMNS)
+
+
 def facts(spark: SparkSession, folder: str, site: str = "region") -> DataFrame:
-    lines = table(spark, folder, "lineitem").selectExpr(*FACT_COLUMNS)
     seen = visits(spark, folder, site).select(
         "site",
         "person_id",
@@ -102,7 +106,7 @@ def facts(spark: SparkSession, folder: str, site: str = "region") -> DataFrame:
         "visit_start_date",
         "care_site_id",
     )
-    return lines.join(seen, "visit_occurrence_id")
+    return lines(spark, folder).join(seen, "visit_occurrence_id")
 
 
 def concept(spark: SparkSession, folder: str) -> DataFrame:

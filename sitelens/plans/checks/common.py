@@ -140,14 +140,15 @@ def code_set_rows(
     """Rows whose concept is in a code set, once per set that holds it and whose predicate holds.
 
     items holds the labels to attach (one value per column name), the code set and the
-    predicate. All sets go into one labelled list and one join, whatever their number.
+    predicate. All sets go into one labelled list and one join, whatever their number. A code
+    listed twice gives a row twice; the callers only ask whether there is one.
     """
     lists = [
         codes.select(
             F.col("concept_id").alias("__code"),
             F.lit(i).alias("__item"),
             *[F.lit(value).alias(name) for name, value in labels.items()],
-        ).distinct()
+        )
         for i, (labels, codes, _) in enumerate(items)
     ]
     labels = list(items[0][0])
