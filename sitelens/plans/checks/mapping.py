@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from sitelens.operators.groups import with_result_values
 from sitelens.operators.sets import union_all
-from sitelens.plans.checks.common import HEADER, check_name, grouped, labelled, with_header
+from sitelens.plans.checks.common import HEADER, check_name, labelled, with_header
 from sitelens.plans.checks.vocabulary import concept_counts
 from sitelens.sources.specs import MAX_SPEC_ROWS, BestMappedSpec
 from sitelens.sources.tables import Tables
@@ -30,25 +30,34 @@ def best_mapped_concepts(
     default label. best_list holds check_name (the check id, with or without the check
     string), concept, best_notbest and default_to ('best' or 'notbest').
 
-    Our definition: null concepts are left out; a concept unknown to the concept table has a
-    null attribute and gets the default label.
+    A table is scanned once and the concept table joined once, whatever attributes the checks
+    ask for. Our definition: null concepts are left out; a concept unknown to the concept table
+    has a null attribute and gets the default label.
     """
+    names = {check_name(check_string, s.check_id): s for s in specs}
     parts = []
-    for attribute, group in grouped(specs, lambda s: s.concept_table_field).items():
-        for kind, counts in concept_counts(tables, group, check_string, ()).items():
-            counts = counts.filter(F.col("concept").isNotNull())
-            if concept is not None:
-                names = concept.select(
-                    F.col("concept_id").cast(kind).alias("concept"),
-                    F.col(attribute).cast("string").alias("concept_value"),
+    for kind, counts in concept_counts(tables, specs, check_string, ()).items():
+        counts = counts.filter(F.col("concept").isNotNull())
+        if concept is not None:
+            attributes = list(dict.fromkeys(s.concept_table_field for s in specs))
+            side = concept.select(
+                F.col("concept_id").cast(kind).alias("concept"),
+                *[F.col(name).cast("string").alias(f"__{name}") for name in attributes],
+            )
+            chosen = F.lit(None).cast("string")
+            for name in attributes:
+                users = [n for n, s in names.items() if s.concept_table_field == name]
+                chosen = F.when(F.col("check_name").isin(users), F.col(f"__{name}")).otherwise(
+                    chosen
                 )
-                counts = counts.join(names, "concept", "left")
-            else:
-                counts = counts.withColumn("concept_value", F.col("concept").cast("string"))
-            parts.append(
-                counts.groupBy("site", "check_name", F.col("concept_value").alias("concept"))
-                .agg(F.sum("tot_ct").alias("row_cts"))
+            counts = counts.join(side, "concept", "left").withColumn("__value", chosen)
+        else:
+            counts = counts.withColumn("__value", F.col("concept").cast("string"))
+        parts.append(
+            counts.groupBy("site", "check_name", F.col("__value").alias("concept")).agg(
+                F.sum("tot_ct").alias("row_cts")
             )
+        )
     prefix = f"{check_string}_"
     listed = best_list.select(
         F.when(F.col("check_name").startswith(prefix), F.col("check_name"))
@@ -59,7 +68,6 @@ def best_mapped_concepts(
         "default_to",
     )
     labels = listed.groupBy("check_name", "concept").agg(F.max("__label").alias("__label"))
-    names = {check_name(check_string, s.check_id): s for s in specs}
     rows = union_all(parts).join(labels, ["check_name", "concept"], "left")
     default = labelled("check_name", _defaults(listed), "int")
     result = with_result_values(
@@ -76,5 +84,7 @@ def best_mapped_concepts(
 def _defaults(listed: DataFrame) -> dict[str, int]:
     """The label of unlisted concepts per check; one row per check is read."""
     best = F.max(F.when(F.col("default_to") == "best", 1).otherwise(0)).alias("label")
-    rows = listed.groupBy("check_name").agg(best).limit(MAX_SPEC_ROWS).collect()
+    rows = listed.groupBy("check_name").agg(best).limit(MAX_SPEC_ROWS + 1).collect()
+    if len(rows) > MAX_SPEC_ROWS:
+        raise ValueError(f"the best list names more than {MAX_SPEC_ROWS} checks")
     return {row["check_name"]: row["label"] for row in rows}

@@ -350,12 +350,20 @@ def run_summaries(run: Run) -> list[str]:
 
 
 def run_anonymisation(
-    run: Run, names: Sequence[str], salt: str, all_sites: str = "dc_output"
+    run: Run,
+    names: Sequence[str],
+    salt: str,
+    target: Store | None = None,
+    all_sites: str = "dc_output",
 ) -> list[str]:
-    """Replace the site in stored tables by labels shared among them."""
+    """Replace the site in stored tables by labels shared among them.
+
+    The results go to the target store. Without one they become the newest version in the run's
+    own store, whose earlier versions still name the sites and must not be passed on.
+    """
     tables = {name: run.store.read(name) for name in names}
     anonymous = publish.anonymise(tables, run.store.read(all_sites), salt)
-    run.store.write_all(anonymous)
+    (target or run.store).write_all(anonymous)
     return list(anonymous)
 
 

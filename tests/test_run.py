@@ -170,7 +170,8 @@ def test_the_gate_reports_and_stops(finished):
 
 def test_anonymised_tables_hold_no_site_name(finished):
     names = ["uc_output_pp", "mf_visitid_output_pp"]
-    assert run.run_anonymisation(finished, names, "salt") == names
+    target = Store(finished.spark, f"{finished.specs}/published")
+    assert run.run_anonymisation(finished, names, "salt", target) == names
     for name in names:
-        sites = {row.site for row in finished.store.read(name).select("site").distinct().collect()}
+        sites = {row.site for row in target.read(name).select("site").distinct().collect()}
         assert sites == {"site_1", "site_2", "site_3", "total"}
