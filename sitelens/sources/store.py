@@ -28,9 +28,10 @@ class Store:
         found = []
         for status in system.listStatus(folder):
             path = status.getPath()
-            committed = system.exists(jvm.org.apache.hadoop.fs.Path(path, "_SUCCESS"))
-            if path.getName().startswith("v") and committed:
-                found.append(int(path.getName()[1:]))
+            label = path.getName()
+            if label.startswith("v") and label[1:].isdigit():
+                if system.exists(jvm.org.apache.hadoop.fs.Path(path, "_SUCCESS")):
+                    found.append(int(label[1:]))
         return sorted(found)
 
     def exists(self, name: str) -> bool:
