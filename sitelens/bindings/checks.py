@@ -12,7 +12,7 @@ from sitelens.bindings.views import BY_REGION, CYCLE_CUT, PREVIOUS_VERSION, VERS
 from sitelens.operators.sets import union_all
 from sitelens.plans import checks
 from sitelens.plans.checks import VisitClass
-from sitelens.plans.checks.concordance import COHORTS, level_of
+from sitelens.plans.checks.concordance import COHORTS, level_of, near_pairs
 from sitelens.sources.specs import (
     BestMappedSpec,
     CodeSets,
@@ -863,3 +863,59 @@ def data_cycle_changes(spark, folder):
 def check_metadata(spark, folder):
     results = [uc(spark, folder), dp(spark, folder), dcon(spark, folder)]
     return checks.check_metadata(results, checks.concordance_metadata(spark, BY_PERSON))
+
+
+@query(
+    "ck_dconm",
+    f"""{BY_REGION}, names AS (
+      SELECT DISTINCT check_name FROM ({dcon_sql(BY_VISIT, "visit_occurrence_id")}))
+    SELECT c.* FROM (VALUES """
+    + ", ".join(
+        f"('dcon_{s.check_id}', 'cohort_{1 + i % 2}', '{s.cohort_id}', '{s.cohort_description}',"
+        f" CAST({'NULL' if s.time_between_events is None else s.time_between_events} AS DOUBLE),"
+        f" 'visit')"
+        for i, s in enumerate(BY_VISIT)
+    )
+    + """) AS c(check_name, cohort, cohort_id, cohort_description, time_between_events, level)
+    JOIN names USING (check_name)""",
+)
+def concordance_metadata(spark, folder):
+    """Metadata of the checks that produced a result."""
+    found = concordance_by_visit(spark, folder).select("check_name").distinct()
+    described = checks.concordance_metadata(spark, BY_VISIT, level="visit")
+    return described.join(found, "check_name", "leftsemi")
+
+
+@query(
+    "jn_11",
+    BY_REGION + """, e AS (
+      SELECT site, person_id, fact_date AS d, fact_type AS t FROM facts
+      WHERE fact_type IN ('A', 'R') AND value > 46),
+    near AS (
+      SELECT DISTINCT a.site, a.person_id FROM e a JOIN e b
+        ON a.site = b.site AND a.person_id = b.person_id AND a.t = 'A' AND b.t = 'R'
+        AND abs(a.d - b.d) <= 30)
+    SELECT e.site, e.person_id, bool_or(t = 'A') AS in_first, bool_or(t = 'R') AS in_second,
+           bool_or(n.person_id IS NOT NULL) AS near
+    FROM e LEFT JOIN near n ON e.site = n.site AND e.person_id = n.person_id
+    GROUP BY e.site, e.person_id""",
+)
+def events_within_days(spark, folder):
+    """Persons with events of two kinds, and whether any two are at most 30 days apart."""
+    chosen = v.facts(spark, folder).filter(
+        F.col("fact_type").isin("A", "R") & (F.col("value") > 46)
+    )
+    events = chosen.select(
+        F.lit("pair").alias("check_name"),
+        "site",
+        F.col("person_id").alias("__key"),
+        F.col("fact_date").alias("__date"),
+        F.when(F.col("fact_type") == "A", 1).otherwise(2).alias("cohort"),
+    )
+    return near_pairs(events, {"pair": 30}).select(
+        "site",
+        F.col("__key").alias("person_id"),
+        F.col("__one").alias("in_first"),
+        F.col("__two").alias("in_second"),
+        F.col("__near").alias("near"),
+    )

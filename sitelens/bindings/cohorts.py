@@ -453,3 +453,15 @@ def descendants(spark, folder):
         "CAST(n_nationkey AS BIGINT) AS descendant_concept_id",
     )
     return cohorts.with_descendants(codes, ancestors)
+
+
+@query(
+    "co_19",
+    BY_REGION + " SELECT site, person_id, visit_occurrence_id, f.concept_id, fact_date FROM facts f"
+    " JOIN part ON f.concept_id = p_partkey WHERE p_brand = 'Brand#6' AND fact_type = 'N'",
+)
+def immunisations_in_code_set(spark, folder):
+    given = v.facts(spark, folder).filter(F.col("fact_type") == "N")
+    columns = ["site", "person_id", "visit_occurrence_id", "concept_id", "fact_date"]
+    codes = v.brand(spark, folder, "Brand#6")
+    return cohorts.facts_in_code_set(given, codes, "concept_id", columns)

@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import uuid
+
 from sitelens.bindings import checks as ck
-from sitelens.bindings.registry import query
+from sitelens.bindings.registry import SQL, query
 from sitelens.bindings.views import BY_NATION, BY_REGION
 from sitelens.operators.groups import without_totals
 from sitelens.operators.sets import union_all
 from sitelens.plans import checks, outliers, process, summary
+from sitelens.session import shared_folder
+from sitelens.sources.store import Store
 
 # --- post-processing ---------------------------------------------------------------------
 
@@ -578,3 +582,37 @@ def summarised_documentation(spark, folder):
     rows = summary.summarize_documentation(cfd_pp(spark, folder, "nation"))
     names = [f"{n}_{s}" for n in ROUNDED_STATISTICS for s in ("pts", "visits")]
     return rounded(rows, 9, *names)
+
+
+@query("pp_ucg", SQL["ck_ucg"])
+def stored_source_values(spark, folder):
+    """The unmapped source values, stored and copied to the processed results."""
+    store = Store(spark, f"{shared_folder(spark)}/results-{uuid.uuid4().hex}")
+    values = checks.unmapped_source_values(
+        ck.v.clinical_tables(spark, folder), ck.UNMAPPED, ck.VERSION, ck.CODES
+    )
+    return store.write(store.write(values, "uc_grpd"), "uc_grpd_pp")
+
+
+LN_COLUMNS = "site, check_name, check_name_app, min_val, q1, median_val, mean_val, q3, max_val"
+
+
+@query(
+    "ln_05",
+    f"""{BY_NATION}, {mf_pp_sql()}, {dp_pp_sql()},
+    mf_rows AS (SELECT * FROM mf_pp WHERE site <> 'total'),
+    dp_rows AS (SELECT * FROM dp_pp WHERE site <> 'total'),
+    {summary_sql('mf_rows', summary.PARAMETERS['mf']['value'], summary.PARAMETERS['mf']['group'], 'mf_ln')},
+    {summary_sql('dp_rows', summary.PARAMETERS['dp']['value'], summary.PARAMETERS['dp']['group'], 'dp_ln')}
+    SELECT {LN_COLUMNS} FROM mf_ln UNION ALL SELECT {LN_COLUMNS} FROM dp_ln""",
+)
+def summarised_by_parameters(spark, folder):
+    """Two checks with different values and groups, summarised from the parameter table."""
+    processed = {
+        "mf": process.process_missing_visits(ck.mf(spark, folder, "nation")),
+        "dp": dp_pp(spark, folder, "nation"),
+    }
+    columns = LN_COLUMNS.split(", ")
+    return union_all(
+        without_totals(ln(rows, check)).select(*columns) for check, rows in processed.items()
+    )
