@@ -150,22 +150,22 @@ def op4(spark: SparkSession, folder: str) -> DataFrame:
 
 
 _NEAR_SQL = f"""
-WITH RECURSIVE words AS (
+WITH RECURSIVE words AS MATERIALIZED (
   SELECT doc_id, {_WORDS_SQL.format(
       "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
   )} AS w
   FROM documents
-), sets AS (
+), sets AS MATERIALIZED (
   SELECT doc_id, CASE
     WHEN len(w) = 0 THEN []
     WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
     ELSE list_distinct(list_transform(range(1, len(w) - 3),
                        lambda i: array_to_string(w[i:i + 4], ' '))) END AS s
   FROM words
-), shingle AS (SELECT doc_id, unnest(s) AS x FROM sets), pairs AS (
+), shingle AS MATERIALIZED (SELECT doc_id, unnest(s) AS x FROM sets), pairs AS MATERIALIZED (
   SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS both_
   FROM shingle a JOIN shingle b ON a.x = b.x AND a.doc_id <> b.doc_id GROUP BY ALL
-), edges AS (
+), edges AS MATERIALIZED (
   SELECT p.a, p.b FROM pairs p JOIN sets x ON x.doc_id = p.a JOIN sets y ON y.doc_id = p.b
   WHERE 100 * both_ >= 85 * (len(x.s) + len(y.s) - both_)
 ), reach AS (
