@@ -157,10 +157,14 @@ def digest(found: DataFrame, base: tuple[str, ...], **counts: str) -> DataFrame:
     """
     line = lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])
     inside = lambda s: s["kind"].isin(*base)
+
+    def of_kind(kind: str):
+        return F.filter("spans", lambda s: s["kind"] == kind)
+
     return found.select(
         "doc_id",
         *[
-            F.size(F.filter("spans", lambda s, k=kind: s["kind"] == k)).cast("long").alias(name)
+            F.size(of_kind(kind)).cast("long").alias(name)
             for name, kind in counts.items()
         ],
         F.sha2(
