@@ -40,7 +40,7 @@ PRE_TOKEN = (
 )
 
 #: Pieces between spaces whose ids a worker remembers, twice; longer ones are not remembered.
-REMEMBERED, LONG_PIECE = 400_000, 64
+REMEMBERED, LONG_PIECE = 120_000, 64
 
 SCHEMA = (
     "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string, n_chars long"

@@ -68,7 +68,7 @@ class _WordHashes(dict):
     """Hashes of words met before; emptied when full."""
 
     def __missing__(self, word: bytes) -> int:
-        if len(self) >= 500_000:
+        if len(self) >= 200_000:
             self.clear()
         value = self[word] = xxhash.xxh3_64_intdigest(word)
         return value
