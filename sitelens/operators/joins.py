@@ -21,6 +21,15 @@ def shared_columns(left: DataFrame, right: DataFrame) -> list[str]:
     return names
 
 
+def site_keys(left: DataFrame, right: DataFrame, *names: str) -> list[str]:
+    """The names, preceded by ``site`` where both sides have it.
+
+    Ids are unique within a site only, so tables that know their site meet within it.
+    """
+    both = "site" in left.columns and "site" in right.columns
+    return ["site", *names] if both else list(names)
+
+
 def natural_join(left: DataFrame, right: DataFrame, how: str = "inner") -> DataFrame:
     """Join on every shared column. Null keys match nothing."""
     return left.join(right, on=shared_columns(left, right), how=how)

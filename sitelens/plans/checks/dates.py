@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sitelens.functions.columns import proportion, zero_if_null
+from sitelens.operators.joins import site_keys
 from sitelens.operators.reshape import stack
 from sitelens.plans.checks.common import (
     HEADER,
@@ -49,8 +50,14 @@ def date_plausibility(
         },
     )
     births = persons.select("site", "person_id", F.col("birth_date").cast("date").alias("__birth"))
+    # Rows without a visit are many, and all have the same null key. They match nothing, so a
+    # second key that no visit has deals them out by what else they hold.
+    apart = F.when(F.col("visit_occurrence_id").isNull(), F.xxhash64("person_id", "__date"))
+    counted = counted.withColumn("__apart", F.coalesce(apart, F.lit(0).cast("long")))
+    keys = site_keys(counted, visits, "visit_occurrence_id")
     spans = visits.select(
-        "visit_occurrence_id",
+        *keys,
+        F.lit(0).cast("long").alias("__apart"),
         F.col("visit_start_date").cast("date").alias("__start"),
         F.col("visit_end_date").cast("date").alias("__end"),
     )
@@ -67,7 +74,7 @@ def date_plausibility(
             rows = F.sum(F.when(in_check(i) & broken[kind], n))
             sums.append(zero_if_null(rows).alias(f"__{kind}_{i}"))
     per_site = (
-        counted.join(spans, "visit_occurrence_id", "left")
+        counted.join(spans, [*keys, "__apart"], "left")
         .join(births, ["site", "person_id"], "left")
         .groupBy("site")
         .agg(*sums)

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sitelens.functions.columns import proportion, zero_if_null
+from sitelens.operators.joins import site_keys
 from sitelens.operators.reshape import stack
 from sitelens.operators.sets import union_all
 from sitelens.plans.checks.common import (
@@ -34,22 +35,28 @@ class VisitClass:
 
 
 def _documented_visits(tables: Tables, specs: Sequence[DocumentationSpec]) -> DataFrame:
-    """One row per visit with a fact: a 0/1 column per check."""
+    """One row per visit with a fact: a 0/1 column per check.
+
+    Visits are told apart by site as well if every table has it.
+    """
     visit = "visit_occurrence_id"
+    scanned = {key: tables.scan(key[1], key[0]) for key in grouped(specs, lambda s: (s.schema, s.table))}
+    with_site = all("site" in df.columns for df in scanned.values())
+    keys = ["site", visit] if with_site else [visit]
     index = {spec.check_id: i for i, spec in enumerate(specs)}
     parts = []
     for (schema, table), group in grouped(specs, lambda s: (s.schema, s.table)).items():
-        df = tables.scan(table, schema).filter(F.col(visit).isNotNull())
+        df = scanned[schema, table].filter(F.col(visit).isNotNull())
         flags = [
             F.max(F.when(spec.predicate, 1).otherwise(0)).alias(f"__fact_{index[spec.check_id]}")
             for spec in group
         ]
-        parts.append(df.groupBy(visit).agg(*flags))
+        parts.append(df.groupBy(*keys).agg(*flags))
     names = [f"__fact_{i}" for i in range(len(specs))]
     if len(parts) == 1:
-        return parts[0].select(visit, *names)
-    merged = union_all(parts).groupBy(visit).agg(*[F.max(n).alias(n) for n in names])
-    return merged.select(visit, *[F.coalesce(n, F.lit(0)).alias(n) for n in names])
+        return parts[0].select(*keys, *names)
+    merged = union_all(parts).groupBy(*keys).agg(*[F.max(n).alias(n) for n in names])
+    return merged.select(*keys, *[F.coalesce(n, F.lit(0)).alias(n) for n in names])
 
 
 def fact_documentation_by_class(
@@ -78,7 +85,7 @@ def fact_documentation_by_class(
         ["site", "person_id", visit],
     ).withColumnRenamed("check_name", "visit_type")
     names = [f"__fact_{i}" for i in range(len(specs))]
-    joined = members.join(facts, visit, "left")
+    joined = members.join(facts, site_keys(members, facts, visit), "left")
     persons = joined.groupBy("site", "visit_type", "person_id").agg(
         F.count(F.lit(1)).alias("__visits"),
         *[F.sum(F.coalesce(name, F.lit(0))).alias(name) for name in names],

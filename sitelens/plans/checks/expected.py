@@ -59,7 +59,7 @@ def expected_concepts(
         *[F.max(F.when(F.col("check_name") == n, 1)).alias(flag) for n, flag in flags.items()]
     )
     cohorts = union_all(
-        tables.scan(table, schema).select(*person).distinct().withColumn("cohort_table", F.lit(table))
+        tables.scan(table, schema).select(*person).distinct().withColumn("cohort_table", F.lit(f"{schema}.{table}"))
         for schema, table in dict.fromkeys((s.cohort_schema, s.cohort_table) for s in specs)
     )
     counts = (
@@ -76,7 +76,7 @@ def expected_concepts(
         [
             {
                 "check_name": F.lit(name),
-                "__cohort": F.lit(spec.cohort_table),
+                "__cohort": F.lit(f"{spec.cohort_schema}.{spec.cohort_table}"),
                 "pts_with_concept": F.col(flags[name]),
             }
             for name, spec in names.items()

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sitelens.functions.columns import proportion, zero_if_null
+from sitelens.operators.joins import site_keys
 from sitelens.operators.reshape import stack
 from sitelens.plans.checks.common import (
     HEADER,
@@ -39,7 +40,8 @@ def missing_visit_ids(
     counted = flagged_counts(
         tables, specs, lambda _: {"site": F.col("site"), visit: F.col(visit)}
     )
-    known = visits.select(visit).distinct().withColumn("__known", F.lit(True))
+    keys = site_keys(counted, visits, visit)
+    known = visits.select(*keys).distinct().withColumn("__known", F.lit(True))
     absent = F.col(visit).isNull()
     unknown = ~absent & F.col("__known").isNull()
     sums = []
@@ -47,7 +49,7 @@ def missing_visit_ids(
         for name, test in (("total", F.lit(True)), ("null", absent), ("unknown", unknown)):
             counts = F.sum(F.when(in_check(i) & test, F.col("__n")))
             sums.append(zero_if_null(counts).alias(f"__{name}_{i}"))
-    per_site = counted.join(known, visit, "left").groupBy("site").agg(*sums)
+    per_site = counted.join(known, keys, "left").groupBy("site").agg(*sums)
     rows = stack(
         per_site,
         ["site"],

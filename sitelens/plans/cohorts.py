@@ -22,7 +22,7 @@ from sitelens.functions.columns import (
     years_between,
 )
 from sitelens.operators.groups import rows_at_minimum
-from sitelens.operators.joins import join_code_set, natural_join
+from sitelens.operators.joins import join_code_set, natural_join, site_keys
 from sitelens.operators.sets import union_distinct
 from sitelens.plans import fixed
 
@@ -39,9 +39,8 @@ def payer_with_date(
             F.col("plan_type").isNotNull(), 1
         ),
     }
-    return natural_join(
-        payers.withColumns(flags), visits.select("visit_occurrence_id", "visit_start_date")
-    )
+    keys = site_keys(payers, visits, "visit_occurrence_id")
+    return natural_join(payers.withColumns(flags), visits.select(*keys, "visit_start_date"))
 
 
 def gestational_age_cohort(
@@ -68,9 +67,10 @@ def gestational_age_cohort(
         .when(weeks < 20, fixed.GESTATION_SHORT)
         .when(weeks > 45, fixed.GESTATION_LONG)
     )
-    people = persons.select("person_id", "birth_date", "pn_gestational_age")
+    keys = site_keys(firsts, persons, "person_id")
+    people = persons.select(*keys, "birth_date", "pn_gestational_age")
     return (
-        firsts.join(people, "person_id")
+        firsts.join(people, keys)
         .withColumn("age_first_visit", years_between("birth_date", "visit_start_date"))
         .filter(F.col("age_first_visit") <= max_years)
         .withColumn("ga_group", band)
@@ -107,7 +107,8 @@ def visits_with_specialty(
 ) -> DataFrame:
     """Visits of some classes with the specialty of their provider or care site."""
     chosen = visits.filter(F.col("visit_concept_id").isin(list(visit_concepts)))
-    return chosen.join(dimension.select(key, "specialty_concept_id"), key)
+    keys = site_keys(chosen, dimension, key)
+    return chosen.join(dimension.select(*keys, "specialty_concept_id"), keys)
 
 
 def persons_seen_with_diagnosis(
@@ -121,9 +122,9 @@ def persons_seen_with_diagnosis(
     with very many of them costs no more than any other.
     """
     chosen = visits.filter(F.col("visit_concept_id").isin(list(visit_concepts)))
-    keys = ["person_id", "visit_occurrence_id"]
+    keys = site_keys(chosen, conditions, "person_id", "visit_occurrence_id")
     return (
-        chosen.select("site", *keys)
+        chosen.select("site", "person_id", "visit_occurrence_id")
         .join(conditions.select(*keys).distinct(), keys, "leftsemi")
         .select("site", "person_id")
         .distinct()
@@ -236,9 +237,11 @@ def icu_transfers(transfers: DataFrame, services: Sequence = fixed.ICU_SERVICES)
 
 def payer_persons(payers: DataFrame, visits: DataFrame) -> DataFrame:
     """Person and visit of every payer record."""
-    return payers.select("visit_occurrence_id").join(
-        visits.select("site", "person_id", "visit_occurrence_id"), "visit_occurrence_id"
+    keys = site_keys(payers, visits, "visit_occurrence_id")
+    found = payers.select(*keys).join(
+        visits.select("site", "person_id", "visit_occurrence_id"), keys
     )
+    return found.select("site", "person_id", "visit_occurrence_id")
 
 
 def long_visits(
@@ -266,11 +269,13 @@ def specialty_visits(
     The provider's specialty is preferred unless it is the general one, then the care site's,
     then the general one.
     """
+    provider_keys = site_keys(visits, providers, "provider_id")
+    care_site_keys = site_keys(visits, care_sites, "care_site_id")
     provider_side = join_code_set(providers, codes, "specialty_concept_id").select(
-        "provider_id", F.col("specialty_concept_id").alias("prov_specialty")
+        *provider_keys, F.col("specialty_concept_id").alias("prov_specialty")
     )
     site_side = join_code_set(care_sites, codes, "specialty_concept_id").select(
-        "care_site_id", F.col("specialty_concept_id").alias("cs_specialty")
+        *care_site_keys, F.col("specialty_concept_id").alias("cs_specialty")
     )
     provider, care_site = F.col("prov_specialty"), F.col("cs_specialty")
     choice = (
@@ -280,8 +285,8 @@ def specialty_visits(
         .otherwise(F.lit(0))
     )
     return (
-        visits.join(provider_side, "provider_id", "left")
-        .join(site_side, "care_site_id", "left")
+        visits.join(provider_side, provider_keys, "left")
+        .join(site_side, care_site_keys, "left")
         .filter(any_present("prov_specialty", "cs_specialty"))
         .withColumn("visit_specialty_concept_id", choice)
         .drop("prov_specialty", "cs_specialty")
@@ -314,11 +319,12 @@ def coded_visits(
     coded = union_distinct(
         join_code_set(table, codes, field).select(*columns) for table, field in facts
     )
+    keys = site_keys(coded, visits, "visit_occurrence_id")
     office = visits.filter(F.col("visit_concept_id") == visit_concept).select(
-        "visit_occurrence_id", "visit_concept_id", "visit_start_date"
+        *keys, "visit_concept_id", "visit_start_date"
     )
     return (
-        coded.join(office, "visit_occurrence_id")
+        coded.join(office, keys)
         .select(*columns, "visit_concept_id", "visit_start_date")
         .distinct()
     )
@@ -335,9 +341,8 @@ def facts_at_visits(
     if type_field is not None:
         facts = facts.filter(F.col(type_field) == type_concept)
     chosen = visits.filter(F.col("visit_concept_id").isin(list(visit_concepts)))
-    return facts.join(
-        chosen.select("visit_occurrence_id", "visit_concept_id"), "visit_occurrence_id"
-    )
+    keys = site_keys(facts, visits, "visit_occurrence_id")
+    return facts.join(chosen.select(*keys, "visit_concept_id"), keys)
 
 
 def persons_with_code_and_lab(

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sitelens.functions.columns import not_in, zero_if_null
@@ -193,17 +193,16 @@ def date_gate(
 
 
 def failures(gates: Sequence[DataFrame]) -> DataFrame:
-    """All failures of all gates, each once."""
+    """All failures of all gates, each once; none without any gate."""
+    if not gates:
+        kinds = {"value": "double", "threshold": "double"}
+        schema = ", ".join(f"{name} {kinds.get(name, 'string')}" for name in COLUMNS)
+        return SparkSession.active().createDataFrame([], schema)
     return union_distinct(gates).filter(F.col("pass_fail") == "FAIL")
 
 
-def enforce(failed: DataFrame, shown: int = 20) -> None:
-    """Raise if there is any failure. The message names the first few and the number of all."""
+def enforce(failed: DataFrame, table: str = "gate_failures") -> None:
+    """Raise if there is any failure. The message gives their number and the table that has them."""
     count = failed.count()
     if count:
-        rows = failed.orderBy("site", "check_name").limit(shown).collect()
-        listed = "; ".join(
-            f"{r.site}: {r.check_description} {r.value} (wanted {r.direction} {r.threshold})"
-            for r in rows
-        )
-        raise GateFailure(f"{count} data quality failure(s): {listed}")
+        raise GateFailure(f"{count} data quality failure(s), listed in {table}")

@@ -14,6 +14,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sitelens.operators.joins import site_keys
 from sitelens.operators.sets import union_all
 from sitelens.plans import checks, cohorts, fixed, gate, medication, outliers, process, publish
 from sitelens.plans import summary as summaries
@@ -60,6 +61,13 @@ class Run:
         name, kind = SPEC_FILES[family]
         return sp.read_specs(self.spark, self.path(name), kind)
 
+    def current(self, name: str) -> DataFrame:
+        """A stored result of this run's version; a result without versions as it is."""
+        rows = self.store.read(name)
+        if "database_version" not in rows.columns:
+            return rows
+        return rows.filter(F.col("database_version") == self.version)
+
     def path(self, name: str) -> str:
         return f"{self.specs.rstrip('/')}/{name}.csv"
 
@@ -224,10 +232,12 @@ def _documentation(
     run: Run, tables: Tables, specs: Sequence[sp.DocumentationSpec], visits: DataFrame
 ) -> DataFrame:
     """All visit classes at once; general practice visits are marked by their specialty."""
-    general = tables.result("gp_specialties").select(
-        "visit_occurrence_id", "visit_specialty_concept_id"
+    general = tables.result("gp_specialties")
+    keys = site_keys(visits, general, "visit_occurrence_id")
+    general = general.groupBy(*keys).agg(
+        F.max("visit_specialty_concept_id").alias("visit_specialty_concept_id")
     )
-    marked = visits.join(general, "visit_occurrence_id", "left")
+    marked = visits.join(general, keys, "left")
     return checks.fact_documentation_by_class(
         tables, specs, marked, STANDARD_CLASSES, run.version
     )
@@ -265,39 +275,39 @@ def run_processing(run: Run) -> list[str]:
         keep(outliers.suppress_outliers(flagged, value), "dc_output_pp")
     for family, value in (("vc", "vocabulary_id"), ("vs", "concept_id")):
         if store.exists(f"{family}_output"):
-            result = process.process_conformance(store.read(f"{family}_output"), value)
+            result = process.process_conformance(run.current(f"{family}_output"), value)
             keep(result.processed, f"{family}_output_pp")
             keep(process.with_zero_rows(result), f"{family}_violations_pp")
     if store.exists("uc_output"):
-        keep(process.process_unmapped(store.read("uc_output")), "uc_output_pp")
-        keep(process.process_unmapped(store.read("uc_by_year")), "uc_by_year_pp")
-        keep(store.read("uc_grpd"), "uc_grpd_pp")
+        keep(process.process_unmapped(run.current("uc_output")), "uc_output_pp")
+        keep(process.process_unmapped(run.current("uc_by_year")), "uc_by_year_pp")
+        keep(run.current("uc_grpd"), "uc_grpd_pp")
     if store.exists("mf_visitid_output"):
-        missing = process.process_missing_visits(store.read("mf_visitid_output"))
+        missing = process.process_missing_visits(run.current("mf_visitid_output"))
         keep(missing, "mf_visitid_output_pp")
     if store.exists("bmc_output"):
-        keep(process.process_best_mapped(store.read("bmc_output")), "bmc_output_pp")
-        keep(store.read("bmc_output"), "bmc_output_concepts_pp")
+        keep(process.process_best_mapped(run.current("bmc_output")), "bmc_output_pp")
+        keep(run.current("bmc_output"), "bmc_output_concepts_pp")
         best = store.read("bmc_output_pp").filter(F.col("best_notbest") == 1)
         group = [*process.NAMED, "check_name_app"]
         keep(outliers_of(best, group, "best_row_prop"), "bmc_anom_pp")
     if store.exists("ecp_output"):
         categories = sp.read_categories(run.spark, run.path(CATEGORY_FILE))
-        expected = process.process_expected(store.read("ecp_output"), categories)
+        expected = process.process_expected(run.current("ecp_output"), categories)
         keep(expected, "ecp_output_pp")
         found = outliers_of(store.read("ecp_output_pp"), ["check_name"], "prop_with_concept")
         keep(found, "ecp_anom_pp")
     if store.exists("cfd_output"):
-        keep(process.process_documentation(store.read("cfd_output")), "cfd_output_pp")
+        keep(process.process_documentation(run.current("cfd_output")), "cfd_output_pp")
     if store.exists("dcon_output"):
-        keep(process.process_concordance(store.read("dcon_output")), "dcon_output_pp")
+        keep(process.process_concordance(run.current("dcon_output")), "dcon_output_pp")
     if store.exists("fot_output"):
-        timeline = process.process_timeline(store.read("fot_output"))
+        timeline = process.process_timeline(run.current("fot_output"))
         keep(timeline.heuristic, "fot_heuristic_pp")
         keep(timeline.summary, "fot_heuristic_summary_pp")
         keep(timeline.ratios, "fot_ratios_pp")
     if store.exists("dp_output"):
-        keep(process.process_dates(store.read("dp_output")), "dp_output_pp")
+        keep(process.process_dates(run.current("dp_output")), "dp_output_pp")
         group = ["check_name", "implausible_type", "check_name_app"]
         keep(outliers_of(store.read("dp_output_pp"), group, "prop_implausible"), "dp_anom_pp")
     results = [store.read(name) for name in CHECK_OUTPUTS if store.exists(name)]
@@ -371,23 +381,23 @@ def run_gate(run: Run, stop: bool = True) -> DataFrame:
     """Failures over all stored results; with stop, any failure raises."""
     store, gates = run.store, []
     if store.exists("bmc_output"):
-        processed = process.process_best_mapped(store.read("bmc_output"))
+        processed = process.process_best_mapped(run.current("bmc_output"))
         gates.append(gate.best_mapped_gate(processed))
     if store.exists("dc_output"):
         changes = process.process_cycle(store.read("dc_output"), store.read("dc_meta"))
         gates.append(gate.cycle_gate(changes))
     if store.exists("vc_output"):
-        result = process.process_conformance(store.read("vc_output"), "vocabulary_id")
+        result = process.process_conformance(run.current("vc_output"), "vocabulary_id")
         gates.append(gate.vocabulary_gate(result))
     if store.exists("uc_output"):
-        gates.append(gate.unmapped_gate(store.read("uc_output")))
+        gates.append(gate.unmapped_gate(run.current("uc_output")))
     if store.exists("mf_visitid_output"):
-        missing = process.process_missing_visits(store.read("mf_visitid_output"))
+        missing = process.process_missing_visits(run.current("mf_visitid_output"))
         gates.append(gate.missing_visit_gate(missing))
     if store.exists("ecp_output"):
-        gates.append(gate.expected_gate(store.read("ecp_output")))
+        gates.append(gate.expected_gate(run.current("ecp_output")))
     if store.exists("dp_output"):
-        gates.append(gate.date_gate(store.read("dp_output")))
+        gates.append(gate.date_gate(run.current("dp_output")))
     failed = store.write(gate.failures(gates), "gate_failures")
     if stop:
         gate.enforce(failed)

@@ -2,9 +2,7 @@
 
 from __future__ import annotations
 
-import functools
 import os
-import tempfile
 
 from pyspark.sql import SparkSession
 
@@ -38,16 +36,7 @@ def prepare(spark: SparkSession) -> None:
         spark.conf.set(name, value)
 
 
-@functools.cache
-def _local_folder() -> str:
-    return tempfile.mkdtemp(prefix="sitelens-")
-
-
 def shared_folder(spark: SparkSession) -> str:
-    """The folder the cluster names for intermediate tables; a temporary one in local runs."""
+    """The folder the cluster names for intermediate tables; else one in the warehouse."""
     named = spark.conf.get("spark.checkpoint.dir", None)
-    if named:
-        return named.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-    return _local_folder()
+    return (named or f"{spark.conf.get('spark.sql.warehouse.dir')}/sitelens").rstrip("/")

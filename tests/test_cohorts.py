@@ -3,6 +3,7 @@
 import datetime
 
 import pytest
+from pyspark.sql import functions as F
 
 from sitelens.plans import cohorts, fixed
 
@@ -168,3 +169,18 @@ def test_descendants_keep_the_code_itself(spark, rows):
     )
     found = cohorts.with_descendants(codes, closure)
     assert rows(found, "concept_id") == [(1,), (2,), (3,), (5,)]
+
+
+def test_ids_are_unique_within_a_site_only(spark, rows):
+    visits = spark.createDataFrame(
+        [("a", 1, 7, "2020-01-01"), ("b", 1, 7, "2021-01-01")],
+        "site string, person_id long, visit_occurrence_id long, visit_start_date string",
+    ).withColumn("visit_start_date", F.col("visit_start_date").cast("date"))
+    persons = spark.createDataFrame(
+        [("a", 1, "2019-06-01", 30.0), ("b", 1, "2020-06-01", 50.0)],
+        "site string, person_id long, birth_date string, pn_gestational_age double",
+    ).withColumn("birth_date", F.col("birth_date").cast("date"))
+    found = cohorts.gestational_age_cohort(visits, persons)
+    assert [r[1] for r in rows(found, "site", "pn_gestational_age")] == [30.0, 50.0]
+    payers = spark.createDataFrame([("a", 7)], "site string, visit_occurrence_id long")
+    assert rows(cohorts.payer_persons(payers, visits)) == [("a", 1, 7)]
