@@ -18,7 +18,7 @@ def duck():
     return connect(FOLDER)
 
 
-@pytest.mark.parametrize("name", sorted(QUERIES))
+@pytest.mark.parametrize("name", sorted(SQL))
 def test_same_rows_as_sql(spark, duck, name):
     """Also: no plan may hold a nested loop or a cartesian product."""
     df = QUERIES[name](spark, FOLDER)
