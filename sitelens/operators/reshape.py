@@ -10,9 +10,6 @@ from pyspark.sql import functions as F
 #: Accuracy of the approximate quartiles: relative rank error of one in a million.
 QUARTILE_ACCURACY = 1_000_000
 
-#: A pivot creates one column per value; more than this is refused.
-MAX_PIVOT_VALUES = 1_000
-
 
 def stack(df: DataFrame, keep: Sequence[str], rows: Sequence[Mapping[str, Column]]) -> DataFrame:
     """One output row per input row and entry of rows, each entry naming the same columns."""
@@ -26,14 +23,9 @@ def wide(
     keys: Sequence[str],
     names_from: str,
     values_from: str,
-    names: Sequence | None = None,
+    names: Sequence,
 ) -> DataFrame:
-    """One column per name. Names are looked up when they are not given."""
-    if names is None:
-        found = df.select(names_from).distinct().limit(MAX_PIVOT_VALUES + 1).collect()
-        if len(found) > MAX_PIVOT_VALUES:
-            raise ValueError(f"{names_from} has more than {MAX_PIVOT_VALUES} values")
-        names = sorted(row[0] for row in found if row[0] is not None)
+    """One column per name; other names are left out."""
     return df.groupBy(*keys).pivot(names_from, list(names)).agg(F.max(values_from))
 
 

@@ -11,7 +11,7 @@ from sitelens.operators.groups import with_result_values
 from sitelens.operators.sets import union_all
 from sitelens.plans.checks.common import HEADER, check_name, labelled, with_header
 from sitelens.plans.checks.vocabulary import concept_counts
-from sitelens.sources.specs import MAX_SPEC_ROWS, BestMappedSpec
+from sitelens.sources.specs import BestMappedSpec
 from sitelens.sources.tables import Tables
 
 
@@ -68,23 +68,19 @@ def best_mapped_concepts(
         "default_to",
     )
     labels = listed.groupBy("check_name", "concept").agg(F.max("__label").alias("__label"))
-    rows = union_all(parts).join(labels, ["check_name", "concept"], "left")
-    default = labelled("check_name", _defaults(listed), "int")
+    best = F.when(F.col("default_to") == "best", 1).otherwise(0)
+    defaults = listed.groupBy("check_name").agg(F.max(best).alias("__default"))
+    rows = (
+        union_all(parts)
+        .join(labels, ["check_name", "concept"], "left")
+        .join(defaults, "check_name", "left")
+    )
     result = with_result_values(
         rows, ["site", "check_name"], {"total_rows": F.sum("row_cts")}
-    ).withColumn("best_notbest", F.coalesce("__label", default, F.lit(0)))
+    ).withColumn("best_notbest", F.coalesce("__label", "__default", F.lit(0)))
     headed = with_header(
         result, {n: s.check_description for n, s in names.items()}, check_string, version
     )
     return headed.withColumn(
         "concept_field", labelled("check_name", {n: s.concept_field for n, s in names.items()})
     ).select(*HEADER, "concept_field", "concept", "best_notbest", "row_cts", "total_rows")
-
-
-def _defaults(listed: DataFrame) -> dict[str, int]:
-    """The label of unlisted concepts per check; one row per check is read."""
-    best = F.max(F.when(F.col("default_to") == "best", 1).otherwise(0)).alias("label")
-    rows = listed.groupBy("check_name").agg(best).limit(MAX_SPEC_ROWS + 1).collect()
-    if len(rows) > MAX_SPEC_ROWS:
-        raise ValueError(f"the best list names more than {MAX_SPEC_ROWS} checks")
-    return {row["check_name"]: row["label"] for row in rows}

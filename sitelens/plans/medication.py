@@ -249,7 +249,7 @@ def column_distributions(
 
 def tracking(
     results: DataFrame,
-    versions: Sequence[str] | None = None,
+    versions: Sequence[str],
     grouped: bool = False,
     pattern: str = "and|&",
     keys: Sequence[str] = ("site", "check_description"),

@@ -13,9 +13,6 @@ from typing import TypeVar, get_args, get_type_hints
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: A specification has tens of rows; a file beyond this is not one.
-MAX_SPEC_ROWS = 10_000
-
 
 @dataclass(frozen=True, kw_only=True)
 class Spec:
@@ -129,7 +126,10 @@ def _typed(df: DataFrame, types: dict[str, str], optional: set[str], path: str)
 
 
 def read_specs(spark: SparkSession, path: str, kind: type[AnySpec]) -> list[AnySpec]:
-    """Specification rows as objects of the given kind."""
+    """Specification rows as objects of the given kind, whatever their number.
+
+    Each becomes a part of the plan, so they are read into the driver, a partition at a time.
+    """
     hints = get_type_hints(kind)
     types, optional = {}, set()
     for field in fields(kind):
@@ -140,11 +140,8 @@ def read_specs(spark: SparkSession, path: str, kind: type[AnySpec]) -> list[AnyS
     raw = read_csv(spark, path)
     if "enabled" in raw.columns:
         raw = raw.filter(F.lower(F.coalesce(F.trim("enabled"), F.lit("true"))) != "false")
-    rows = _typed(raw, types, optional, path).limit(MAX_SPEC_ROWS + 1).collect()
-    if len(rows) > MAX_SPEC_ROWS:
-        raise ValueError(f"{path}: more than {MAX_SPEC_ROWS} rows")
     specs = []
-    for row in rows:
+    for row in _typed(raw, types, optional, path).toLocalIterator():
         given = {name: value for name, value in row.asDict().items() if value is not None}
         absent = [name for name in types if name not in given and name not in optional]
         if absent:
