@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import uuid
 
+from pyspark.sql import functions as F
+
 from sitelens.bindings import checks as ck
 from sitelens.bindings.registry import SQL, query
 from sitelens.bindings.views import BY_NATION, BY_REGION
@@ -250,10 +252,10 @@ def process_dates(spark, folder):
 
 
 TIMELINE_SQL = f"""{BY_REGION}, {ck.fot_sql()}, {ck.FOTD_SQL}, heuristic AS (
-  SELECT site, check_name, check_description, check_type, time_start, time_end, row_cts,
-         CAST(row_cts AS DOUBLE) / nullif((lag(row_cts) OVER w + lead(row_cts) OVER w) / 2.0, 0) - 1
+  SELECT site, check_name, database_version, check_description, check_type, time_start, time_end,
+         row_cts, CAST(row_cts AS DOUBLE) / nullif((lag(row_cts) OVER w + lead(row_cts) OVER w) / 2.0, 0) - 1
            AS "check"
-  FROM fot WINDOW w AS (PARTITION BY site, check_name ORDER BY time_start))"""
+  FROM fot WINDOW w AS (PARTITION BY site, check_name, database_version ORDER BY time_start))"""
 
 
 def timeline(spark, folder):
@@ -268,7 +270,7 @@ def timeline_heuristic(spark, folder):
 
 @query(
     "pp_fot_summary",
-    TIMELINE_SQL + """ SELECT site, check_name, check_description, check_type,
+    TIMELINE_SQL + """ SELECT site, check_name, database_version, check_description, check_type,
       round(avg("check"), 9) AS mean_val, round(median("check"), 9) AS median_val,
       round(stddev_samp("check"), 9) AS sd_val,
       min("check") AS min_val, max("check") AS max_val
@@ -281,8 +283,8 @@ def timeline_summary(spark, folder):
 
 @query(
     "pp_fot_ratios",
-    TIMELINE_SQL + """ SELECT site, check_name, check_description, check_type, time_start,
-      time_end, row_cts, row_cts * 10000.0::DOUBLE / nullif(total_row, 0) AS ratio_row,
+    TIMELINE_SQL + """ SELECT site, check_name, database_version, check_description, check_type,
+      time_start, time_end, row_cts, row_cts * 10000.0::DOUBLE / nullif(total_row, 0) AS ratio_row,
       row_cts * 10000.0::DOUBLE / nullif(total_visit, 0) AS ratio_visit,
       row_cts * 10000.0::DOUBLE / nullif(total_pt, 0) AS ratio_pt FROM fotd""",
 )
@@ -290,6 +292,26 @@ def timeline_ratios(spark, folder):
     return timeline(spark, folder).ratios
 
 
+@query(
+    "pp_fot_versions",
+    f"""{BY_REGION}, {ck.fot_sql()}, two AS (
+      SELECT site, check_name, database_version, check_description, check_type, time_start,
+             time_end, row_cts FROM fot
+      UNION ALL
+      SELECT site, check_name, 'earlier', check_description, check_type, time_start,
+             time_end, row_visits FROM fot)
+    SELECT *, CAST(row_cts AS DOUBLE)
+           / nullif((lag(row_cts) OVER w + lead(row_cts) OVER w) / 2.0, 0) - 1 AS "check"
+    FROM two
+    WINDOW w AS (PARTITION BY site, check_name, database_version ORDER BY time_start)""",
+)
+def timeline_versions(spark, folder):
+    """Two stored data versions; in the earlier one, visits are counted in place of rows."""
+    now = ck.fot(spark, folder)
+    earlier = now.withColumns({"database_version": F.lit("earlier"), "row_cts": F.col("row_visits")})
+    return process.process_timeline(checks.attach_denominators(now.unionByName(earlier))).heuristic
+
+
 # --- outliers ----------------------------------------------------------------------------
 
 

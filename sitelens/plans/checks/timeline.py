@@ -101,9 +101,9 @@ def _within(date: Column, first: Column, last: Column) -> Column:
 
 
 def attach_denominators(counts: DataFrame, all_visits: str = "fot_visall") -> DataFrame:
-    """Monthly counts with the counts of all visits of the same site and month.
+    """Monthly counts with the counts of all visits of the same site, data version and month.
 
-    A site and month hold one row per check, so the totals are looked up within that group.
+    A site, version and month hold one row per check, so the totals are looked up within that group.
     """
 
     def of_all(column: str) -> Column:
@@ -111,7 +111,7 @@ def attach_denominators(counts: DataFrame, all_visits: str = "fot_visall") -> Da
 
     return with_result_values(
         counts,
-        ["site", "time_start", "time_end"],
+        ["site", "database_version", "time_start", "time_end"],
         {
             "total_row": of_all("row_cts"),
             "total_visit": of_all("row_visits"),

@@ -200,9 +200,10 @@ def process_timeline(
 
     The heuristic is x / mean(previous month, next month) - 1; null in the first and last
     month and where both neighbours are 0. Ratios are ratio_mult * x over the rows, visits and
-    persons of all visits of the site and month.
+    persons of all visits of the site and month. Each data version is a series of its own.
     """
     group = ["site", "check_name"]
+    group += [name for name in ("database_version",) if name in counts.columns]
     months = Window.partitionBy(*group).orderBy("time_start")
     neighbours = (F.lag(target).over(months) + F.lead(target).over(months)) / F.lit(2.0)
     heuristic = counts.withColumn("__near", neighbours).withColumn(
