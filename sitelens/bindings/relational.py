@@ -330,33 +330,34 @@ def code_set_join(spark, folder):
 
 @query(
     "jn_04",
-    "SELECT l_orderkey, l_linenumber, l_suppkey, s_nationkey FROM lineitem LEFT JOIN"
-    " (SELECT * FROM supplier WHERE s_acctbal > 0) ON l_suppkey = s_suppkey",
+    "SELECT l_orderkey, l_linenumber, key AS l_suppkey, s_nationkey FROM (SELECT *,"
+    " CASE WHEN l_suppkey % 9 = 0 THEN -l_suppkey ELSE l_suppkey END AS key FROM lineitem)"
+    " LEFT JOIN supplier ON key = s_suppkey",
 )
 def left_join(spark, folder):
-    solvent = (
-        table(spark, folder, "supplier")
-        .filter(F.col("s_acctbal") > 0)
-        .selectExpr("s_suppkey AS l_suppkey", "s_nationkey")
+    """Every ninth supplier key of a line is one that no supplier has."""
+    suppliers = table(spark, folder, "supplier").selectExpr("s_suppkey AS l_suppkey", "s_nationkey")
+    lines = _lines(spark, folder).selectExpr(
+        "l_orderkey",
+        "l_linenumber",
+        "CASE WHEN l_suppkey % 9 = 0 THEN -l_suppkey ELSE l_suppkey END AS l_suppkey",
     )
-    lines = _lines(spark, folder).select("l_orderkey", "l_linenumber", "l_suppkey")
-    return lines.join(solvent, "l_suppkey", "left")
+    return lines.join(suppliers, "l_suppkey", "left")
 
 
 @query(
     "jn_05",
-    "SELECT c_custkey, c_nationkey, n_name FROM customer LEFT JOIN"
-    " (SELECT * FROM nation WHERE n_regionkey < 3) ON c_nationkey = n_nationkey",
+    "SELECT c_custkey, key AS c_nationkey, n_name FROM (SELECT *,"
+    " CASE WHEN c_custkey % 5 = 0 THEN -1 ELSE c_nationkey END AS key FROM customer)"
+    " LEFT JOIN nation ON key = n_nationkey",
 )
 def natural_left_join(spark, folder):
-    nations = (
-        table(spark, folder, "nation")
-        .filter(F.col("n_regionkey") < 3)
-        .selectExpr("n_nationkey AS c_nationkey", "n_name")
-    )
-    return natural_join(
-        table(spark, folder, "customer").select("c_custkey", "c_nationkey"), nations, "left"
+    """Every fifth customer has a nation that is not known."""
+    nations = table(spark, folder, "nation").selectExpr("n_nationkey AS c_nationkey", "n_name")
+    customers = table(spark, folder, "customer").selectExpr(
+        "c_custkey", "CASE WHEN c_custkey % 5 = 0 THEN -1 ELSE c_nationkey END AS c_nationkey"
     )
+    return natural_join(customers, nations, "left")
 
 
 @query(
@@ -388,39 +389,47 @@ def denominator_join(spark, folder):
 @query(
     "jn_07",
     """
-    WITH a AS (SELECT CASE WHEN p_size % 4 = 0 THEN NULL ELSE p_brand END AS brand,
-                      count(*) AS small_parts FROM part WHERE p_size < 10 GROUP BY 1),
-    b AS (SELECT CASE WHEN p_size % 5 = 0 THEN NULL ELSE p_brand END AS brand,
-                 count(*) AS large_parts FROM part WHERE p_size > 48 GROUP BY 1)
-    SELECT coalesce(a.brand, b.brand) AS brand, a.small_parts, b.large_parts
-    FROM a FULL JOIN b ON a.brand IS NOT DISTINCT FROM b.brand
+    WITH a AS (SELECT CASE WHEN p_size % 4 = 0 THEN NULL ELSE p_brand END AS label,
+                      count(*) AS branded FROM part GROUP BY 1),
+    b AS (SELECT CASE WHEN p_size % 5 = 0 THEN NULL WHEN p_size % 5 = 1 THEN p_type
+                      WHEN p_brand LIKE 'Brand#1%' THEN 'Brand#1x' ELSE p_brand END AS label,
+                 count(*) AS labelled FROM part GROUP BY 1)
+    SELECT coalesce(a.label, b.label) AS label, a.branded, b.labelled
+    FROM a FULL JOIN b ON a.label IS NOT DISTINCT FROM b.label
     """,
 )
 def null_safe_full_join(spark, folder):
+    """Two counts of all parts whose keys overlap in part, nulls included."""
     parts = table(spark, folder, "part")
-    size, label = F.col("p_size"), F.col("p_brand")
-    small = (
-        parts.filter(size < 10)
-        .groupBy(F.when(size % 4 != 0, label).alias("brand"))
-        .agg(F.count(F.lit(1)).alias("small_parts"))
-    )
-    large = (
-        parts.filter(size > 48)
-        .groupBy(F.when(size % 5 != 0, label).alias("brand"))
-        .agg(F.count(F.lit(1)).alias("large_parts"))
+    size, brand = F.col("p_size"), F.col("p_brand")
+    first = F.when(size % 4 != 0, brand)
+    second = (
+        F.when(size % 5 == 0, F.lit(None))
+        .when(size % 5 == 1, F.col("p_type"))
+        .when(brand.like("Brand#1%"), "Brand#1x")
+        .otherwise(brand)
     )
-    return null_safe_join(small, large, how="full")
+    branded = parts.groupBy(first.alias("label")).agg(F.count(F.lit(1)).alias("branded"))
+    labelled = parts.groupBy(second.alias("label")).agg(F.count(F.lit(1)).alias("labelled"))
+    return null_safe_join(branded, labelled, how="full")
 
 
 @query(
     "jn_10",
-    "SELECT l_orderkey, l_linenumber, l_partkey, p_brand AS concept_name FROM lineitem"
-    " LEFT JOIN (SELECT * FROM part WHERE p_size > 5) ON l_partkey = p_partkey",
+    "SELECT l_orderkey, l_linenumber, key AS l_partkey, p_brand AS concept_name FROM (SELECT *,"
+    " CASE WHEN l_partkey % 10 = 3 THEN -l_partkey ELSE l_partkey END AS key FROM lineitem)"
+    " LEFT JOIN part ON key = p_partkey",
 )
 def decode_concepts(spark, folder):
-    known = v.concept(spark, folder).filter(F.col("concept_class_id") > 5)
-    lines = _lines(spark, folder).select("l_orderkey", "l_linenumber", "l_partkey")
-    return decode(lines, known, "l_partkey", {"concept_name": "concept_name"})
+    """Every tenth concept of a line is not in the vocabulary."""
+    lines = _lines(spark, folder).selectExpr(
+        "l_orderkey",
+        "l_linenumber",
+        "CASE WHEN l_partkey % 10 = 3 THEN -l_partkey ELSE l_partkey END AS l_partkey",
+    )
+    return decode(
+        lines, v.concept(spark, folder), "l_partkey", {"concept_name": "concept_name"}
+    )
 
 
 # --- aggregations ------------------------------------------------------------------------
@@ -932,26 +941,24 @@ def chained_inner_joins(spark, folder):
 
 @query(
     "jn_08",
-    BY_REGION + """, a AS (SELECT site, visit_concept_id, count(*) AS visits FROM visits
-      WHERE visit_source_concept_id = 'F' AND location_id < 12 GROUP BY ALL),
-    b AS (SELECT site, visit_concept_id, max(total_price) AS largest FROM visits
-      WHERE visit_source_concept_id = 'O' AND location_id > 20 GROUP BY ALL)
-    SELECT * FROM a FULL JOIN b USING (site, visit_concept_id)""",
+    BY_REGION + """, a AS (
+      SELECT site, CASE visit_concept_id WHEN '1-URGENT' THEN 'none' ELSE visit_concept_id END
+        AS kind, count(*) AS visits FROM visits GROUP BY ALL),
+    b AS (
+      SELECT site, CASE visit_concept_id WHEN '5-LOW' THEN 'other' ELSE visit_concept_id END
+        AS kind, max(total_price) AS largest FROM visits GROUP BY ALL)
+    SELECT * FROM a FULL JOIN b USING (site, kind)""",
 )
 def full_join_of_summaries(spark, folder):
+    """Two summaries of all visits; each has kinds that the other lacks."""
     rows = v.visits(spark, folder)
-    keys = ["site", "visit_concept_id"]
-    status, place = F.col("visit_source_concept_id"), F.col("location_id")
-    counted = (
-        rows.filter((status == "F") & (place < 12))
-        .groupBy(*keys)
-        .agg(F.count(F.lit(1)).alias("visits"))
-    )
-    largest = (
-        rows.filter((status == "O") & (place > 20))
-        .groupBy(*keys)
-        .agg(F.max("total_price").alias("largest"))
-    )
+    kind = F.col("visit_concept_id")
+    counted = rows.groupBy(
+        "site", F.when(kind == "1-URGENT", "none").otherwise(kind).alias("kind")
+    ).agg(F.count(F.lit(1)).alias("visits"))
+    largest = rows.groupBy(
+        "site", F.when(kind == "5-LOW", "other").otherwise(kind).alias("kind")
+    ).agg(F.max("total_price").alias("largest"))
     return null_safe_join(counted, largest, how="full")
 
 
