@@ -74,10 +74,13 @@ def data_cycle_changes(
     """Current and previous counts per site, check and application (rows or person).
 
     previous is either the previous delivery's tables or the stored result of the previous
-    run, whose current counts then become the previous ones.
+    run, whose current counts then become the previous ones; of a result that holds several
+    versions, the rows of previous_version count.
     """
     now = _counts(current, specs, False, check_string).withColumnRenamed("ct", "current_ct")
     if isinstance(previous, DataFrame):
+        if "database_version" in previous.columns:
+            previous = previous.filter(F.col("database_version") == previous_version)
         before = previous.select(*KEYS, F.col("current_ct").alias("previous_ct"))
     else:
         before = _counts(previous, specs, True, check_string).withColumnRenamed(

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame
@@ -154,38 +154,51 @@ def fact_documentation(
     return fact_documentation_by_class(tables, specs, visits, [visit_class], version, check_string)
 
 
-# Visit classes, the concepts that define them, and the suffix of their checks.
-STANDARD_CLASSES = (
-    VisitClass("all", None, "", frozenset({"icu"})),
-    VisitClass(
-        "inpatient",
-        "visit_concept_id IN (9201, 2000000048) AND visit_source_concept_id != 2000001590",
-        "-visip",
-    ),
-    VisitClass(
-        "long_inpatient",
-        "visit_concept_id IN (9201, 2000000048) AND visit_source_concept_id != 2000001590"
-        " AND datediff(visit_end_date, visit_start_date) > 2",
-        "-visiplong",
-    ),
-    VisitClass(
-        "outpatient",
-        "visit_concept_id IN (9202, 581399) AND visit_source_concept_id != 2000001590",
-        "-visop",
-        frozenset({"icu"}),
-    ),
-    VisitClass(
-        "primary_care",
-        "visit_concept_id = 9202 AND visit_source_concept_id != 2000001590"
-        " AND visit_specialty_concept_id IS NOT NULL",
-        "-vispc",
-        frozenset({"icu"}),
-    ),
-    VisitClass(
-        "emergency",
-        "visit_concept_id IN (9203, 2000000048) AND visit_source_concept_id != 2000001590",
-        "-vised",
-        frozenset({"icu"}),
-    ),
-    VisitClass("cancelled", "visit_source_concept_id = 2000001590", "-viscn"),
+# Fixed value: the source concept of a cancelled visit.
+CANCELLED = 2000001590
+
+# The visit concepts and visit source concepts of every class.
+CLASS_CONCEPTS = {
+    "inpatient": ((9201, 2000000048), ()),
+    "long_inpatient": ((9201, 2000000048), ()),
+    "outpatient": ((9202, 581399), ()),
+    "primary_care": ((9202,), ()),
+    "emergency": ((9203, 2000000048), ()),
+    "cancelled": ((), (CANCELLED,)),
+}
+
+# The suffix of a class's checks, a further condition, and checks it leaves out.
+CLASS_RULES = (
+    ("inpatient", "-visip", None, ()),
+    ("long_inpatient", "-visiplong", "datediff(visit_end_date, visit_start_date) > 2", ()),
+    ("outpatient", "-visop", None, ("icu",)),
+    ("primary_care", "-vispc", "visit_specialty_concept_id IS NOT NULL", ("icu",)),
+    ("emergency", "-vised", None, ("icu",)),
+    ("cancelled", "-viscn", None, ()),
 )
+
+
+def visit_classes(
+    concepts: Mapping[str, tuple[Sequence[int], Sequence[int]]] = CLASS_CONCEPTS,
+) -> tuple[VisitClass, ...]:
+    """All visits, and the classes that have concepts.
+
+    A class with source concepts holds the visits that carry them; any other class leaves out
+    cancelled visits.
+    """
+    classes = [VisitClass("all", None, "", frozenset({"icu"}))]
+    for name, suffix, condition, skip in CLASS_RULES:
+        if name not in concepts:
+            continue
+        kinds, sources = (", ".join(str(int(c)) for c in ids) for ids in concepts[name])
+        tests = []
+        if kinds:
+            tests.append(f"visit_concept_id IN ({kinds})")
+        if sources:
+            tests.append(f"visit_source_concept_id IN ({sources})")
+        else:
+            tests.append(f"visit_source_concept_id != {CANCELLED}")
+        if condition:
+            tests.append(condition)
+        classes.append(VisitClass(name, " AND ".join(tests), suffix, frozenset(skip)))
+    return tuple(classes)

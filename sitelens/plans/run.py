@@ -19,9 +19,9 @@ from sitelens.operators.sets import union_all
 from sitelens.plans import checks, cohorts, fixed, gate, medication, outliers, process, publish
 from sitelens.plans import summary as summaries
 from sitelens.plans.checks.concordance import level_of
-from sitelens.plans.checks.documentation import STANDARD_CLASSES
+from sitelens.plans.checks.documentation import VisitClass, visit_classes
 from sitelens.sources import specs as sp
-from sitelens.sources.store import Store
+from sitelens.sources.store import Store, path_exists
 from sitelens.sources.tables import Tables
 
 #: Specification file and kind of each check family; files are optional.
@@ -41,10 +41,20 @@ SPEC_FILES = {
 BEST_LIST_FILE = "bmc_bestnotbest"
 CATEGORY_FILE = "ecp_cat_new"
 
+# Names of the optional files.
+VISIT_CLASS_FILE = "cfd_visits"
+DOCUMENTATION_NAMES_FILE = "cfd_mappings"
+DESCRIPTION_FILE = "dqa_check_descriptions"
+NEW_NAMES_FILE = "new_check_names"
+DRUG_FIELDS_FILE = "drugmeta_uc_table"
+
 
 @dataclass(frozen=True)
 class Run:
-    """What a run works on: clinical tables, specification folder, result store, version."""
+    """What a run works on: clinical tables, specification folder, result store, version.
+
+    With a files folder, results of checks are also written there as text.
+    """
 
     spark: SparkSession
     tables: Tables
@@ -52,6 +62,7 @@ class Run:
     store: Store
     version: str
     as_of: datetime.date | None = None
+    files: str | None = None
 
     @property
     def code_sets(self) -> sp.CodeSets:
@@ -71,6 +82,18 @@ class Run:
     def path(self, name: str) -> str:
         return f"{self.specs.rstrip('/')}/{name}.csv"
 
+    def has(self, name: str) -> bool:
+        """Whether the specification folder holds an optional file."""
+        return path_exists(self.spark, self.path(name))
+
+    def append(self, rows: DataFrame, name: str) -> None:
+        self.store.append(rows, name, csv=self.files)
+
+    def descriptions(self) -> DataFrame | None:
+        if not self.has(DESCRIPTION_FILE):
+            return None
+        return sp.read_descriptions(self.spark, self.path(DESCRIPTION_FILE))
+
     def with_results(self) -> Tables:
         """Clinical tables together with what the store holds."""
         return self.tables.with_schema("result", self.store.read)
@@ -156,6 +179,12 @@ def build_cohorts(run: Run, names: Sequence[str] | None = None) -> list[str]:
     return chosen
 
 
+def drop_cohorts(run: Run, names: Sequence[str]) -> None:
+    """Remove stored cohorts that no later step reads."""
+    for name in names:
+        run.store.drop(name)
+
+
 def run_checks(
     run: Run,
     families: Sequence[str],
@@ -172,44 +201,49 @@ def run_checks(
         specs = run.read(family)
         if family == "dc":
             counts = checks.data_cycle_changes(tables, specs, version, previous, previous_version)
-            store.append(counts, "dc_output")
-            store.append(checks.cycle_metadata(run.spark, specs), "dc_meta")
+            run.append(counts, "dc_output")
+            store.write(checks.cycle_metadata(run.spark, specs), "dc_meta")
         elif family == "vc":
             concept = tables.vocabulary("concept")
-            store.append(
+            run.append(
                 checks.vocabulary_conformance(tables, specs, concept, version), "vc_output"
             )
         elif family == "vs":
-            store.append(
+            run.append(
                 checks.value_set_conformance(tables, specs, run.code_sets, version), "vs_output"
             )
         elif family == "uc":
-            store.append(checks.unmapped_concepts(tables, specs, version), "uc_output")
-            store.append(checks.unmapped_by_year(tables, specs, version), "uc_by_year")
-            store.append(checks.unmapped_source_values(tables, specs, version), "uc_grpd")
+            run.append(checks.unmapped_concepts(tables, specs, version), "uc_output")
+            run.append(checks.unmapped_by_year(tables, specs, version), "uc_by_year")
+            run.append(checks.unmapped_source_values(tables, specs, version), "uc_grpd")
         elif family == "mf":
-            store.append(
+            run.append(
                 checks.missing_visit_ids(tables, specs, visits, version), "mf_visitid_output"
             )
         elif family == "bmc":
-            store.append(_best_mapped(run, tables, specs), "bmc_output")
+            run.append(_best_mapped(run, tables, specs), "bmc_output")
+            best = sp.read_best_list(run.spark, run.path(BEST_LIST_FILE))
+            store.write(best, "bmc_concepts")
         elif family == "ecp":
-            store.append(
+            run.append(
                 checks.expected_concepts(tables, specs, run.code_sets, version), "ecp_output"
             )
         elif family == "cfd":
-            store.append(_documentation(run, tables, specs, visits), "cfd_output")
+            run.append(_documentation(run, tables, specs, visits), "cfd_output")
+            if run.has(DOCUMENTATION_NAMES_FILE):
+                names = sp.read_csv(run.spark, run.path(DOCUMENTATION_NAMES_FILE))
+                store.write(names, "cfd_mappings")
         elif family == "dcon":
-            store.append(_concordance(run, tables, specs), "dcon_output")
+            run.append(_concordance(run, tables, specs), "dcon_output")
             store.write(checks.concordance_metadata(run.spark, specs), "dcon_meta")
         elif family == "dp":
-            store.append(
+            run.append(
                 checks.date_plausibility(tables, specs, visits, tables.cdm("person"), version),
                 "dp_output",
             )
         elif family == "fot":
             counts = checks.facts_over_time(tables, specs, version, as_of=run.as_of)
-            store.append(checks.attach_denominators(counts), "fot_output")
+            run.append(checks.attach_denominators(counts), "fot_output")
         else:
             raise ValueError(f"unknown check family {family!r}")
 
@@ -228,6 +262,21 @@ def _best_mapped(run: Run, tables: Tables, specs: Sequence[sp.BestMappedSpec]) -
     return union_all(parts)
 
 
+def _visit_classes(run: Run) -> tuple[VisitClass, ...]:
+    """The classes of the file, or the usual ones."""
+    if not run.has(VISIT_CLASS_FILE):
+        return visit_classes()
+    concepts: dict[str, tuple[list, list]] = {}
+    rows = sp.read_visit_classes(run.spark, run.path(VISIT_CLASS_FILE))
+    for row in rows.distinct().orderBy(*rows.columns).toLocalIterator():
+        kinds, sources = concepts.setdefault(row.visit_type, ([], []))
+        if row.visit_concept_id is not None:
+            kinds.append(row.visit_concept_id)
+        if row.visit_source_concept_id is not None:
+            sources.append(row.visit_source_concept_id)
+    return visit_classes(concepts)
+
+
 def _documentation(
     run: Run, tables: Tables, specs: Sequence[sp.DocumentationSpec], visits: DataFrame
 ) -> DataFrame:
@@ -239,7 +288,7 @@ def _documentation(
     )
     marked = visits.join(general, keys, "left")
     return checks.fact_documentation_by_class(
-        tables, specs, marked, STANDARD_CLASSES, run.version
+        tables, specs, marked, _visit_classes(run), run.version
     )
 
 
@@ -266,7 +315,7 @@ def run_processing(run: Run) -> list[str]:
         return outliers.flag_outliers(outliers.distribution(df, group, value), value)
 
     if store.exists("dc_output"):
-        changes = process.process_cycle(store.read("dc_output"), store.read("dc_meta"))
+        changes = process.process_cycle(run.current("dc_output"), store.read("dc_meta"))
         value = "prop_total_change"
         stated = outliers.distribution(
             changes, ["check_type", "application"], value, sites_only=True
@@ -310,9 +359,9 @@ def run_processing(run: Run) -> list[str]:
         keep(process.process_dates(run.current("dp_output")), "dp_output_pp")
         group = ["check_name", "implausible_type", "check_name_app"]
         keep(outliers_of(store.read("dp_output_pp"), group, "prop_implausible"), "dp_anom_pp")
-    results = [store.read(name) for name in CHECK_OUTPUTS if store.exists(name)]
+    results = [run.current(name) for name in CHECK_OUTPUTS if store.exists(name)]
     if results:
-        keep(checks.check_metadata(results), "dqa_check_metadata")
+        keep(checks.check_metadata(results, run.descriptions()), "dqa_check_metadata")
     return done
 
 
@@ -361,22 +410,36 @@ def run_summaries(run: Run) -> list[str]:
 
 def run_anonymisation(
     run: Run,
-    names: Sequence[str],
+    names: Sequence[str] | None,
     salt: str,
     target: Store | None = None,
     all_sites: str = "dc_output",
 ) -> list[str]:
     """Replace the site in stored tables by labels shared among them.
 
+    With None for names, every post-processed table that has a site column is taken.
     The results go to the target store. Without one they become the newest version in the run's
     own store, whose earlier versions still name the sites and must not be passed on.
     """
+    if names is None:
+        names = [name for name in run.store.names() if "_pp" in name]
     tables = {name: run.store.read(name) for name in names}
     anonymous = publish.anonymise(tables, run.store.read(all_sites), salt)
     (target or run.store).write_all(anonymous)
     return list(anonymous)
 
 
+def run_renaming(run: Run) -> list[str]:
+    """Give the checks of all stored tables their new names; drop the column of old names."""
+    new_names = sp.read_new_names(run.spark, run.path(NEW_NAMES_FILE))
+    stored = {name: run.store.read(name) for name in run.store.names()}
+    renamed = publish.rename_checks(stored, new_names)
+    renamed = {name: df.select(*stored[name].columns) for name, df in renamed.items()}
+    changed = renamed | publish.drop_old_names(stored | renamed)
+    run.store.write_all(changed)
+    return sorted(changed)
+
+
 def run_gate(run: Run, stop: bool = True) -> DataFrame:
     """Failures over all stored results; with stop, any failure raises."""
     store, gates = run.store, []
@@ -384,8 +447,8 @@ def run_gate(run: Run, stop: bool = True) -> DataFrame:
         processed = process.process_best_mapped(run.current("bmc_output"))
         gates.append(gate.best_mapped_gate(processed))
     if store.exists("dc_output"):
-        changes = process.process_cycle(store.read("dc_output"), store.read("dc_meta"))
-        gates.append(gate.cycle_gate(changes))
+        changes = process.process_cycle(run.current("dc_output"), store.read("dc_meta"))
+        gates.append(gate.cycle_gate(changes, run.descriptions()))
     if store.exists("vc_output"):
         result = process.process_conformance(run.current("vc_output"), "vocabulary_id")
         gates.append(gate.vocabulary_gate(result))
@@ -408,13 +471,36 @@ def run_medication_study(
     run: Run, classes: Mapping[str, DataFrame], ancestors: DataFrame | None = None
 ) -> None:
     """Field population and value distributions of prescriptions, overall and by drug class."""
+    fields = medication.FIELDS
+    if run.has(DRUG_FIELDS_FILE):
+        fields = [
+            medication.Field(
+                spec.check_id,
+                spec.check_description,
+                spec.concept_field,
+                fixed.NULL_CONCEPTS if spec.concept_field.endswith("_concept_id") else (),
+            )
+            for spec in sp.read_specs(run.spark, run.path(DRUG_FIELDS_FILE), sp.UnmappedSpec)
+        ]
     drugs = medication.prescriptions(run.tables.cdm("drug_exposure"))
-    run.store.append(medication.population(drugs, run.version), "uc_drug_metadata")
+    run.append(medication.population(drugs, run.version, fields), "uc_drug_metadata")
     listed = run.store.write(medication.drug_classes(classes, ancestors), "drug_classes")
-    by_class = medication.population_by_class(drugs, listed, run.version)
-    run.store.append(by_class, "uc_example_drugs")
+    by_class = medication.population_by_class(drugs, listed, run.version, fields)
+    run.append(by_class, "uc_example_drugs")
     classed = medication.with_length(medication.drugs_by_class(drugs, listed))
     spreads = union_all(
         [medication.dose_distribution(classed), medication.column_distributions(classed)]
     )
-    run.store.append(spreads, "qd_example_drugs")
+    run.store.write(spreads, "qd_example_drugs")
+
+
+def run_medication_report(run: Run, versions: Sequence[str]) -> None:
+    """Store what the report shows: tracking over versions, spreads of doses and other fields."""
+    store = run.store
+    population = store.read("uc_drug_metadata")
+    store.write(medication.tracking(population, versions), "drug_tracking")
+    store.write(medication.tracking(population, versions, grouped=True), "drug_tracking_grouped")
+    spreads, order = store.read("qd_example_drugs"), ["drug_type", "min_val", "max_val"]
+    concept = run.tables.vocabulary("concept")
+    store.write(medication.dose_plot_data(spreads, concept, order), "drug_dose_spreads")
+    store.write(medication.metadata_plot_data(spreads, order), "drug_field_spreads")

@@ -160,6 +160,10 @@ CODE_SET_TYPES = {
 
 LIST_TYPES = {"check_name": "string", "concept": "string", "best_notbest": "int", "default_to": "string"}
 
+DESCRIPTION_TYPES = {"check_name": "string", "check_application": "string"}
+
+NAME_TYPES = {"check_name": "string", "new_name": "string"}
+
 CATEGORY_TYPES = {"check_name": "string", "check_cat": "string"}
 
 VISIT_CLASS_TYPES = {
@@ -183,6 +187,18 @@ def read_categories(spark: SparkSession, path: str) -> DataFrame:
     return _typed(read_csv(spark, path), CATEGORY_TYPES, set(), path)
 
 
+def read_descriptions(spark: SparkSession, path: str) -> DataFrame:
+    """What every check is applied to, one row per check name."""
+    rows = _typed(read_csv(spark, path), DESCRIPTION_TYPES, set(), path)
+    return rows.groupBy("check_name").agg(F.min("check_application").alias("check_application"))
+
+
+def read_new_names(spark: SparkSession, path: str) -> DataFrame:
+    """New check names, one row per present name."""
+    rows = _typed(read_csv(spark, path), NAME_TYPES, set(), path)
+    return rows.groupBy("check_name").agg(F.min("new_name").alias("new_name"))
+
+
 def read_visit_classes(spark: SparkSession, path: str) -> DataFrame:
     return _typed(read_csv(spark, path), VISIT_CLASS_TYPES, set(), path)
 

@@ -14,6 +14,11 @@ from pyspark.sql import DataFrame, SparkSession
 from sitelens.operators.sets import union_distinct
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
+
+
 class Store:
     def __init__(self, spark: SparkSession, root: str):
         self._spark = spark
@@ -34,6 +39,31 @@ class Store:
                     found.append(int(label[1:]))
         return sorted(found)
 
+    def names(self) -> list[str]:
+        """The tables that have a committed version."""
+        root = self._spark._jvm.org.apache.hadoop.fs.Path(self._root)
+        system = root.getFileSystem(self._spark._jsc.hadoopConfiguration())
+        if not system.exists(root):
+            return []
+        found = [s.getPath().getName() for s in system.listStatus(root) if s.isDirectory()]
+        return sorted(name for name in found if self.exists(name))
+
+    def _delete(self, path: str) -> None:
+        target = self._spark._jvm.org.apache.hadoop.fs.Path(path)
+        target.getFileSystem(self._spark._jsc.hadoopConfiguration()).delete(target, True)
+
+    def drop(self, name: str) -> None:
+        """Remove every version of a table; a table that is not there is no error."""
+        if self.exists(name):
+            self._delete(f"{self._root}/{name}")
+
+    def prune(self, name: str, keep: int = 1) -> None:
+        """Remove all but the newest versions. Plans over removed versions can no longer run."""
+        if keep < 1:
+            raise ValueError("at least one version has to stay")
+        for version in self._versions(name)[:-keep]:
+            self._delete(f"{self._root}/{name}/v{version:06d}")
+
     def exists(self, name: str) -> bool:
         return bool(self._versions(name))
 

@@ -1,6 +1,7 @@
 """A whole run over a small clinical data set: every step, from cohorts to the gate."""
 
 import datetime
+from dataclasses import replace
 
 import pytest
 
@@ -10,6 +11,7 @@ from sitelens.sources.tables import Tables, frames
 
 D = datetime.date
 
+# File names and their column headers, as readers of such files expect them.
 SPECS = {
     "dc_table": "table_current,table_prev,check_domain,check_id,check_description,filter_logic\n"
     "drug_exposure,drug_exposure,Drugs,drugsall,Drugs,\n"
@@ -43,6 +45,14 @@ SPECS = {
     "fot_table": "check_id,check_description,check_domain,schema,table,date_field,filter_logic\n"
     "visall,Visits,Visits,cdm,visit_occurrence,visit_start_date,\n"
     "drugspresc,Drugs,Drugs,cdm,drug_exposure,drug_exposure_start_date,drug_type_concept_id = 38000177\n",
+    "cfd_visits": "visit_type,visit_concept_id,visit_source_concept_id\n"
+    "inpatient,9201,\noutpatient,9202,\nprimary_care,9202,\ncancelled,,2000001590\n",
+    "cfd_mappings": "check_name,description\ncfd_drugsall,Drugs\n",
+    "dqa_check_descriptions": "check_name,check_application\ndc_drugsall,Drug rows\n",
+    "new_check_names": "check_name,new_name\nuc_drugsall,uc_all_drugs\n",
+    "drugmeta_uc_table": "check_id,check_description,schema,table,concept_field,source_value_field,date_field,filter_logic\n"
+    "drugs-refill,Refills,cdm,drug_exposure,refills,refills,drug_exposure_start_date,\n"
+    "drugs-doseunits,Unit,cdm,drug_exposure,dose_unit_concept_id,,drug_exposure_start_date,\n",
     "general_practice_specialties": "concept_id,concept_name\n500,General\n",
 }
 
@@ -111,7 +121,7 @@ def finished(spark, tmp_path_factory):
     for name, text in SPECS.items():
         (folder / f"{name}.csv").write_text(text)
     job = run.Run(spark, clinical(spark), str(folder), Store(spark, str(folder / "results")), "v2",
-                  D(2019, 12, 31))
+                  D(2019, 12, 31), str(folder / "text"))
     run.build_cohorts(job, ["gest_age_cohort", "gp_specialties", "ip_admit"])
     run.run_checks(job, list(run.SPEC_FILES), previous=job.tables, previous_version="v1")
     run.run_processing(job)
@@ -175,3 +185,73 @@ def test_anonymised_tables_hold_no_site_name(finished):
     for name in names:
         sites = {row.site for row in target.read(name).select("site").distinct().collect()}
         assert sites == {"site_1", "site_2", "site_3", "total"}
+
+
+def test_without_names_all_processed_tables_with_a_site_are_anonymised(finished):
+    target = Store(finished.spark, f"{finished.specs}/published_all")
+    done = run.run_anonymisation(finished, None, "salt", target)
+    stored = [n for n in finished.store.names() if "_pp" in n]
+    assert done == [n for n in stored if "site" in finished.store.read(n).columns] and len(done) > 10
+    for name in ("dc_output_pp", "fot_heuristic_pp"):
+        assert target.read(name).filter("site IN ('a', 'b', 'c')").count() == 0
+
+
+def test_optional_files_take_effect(finished):
+    store = finished.store
+    kinds = {r.visit_type for r in store.read("cfd_output").select("visit_type").distinct().collect()}
+    assert "inpatient" in kinds and "emergency" not in kinds
+    described = store.read("dqa_check_metadata").filter("check_application IS NOT NULL").collect()
+    assert [(r.check_name, r.check_application) for r in described] == [("dc_drugsall", "Drug rows")]
+    fields = {r.check_name for r in store.read("uc_drug_metadata").collect()}
+    assert {"uc_drugs-refill", "uc_drugs-doseunits"} < fields and "uc_drugs-dose" not in fields
+    assert store.exists("bmc_concepts") and store.exists("cfd_mappings")
+
+
+def test_results_are_also_text(finished):
+    text = finished.spark.read.option("header", True).csv(f"{finished.files}/uc_output")
+    assert text.count() == finished.store.read("uc_output").count()
+
+
+def test_the_medication_report_is_stored(finished):
+    run.run_medication_report(finished, ["v2"])
+    rows = finished.store.read("drug_tracking")
+    assert {"site", "check_description", "v2"} <= set(rows.columns) and rows.count() > 0
+    assert finished.store.read("drug_dose_spreads").count() > 0
+    assert finished.store.read("drug_field_spreads").count() > 0
+
+
+def test_a_second_delivery_is_processed_alone(finished):
+    """Rows of an older delivery neither change the results of the newer one nor stop it."""
+    store = Store(finished.spark, f"{finished.specs}/two")
+    for name in ("dc_output", "uc_output", "uc_by_year", "uc_grpd", "ecp_output", "dc_meta"):
+        store.write(finished.store.read(name), name)
+    old = finished.store.read("ecp_output")
+    newer = replace(finished, store=store, version="v3")
+    for name in ("dc_output", "uc_output"):
+        rows = finished.store.read(name).selectExpr("* EXCEPT (database_version)", "'v3' AS database_version")
+        store.append(rows.select(*finished.store.read(name).columns), name)
+    passing = old.selectExpr("* EXCEPT (database_version, pts_with_concept, prop_with_concept)",
+                             "'v3' AS database_version", "total_pts AS pts_with_concept",
+                             "CAST(1 AS DOUBLE) AS prop_with_concept")
+    store.append(passing.select(*old.columns), "ecp_output")
+    run.run_processing(newer)
+    for name in ("dc_output_pp", "uc_output_pp"):
+        assert store.read(name).count() == finished.store.read(name).count()
+    assert "ecp_ht" not in {r.check_name for r in run.run_gate(newer, stop=False).collect()}
+    assert "ecp_ht" in {r.check_name for r in run.run_gate(replace(newer, version="v2"), stop=False).collect()}
+
+
+def test_tables_are_renamed_dropped_and_pruned(finished):
+    store = Store(finished.spark, f"{finished.specs}/kept")
+    rows = finished.store.read("uc_output")
+    store.write(rows.withColumn("old_check_name", rows.check_name), "uc_output")
+    store.write(finished.store.read("ip_admit"), "ip_admit")
+    job = replace(finished, store=store)
+    assert run.run_renaming(job) == ["uc_output"]
+    renamed = store.read("uc_output")
+    assert renamed.columns == rows.columns
+    assert {r.check_name for r in renamed.collect()} == {"uc_all_drugs"}
+    store.prune("uc_output")
+    assert store.read("uc_output").count() == rows.count()
+    run.drop_cohorts(job, ["ip_admit", "absent"])
+    assert store.names() == ["uc_output"]
