@@ -12,7 +12,7 @@ from sitelens.bindings.views import BY_REGION, CYCLE_CUT, PREVIOUS_VERSION, VERS
 from sitelens.operators.sets import union_all
 from sitelens.plans import checks
 from sitelens.plans.checks import VisitClass
-from sitelens.plans.checks.concordance import COHORTS, level_of, near_pairs
+from sitelens.plans.checks.concordance import near_pairs
 from sitelens.sources.specs import (
     BestMappedSpec,
     CodeSets,
@@ -594,14 +594,15 @@ def dcon_sql(specs, key: str) -> str:
               CAST(value AS DOUBLE) / total_ct AS prop
             FROM (
               SELECT coalesce(x.site, y.site) AS site, CASE
-                WHEN y.k IS NULL THEN '{COHORTS[0]}' WHEN x.k IS NULL THEN '{COHORTS[1]}'
-                WHEN n.k IS NOT NULL THEN '{COHORTS[2]}' ELSE '{COHORTS[3]}' END AS category
+                WHEN y.k IS NULL THEN 'cohort_1_only' WHEN x.k IS NULL THEN 'cohort_2_only'
+                WHEN n.k IS NOT NULL THEN 'combined' ELSE 'both_outside_window' END AS category
               FROM (SELECT DISTINCT site, k FROM {events(one)}) x
               FULL JOIN (SELECT DISTINCT site, k FROM {events(two)}) y USING (site, k)
               LEFT JOIN (SELECT DISTINCT a.site, a.k FROM {events(one)} a JOIN {events(two)} b
                          ON a.site = b.site AND a.k = b.k AND {near}) n
                 ON n.site = coalesce(x.site, y.site) AND n.k = coalesce(x.k, y.k)
-            ), (SELECT unnest([{', '.join(f"'{c}'" for c in COHORTS)}]) AS cohort)
+            ), (SELECT unnest(['cohort_1_only', 'cohort_2_only', 'combined', 'both_outside_window'])
+               AS cohort)
             GROUP BY site, cohort"""
         )
     return " UNION ALL ".join(parts)
@@ -860,7 +861,7 @@ def data_cycle_changes(spark, folder):
     + ", ".join(
         f"('dcon_{s.check_id}', 'cohort_{1 + i % 2}', '{s.cohort_id}', '{s.cohort_description}',"
         f" CAST({'NULL' if s.time_between_events is None else s.time_between_events} AS DOUBLE),"
-        f" '{level_of(s.check_id)}')"
+        " 'patient')"
         for i, s in enumerate(BY_PERSON)
     )
     + """) AS c(check_name, cohort, cohort_id, cohort_description, time_between_events, level)

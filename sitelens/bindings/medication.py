@@ -59,7 +59,7 @@ def groups():
     )
 
 
-CODES = ", ".join(map(str, medication.fixed.NULL_CONCEPTS))
+CODES = "44814650, 0, 44814653, 44814649"
 POPULATED = {
     "drugs-refquantdays": (
         "Refills, Quantity, and Days Supply",
@@ -167,7 +167,7 @@ LENGTH_SQL = " UNION ALL ".join(
     f"""SELECT site, drug_type, '{name}' AS metadata_type, {spread_sql(name)}
     FROM (SELECT *, fact_date - visit_start_date AS rx_length FROM classed)
     WHERE {name} IS NOT NULL GROUP BY site, drug_type"""
-    for name in medication.LENGTH_COLUMNS
+    for name in ("refills", "quantity", "days_supply", "rx_length")
 )
 
 

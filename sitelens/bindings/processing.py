@@ -484,13 +484,38 @@ def summary_sql(
         FROM {source} GROUP BY {listed}) s ON {keys})"""
 
 
+# Fixed values, stated for the SQL apart from the code they check: the summarised value and the
+# grouping columns of every check.
+SUMMARISED = {
+    "dc": (
+        "prop_total_change",
+        "domain check_name application check_type check_name_app check_description",
+    ),
+    "vs": ("prop_viol", "table_application measurement_column check_type check_name"),
+    "vc": ("prop_viol", "table_application measurement_column check_type check_name"),
+    "uc": ("unmapped_prop", "check_description check_name check_type"),
+    "uc_by_year": (
+        "prop_total",
+        "check_type database_version year_date check_description check_name",
+    ),
+    "bmc": ("best_row_prop", "check_name check_description best_notbest"),
+    "dcon": ("prop", "cohort check_name check_description check_type"),
+    "mf": (
+        "prop_missing_visits_total",
+        "check_description domain check_name check_type check_name_app",
+    ),
+    "ecp": ("prop_with_concept", "concept_group check_name check_name_app"),
+    "dp": ("prop_implausible", "implausible_type check_name check_description check_name_app"),
+}
+
+
 def ln_sql(check: str, pp_sql: str, pp: str, where: str = "TRUE") -> str:
-    parameters = summary.PARAMETERS[check]
-    value, group = parameters["value"], parameters["group"]
-    filled = f" REPLACE (coalesce({value}, 0) AS {value})" if parameters.get("null_as_zero") else ""
+    value, columns = SUMMARISED[check]
+    group = columns.split()
+    filled = f" REPLACE (coalesce({value}, 0) AS {value})" if check == "uc" else ""
     totals = (
         f" UNION ALL BY NAME SELECT * FROM {pp} WHERE site = 'total' AND {where}"
-        if parameters.get("totals", True)
+        if check not in ("vs", "vc")
         else ""
     )
     return f"""{BY_NATION}, {pp_sql},
@@ -508,7 +533,7 @@ def ln(df, check):
 @query(
     "ln_01",
     f"""{BY_NATION}, {dc_pp_sql('nation')}, ln_rows AS (SELECT * FROM dc_pp WHERE site <> 'total'),
-    {summary_sql('ln_rows', 'prop_total_change', summary.PARAMETERS['dc']['group'], 'ln')}
+    {summary_sql('ln_rows', 'prop_total_change', SUMMARISED['dc'][1].split(), 'ln')}
     SELECT * FROM ln""",
 )
 def summarised_sites(spark, folder):
@@ -525,7 +550,7 @@ def summarised_sites(spark, folder):
                          REPLACE (round(sd_val, 9) AS sd_val, round(lower_tail, 9) AS lower_tail,
                                   round(upper_tail, 9) AS upper_tail)
                 FROM suppressed WHERE site <> 'total'),
-    {summary_sql('ln_rows', 'prop_total_change', summary.PARAMETERS['dc']['group'], 'ln')}
+    {summary_sql('ln_rows', 'prop_total_change', SUMMARISED['dc'][1].split(), 'ln')}
     SELECT * FROM ln UNION ALL BY NAME
     SELECT * EXCLUDE (mean_val, median_val, min_val, max_val)
              REPLACE (round(sd_val, 9) AS sd_val, round(lower_tail, 9) AS lower_tail,
@@ -624,8 +649,8 @@ LN_COLUMNS = "site, check_name, check_name_app, min_val, q1, median_val, mean_va
     f"""{BY_NATION}, {mf_pp_sql()}, {dp_pp_sql()},
     mf_rows AS (SELECT * FROM mf_pp WHERE site <> 'total'),
     dp_rows AS (SELECT * FROM dp_pp WHERE site <> 'total'),
-    {summary_sql('mf_rows', summary.PARAMETERS['mf']['value'], summary.PARAMETERS['mf']['group'], 'mf_ln')},
-    {summary_sql('dp_rows', summary.PARAMETERS['dp']['value'], summary.PARAMETERS['dp']['group'], 'dp_ln')}
+    {summary_sql('mf_rows', SUMMARISED['mf'][0], SUMMARISED['mf'][1].split(), 'mf_ln')},
+    {summary_sql('dp_rows', SUMMARISED['dp'][0], SUMMARISED['dp'][1].split(), 'dp_ln')}
     SELECT {LN_COLUMNS} FROM mf_ln UNION ALL SELECT {LN_COLUMNS} FROM dp_ln""",
 )
 def summarised_by_parameters(spark, folder):

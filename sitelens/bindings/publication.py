@@ -75,10 +75,6 @@ def _gate_sql(prefix, value, direction, threshold, verdict, source):
       CASE WHEN {verdict} THEN 'PASS' ELSE 'FAIL' END AS pass_fail FROM {source}"""
 
 
-def _listed(names) -> str:
-    return "(" + ", ".join(f"'{name}'" for name in names) + ")"
-
-
 GT_01 = _gate_sql(
     "BMC",
     "best_row_prop",
@@ -86,7 +82,8 @@ GT_01 = _gate_sql(
     0.7,
     "bool_or(best_row_prop > 0.7) OVER (PARTITION BY site, CASE WHEN check_name IN"
     " ('bmc_csop', 'bmc_provop') THEN 'bmc_specop' ELSE check_name END)",
-    f"bmc_pp WHERE site <> 'total' AND best_notbest = 1 AND check_name IN {_listed(gate.BEST_CHECKS)}",
+    f"bmc_pp WHERE site <> 'total' AND best_notbest = 1 AND check_name IN ('bmc_demog-race', 'bmc_demog-eth',"
+    " 'bmc_drugsip-rxnorm', 'bmc_drugspresc-rxnorm', 'bmc_csop', 'bmc_provop')",
 )
 
 
@@ -119,7 +116,8 @@ GT_03 = _gate_sql(
     "NOT (NOT accepted_value AND viol_prop > 0.3)",
     f"""(SELECT p.*, coalesce(v.tot_prop, 0) AS viol_prop FROM vc_pp p
       LEFT JOIN (SELECT site, check_name, tot_prop FROM vc_viol) v USING (site, check_name)
-      WHERE p.site <> 'total' AND p.check_name IN {_listed(gate.VOCABULARY_CHECKS)})""",
+      WHERE p.site <> 'total' AND p.check_name IN
+        ('vc_condsall-cid', 'vc_drugsall-cid', 'vc_labsall-cid'))""",
 )
 
 
@@ -135,7 +133,8 @@ GT_04 = _gate_sql(
     "'<'",
     "CASE WHEN check_name = 'uc_procsall' THEN 0.5 ELSE 0.3 END",
     "unmapped_prop < CASE WHEN check_name = 'uc_procsall' THEN 0.5 ELSE 0.3 END",
-    f"({ck.uc_sql()}) WHERE check_name IN {_listed(gate.UNMAPPED_CHECKS)}",
+    f"({ck.uc_sql()}) WHERE check_name IN"
+    " ('uc_condsall', 'uc_drugsall', 'uc_procsall', 'uc_labsall')",
 )
 
 
@@ -150,7 +149,8 @@ GT_05 = _gate_sql(
     "'<'",
     0.3,
     "prop_missing_visits_total < 0.3",
-    f"mf_pp WHERE site <> 'total' AND check_name NOT IN {_listed(gate.MISSING_EXCLUDED)}",
+    f"mf_pp WHERE site <> 'total' AND check_name NOT IN"
+    " ('mf_visitid_drugspresc-visitid', 'mf_visitid_immsall-visitid')",
 )
 
 
@@ -165,7 +165,8 @@ GT_06 = _gate_sql(
     "'>'",
     "CASE WHEN check_name IN ('ecp_ht', 'ecp_wt') THEN 0.75 ELSE 0.7 END",
     "prop_with_concept > CASE WHEN check_name IN ('ecp_ht', 'ecp_wt') THEN 0.75 ELSE 0.7 END",
-    f"({ck.ecp_sql()}) WHERE check_name IN {_listed(gate.EXPECTED_CHECKS)}",
+    f"({ck.ecp_sql()}) WHERE check_name IN"
+    " ('ecp_ht', 'ecp_wt', 'ecp_tract-2020', 'ecp_blgr-2020')",
 )
 
 
@@ -180,7 +181,7 @@ GT_07 = _gate_sql(
     "'<'",
     0.3,
     "prop_implausible < 0.3",
-    f"({ck.dp_sql()}) WHERE regexp_matches(check_name, '{gate.DATE_CHECKS}')",
+    f"({ck.dp_sql()}) WHERE regexp_matches(check_name, 'drugsall|condsall|procsall|labsall')",
 )
 
 

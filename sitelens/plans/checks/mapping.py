@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sitelens.operators.groups import with_result_values
+from sitelens.operators.groups import with_group_values
 from sitelens.operators.sets import union_all
 from sitelens.plans.checks.common import HEADER, check_name, labelled, with_header
 from sitelens.plans.checks.vocabulary import concept_counts
@@ -75,7 +75,7 @@ def best_mapped_concepts(
         .join(labels, ["check_name", "concept"], "left")
         .join(defaults, "check_name", "left")
     )
-    result = with_result_values(
+    result = with_group_values(
         rows, ["site", "check_name"], {"total_rows": F.sum("row_cts")}
     ).withColumn("best_notbest", F.coalesce("__label", "__default", F.lit(0)))
     headed = with_header(

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sitelens.functions.columns import is_unmapped, listed_in
-from sitelens.operators.groups import with_result_values
+from sitelens.operators.groups import with_group_values
 from sitelens.operators.sets import union_all
 from sitelens.plans import fixed
 from sitelens.plans.checks.common import (
@@ -78,8 +78,9 @@ def _finish(
     check_string: str,
     version: str,
 ) -> DataFrame:
-    """Add denominators. There is one row per distinct value, so groups are small."""
-    counted = with_result_values(
+    """Add denominators, joined back: a free text field can have very many distinct values. Both
+    sides of the join share the shuffle of the counts."""
+    counted = with_group_values(
         counts, ["site", "check_name"], {"total_denom_ct": F.sum("tot_ct")}
     ).filter((F.col("tot_ct") > 0) | (F.col("total_denom_ct") == 0))
     names = {check_name(check_string, s.check_id): s for s in specs}
