@@ -41,7 +41,7 @@ def payer_with_date(spark, folder):
     aged AS (
       SELECT f.site, f.person_id, f.visit_start_date, p.birth_date, p.pn_gestational_age,
              CAST(f.visit_start_date - p.birth_date AS DOUBLE) / 365.25 AS age_first_visit
-      FROM firsts f JOIN persons p ON f.person_id = p.person_id)
+      FROM firsts f JOIN persons p ON f.site = p.site AND f.person_id = p.person_id)
     SELECT *, CASE
       WHEN pn_gestational_age = 0 OR pn_gestational_age IS NULL THEN 'Null/0 Gestational Age'
       WHEN pn_gestational_age BETWEEN 20 AND 45 THEN '20-45 Weeks (Expected Range)'

@@ -69,11 +69,19 @@ def best_mapped_concepts(
     )
     labels = listed.groupBy("check_name", "concept").agg(F.max("__label").alias("__label"))
     best = F.when(F.col("default_to") == "best", 1).otherwise(0)
-    defaults = listed.groupBy("check_name").agg(F.max(best).alias("__default"))
+    # One entry per check of this call; a join on the check's name alone would lose its key where
+    # only one check is left.
+    defaults = (
+        listed.filter(F.col("check_name").isin(list(names)))
+        .groupBy("check_name")
+        .agg(F.max(best).alias("__default"))
+        .agg(F.map_from_entries(F.collect_list(F.struct("check_name", "__default"))))
+        .scalar()
+    )
     rows = (
         union_all(parts)
         .join(labels, ["check_name", "concept"], "left")
-        .join(defaults, "check_name", "left")
+        .withColumn("__default", F.try_element_at(defaults, F.col("check_name")))
     )
     result = with_group_values(
         rows, ["site", "check_name"], {"total_rows": F.sum("row_cts")}
