@@ -1,19 +1,24 @@
 """A class-based bigram language model: exchange clustering, transitions of classes, emissions.
 
 The probability of a text is the product over its words, and a final end, of
-p(class | class before) * p(word | class). The most frequent words are dealt to classes by the
-exchange algorithm: a word moves to the class in which the mutual information of neighbouring
-classes is largest, until none moves. All other words belong to classes by their form (length,
-last letter, digits, symbols, letters beyond ASCII), so every word has a class. Emissions are
-counts of all words of the corpus, with one unseen word per class; transitions are interpolated
-with the frequency of the class.
-
-Counts of words cover the whole corpus and grow with it: they stay in a distributed table, keyed by
-a 64-bit hash. To score, texts are cut into chunks by a hash of id and text. A chunk's distinct words
-meet their counts by a join on the word, and go back to the chunk, which is scored as a whole. So a
-frequent word is one row per chunk, and a chunk's size is bounded by `Settings.chunk_bytes` on
-average, whatever the number of texts. What is collected are the counts of `Settings.exchanged`
-words and of pairs among these and the forms.
+p(class | class before) * p(word | class). All words of the training texts are dealt to classes by
+the exchange algorithm: a word moves to the class in which the mutual information of neighbouring
+classes is largest. The most frequent words go first, one after another on the driver, until none
+moves. From these classes all words are exchanged in tasks, each against the class pairs as they
+were when the pass began, until none moves or a pass raises the mutual information by less than
+`Settings.least_gain` per token. Words that move at once do not see each other, so half of them move
+in a pass, and half as many from then on if the information went down; no such pass is kept. Only words that no
+training text has get a class by their form (length, last letter, digits, symbols, letters beyond
+ASCII): the one that holds most training words of that form. Emissions are counts of all words of the
+corpus, with one unseen word per class; transitions are interpolated with the frequency of the class.
+
+Counts, neighbours and classes of words cover the whole corpus and grow with it: they stay in
+distributed tables, keyed by a 64-bit hash. To score, texts are cut into chunks by a hash of id and
+text. A chunk's distinct words meet their counts and classes by a join on the word, and go back to the
+chunk, which is scored as a whole. So a frequent word is one row per chunk, and a chunk's size is
+bounded by `Settings.chunk_bytes` on average, whatever the number of texts. What is collected are the
+counts of the `Settings.exchanged` words that go first and of pairs among these, of pairs of classes,
+and of forms.
 
 Cases: a null or empty text is an end only; repeated rows count and are scored each; without texts
 to learn from, every token has base score 0 and only the choice of its class costs the model
@@ -22,10 +27,11 @@ something; words are lower-cased (A-Z) and separated by ASCII white space.
 
 from __future__ import annotations
 
+import itertools
 import math
 from collections import Counter
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pandas as pd
@@ -33,16 +39,29 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sitelens.llm.common import text_bytes
+from sitelens.llm.common import join_checked, map_batches, text_bytes
 
 _FORMS = 4 * 6 * 4
 
 
+#: The end of a text among the words.
+_END = int(np.iinfo(np.int64).min)
+#: Counts up to here have their gains in a table.
+_STEPS = 16
+#: The smallest share of words that moves in a pass, as a power of 1 / 2.
+_HALVINGS = 5
+
+
 @dataclass(frozen=True)
 class Settings:
+    #: Words that are exchanged one after another before all are.
     exchanged: int = 1000
     classes: int = 40
-    passes: int = 6
+    #: At most so many passes of either exchange; None is until the end.
+    passes: int | None = None
+    #: Mutual information per token, in nats, that a pass must bring, by the share of words that it
+    #: moves, for another one to follow.
+    least_gain: float = 1e-2
     #: Weight of the class frequency in a transition, and of the unseen word in an emission.
     transition_prior: float = 20.0
     emission_prior: float = 0.5
@@ -123,53 +142,33 @@ def word_counts(texts: DataFrame, settings: Settings) -> DataFrame:
     return counted.groupBy("word", "form").agg(F.sum("n").alias("n"))
 
 
-class _Symbols:
-    """Numbers of words: exchanged words first, then forms, then the end."""
-
-    def __init__(self, words: np.ndarray):
-        self.order = np.argsort(words)
-        self.sorted = words[self.order]
-        self.count = len(words)
-        self.end = self.count + _FORMS
-
-    def of(self, words: list[bytes], hashes: np.ndarray) -> np.ndarray:
-        found = np.fromiter((self.count + form(w) for w in words), np.int64, len(words))
-        if self.count and len(words):
-            at = np.minimum(np.searchsorted(self.sorted, hashes), self.count - 1)
-            known = self.sorted[at] == hashes
-            found[known] = self.order[at[known]]
-        return found
-
-
-def pair_counts(texts: DataFrame, words: np.ndarray, settings: Settings) -> DataFrame:
-    """before, after, n: neighbouring symbols of all texts, with an end on both sides."""
-    shipped = texts.sparkSession.sparkContext.broadcast(words)
+def neighbours(texts: DataFrame, settings: Settings) -> DataFrame:
+    """before, after, n: neighbouring words of all texts, with an end on both sides."""
     room = settings.chunk_bytes // 24
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        symbols = _Symbols(shipped.value)
-        width = symbols.end + 1
-        known: dict[bytes, int] = {}
-        total: Counter[int] = Counter()
+        place: dict[bytes | None, int] = {None: 0}
+        line = [0]
         for batch in batches:
-            lists = [tokens(t) for t in text_bytes(batch.column(0))]
-            if len(known) > room:
-                known.clear()
-            new = list({w for words in lists for w in words if w not in known})
-            known.update(zip(new, symbols.of(new, word_hashes(new)).tolist(), strict=True))
-            line = [symbols.end]
-            for words in lists:
-                line.extend(map(known.__getitem__, words))
-                line.append(symbols.end)
-            numbers = np.array(line, np.int64)
-            pairs, n = np.unique(numbers[:-1] * width + numbers[1:], return_counts=True)
-            total.update(dict(zip(pairs.tolist(), n.tolist(), strict=True)))
-        pairs = np.fromiter(total, np.int64, len(total))
-        yield _batch(
+            for text in text_bytes(batch.column(0)):
+                line.extend([place.setdefault(w, len(place)) for w in tokens(text)])
+                line.append(0)
+                if len(line) >= 4 * room or len(place) >= room:
+                    yield flushed(place, line)
+                    place, line = {None: 0}, [0]
+        if len(line) > 1:
+            yield flushed(place, line)
+
+    def flushed(place: dict[bytes | None, int], line: list[int]) -> pa.RecordBatch:
+        words = list(place)
+        hashes = np.concatenate([[_END], word_hashes(words[1:])]).astype(np.int64)
+        numbers = np.array(line, np.int64)
+        pairs, n = np.unique(numbers[:-1] * len(words) + numbers[1:], return_counts=True)
+        return _batch(
             {
-                "before": (pairs // width, pa.int64()),
-                "after": (pairs % width, pa.int64()),
-                "n": (list(total.values()), pa.int64()),
+                "before": (hashes[pairs // len(words)], pa.int64()),
+                "after": (hashes[pairs % len(words)], pa.int64()),
+                "n": (n, pa.int64()),
             }
         )
 
@@ -177,10 +176,171 @@ def pair_counts(texts: DataFrame, words: np.ndarray, settings: Settings) -> Data
     return counted.groupBy("before", "after").agg(F.sum("n").alias("n"))
 
 
+def _of_word(pairs: DataFrame, named: DataFrame, side: str, other: int) -> DataFrame:
+    """The pairs with the class of the word on one side as a column; `other` where it has none."""
+    right = named.select(F.col("word").alias(side), F.col("class").alias(f"{side}_class"))
+    joined = join_checked(pairs, right, [side], "left", 32)
+    return joined.withColumn(f"{side}_class", F.coalesce(f"{side}_class", F.lit(other)))
+
+
+def _log(x: np.ndarray) -> np.ndarray:
+    """x log x, 0 at 0."""
+    return np.where(x > 0, x * np.log(np.maximum(x, 1e-300)), 0.0)
+
+
+def information(table: np.ndarray) -> float:
+    """The part of the mutual information of neighbouring classes that depends on the classes."""
+    return float(_log(table).sum() - _log(table.sum(axis=1)).sum() - _log(table.sum(axis=0)).sum())
+
+
+def gains(
+    right: np.ndarray, left: np.ndarray, own: np.ndarray, self_: np.ndarray, table: np.ndarray, k: int
+) -> np.ndarray:
+    """What every word, taken out of its own class, adds to `information` in each of k classes.
+
+    `right` and `left` count the classes after and before each word, `self_` the word beside itself.
+    """
+    words = np.arange(len(own))
+    inside = np.flatnonzero(own < k)
+    found = np.zeros((len(own), k))
+    near = []
+    for mine, cross, t in ((right, left, table), (left, right, table.T)):
+        counts = mine.copy()
+        counts[words, own] -= self_
+        near.append(counts[:, :k])
+        base = t[:k].T  # other class x class
+        step = np.array([_log(base + a) - _log(base) for a in range(1, _STEPS + 1)])
+        i, c = np.nonzero(counts)
+        if len(i):
+            a, o = counts[i, c], own[i]
+            term = np.empty((len(i), k))
+            few = a <= _STEPS
+            term[few] = step[a[few].astype(np.int64) - 1, c[few]]
+            many = base[c[~few]]
+            term[~few] = _log(many + a[~few, None]) - _log(many)
+            # Cells that held the word itself.
+            met = np.flatnonzero(c == o)
+            held = base[o[met]] - cross[i[met], :k]
+            term[met] = _log(held + a[met, None]) - _log(held)
+            at = np.flatnonzero(o < k)
+            held = t[o[at], c[at]] - mine[i[at], c[at]]
+            held -= np.where(c[at] == o[at], cross[i[at], o[at]] - self_[i[at]], 0.0)
+            term[at, o[at]] = _log(held + a[at]) - _log(held)
+            first = np.flatnonzero(np.diff(i, prepend=-1))
+            found[i[first]] += np.add.reduceat(term, first)
+        n = mine.sum(axis=1, keepdims=True)
+        total = np.tile(t.sum(axis=1)[:k], (len(own), 1))
+        total[inside, own[inside]] -= n[inside, 0]
+        found -= _log(total + n) - _log(total)
+    corner = np.tile(np.diagonal(table)[:k], (len(own), 1))
+    at = inside, own[inside]
+    corner[at] -= right[at] + left[at] - self_[inside]
+    both = near[0] + near[1] + self_[:, None]
+    return found + (
+        _log(corner + both) - _log(corner + near[0]) - _log(corner + near[1]) + _log(corner)
+    )
+
+
+def exchange_all(pairs: DataFrame, named: DataFrame, k: int, settings: Settings) -> DataFrame:
+    """word, class: all words of the pairs, and the end in class k + 1.
+
+    `named` has the classes to start from; words it does not name are in class k until the first
+    pass has moved them to one of the k classes.
+    """
+    size, spark = k + 2, pairs.sparkSession
+    best, kept, proposed, done, halvings = -math.inf, None, None, 0, 1
+    while True:
+        sides = [
+            _of_word(pairs, named, side, k).select(
+                F.col(other).alias("word"),
+                (F.col(f"{side}_class") + shift).alias("slot"),
+                "n",
+                F.when((F.col("before") == F.col("after")) & F.lit(shift == 0), F.col("n"))
+                .otherwise(0)
+                .alias("self"),
+            )
+            for side, other, shift in (("after", "before", 0), ("before", "after", size))
+        ]
+        # At most two rows per word and class before they are gathered.
+        slots = (
+            sides[0].unionByName(sides[1])
+            .groupBy("word", "slot")
+            .agg(F.sum("n").alias("n"), F.sum("self").alias("self"))
+        )
+        profiles = (
+            slots.groupBy("word")
+            .agg(F.collect_list(F.struct("slot", "n")).alias("slots"), F.sum("self").alias("self"))
+            .join(named.select("word", "class"), "word", "left")
+            .select("word", F.coalesce("class", F.lit(k)).alias("class"), "slots", "self")
+            .checkpoint()
+        )
+        cells = (
+            profiles.select("class", F.explode("slots").alias("s"))
+            .filter(F.col("s.slot") < size)
+            .groupBy("class", "s.slot")
+            .agg(F.sum("s.n").alias("n"))
+            .collect()
+        )
+        table = np.zeros((size, size))
+        for r in cells:
+            table[r["class"], r.slot] = r.n
+        open_ = table[k].any()
+        if not open_:
+            now = information(table)
+            more = now - best
+            if more <= 0 and halvings < _HALVINGS:
+                # Too many moved at once: fewer of the same moves.
+                halvings += 1
+                named = _some_moved(proposed, halvings, done)
+                continue
+            if more <= 0:
+                return kept
+            kept = named
+            if more < settings.least_gain * table.sum() / 2**halvings or done == settings.passes:
+                return kept
+            best = now
+        shipped = spark.sparkContext.broadcast(table)
+
+        def move(batch: pa.RecordBatch, shipped=shipped) -> pa.RecordBatch:
+            own = batch.column(1).to_numpy().astype(np.int64)
+            slots, lengths = batch.column(2), batch.column(2).value_lengths().to_numpy()
+            at = np.repeat(np.arange(len(own)), lengths)
+            entries = slots.flatten()
+            both = np.zeros((len(own), 2 * size))
+            both[at, entries.field(0).to_numpy()] = entries.field(1).to_numpy()
+            self_ = batch.column(3).to_numpy().astype(float)
+            gain = gains(both[:, :size], both[:, size:], own, self_, shipped.value, k)
+            top = gain.max(axis=1)
+            to = np.argmax(gain >= top[:, None] - 1e-6, axis=1)
+            stays = np.flatnonzero(own < k)
+            stays = stays[gain[stays, own[stays]] >= top[stays] - 1e-6]
+            to[stays] = own[stays]
+            to = np.where(own == k + 1, own, to)
+            return pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array(own, pa.int32()), pa.array(to, pa.int32())],
+                names=["word", "class", "to"],
+            )
+
+        proposed = map_batches(profiles, move, "word long, class int, to int").checkpoint()
+        done += 1
+        if open_:
+            named = proposed.select("word", F.col("to").alias("class"))
+        elif proposed.filter(F.col("class") != F.col("to")).isEmpty():
+            return named
+        else:
+            named = _some_moved(proposed, halvings, done)
+
+
+def _some_moved(proposed: DataFrame, halvings: int, turn: int) -> DataFrame:
+    """word, class: the proposed move of one word in 2 ** halvings, another share every turn."""
+    share = F.pmod(F.xxhash64("word", F.lit(turn)), F.lit(1 << halvings)) == 0
+    return proposed.select("word", F.when(share, F.col("to")).otherwise(F.col("class")).alias("class"))
+
+
 def exchange(pairs: np.ndarray, count: int, settings: Settings) -> np.ndarray:
     """The class of every exchanged word, from the counts of pairs of symbols.
 
-    Starts with words dealt by frequency. The classes of forms and of the end stay. Every word in
+    Starts with words dealt by frequency. The classes of the other symbols stay. Every word in
     turn is taken out and put where the sum of n log n over pairs of classes, less twice that of
     the classes' own counts, is largest; ties go to the lowest class.
     """
@@ -194,8 +354,8 @@ def exchange(pairs: np.ndarray, count: int, settings: Settings) -> np.ndarray:
     left = np.zeros((len(pairs), size))
     np.add.at(right.T, member, pairs.T)
     np.add.at(left.T, member, pairs)
-    log = lambda x: np.where(x > 0, x * np.log(np.maximum(x, 1e-300)), 0.0)
-    for _ in range(settings.passes):
+    log = _log
+    for _ in itertools.count() if settings.passes is None else range(settings.passes):
         moved = 0
         for w in range(count):
             own = member[w]
@@ -206,7 +366,8 @@ def exchange(pairs: np.ndarray, count: int, settings: Settings) -> np.ndarray:
             table[own] -= right[w]
             table[:, own] -= left[w]
             table[own, own] += self_
-            rows, columns = table.sum(axis=1), table.sum(axis=0)
+            # Other words keep their pairs with this one.
+            rows, columns = table.sum(axis=1) + before, table.sum(axis=0) + after
             t = table[:k]
             gain = log(t + after[None]).sum(axis=1) - log(t).sum(axis=1)
             c = table[:, :k]
@@ -240,11 +401,11 @@ def exchange(pairs: np.ndarray, count: int, settings: Settings) -> np.ndarray:
 
 @dataclass(frozen=True)
 class Model:
-    """What tasks need: bounded by the numbers of exchanged words, classes and forms."""
+    """What tasks need, bounded by the numbers of classes and forms, and the table of classes."""
 
-    words: np.ndarray
-    member: np.ndarray  # class of every symbol
-    transition: np.ndarray  # log10, class before x class
+    classes: DataFrame | None  # word, class; stays out of tasks
+    form_class: np.ndarray  # class of unseen words
+    transition: np.ndarray  # log10, class before x class; the end is the last
     class_tokens: np.ndarray
     class_words: np.ndarray
     total: int  # training tokens, ends included
@@ -255,40 +416,56 @@ class Model:
 
 def fit(texts: DataFrame, counts: DataFrame, settings: Settings = Settings()) -> Model:
     """Learn from texts (column `text`); `counts` is what `word_counts` gives, best stored."""
+    spark = texts.sparkSession
     top = counts.orderBy(F.desc("n"), "word", "form").limit(settings.exchanged).collect()
-    words = np.array([r.word for r in top], np.int64)
-    symbols = len(words) + _FORMS + 1
-    pairs = np.zeros((symbols, symbols))
-    # At most the square of the number of symbols.
-    found = pair_counts(texts, words, settings).toArrow()
-    pairs[found["before"].to_numpy(), found["after"].to_numpy()] = found["n"].to_numpy()
-    # The batches' own borders make no pair of ends: a text always begins after an end.
-    member = exchange(pairs, len(words), settings)
-    size = int(member.max()) + 1
+    words = list(dict.fromkeys(r.word for r in top))
+    pairs = neighbours(texts, settings).checkpoint()
+    # The first words by number, then all others as one, then the end.
+    count = len(words)
+    numbers = spark.createDataFrame([*zip(words, range(count)), (_END, count + 1)], "word long, class int")
+    # At most the square of the number of first words.
+    found = (
+        _of_word(_of_word(pairs, numbers, "after", count), numbers, "before", count)
+        .groupBy("before_class", "after_class")
+        .agg(F.sum("n").alias("n"))
+        .toArrow()
+    )
+    first = np.zeros((count + 2, count + 2))
+    first[found["before_class"].to_numpy(), found["after_class"].to_numpy()] = found["n"].to_numpy()
+    member = exchange(first, count, settings)
+    k = int(member[-1]) - 1
+    start = spark.createDataFrame(
+        [*zip(words, member[:count].tolist()), (_END, k + 1)], "word long, class int"
+    )
+    named = exchange_all(pairs, start, k, settings).filter(F.col("word") != _END)
+    named = named.select("word", "class").checkpoint()
+    size = k + 1
     table = np.zeros((size, size))
-    np.add.at(table, (member[:, None], member[None, :]), pairs)
+    classed = named.unionByName(spark.createDataFrame([(_END, k)], "word long, class int"))
+    cells = _of_word(_of_word(pairs, classed, "after", k), classed, "before", k)
+    for r in cells.groupBy("before_class", "after_class").agg(F.sum("n").alias("n")).collect():
+        table[r.before_class, r.after_class] = r.n
     into = table.sum(axis=0)
     frequency = (into + 0.5) / (into.sum() + 0.5 * size)
     prior = settings.transition_prior
     transition = np.log10(
         (table + prior * frequency[None]) / (table.sum(axis=1, keepdims=True) + prior)
     )
-    is_top = F.col("word").isin([int(w) for w in words]) if len(words) else F.lit(False)
-    rest = (
-        counts.filter(~is_top)
-        .groupBy("form")
+    tokens_, distinct = np.zeros(size), np.zeros(size)
+    of_form = np.zeros((_FORMS, k))
+    for r in (
+        counts.join(named, "word")
+        .groupBy("class", "form")
         .agg(F.sum("n").alias("n"), F.count("*").alias("words"))
         .collect()
-    )
-    tokens_, distinct = np.zeros(size), np.zeros(size)
-    np.add.at(tokens_, member[: len(words)], [r.n for r in top])
-    np.add.at(distinct, member[: len(words)], 1)
-    for r in rest:
-        tokens_[member[len(words) + r.form]] += r.n
-        distinct[member[len(words) + r.form]] += r.words
-    ends = int(pairs[:, -1].sum())
+    ):
+        tokens_[r["class"]] += r.n
+        distinct[r["class"]] += r.words
+        of_form[r.form, r["class"]] += r.words
+    of_form[~of_form.any(axis=1)] = of_form.sum(axis=0)
+    ends = int(into[-1])
     return Model(
-        words, member, transition, tokens_, distinct,
+        named, of_form.argmax(axis=1), transition, tokens_, distinct,
         int(tokens_.sum()) + ends, ends, int(distinct.sum()) + (ends > 0), settings,
     )
 
@@ -304,7 +481,7 @@ def score(rows: DataFrame, counts: DataFrame, model: Model, *, id: str = "doc_id
     chunks = max(1, math.ceil(size / settings.chunk_bytes))
     chunk: Column = F.pmod(F.xxhash64("doc_id", "text"), F.lit(chunks)).cast("long")
     cut = chosen.withColumn("chunk", chunk).select("chunk", "doc_id", "text")
-    shipped = rows.sparkSession.sparkContext.broadcast(model)
+    shipped = rows.sparkSession.sparkContext.broadcast(replace(model, classes=None))
 
     def distinct_words(table: pa.Table) -> pa.Table:
         words = list({w for t in text_bytes(table["text"].combine_chunks()) for w in tokens(t)})
@@ -314,7 +491,8 @@ def score(rows: DataFrame, counts: DataFrame, model: Model, *, id: str = "doc_id
         )
 
     wanted = cut.groupBy("chunk").applyInArrow(distinct_words, "chunk long, word long")
-    known = wanted.join(counts.select("word", "n"), "word").select("chunk", "word", "n")
+    learned = counts.select("word", "n").join(model.classes, "word")
+    known = wanted.join(learned, "word").select("chunk", "word", "n", "class")
 
     def scored(key, table: pa.Table, counted: pa.Table) -> pa.Table:
         model: Model = shipped.value
@@ -323,12 +501,14 @@ def score(rows: DataFrame, counts: DataFrame, model: Model, *, id: str = "doc_id
         words = list({w for found in lists for w in found})
         hashes = word_hashes(words)
         n = np.zeros(len(words))
+        member = model.form_class[np.fromiter(map(form, words), np.int64, len(words))]
         if counted.num_rows and words:
             order = np.argsort(counted["word"].to_numpy())
             have = counted["word"].to_numpy()[order]
             at = np.minimum(np.searchsorted(have, hashes), len(have) - 1)
-            n = np.where(have[at] == hashes, counted["n"].to_numpy()[order][at], 0).astype(float)
-        member = model.member[_Symbols(model.words).of(words, hashes)]
+            same = have[at] == hashes
+            n = np.where(same, counted["n"].to_numpy()[order][at], 0).astype(float)
+            member = np.where(same, counted["class"].to_numpy()[order][at], member)
         prior = settings.emission_prior
         emission = np.log10(
             (n + prior) / (model.class_tokens[member] + prior * (model.class_words[member] + 1))
@@ -336,7 +516,7 @@ def score(rows: DataFrame, counts: DataFrame, model: Model, *, id: str = "doc_id
         norm = model.total + 0.5 * (model.distinct + 1)
         base = np.log10((n + 0.5) / norm)
         end_base = math.log10((model.ends + 0.5) / norm)
-        end = int(model.member[-1])
+        end = len(model.transition) - 1
         place = {w: i for i, w in enumerate(words)}
         counts_, knowns, bases, scores = [], [], [], []
         for found in lists:

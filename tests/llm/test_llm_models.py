@@ -180,3 +180,40 @@ def test_exchange_raises_mutual_information():
     assert groups == {(0,), (1,), (2,)}
     pairs = mixed
     assert worth(member) > worth(np.concatenate([np.arange(count) % 3, np.arange(fixed) + 3]))
+
+
+def test_every_training_word_is_clustered(ready):
+    r = cases.rng(4)
+    groups = [[f"{g}{i}" for i in range(160)] for g in "ab"]
+    often = [30] * 10 + [1] * 150
+    line = lambda: " ".join(w for _ in range(40) for w in (r.choices(g, often)[0] for g in groups))
+    docs = cases.frame(ready, [(i, line(), "en", "s") for i in range(300)])
+    known = docs.select("text")
+    settings = brown_lm.Settings(exchanged=20, classes=2)
+    counts = brown_lm.word_counts(known, settings).checkpoint()
+    model = brown_lm.fit(known, counts, settings)
+    assert model.class_words.sum() == 320 and model.class_words[:2].tolist() == [160, 160]
+    named = {x.word: x["class"] for x in model.classes.collect()}
+    of = lambda words: {named[h] for h in brown_lm.word_hashes([w.encode() for w in words]).tolist()}
+    assert len(of(groups[0])) == len(of(groups[1])) == 1 and of(groups[0]) != of(groups[1])
+
+
+def test_gains_are_the_change_of_information():
+    r = np.random.RandomState(2)
+    pairs = r.poisson(0.7, (14, 14)).astype(float) * r.randint(1, 30, (14, 14))
+    member = np.concatenate([np.arange(12) % 4, [4, 5]])  # three classes, one to leave, two fixed
+
+    def table(member):
+        found = np.zeros((6, 6))
+        np.add.at(found, (member[:, None], member[None]), pairs)
+        return found
+
+    sides = np.zeros((2, 12, 6))
+    for w in range(12):
+        np.add.at(sides[0, w], member, pairs[w])
+        np.add.at(sides[1, w], member, pairs[:, w])
+    own = member[:12]
+    found = brown_lm.gains(*sides, own, np.diagonal(pairs)[:12].copy(), table(member), 3)
+    for w in range(12):
+        plain = [brown_lm.information(table(np.where(np.arange(14) == w, d, member))) for d in range(3)]
+        assert np.allclose(found[w] - found[w, 0], np.array(plain) - plain[0])
