@@ -3,10 +3,11 @@
 Strong parts are found on their own: assignments to a secret's name, access identifiers with a
 known prefix, long hexadecimal strings. Weak parts are not reported alone: names of users and
 clients, random looking strings, addresses of services. A scope is a section of a text between
-blank lines. Within a scope every part reaches some way to both sides; the interval join of the
-parts' reaches is a merge of two sorted lists, so only the nearest complementary part on either
-side is looked at and no pairs are made. A weak part is reported when a part of another role
-(identifier, secret, endpoint) lies in reach, and one of both is a secret.
+blank lines. Every part reaches over its whole scope; whether a complementary part that does not
+overlap it lies there is told by the scope's last start and first end, and no pairs are made. A weak
+part is reported when a part of another role (identifier, secret, endpoint) lies in reach, and one
+of both is a secret. `spans` on its own keeps to a shorter reach unless told otherwise; then the
+interval join is a merge of two sorted lists, and only the nearest complementary part counts.
 
 Cases: a null or empty text has no spans; parts that touch or repeat are kept each; equal rows
 give equal results; the state is the parts of one text.
@@ -32,7 +33,8 @@ BASE_KINDS = ("assign", "access", "hex")
 KINDS = (*BASE_KINDS, "linked_identifier", "linked_secret", "linked_endpoint")
 _ORDER = {kind: i for i, kind in enumerate(KINDS)}
 
-#: Code points that a part reaches to either side within its scope.
+#: Code points that a part reaches to either side within its scope where `spans` is not given another
+#: reach; search and redaction of tables use the whole scope.
 REACH = 160
 #: Least bits per character of a random looking string.
 RANDOM_BITS = 3.5
@@ -54,7 +56,7 @@ _RANDOM = re.compile(r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{20,}(?![A-Za-z0-9+/
 _ENDPOINT = re.compile(
     r"\b[a-z][a-z0-9+]*://[A-Za-z0-9.-]+(?::[0-9]+)?(?:/[A-Za-z0-9._~/-]*)?"
     r"|\b(?:host|endpoint|server|url)[\"']?\x20*[:=]\x20*[\"']?[A-Za-z0-9.-]+(?::[0-9]+)?",
-    re.ASCII,
+    re.IGNORECASE | re.ASCII,
 )
 _BLANK_LINE = re.compile(r"\n[ \t]*\n")
 
@@ -111,6 +113,16 @@ def within_reach(
     return found
 
 
+def within_scope(
+    parts: list[tuple[int, int]], others: list[tuple[int, int]]
+) -> list[tuple[int, int]]:
+    """Those parts with one of the others, anywhere, that does not overlap them."""
+    if not others:
+        return []
+    last, first = max(s for s, _ in others), min(e for _, e in others)
+    return [(start, end) for start, end in parts if last >= end or first <= start]
+
+
 #: Parts are at most so long; longer ones are cut into several for the join.
 LONGEST = 4096
 
@@ -119,8 +131,8 @@ def _cut(parts: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return [(s, min(e, s + LONGEST)) for b, e in parts for s in range(b, e, LONGEST)]
 
 
-def spans(text: str) -> list[Span]:
-    """All spans, by start and then by kind as listed."""
+def spans(text: str, reach: int | None = REACH) -> list[Span]:
+    """All spans, by start and then by kind as listed; a reach of None is the whole scope."""
     found = base_spans(text)
     strong = {(s, e) for _, s, e in found}
     weak = weak_parts(text) if _may_link(text, found) else {}
@@ -143,16 +155,19 @@ def spans(text: str) -> list[Span]:
         linked: list[Span] = []
         for begin, end in zip(edges, edges[1:], strict=False):
             inside = lambda parts, b=begin, e=end: [p for p in parts if b <= p[0] < e]
-            here = {role: _cut(inside(parts)) for role, parts in roles.items()}
+            here = {role: inside(parts) for role, parts in roles.items()}
             mine = {role: inside(parts) for role, parts in weak.items()}
-            secrets = here["secret"]
+
+            def near(parts, others, reach=reach):
+                if reach is None:
+                    return within_scope(parts, others)
+                return within_reach(parts, _cut(others), reach)
+
             for role in ("identifier", "endpoint"):
-                linked += [
-                    (f"linked_{role}", *p) for p in within_reach(mine[role], secrets, REACH)
-                ]
+                linked += [(f"linked_{role}", *p) for p in near(mine[role], here["secret"])]
             linked += [
                 ("linked_secret", *p)
-                for p in within_reach(mine["secret"], here["identifier"] + here["endpoint"], REACH)
+                for p in near(mine["secret"], here["identifier"] + here["endpoint"])
             ]
         found += linked
     return sorted(found, key=lambda s: (s[1], _ORDER[s[0]], s[2]))
@@ -168,7 +183,7 @@ def find(rows: DataFrame, *, id: str = "doc_id", text: str = "text") -> DataFram
 
     def apply(batch: pa.RecordBatch) -> pa.RecordBatch:
         found = [
-            [{"kind": k, "start": s, "end": e} for k, s, e in spans(t)]
+            [{"kind": k, "start": s, "end": e} for k, s, e in spans(t, None)]
             for t in texts(batch.column(1))
         ]
         kind = pa.list_(
@@ -183,10 +198,10 @@ def find(rows: DataFrame, *, id: str = "doc_id", text: str = "text") -> DataFram
 
 
 def redacted(text: str, mark: str = "<secret>") -> str:
-    """The text with every stretch of secret spans replaced by a mark."""
+    """The text with every stretch of secret spans, linked over whole scopes, replaced by a mark."""
     out, end = [], 0
     stretch = None
-    for _, s, e in spans(text):
+    for _, s, e in spans(text, None):
         if stretch and s < stretch[1]:
             stretch[1] = max(stretch[1], e)
         else:

@@ -135,6 +135,34 @@ def test_nearest_partner_is_found_as_by_all_pairs():
         assert credentials.within_reach(parts, others, 50) == slow
 
 
+def test_parts_link_over_the_whole_scope(ready):
+    weak = "wJalrXUtnFEMI7K7MDENGbPxRfiCY"
+    lines = "\n".join(f"setting_{i} is of no interest here" for i in range(20))
+    text = f"user=bobby\n{lines}\n{weak}"
+    kinds = [k for k, *_ in credentials.spans(text, None)]
+    assert kinds == ["linked_identifier", "linked_secret"]
+    assert weak not in credentials.redacted(text) and "bobby" not in credentials.redacted(text)
+    found = credentials.find(cases.frame(ready, [(1, text, "en", "a")])).first()
+    assert [s.kind for s in found.spans] == kinds
+    apart = text.replace("\n", "\n\n", 1)
+    assert credentials.spans(apart, None) == [] and credentials.redacted(apart) == apart
+
+
+@pytest.mark.parametrize("endpoint", ["HOST=db.example", "Endpoint: db.example", "HTTPS://db.example/x"])
+def test_endpoints_in_either_case(endpoint):
+    weak = "wJalrXUtnFEMI7K7MDENGbPxRfiCY"
+    assert [k for k, *_ in credentials.spans(f"{endpoint} {weak}")] == ["linked_endpoint", "linked_secret"]
+
+
+def test_partner_in_the_scope_is_found_as_by_all_pairs():
+    r = cases.rng(6)
+    for _ in range(300):
+        make = lambda: [(s, s + r.randint(1, 60)) for s in (r.randint(0, 90) for _ in range(r.randint(0, 4)))]
+        parts, others = make(), make()
+        slow = [p for p in parts if any(o[0] >= p[1] or o[1] <= p[0] for o in others)]
+        assert credentials.within_scope(parts, others) == slow
+
+
 def digest(spans):
     return hashlib.sha256(",".join(f"{k}:{s}:{e}" for k, s, e in spans).encode()).hexdigest()
 
