@@ -36,8 +36,9 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType, StructField, StructType
 
-from sitelens.llm.common import components, join_checked, map_batches, text_bytes
+from sitelens.llm.common import components, join_checked, map_batches, text_bytes, unused
 
 
 @dataclass(frozen=True)
@@ -403,6 +404,13 @@ def find(
     `component_id` is the smallest id of the component, `kept` whether the row has it. A row with
     a null id has a null component and is kept.
     """
+    found = _components(rows, settings, id, text)
+    return found.select("doc_id", "n_shingles", "component_id", "kept")
+
+
+def _components(rows: DataFrame, settings: Settings, id: str, text: str) -> DataFrame:
+    """What `find` gives, with the key of each row and `chosen`: whether the row has the id and the
+    key that stand for its component."""
     described = describe(rows, settings, id=id, text=text).checkpoint()
     linkable = described.filter("key IS NOT NULL AND doc_id IS NOT NULL")
     classes = (
@@ -446,16 +454,29 @@ def find(
         parts.distinct()
         .join(classes.select("key", "id"), "key")
     )
-    least = part_ids.groupBy("part").agg(F.min("id").alias("component_id"))
-    named = part_ids.join(least, "part").select("key", "component_id")
+    least = part_ids.groupBy("part").agg(
+        F.min("id").alias("component_id"), F.min(F.struct("id", "key")).alias("least")
+    )
+    named = part_ids.join(least, "part").select("key", "component_id", "least.key")
+    named = named.toDF("key", "component_id", "least_key")
     whole = classes.select("key", "id").join(named, "key", "left").select(
-        "key", F.coalesce("component_id", "id").alias("component_id")
+        "key",
+        F.coalesce("component_id", "id").alias("component_id"),
+        F.coalesce("least_key", "key").alias("least_key"),
     )
     found = linkable.select("key", "doc_id", "n_shingles").join(whole, "key").select(
-        "doc_id", "n_shingles", "component_id"
+        "doc_id",
+        "n_shingles",
+        "component_id",
+        "key",
+        ((F.col("doc_id") == F.col("component_id")) & (F.col("key") == F.col("least_key"))).alias("chosen"),
     )
     alone = described.filter("key IS NULL OR doc_id IS NULL").select(
-        "doc_id", "n_shingles", F.col("doc_id").alias("component_id")
+        "doc_id",
+        "n_shingles",
+        F.col("doc_id").alias("component_id"),
+        F.lit(None).cast("binary").alias("key"),
+        F.lit(True).alias("chosen"),
     )
     every = found.unionByName(alone)
     return every.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
@@ -511,17 +532,38 @@ def keep_one(
     """The rows, with all their columns, of which one of every component stays.
 
     Rows whose id is not the component's are dropped, by an anti join with their ids. Rows with a
-    null id stay. Rows that repeat an id that stays are reduced to one per id.
+    null id stay. Rows that share an id are told apart by the key of their text: one row stays of the
+    id and key that stand for a component, and one of those without words.
     """
-    found = find(rows, settings, id=id, text=text).checkpoint()
+    found = _components(rows, settings, id, text).checkpoint()
     named = found.filter("doc_id IS NOT NULL")
-    gone = named.filter("NOT kept").select("doc_id").distinct()
-    gone = gone.join(named.filter("kept").select("doc_id"), "doc_id", "left_anti")
+    several = named.groupBy("doc_id").count().filter("count > 1").select("doc_id").checkpoint()
+    gone = named.filter("NOT kept").select("doc_id").unionByName(several).distinct()
     gone = gone.withColumnRenamed("doc_id", "gone_id")
     if gone.count() * 16 <= 32 << 20:
         gone = F.broadcast(gone)
     kept = rows.join(gone, F.col(id).cast("long") == F.col("gone_id"), "left_anti")
-    if named.filter("kept").groupBy("doc_id").count().filter("count > 1").isEmpty():
+    if several.isEmpty():
         return kept
-    with_id = kept.filter(F.col(id).isNotNull()).dropDuplicates([id])
-    return with_id.unionByName(kept.filter(F.col(id).isNull()))
+    own = unused(rows.columns, "set_key")
+    chosen = named.join(several, "doc_id", "left_semi").filter("chosen").select("doc_id", "key").distinct()
+    chosen = chosen.toDF("chosen_id", "chosen_key")
+    shared_id = several.withColumnRenamed("doc_id", "shared_id")
+    shared = rows.join(shared_id, F.col(id).cast("long") == F.col("shared_id"), "left_semi")
+    same = (F.col(id).cast("long") == F.col("chosen_id")) & F.col(own).eqNullSafe(F.col("chosen_key"))
+    stay = _with_key(shared, own, settings, text).join(chosen, same, "left_semi")
+    return kept.unionByName(stay.dropDuplicates([id, own]).drop(own))
+
+
+def _with_key(rows: DataFrame, name: str, settings: Settings, text: str) -> DataFrame:
+    """The rows with the key of their text as one more column; null without words."""
+    at = rows.columns.index(text)
+
+    def apply(batch: pa.RecordBatch) -> pa.RecordBatch:
+        sets = [shingles(t, settings.shingle) for t in text_bytes(batch.column(at))]
+        keys = pa.array([set_key(s) if len(s) else None for s in sets], pa.binary())
+        return pa.RecordBatch.from_arrays(
+            [*batch.columns, keys], names=[*batch.schema.names, name]
+        )
+
+    return map_batches(rows, apply, StructType([*rows.schema.fields, StructField(name, BinaryType())]))

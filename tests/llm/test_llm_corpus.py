@@ -152,6 +152,18 @@ def test_one_row_of_every_component_stays(ready):
     assert Counter(ids) == Counter([1, 4, 5, 6, 7, 8, 9, 10, 11, None, None, 13, 14, 15])
 
 
+def test_rows_that_share_an_id_are_kept_by_their_text(ready):
+    one, two, three = (cases.prose(n, 60) for n in (1, 2, 3))
+    rows = [(1, one, "en", "a"), (1, two, "en", "a"), (1, two, "en", "a"), (2, two + " more", "en", "a"),
+            (5, three, "en", "a"), (7, three, "en", "a"), (7, cases.prose(4, 60), "en", "a"),
+            (8, "", "en", "a"), (8, None, "en", "a"), (8, cases.prose(5, 60), "en", "a")]
+    docs = cases.frame(ready, rows)
+    kept = near_duplicates.keep_one(docs)
+    assert kept.columns == docs.columns
+    got = Counter((r.doc_id, r.text or "") for r in kept.collect())
+    assert got == Counter([(1, one), (1, two), (5, three), (7, rows[6][1]), (8, ""), (8, rows[9][1])])
+
+
 def test_bounds_of_the_posterior():
     settings = near_duplicates.Settings()
     for n, least in near_duplicates.least_matches(settings):
