@@ -15,13 +15,16 @@ from sitelens.llm import (
     bpe,
     brown_lm,
     credentials,
+    filter_audit,
     language,
     mixing,
     near_duplicates,
     order_minhash,
+    packing,
     pii,
     quality_classifier,
     quality_rules,
+    spelling,
 )
 from sitelens.llm.common import documents, prepare, remainder_is
 
@@ -30,8 +33,9 @@ Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 SQL: dict[str, str] = {}
 
-#: The tokenizer file; never copied into the repository.
+#: The tokenizer files; never copied into the repository.
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
+PACKED_TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 
 
 def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
@@ -225,6 +229,134 @@ def op10(spark: SparkSession, folder: str) -> DataFrame:
     return bpe.digests(documents(spark, folder), Path(TOKENIZER).read_text())
 
 
+_AUDIT_SQL = f"""
+WITH docs AS (
+  SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS text FROM documents
+), least AS (
+  SELECT text, min(doc_id) AS least FROM docs GROUP BY text
+), words AS (
+  SELECT *, {_WORDS_SQL.format("text")} AS w FROM docs
+), verdicts AS (
+  SELECT part, [
+           len(w) < 200,
+           100 * len(list_distinct(w)) < 50 * len(w),
+           100 * length(regexp_replace(text, '[^A-Z]', '', 'g')) > 3 * length(text),
+           regexp_matches(text, '[#$%&*|]'),
+           coalesce(doc_id > least, false)] AS fails,
+         coalesce(quality = 1, false) AS good, coalesce(toxic = 1, false) AS toxic
+  FROM words JOIN least USING (text) LEFT JOIN labels USING (doc_id)
+), cells AS (
+  SELECT part, fails, count(*) AS n, count_if(good) AS good, count_if(toxic) AS toxic
+  FROM verdicts GROUP BY ALL
+), filters AS (
+  SELECT unnest(range(1, 6)) AS i
+), orders AS (
+  SELECT [a.i, b.i, c.i, d.i, e.i] AS o
+  FROM filters a, filters b, filters c, filters d, filters e
+  WHERE len(list_distinct([a.i, b.i, c.i, d.i, e.i])) = 5
+), judged AS (
+  SELECT part, o, s.i AS step, o[s.i] AS filter, fails[o[s.i]] AS failing, n, good, toxic,
+         list_contains(list_transform(o[1:s.i - 1], lambda f: fails[f]), true) AS gone,
+         len(list_filter(fails, lambda f: f)) AS failed
+  FROM cells, orders, filters s
+), counted AS (
+  SELECT part, o, step, filter,
+         coalesce(sum(n) FILTER (NOT gone AND NOT failing), 0) AS kept,
+         coalesce(sum(n) FILTER (NOT gone AND failing), 0) AS removed,
+         coalesce(sum(n) FILTER (gone AND failing), 0) AS redundant,
+         coalesce(sum(n) FILTER (failing AND failed = 1), 0) AS unique_fails,
+         coalesce(sum(good) FILTER (NOT gone AND failing), 0) AS good_lost,
+         coalesce(sum(toxic) FILTER (NOT gone AND failing), 0) AS toxic_lost
+  FROM judged GROUP BY ALL
+)
+SELECT part, array_to_string(list_transform(o, lambda f: substr('ABCDE', f, 1)), '') AS filter_order,
+       CAST(step AS INTEGER) AS step, CAST(kept AS BIGINT) AS kept, CAST(removed AS BIGINT) AS removed,
+       CAST(redundant AS BIGINT) AS redundant, CAST(unique_fails AS BIGINT) AS unique_fails,
+       CAST(good_lost AS BIGINT) AS good_lost, CAST(toxic_lost AS BIGINT) AS toxic_lost,
+       CAST(sum(removed) OVER (PARTITION BY part, filter) AS BIGINT) AS shapley
+FROM counted
+"""
+
+
+@query("op11_filter_audit", _AUDIT_SQL)
+def op11(spark: SparkSession, folder: str) -> DataFrame:
+    judged = filter_audit.verdicts(documents(spark, folder), labels(spark, folder))
+    return filter_audit.audit(filter_audit.tensors(judged))
+
+
+@query("op12_packing")
+def op12(spark: SparkSession, folder: str) -> DataFrame:
+    definition = Path(PACKED_TOKENIZER).read_text()
+    pieces = packing.pack(documents(spark, folder), definition, end_id=1)
+    return pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
+
+
+_SPELLING_SQL = """
+WITH RECURSIVE crc_table AS (
+  SELECT list(c ORDER BY i) AS t FROM (
+    SELECT i, list_reduce(list_prepend(i, [0, 0, 0, 0, 0, 0, 0, 0]), lambda c, k:
+             CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS c
+    FROM range(256) AS r(i))
+), runs AS (
+  SELECT doc_id, translate(unnest(regexp_extract_all(text, '[A-Za-z\u00C0-\u00FF]+')),
+           'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run
+  FROM documents
+), found AS (
+  SELECT run, CAST(coalesce(doc_id::VARCHAR, '') AS VARCHAR) || ':' || run AS hashed, count(*) AS n
+  FROM runs WHERE length(run) >= 5 GROUP BY ALL
+), bytes AS (
+  -- Letters beyond ASCII are U+00C0 to U+00FF: two bytes, the first of which is 195.
+  SELECT run, n, flatten(list_transform(range(1, length(hashed) + 1), lambda i:
+           CASE WHEN unicode(substr(hashed, i, 1)) < 128 THEN [unicode(substr(hashed, i, 1))::BIGINT]
+                ELSE [195, unicode(substr(hashed, i, 1))::BIGINT - 64] END)) AS b
+  FROM found
+), hashes AS (
+  SELECT run, n, xor(4294967295, list_reduce(list_prepend(4294967295, b), lambda c, x:
+           xor(t[(xor(c, x) & 255) + 1], c >> 8))) AS h
+  FROM bytes, crc_table
+), words AS (
+  SELECT CASE WHEN h % 97 = 0 THEN substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2)
+              ELSE run END AS word, n
+  FROM hashes
+), vocabulary AS MATERIALIZED (
+  SELECT word, CAST(sum(n) AS BIGINT) AS n FROM words
+  WHERE length(word) >= 5 GROUP BY word HAVING sum(n) >= 3
+), shorter AS MATERIALIZED (
+  SELECT word, i, substr(word, 1, i - 1) || substr(word, i + 1) AS rest
+  FROM (SELECT word, unnest(range(1, length(word) + 1)) AS i FROM vocabulary)
+), near AS MATERIALIZED (
+  SELECT a.word, b.word AS other FROM shorter a JOIN shorter b
+    ON a.i = b.i AND a.rest = b.rest AND a.word <> b.word
+  UNION SELECT s.word, v.word FROM shorter s JOIN vocabulary v ON s.rest = v.word
+  UNION SELECT v.word, s.word FROM shorter s JOIN vocabulary v ON s.rest = v.word
+), ranked AS (
+  SELECT near.word, other, n, count(*) OVER (PARTITION BY near.word) AS n_near,
+         row_number() OVER (PARTITION BY near.word ORDER BY n DESC, other) AS place
+  FROM near JOIN vocabulary ON other = vocabulary.word
+), judged AS MATERIALIZED (
+  SELECT v.word, v.n, coalesce(n_near, 0) AS n_near,
+         CASE WHEN r.n >= 2 * v.n THEN other END AS form, CASE WHEN r.n >= 2 * v.n THEN r.n END AS form_n
+  FROM vocabulary v LEFT JOIN ranked r ON r.word = v.word AND place = 1
+), follow AS (
+  SELECT word, word AS root FROM judged
+  UNION ALL
+  SELECT f.word, j.form FROM follow f JOIN judged j ON f.root = j.word WHERE j.form IS NOT NULL
+)
+SELECT j.word, j.form, f.root, j.n, CAST(j.n_near AS BIGINT) AS n_near, j.form_n
+FROM judged j JOIN follow f ON f.word = j.word JOIN judged e ON e.word = f.root
+WHERE e.form IS NULL
+"""
+
+
+@query("op13_spelling", _SPELLING_SQL)
+def op13(spark: SparkSession, folder: str) -> DataFrame:
+    settings = spelling.Settings()
+    words = spelling.occurrences(
+        documents(spark, folder), slip=97, least_length=settings.least_length
+    )
+    return spelling.variants(spelling.vocabulary(words, settings), settings)
+
+
 @query("pipeline", corpus_pipeline.ORACLE_SQL)
 def pipeline(spark: SparkSession, folder: str) -> DataFrame:
     return corpus_pipeline.run(spark, folder)
