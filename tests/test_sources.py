@@ -90,3 +90,90 @@ def test_one_site_and_unknown_tables(spark):
         tables.result("t")
     more = tables.adding("result", {"extra": spark.range(1).withColumn("site", F.lit("b"))})
     assert more.result("extra").count() == 1 and more.cdm("t").count() == 3
+
+
+def deliveries(spark, version, rows):
+    return spark.createDataFrame([(version, *r) for r in rows], "database_version string, site string, n int")
+
+
+def bytes_below(folder):
+    return sum(f.stat().st_size for f in folder.rglob("*.parquet"))
+
+
+def test_an_append_writes_only_what_is_new(spark, tmp_path):
+    """However many versions are stored, a delivery adds about as many bytes."""
+    store = Store(spark, str(tmp_path))
+    table = tmp_path / "t"
+    added = []
+    for k in range(5):
+        rows = [(f"site{k}", i) for i in range(2000)]
+        before = bytes_below(table) if k else 0
+        store.append(deliveries(spark, f"v{k}", rows), "t")
+        added.append(bytes_below(table) - before)
+    assert max(added) < 1.2 * min(added)
+    assert store.read("t").count() == 10_000
+    # A delivery that is repeated, in part with new rows, adds the new rows alone.
+    before = bytes_below(table)
+    store.append(deliveries(spark, "v4", [("site4", i) for i in range(1990, 2010)]), "t")
+    assert bytes_below(table) - before < max(added) / 2
+    assert store.read("t").count() == 10_010
+    segments = sorted(p.name for p in table.iterdir() if p.is_dir())
+    store.append(deliveries(spark, "v2", [("site2", i) for i in range(2000)]), "t")
+    assert sorted(p.name for p in table.iterdir() if p.is_dir()) == segments
+    assert store.read("t").count() == 10_010
+
+
+def test_append_reads_only_the_deliveries_it_touches(spark, tmp_path):
+    store = Store(spark, str(tmp_path))
+    for k in range(3):
+        store.append(deliveries(spark, f"v{k}", [("a", k), ("a", k), ("b", None)]), "t")
+    (oldest,) = tmp_path.glob("t/__segment=000001")
+    for file in oldest.glob("*.parquet"):
+        file.write_bytes(b"broken")
+    more = deliveries(spark, "v2", [("a", 2), ("c", 9), ("b", None)])
+    store.append(more, "t")
+    newest = store.read("t").filter("database_version = 'v2'")
+    assert max(p.name for p in tmp_path.glob("t/__segment=*")) == "__segment=000005"
+    with pytest.raises(Exception, match="(?i)parquet"):
+        newest.collect()
+
+
+def test_append_keeps_nulls_and_partitions_apart(spark, tmp_path):
+    store = Store(spark, str(tmp_path))
+    rows = deliveries(spark, None, [("a", None), (None, 1)])
+    for _ in range(2):
+        store.append(rows, "t", partition_by=["site"])
+    store.append(deliveries(spark, "v1", [("01", 1)]), "t", partition_by=["site"])
+    found = sorted(map(str, (tuple(r) for r in store.read("t").collect())))
+    assert found == ["('v1', '01', 1)", "(None, 'a', None)", "(None, None, 1)"]
+    # Another partitioning, or a wider type, writes the table anew.
+    wide_ = spark.createDataFrame([("v1", "01", 1), ("v1", "02", 1 << 40)], "database_version string, site string, n long")
+    assert store.append(wide_, "t").count() == 4
+    assert dict(store.read("t").dtypes)["n"] == "bigint"
+    with pytest.raises(Exception, match="(?i)column"):
+        store.append(rows.withColumnRenamed("n", "m"), "t")
+
+
+def test_tables_of_many_segments_are_compacted_and_pruned(spark, tmp_path):
+    store = Store(spark, str(tmp_path))
+    for k in range(3):
+        store.append(deliveries(spark, f"v{k}", [("a", k)]), "t")
+    old = store.read("t")
+    assert store.compact("t").count() == 3
+    assert sorted(map(tuple, old.collect())) == sorted(map(tuple, store.read("t").collect()))
+    store.prune("t")
+    assert len(list(tmp_path.glob("t/__segment=*"))) == 1 and store.read("t").count() == 3
+    assert store.append(deliveries(spark, "v1", [("a", 1), ("b", 1)]), "t").count() == 4
+    empty = deliveries(spark, "v1", []).filter("n > 5")
+    assert store.append(empty, "t").count() == 4 and store.append(empty, "u").count() == 0
+    assert store.append(deliveries(spark, "v1", [("a", 1)]), "u").count() == 1
+
+
+def test_of_two_writers_one_fails(spark, tmp_path):
+    one, two = Store(spark, str(tmp_path)), Store(spark, str(tmp_path))
+    one.append(deliveries(spark, "v0", [("a", 1)]), "t")
+    before = two._newest("t")
+    one.append(deliveries(spark, "v1", [("a", 1)]), "t")
+    with pytest.raises(RuntimeError, match="another writer"):
+        two._commit("t", before, before)
+    assert two.read("t").count() == 2
