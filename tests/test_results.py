@@ -2,12 +2,14 @@
 
 import datetime
 import math
+import random
 
 import pytest
 from pyspark.sql import functions as F
 
 from sitelens.operators.groups import with_totals
 from sitelens.operators.joins import null_safe_join
+from sitelens.operators.reshape import column_spreads, spread
 from sitelens.plans import gate, medication, outliers, process, publish, summary
 
 D = datetime.date
@@ -241,3 +243,46 @@ def test_medication_fields(spark, rows):
     assert rows(doses, "dose_unit_concept_id", "min_val", "sd_val") == [
         (0, 5.0, None), (7, 5.0, None), (None, 5.0, None),
     ]
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_spreads_are_those_of_sorted_values(spark, rows, seed):
+    """Against plain order statistics: few and many distinct values, large offsets, signs, one value."""
+    r = random.Random(seed)
+    kinds = {
+        "ties": lambda: r.choice([1.0, 2.0, 2.5]),
+        "wide": lambda: r.choice([-1, 1]) * 10 ** r.uniform(-9, 9),
+        "close": lambda: 1e6 + r.random(),
+        "tiny": lambda: r.uniform(-1e-9, 1e-9),
+        None: lambda: float(r.randint(-3, 3)),
+    }
+    data = [
+        (group, draw() if r.random() < 0.9 else None)
+        for group, draw in kinds.items()
+        for _ in range(r.choice([1, 2, 7, 300]))
+    ]
+    data.append(("only null", None))
+    df = spark.createDataFrame(data, "g string, x double").withColumn("y", F.col("x") * 2)
+    expected = []
+    for group in kinds:
+        values = sorted(x for g, x in data if g == group and x is not None)
+        n = len(values)
+        if n:
+            quartiles = [values[-(-n * k // 4) - 1] for k in (1, 2, 3)]
+            expected.append((str(group), values[0], values[-1], *quartiles))
+    found = spread(df, ["g"], "x")
+    got = [
+        (str(r.g), r.min_val, r.max_val, r.q1_val, r.med_val, r.q3_val) for r in found.collect()
+    ]
+    assert sorted(got) == sorted(expected)
+    both = column_spreads(df, ["g"], ["x", "y"], "column").collect()
+    doubled = [(str(r.g), r.min_val, r.max_val, r.q1_val, r.med_val, r.q3_val) for r in both if r.column == "y"]
+    assert sorted(doubled) == sorted((g, *(2 * x for x in rest)) for g, *rest in expected)
+
+
+def test_spreads_order_infinite_values_and_no_numbers_last(spark):
+    values = [float("-inf"), -1.0, 0.0, 5.0, float("inf"), float("nan"), float("nan"), float("nan")]
+    df = spark.createDataFrame([(1, x) for x in values], "g int, x double")
+    (row,) = spread(df, ["g"], "x").collect()
+    assert (row.min_val, row.q1_val, row.med_val) == (float("-inf"), -1.0, 5.0)
+    assert math.isnan(row.q3_val) and math.isnan(row.max_val)
