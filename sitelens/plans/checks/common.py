@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections import defaultdict
 from collections.abc import Callable, Hashable, Iterable, Mapping, Sequence
+from dataclasses import dataclass, field
 from typing import TypeVar
 
 from pyspark.sql import Column, DataFrame
@@ -131,31 +132,88 @@ def in_check(i: int) -> Column:
     return F.coalesce(F.col(f"__in_{i}"), F.lit(False))
 
 
-def code_set_rows(
-    df: DataFrame,
-    field: str,
-    items: Sequence[tuple[Mapping[str, object], DataFrame, Column | None]],
-    keep: Sequence[str | Column],
-) -> DataFrame:
-    """Rows whose concept is in a code set, once per set that holds it and whose predicate holds.
+@dataclass(frozen=True)
+class Tag:
+    """What a row has to meet to get the labels of a tag: a predicate, and a concept of a code set in
+    a field. Either may be missing. `columns` are computed from the row; all tags name the same."""
+
+    labels: Mapping[str, object]
+    columns: Mapping[str, Column] = field(default_factory=dict)
+    predicate: Column | None = None
+    concept_field: str | None = None
+    codes: DataFrame | None = None
+
 
-    items holds the labels to attach (one value per column name), the code set and the
-    predicate. All sets go into one labelled list and one join, whatever their number. A code
-    listed twice gives a row twice; the callers only ask whether there is one.
+def tagged_rows(df: DataFrame, tags: Sequence[Tag], keep: Sequence[str]) -> DataFrame:
+    """Each row once per tag that it gets, with the labels and columns of the tag.
+
+    The table is scanned once, whatever fields the code sets are looked up in: a row is repeated for
+    each field (and each way to compute the columns), and one join with a list of all code sets,
+    labelled with field and tag, finds the tags. The join is on field and concept, so the list can be
+    of any size. Tags without a code set stand in the list under a number of their own. A code listed
+    twice gives a row twice; the callers only ask whether there is one.
     """
-    lists = [
-        codes.select(
-            F.col("concept_id").alias("__code"),
-            F.lit(i).alias("__item"),
-            *[F.lit(value).alias(name) for name, value in labels.items()],
+    if all(tag.codes is None for tag in tags):
+        names = {f"__tag_{i}": tag for i, tag in enumerate(tags)}
+        found = matching_rows(
+            df, [(name, tag.predicate, tag.columns) for name, tag in names.items()], keep
         )
-        for i, (labels, codes, _) in enumerate(items)
-    ]
-    labels = list(items[0][0])
-    found = df.join(union_all(lists), F.col(field) == F.col("__code"))
-    restricted = {i: p for i, (_, _, p) in enumerate(items) if p is not None}
+        values = {
+            label: _by_name({name: tag.labels[label] for name, tag in names.items()})
+            for label in tags[0].labels
+        }
+        found = found.withColumns(values)
+        return found if "check_name" in values else found.drop("check_name")
+    fields = list(dict.fromkeys(tag.concept_field for tag in tags if tag.codes is not None))
+    channels = grouped(
+        range(len(tags)),
+        lambda i: (
+            tags[i].concept_field if tags[i].codes is not None else f"tag {i}",
+            str(dict(tags[i].columns)),
+        ),
+    )
+    entries, lists = [], []
+    for number, members in enumerate(channels.values()):
+        first = tags[members[0]]
+        code = F.col(first.concept_field) if first.codes is not None else F.lit(number)
+        entries.append(
+            F.struct(
+                F.lit(number).alias("__channel"),
+                code.alias("__concept"),
+                *[column.alias(name) for name, column in first.columns.items()],
+            )
+        )
+        for i in members:
+            own = tags[i].codes
+            if own is None:
+                own = df.sparkSession.range(1).select(F.lit(number).alias("concept_id"))
+            lists.append(
+                own.select(
+                    F.lit(number).alias("__code_channel"),
+                    F.col("concept_id").alias("__code"),
+                    F.lit(i).alias("__tag"),
+                    *[F.lit(value).alias(name) for name, value in tags[i].labels.items()],
+                )
+            )
+    restricted = {i: tag.predicate for i, tag in enumerate(tags) if tag.predicate is not None}
+    met = [F.coalesce(p, F.lit(False)).alias(f"__met_{i}") for i, p in restricted.items()]
+    if all(tag.codes is not None for tag in tags):
+        df = df.filter(any_of(F.col(name).isNotNull() for name in fields))
+    rows = df.select(*keep, *met, F.explode(F.array(*entries)).alias("__entry")).select(
+        *keep, *[f"__met_{i}" for i in restricted], "__entry.*"
+    )
+    found = rows.join(
+        union_all(lists),
+        (F.col("__channel") == F.col("__code_channel")) & (F.col("__concept") == F.col("__code")),
+    )
     if restricted:
-        chosen = [(F.col("__item") == i) & p for i, p in restricted.items()]
-        free = ~F.col("__item").isin(list(restricted))
+        chosen = [(F.col("__tag") == i) & F.col(f"__met_{i}") for i in restricted]
+        free = ~F.col("__tag").isin(list(restricted))
         found = found.filter(any_of([free, *chosen]))
-    return found.select(*keep, *labels)
+    return found.select(*keep, *tags[0].labels, *tags[0].columns)
+
+
+def _by_name(values: Mapping[str, object]) -> Column:
+    """The value of a tag, looked up by the name that its rows carry."""
+    pairs = [F.lit(part) for pair in values.items() for part in pair]
+    return F.try_element_at(F.create_map(*pairs), F.col("check_name"))

@@ -14,12 +14,12 @@ from sitelens.operators.reshape import stack
 from sitelens.operators.sets import union_all
 from sitelens.plans.checks.common import (
     HEADER,
+    Tag,
     as_predicate,
     check_name,
-    code_set_rows,
     grouped,
     labelled,
-    matching_rows,
+    tagged_rows,
     with_header,
 )
 from sitelens.sources.specs import CodeSets, ConcordanceSpec
@@ -59,7 +59,8 @@ def cohort_events(
 ) -> DataFrame:
     """Events of both cohorts of every check: check_name, cohort (1 or 2), site, key, date.
 
-    Cohorts that read the same table are found in one scan.
+    Cohorts that read the same table are found in one scan, in whatever fields their concepts and
+    dates are.
     """
     numbered = [
         (spec, number)
@@ -67,40 +68,21 @@ def cohort_events(
         for number, spec in enumerate(rows, start=1)
     ]
     parts = []
-    for (schema, table, date, field), group in grouped(
-        numbered,
-        lambda e: (
-            e[0].schema,
-            e[0].table,
-            e[0].date_field,
-            e[0].concept_field if e[0].conceptset_name else None,
-        ),
-    ).items():
-        df = tables.scan(table, schema).withColumns(
-            {"__key": F.col(key), "__date": F.col(date).cast("date")}
-        )
-        keep = ["site", "__key", "__date"]
-        if field is None:
-            items = [
-                (
-                    check_name(check_string, spec.check_id),
-                    as_predicate(spec.filter_logic),
-                    {"cohort": F.lit(number)},
-                )
-                for spec, number in group
-            ]
-            parts.append(matching_rows(df, items, keep))
-        else:
-            items = [
-                (
-                    {"check_name": check_name(check_string, spec.check_id), "cohort": number},
-                    code_sets.get(spec.conceptset_name),
-                    as_predicate(spec.filter_logic),
-                )
-                for spec, number in group
-            ]
-            parts.append(code_set_rows(df, field, items, keep))
-    return union_all(parts).filter(F.col("__key").isNotNull())
+    for (schema, table), group in grouped(numbered, lambda e: (e[0].schema, e[0].table)).items():
+        df = tables.scan(table, schema).withColumn("__key", F.col(key))
+        tags = [
+            Tag(
+                {"check_name": check_name(check_string, spec.check_id), "cohort": number},
+                {"__date": F.col(spec.date_field).cast("date")},
+                as_predicate(spec.filter_logic),
+                spec.concept_field,
+                code_sets.get(spec.conceptset_name) if spec.conceptset_name else None,
+            )
+            for spec, number in group
+        ]
+        found = df.filter(F.col("__key").isNotNull())
+        parts.append(tagged_rows(found, tags, ["site", "__key"]))
+    return union_all(parts)
 
 
 def near_pairs(events: DataFrame, windows: Mapping[str, float | None]) -> DataFrame:

@@ -12,11 +12,12 @@ from sitelens.operators.reshape import stack
 from sitelens.operators.sets import union_all
 from sitelens.plans.checks.common import (
     HEADER,
+    Tag,
     as_predicate,
     check_name,
-    code_set_rows,
     grouped,
     labelled,
+    tagged_rows,
     with_header,
 )
 from sitelens.sources.specs import CodeSets, ExpectedConceptSpec
@@ -35,24 +36,23 @@ def expected_concepts(
     Our definition: the share is over distinct persons of the cohort; a site appears for every
     check whose cohort has persons there, with 0 when none of them has the concept.
 
-    Checks on one table and concept field share one scan and one join with the labelled code
-    sets. Facts are reduced to one row per person, with a flag per check, before they meet the
+    Checks on one table share one scan and one join with the labelled code sets, whatever their
+    concept fields. Facts are reduced to one row per person, with a flag per check, before they meet the
     cohorts, which are read once.
     """
     person = ["site", "person_id"]
     hits = []
-    for (schema, table, field), group in grouped(
-        specs, lambda s: (s.schema, s.table, s.concept_field)
-    ).items():
-        items = [
-            (
+    for (schema, table), group in grouped(specs, lambda s: (s.schema, s.table)).items():
+        tags = [
+            Tag(
                 {"check_name": check_name(check_string, s.check_id)},
-                code_sets.get(s.conceptset_name),
-                as_predicate(s.filter_logic),
+                predicate=as_predicate(s.filter_logic),
+                concept_field=s.concept_field,
+                codes=code_sets.get(s.conceptset_name),
             )
             for s in group
         ]
-        hits.append(code_set_rows(tables.scan(table, schema), field, items, person))
+        hits.append(tagged_rows(tables.scan(table, schema), tags, person))
     names = {check_name(check_string, s.check_id): s for s in specs}
     flags = {name: f"__has_{i}" for i, name in enumerate(names)}
     persons = union_all(hits).groupBy(*person).agg(

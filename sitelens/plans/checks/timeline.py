@@ -43,12 +43,11 @@ def facts_over_time(
     zeros where there is nothing. sites lists the sites to show; by default these are the
     sites with any counted fact.
 
-    All checks of a table share one scan. Rows are reduced to one per visit, person and month
-    before the distinct counts.
+    All checks of a table share one scan. Rows are counted per visit and per person of a month
+    before they are shuffled; the distinct counts are the numbers of these.
     """
     first = F.lit(start)
     last = F.lit(as_of) if as_of is not None else F.current_date()
-    counted = ["site", "check_name", "time_start", "visit_occurrence_id", "person_id"]
     parts = []
     for (schema, table), group in grouped(specs, lambda s: (s.schema, s.table)).items():
         df = tables.scan(table, schema)
@@ -66,14 +65,14 @@ def facts_over_time(
                 )
             )
         rows = matching_rows(df, items, ["site", "visit_occurrence_id", "person_id"])
-        parts.append(rows.groupBy(*counted).agg(F.count(F.lit(1)).alias("__n")))
+        parts.append(_by_visit_and_person(rows))
     counts = (
         union_all(parts)
-        .groupBy("site", "check_name", "time_start")
+        .groupBy(*MONTH)
         .agg(
-            F.sum("__n").alias("row_cts"),
-            F.countDistinct("visit_occurrence_id").alias("row_visits"),
-            F.countDistinct("person_id").alias("row_pts"),
+            F.sum("__rows").alias("row_cts"),
+            F.count("visit_occurrence_id").alias("row_visits"),
+            F.count("person_id").alias("row_pts"),
         )
     )
     names = {check_name(check_string, s.check_id): s for s in specs}
@@ -96,6 +95,30 @@ def facts_over_time(
     ).select(*HEADER, "domain", "time_start", "time_end", *COUNTS)
 
 
+MONTH = ("site", "check_name", "time_start")
+
+
+def _by_visit_and_person(rows: DataFrame) -> DataFrame:
+    """Per site, check and month: a row for each visit, with how many rows it has, and one for each
+    person, with none. Visits and persons are counted side by side, so what is shuffled is their sum
+    and not their pairs."""
+    visit, person = F.col("visit_occurrence_id"), F.col("person_id")
+    none = lambda column, name: F.when(F.lit(False), column).alias(name)
+    entries = F.array(
+        F.struct(
+            F.lit(1).alias("counts"), visit.alias("visit"), none(person, "person")
+        ),
+        F.struct(F.lit(0).alias("counts"), none(visit, "visit"), person.alias("person")),
+    )
+    tagged = rows.select(*MONTH, F.explode(entries).alias("__entry"))
+    return tagged.groupBy(
+        *MONTH,
+        F.col("__entry.counts").alias("__counts"),
+        F.col("__entry.visit").alias("visit_occurrence_id"),
+        F.col("__entry.person").alias("person_id"),
+    ).agg(F.sum("__entry.counts").alias("__rows"))
+
+
 def _within(date: Column, first: Column, last: Column) -> Column:
     return (date >= first) & (date <= last)
 

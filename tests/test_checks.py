@@ -334,3 +334,38 @@ def test_rows_in_another_order_change_nothing(coded, rows):
     assert rows(checks.unmapped_concepts(coded, UNMAPPED, "v")) == rows(
         checks.unmapped_concepts(shuffled, UNMAPPED, "v")
     )
+
+
+@pytest.mark.parametrize("plain", [True, False])
+def test_tags_of_several_fields_are_found_in_one_pass(spark, plain):
+    """Against a loop: several code fields, tags without codes, predicates, dates of their own."""
+    from sitelens.plans.checks.common import Tag, tagged_rows
+
+    data = [(i, i % 3 or None, (i * 7) % 5, f"d{i % 2}", f"e{i}") for i in range(30)]
+    df = spark.createDataFrame(data, "n long, a long, b int, d string, e string")
+    sets = {name: spark.createDataFrame([(x,) for x in values], "concept_id long")
+            for name, values in {"x": [1, 2], "y": [0, 3], "empty": []}.items()}
+    tags = [
+        Tag({"check_name": "one"}, {"day": F.col("d")}, None, "a", sets["x"]),
+        Tag({"check_name": "two"}, {"day": F.col("e")}, F.expr("n > 10"), "a", sets["x"]),
+        Tag({"check_name": "three"}, {"day": F.col("d")}, F.expr("a = 1 AND n < 25"), "b", sets["y"]),
+        Tag({"check_name": "four"}, {"day": F.col("d")}, None, "b", sets["empty"]),
+    ]
+    codes = {"one": ("a", {1, 2}), "two": ("a", {1, 2}), "three": ("b", {0, 3}), "four": ("b", set())}
+    expected = []
+    for n, a, b, d, e in data:
+        row = {"a": a, "b": b}
+        for name, (field, members) in codes.items():
+            holds = {"two": n > 10, "three": a == 1 and n < 25}.get(name, True)
+            if holds and row[field] in members:
+                expected.append((n, name, e if name == "two" else d))
+    if plain:
+        tags.append(Tag({"check_name": "five"}, {"day": F.col("d")}, F.expr("n % 4 = 0")))
+        tags.append(Tag({"check_name": "six"}, {"day": F.col("e")}))
+        expected += [(n, "five", d) for n, _, _, d, _ in data if n % 4 == 0]
+        expected += [(n, "six", e) for n, _, _, _, e in data]
+    found = tagged_rows(df, tags, ["n"])
+    assert sorted(map(tuple, found.collect())) == sorted(expected)
+    alone = tagged_rows(df, tags[-2:], ["n"]) if plain else tagged_rows(df, tags[:1], ["n"])
+    names = {"five", "six"} if plain else {"one"}
+    assert sorted(map(tuple, alone.collect())) == sorted(x for x in expected if x[1] in names)
