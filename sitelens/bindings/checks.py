@@ -232,13 +232,16 @@ def vs_sql() -> str:
     return " UNION ALL ".join(parts)
 
 
-def vs(spark, folder, site="region"):
-    sets = {
+def vs(spark, folder, site="region", extra=(), sets=None):
+    allowed = {
         name: spark.createDataFrame([(value,) for value in values], ["concept_id"])
         for name, values in ALLOWED.items()
     }
     return checks.value_set_conformance(
-        v.clinical_tables(spark, folder, site), VALUE_SETS, CodeSets(named=sets), VERSION
+        v.clinical_tables(spark, folder, site),
+        [*VALUE_SETS, *extra],
+        CodeSets(named=allowed | (sets or {})),
+        VERSION,
     )
 
 

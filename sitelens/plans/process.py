@@ -54,10 +54,15 @@ def process_cycle(counts: DataFrame, metadata: DataFrame) -> DataFrame:
 
 @dataclass(frozen=True)
 class Conformance:
-    """Shares per application, and the rejected values behind them."""
+    """Shares per application, and the rejected values behind them.
+
+    `by_value` is the one aggregate that violations and zero rows are read off: a row per site,
+    application and value, in which all accepted values are one row.
+    """
 
     processed: DataFrame
     violations: DataFrame
+    by_value: DataFrame
 
 
 def process_conformance(counts: DataFrame, value: str) -> Conformance:
@@ -84,19 +89,18 @@ def process_conformance(counts: DataFrame, value: str) -> Conformance:
     )
     valued = flagged.withColumn(value, F.when(~accepted, F.col(value)))
     counted = with_totals(valued, [*keys, value], ["accepted_ct", "viol_ct"])
-    violations = (
-        with_result_values(counted, ["site", *keys], {"total_denom_ct": F.sum(denominator)})
-        .filter(F.col("viol_ct") > 0)
-        .withColumnRenamed("viol_ct", "tot_ct")
-        .withColumns(
-            {
-                "accepted_value": F.lit(False),
-                "tot_prop": proportion("tot_ct", "total_denom_ct"),
-            }
-        )
-        .drop("accepted_ct")
+    by_value = with_result_values(
+        counted,
+        ["site", *keys],
+        {"total_denom_ct": F.sum(denominator), "__most": F.max("viol_ct")},
+    ).withColumnRenamed("viol_ct", "tot_ct")
+    violations = by_value.filter(F.col("tot_ct") > 0).withColumns(
+        {
+            "accepted_value": F.lit(False),
+            "tot_prop": proportion("tot_ct", "total_denom_ct"),
+        }
     )
-    return Conformance(processed, violations)
+    return Conformance(processed, violations.drop("accepted_ct", "__most"), by_value)
 
 
 ZERO_KEYS = (
@@ -111,13 +115,24 @@ ZERO_KEYS = (
 
 
 def with_zero_rows(result: Conformance) -> DataFrame:
-    """Violations, plus a zero row for every application without one."""
-    applications = result.processed.select(*ZERO_KEYS).distinct()
-    rows = null_safe_join(applications, result.violations, on=ZERO_KEYS, how="full")
-    filled = rows.withColumns(
-        {"tot_ct": zero_if_null("tot_ct"), "tot_prop": zero_if_null("tot_prop")}
+    """Violations, plus a zero row for every application without one.
+
+    An application without a violation has one row in the aggregate, that of its accepted values.
+    """
+    violating = F.col("tot_ct") > 0
+    share = zero_if_null(proportion("tot_ct", "total_denom_ct"))
+    rows = (
+        result.by_value.filter(violating | (F.col("__most") == 0))
+        .withColumn("accepted_value", F.lit(False))
+        .withColumn("tot_prop", share)
     )
-    return _application(filled, ROWS_SUFFIX)
+    # What a zero row says besides its application is nothing.
+    rest = [
+        F.col(name) if name in ("tot_ct", "tot_prop") else F.when(violating, F.col(name)).alias(name)
+        for name in result.violations.columns
+        if name not in ZERO_KEYS
+    ]
+    return _application(rows.select(*ZERO_KEYS, *rest), ROWS_SUFFIX)
 
 
 def process_unmapped(counts: DataFrame) -> DataFrame:
