@@ -332,17 +332,16 @@ def _dimensions(spark, folder, region):
     UNION ALL SELECT 'general', * FROM ({_specialty_sql('ASIA', OFFICE)})""",
 )
 def three_specialties(spark, folder):
-    seen = _attended(spark, folder)
-    parts = [
-        cohorts.specialty_visits(
-            seen, *_dimensions(spark, folder, region), general=GENERAL
-        ).withColumn("kind", F.lit(kind))
-        for kind, region in (("nephrology", "AMERICA"), ("oncology", "EUROPE"))
-    ]
-    general = cohorts.general_practice_visits(
-        seen, *_dimensions(spark, folder, "ASIA"), visit_concept=OFFICE, general=GENERAL
-    ).withColumn("kind", F.lit("general"))
-    return parts[0].unionByName(parts[1]).unionByName(general)
+    regions = {"nephrology": "AMERICA", "oncology": "EUROPE", "general": "ASIA"}
+    return cohorts.visits_by_specialty(
+        _attended(spark, folder),
+        v.providers(spark, folder),
+        v.care_sites(spark, folder),
+        {kind: v.region_nations(spark, folder, region) for kind, region in regions.items()},
+        visit_concepts={"general": OFFICE},
+        general=GENERAL,
+        label="kind",
+    )
 
 
 @query(
@@ -392,24 +391,14 @@ def facts_by_setting(spark, folder):
     lines = table(spark, folder, "lineitem").selectExpr(
         "l_orderkey AS visit_occurrence_id", "l_linenumber", "l_partkey", "l_returnflag"
     )
-    cuts = (
-        ("vodi", (OFFICE,), "A"),
-        ("vipdp", INPATIENT, "R"),
-        ("prvo", (OFFICE,), None),
-    )
-    parts = [
-        cohorts.facts_at_visits(
-            lines, seen, concepts, "l_returnflag" if kind else None, kind
-        ).withColumn("kind", F.lit(name))
-        for name, concepts, kind in cuts
-    ]
-    return (
-        parts[0]
-        .unionByName(parts[1])
-        .unionByName(parts[2])
-        .withColumnsRenamed(
-            {"visit_occurrence_id": "l_orderkey", "visit_concept_id": "o_orderpriority"}
-        )
+    settings = {
+        "vodi": cohorts.Setting((OFFICE,), "A"),
+        "vipdp": cohorts.Setting(INPATIENT, "R"),
+        "prvo": cohorts.Setting((OFFICE,)),
+    }
+    found = cohorts.facts_by_setting(lines, seen, settings, "l_returnflag", label="kind")
+    return found.withColumnsRenamed(
+        {"visit_occurrence_id": "l_orderkey", "visit_concept_id": "o_orderpriority"}
     )
 
 

@@ -7,9 +7,10 @@ or visit is tied to the person by site and person_id together wherever both side
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sitelens.functions.columns import (
@@ -23,8 +24,9 @@ from sitelens.functions.columns import (
 )
 from sitelens.operators.groups import rows_at_minimum
 from sitelens.operators.joins import join_code_set, natural_join, site_keys
-from sitelens.operators.sets import union_distinct
+from sitelens.operators.sets import union_all, union_distinct
 from sitelens.plans import fixed
+from sitelens.plans.checks.common import matching_rows
 
 
 def payer_with_date(
@@ -277,19 +279,71 @@ def specialty_visits(
     site_side = join_code_set(care_sites, codes, "specialty_concept_id").select(
         *care_site_keys, F.col("specialty_concept_id").alias("cs_specialty")
     )
+    return (
+        visits.join(provider_side, provider_keys, "left")
+        .join(site_side, care_site_keys, "left")
+        .filter(any_present("prov_specialty", "cs_specialty"))
+        .withColumn("visit_specialty_concept_id", _preferred(general))
+        .drop("prov_specialty", "cs_specialty")
+    )
+
+
+def _preferred(general: int) -> Column:
     provider, care_site = F.col("prov_specialty"), F.col("cs_specialty")
-    choice = (
+    return (
         F.when(provider != general, provider)
         .when(care_site != general, care_site)
         .when((provider == general) | (care_site == general), F.lit(general))
         .otherwise(F.lit(0))
     )
+
+
+def visits_by_specialty(
+    visits: DataFrame,
+    providers: DataFrame,
+    care_sites: DataFrame,
+    specialties: Mapping[str, DataFrame],
+    visit_concepts: Mapping[str, object] | None = None,
+    general: int = fixed.GENERAL_SPECIALTY,
+    label: str = "specialty",
+) -> DataFrame:
+    """What specialty_visits gives for each of several code sets, told apart by a label, from one pass
+    over the visits.
+
+    Providers and care sites get the list of labelled specialties that are theirs. A visit meets each
+    side once, is repeated for the labels of either, and the preference is resolved per label.
+    visit_concepts restricts a label to visits of one class.
+    """
+    listed = union_all(
+        codes.select("concept_id", F.lit(name).alias("__label")) for name, codes in specialties.items()
+    )
+
+    def side(dimension: DataFrame, keys: Sequence[str], name: str) -> DataFrame:
+        coded = join_code_set(dimension, listed, "specialty_concept_id", keep=["__label"])
+        entry = F.struct("__label", "specialty_concept_id")
+        # As many entries as there are labels for one specialty.
+        return coded.groupBy(*keys).agg(F.collect_list(entry).alias(name))
+
+    provider_keys = site_keys(visits, providers, "provider_id")
+    care_site_keys = site_keys(visits, care_sites, "care_site_id")
+    met = visits.join(side(providers, provider_keys, "__provider"), provider_keys, "left").join(
+        side(care_sites, care_site_keys, "__care_site"), care_site_keys, "left"
+    )
+    entries = [F.coalesce(F.col(x), F.array()) for x in ("__provider", "__care_site")]
+    labels = F.array_distinct(F.concat(*[F.transform(e, lambda x: x["__label"]) for e in entries]))
+    labelled = met.withColumn(label, F.explode(labels))
+    for name, concept in (visit_concepts or {}).items():
+        labelled = labelled.filter((F.col(label) != name) | (F.col("visit_concept_id") == concept))
+
+    def of_label(name: str) -> Column:
+        own = F.filter(F.col(name), lambda x: x["__label"] == F.col(label))
+        return F.explode_outer(F.transform(own, lambda x: x["specialty_concept_id"]))
+
     return (
-        visits.join(provider_side, provider_keys, "left")
-        .join(site_side, care_site_keys, "left")
-        .filter(any_present("prov_specialty", "cs_specialty"))
-        .withColumn("visit_specialty_concept_id", choice)
-        .drop("prov_specialty", "cs_specialty")
+        labelled.withColumn("prov_specialty", of_label("__provider"))
+        .withColumn("cs_specialty", of_label("__care_site"))
+        .withColumn("visit_specialty_concept_id", _preferred(general))
+        .drop("prov_specialty", "cs_specialty", "__provider", "__care_site")
     )
 
 
@@ -345,6 +399,40 @@ def facts_at_visits(
     return facts.join(chosen.select(*keys, "visit_concept_id"), keys)
 
 
+@dataclass(frozen=True)
+class Setting:
+    """Where facts are looked for: classes of visits, and a record type if it matters."""
+
+    visit_concepts: Sequence
+    type_concept: object = None
+
+
+def facts_by_setting(
+    facts: DataFrame,
+    visits: DataFrame,
+    settings: Mapping[str, Setting],
+    type_field: str,
+    label: str = "setting",
+) -> DataFrame:
+    """What facts_at_visits gives for each of several settings, told apart by a label.
+
+    Facts and visits are read and joined once; a row is repeated only for the settings it belongs to.
+    """
+    every = sorted({c for s in settings.values() for c in s.visit_concepts}, key=str)
+    keys = site_keys(facts, visits, "visit_occurrence_id")
+    chosen = visits.filter(F.col("visit_concept_id").isin(every))
+    met = facts.join(chosen.select(*keys, "visit_concept_id"), keys)
+
+    def belongs(setting: Setting) -> Column:
+        at = F.col("visit_concept_id").isin(list(setting.visit_concepts))
+        if setting.type_concept is None:
+            return at
+        return at & (F.col(type_field) == setting.type_concept)
+
+    items = [(name, belongs(setting), {}) for name, setting in settings.items()]
+    return matching_rows(met, items, met.columns).withColumnRenamed("check_name", label)
+
+
 def persons_with_code_and_lab(
     conditions: DataFrame,
     dx_codes: DataFrame,

@@ -184,3 +184,54 @@ def test_ids_are_unique_within_a_site_only(spark, rows):
     assert [r[1] for r in rows(found, "site", "pn_gestational_age")] == [30.0, 50.0]
     payers = spark.createDataFrame([("a", 7)], "site string, visit_occurrence_id long")
     assert rows(cohorts.payer_persons(payers, visits)) == [("a", 1, 7)]
+
+
+def test_specialties_in_one_pass_are_those_of_each(spark, rows):
+    """Also with a provider listed twice, a code in two sets and a set that nobody has."""
+    general = fixed.GENERAL_SPECIALTY
+    visits = spark.createDataFrame(
+        [(i, p, c, 9202 + i % 2) for i, (p, c) in enumerate(
+            (p, c) for p in (None, 1, 2, 3, 9) for c in (None, 1, 2, 3))],
+        "visit_occurrence_id bigint, provider_id bigint, care_site_id bigint, visit_concept_id bigint",
+    )
+    providers = spark.createDataFrame(
+        [(1, 100), (2, general), (3, 999), (9, 100), (9, 300), (None, 100)],
+        "provider_id bigint, specialty_concept_id bigint",
+    )
+    care_sites = spark.createDataFrame(
+        [(1, 200), (2, general), (3, 300)], "care_site_id bigint, specialty_concept_id bigint"
+    )
+    codes = {
+        "one": [100, 200, general], "two": [300, 100, 100], "none": [5], "three": [general, 300],
+    }
+    sets = {n: spark.createDataFrame([(x,) for x in v], "concept_id bigint") for n, v in codes.items()}
+    columns = ("visit_occurrence_id", "visit_specialty_concept_id")
+    together = cohorts.visits_by_specialty(
+        visits, providers, care_sites, sets, visit_concepts={"three": 9202}
+    )
+    for name, codes_ in sets.items():
+        seen = visits.filter("visit_concept_id = 9202") if name == "three" else visits
+        alone = cohorts.specialty_visits(seen, providers, care_sites, codes_)
+        assert rows(together.filter(F.col("specialty") == name), *columns) == rows(alone, *columns)
+
+
+def test_settings_in_one_pass_are_those_of_each(spark, rows):
+    visits = spark.createDataFrame(
+        [(i, (9201, 9202, 9203, None)[i % 4]) for i in range(8)],
+        "visit_occurrence_id bigint, visit_concept_id bigint",
+    )
+    facts = spark.createDataFrame(
+        [(i % 9 if i % 5 else None, (1, 2, None)[i % 3], i) for i in range(40)],
+        "visit_occurrence_id bigint, kind bigint, n bigint",
+    )
+    settings = {
+        "office": cohorts.Setting((9202,), 1),
+        "ward": cohorts.Setting((9201, 9203), 2),
+        "any": cohorts.Setting((9202, 9201)),
+    }
+    together = cohorts.facts_by_setting(facts, visits, settings, "kind")
+    for name, s in settings.items():
+        field = None if s.type_concept is None else "kind"
+        alone = cohorts.facts_at_visits(facts, visits, s.visit_concepts, field, s.type_concept)
+        columns = ("visit_occurrence_id", "kind", "n", "visit_concept_id")
+        assert rows(together.filter(F.col("setting") == name), *columns) == rows(alone, *columns)
