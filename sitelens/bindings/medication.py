@@ -196,14 +196,8 @@ def _tracking_sql(grouped: bool) -> str:
 
 
 def results(spark, folder):
-    now = drugs(spark, folder)
-    before = now.filter(F.col("fact_date") < "2001-01-01")
-    return union_all(
-        [
-            medication.population(now, VERSION, FIELDS, groups()),
-            medication.population(before, PREVIOUS_VERSION, FIELDS, groups()),
-        ]
-    )
+    versions = {VERSION: None, PREVIOUS_VERSION: F.col("fact_date") < "2001-01-01"}
+    return medication.population_by_version(drugs(spark, folder), versions, FIELDS, groups())
 
 
 VERSIONS = (PREVIOUS_VERSION, VERSION)

@@ -21,6 +21,7 @@ from sitelens.operators.joins import decode
 from sitelens.operators.reshape import column_spreads, spread, stack, wide
 from sitelens.operators.sets import union_all
 from sitelens.plans import fixed
+from sitelens.plans.checks.common import matching_rows
 from sitelens.plans.checks.unmapped import Measure, count_unmapped
 from sitelens.plans.cohorts import with_descendants
 
@@ -166,12 +167,67 @@ def population(
     groups: Sequence[FieldGroup] | None = None,
     keys: Sequence[str] = ("site",),
 ) -> DataFrame:
-    """Single fields and field groups together."""
-    return union_all(
-        [
-            field_population(drugs, version, fields, keys),
-            joint_population(drugs, version, groups, keys),
-        ]
+    """Single fields and field groups together, from one aggregation."""
+    return _population(drugs, fields, groups, keys, F.lit(version))
+
+
+def population_by_version(
+    drugs: DataFrame,
+    versions: Mapping[str, Column | None],
+    fields: Sequence[Field] = FIELDS,
+    groups: Sequence[FieldGroup] | None = None,
+    keys: Sequence[str] = ("site",),
+) -> DataFrame:
+    """Population of several data versions, each the rows that meet a predicate (None: all), from one
+    scan and one aggregation in which the version is a key."""
+    items = [(version, predicate, {}) for version, predicate in versions.items()]
+    rows = matching_rows(drugs, items, drugs.columns).withColumnRenamed("check_name", "__version")
+    return _population(rows, fields, groups, [*keys, "__version"], F.col("__version")).drop("__version")
+
+
+def _population(
+    drugs: DataFrame,
+    fields: Sequence[Field],
+    groups: Sequence[FieldGroup] | None,
+    keys: Sequence[str],
+    version: Column,
+    check_string: str = "uc",
+) -> DataFrame:
+    chosen = list(groups if groups is not None else standard_groups())
+    unmapped = [
+        F.count_if(is_unmapped(f.column, f.codes, null_counts=True)).alias(f"__field_{i}")
+        for i, f in enumerate(fields)
+    ]
+    populated = [F.count_if(g.populated).alias(f"__group_{i}") for i, g in enumerate(chosen)]
+    counts = drugs.groupBy(*keys).agg(F.count(F.lit(1)).alias("total_rows"), *unmapped, *populated)
+
+    def row(of: Field | FieldGroup, unmapped: Column, populated: Column, share: Column) -> dict:
+        return {
+            "check_name": F.lit(f"{check_string}_{of.check_id}"),
+            "check_description": F.lit(of.description),
+            "unmapped_rows": unmapped.cast("long"),
+            "unmapped_prop": share,
+            "populated_rows": populated.cast("long"),
+        }
+
+    none = F.lit(None)
+    rows = [
+        row(f, F.col(f"__field_{i}"), none, zero_if_null(proportion(f"__field_{i}", "total_rows")))
+        for i, f in enumerate(fields)
+    ] + [
+        row(
+            g,
+            none,
+            F.col(f"__group_{i}"),
+            F.lit(1.0) - F.round(proportion(f"__group_{i}", "total_rows"), 2),
+        )
+        for i, g in enumerate(chosen)
+    ]
+    headed = {"check_type": F.lit(check_string), "database_version": version}
+    return (
+        stack(counts, [*keys, "total_rows"], rows)
+        .withColumns(headed)
+        .select(*keys, *HEADER, "unmapped_rows", "unmapped_prop", "populated_rows")
     )
 
 
@@ -218,13 +274,8 @@ def dose_distribution(
 ) -> DataFrame:
     """Spread of the dose per unit; units that say nothing are put together."""
     named = F.when(F.col(unit).isin(list(null_units)), F.lit(no_unit)).otherwise(F.col(unit))
-    return (
-        drugs.withColumn(unit, named)
-        .filter(F.col(dose).isNotNull())
-        .groupBy(*keys, unit)
-        .agg(*spread(dose))
-        .withColumn("metadata_type", F.lit("dose"))
-    )
+    doses = spread(drugs.withColumn(unit, named), [*keys, unit], dose)
+    return doses.withColumn("metadata_type", F.lit("dose"))
 
 
 def with_length(
