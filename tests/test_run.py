@@ -255,3 +255,17 @@ def test_tables_are_renamed_dropped_and_pruned(finished):
     assert store.read("uc_output").count() == rows.count()
     run.drop_cohorts(job, ["ip_admit", "absent"])
     assert store.names() == ["uc_output"]
+
+
+def test_one_site_is_judged_alone(finished):
+    """A delivery of one site passes or fails by itself."""
+    every = run.run_gate(finished, stop=False)
+    assert {r.site for r in every.collect()} >= {"a"}
+    failed = {r.site for r in every.collect()}
+    for site in ("a", "b", "c"):
+        own = run.run_gate(finished, stop=False, sites=[site]).collect()
+        assert {r.site for r in own} == {site} & failed
+        if site in failed:
+            with pytest.raises(Exception, match="(?i)fail"):
+                run.run_gate(finished, sites=[site])
+    assert run.run_gate(finished, sites=["nobody"]).count() == 0
