@@ -10,10 +10,10 @@ A document is cut where it is read: there is no shuffle, and a lost executor rep
 number of a sequence says its bucket, the partition that read it and its place there, so sorting by
 it sorts by bucket. `write_buckets` stores sequences in a folder per bucket.
 
-Ids are those of the tokenizers library. Most words of a text have been seen before, so each task keeps
-the ids of pre-tokens it has met (a bounded table) and gives the library only those that are new. That
+Ids are those of the tokenizers library. Most words of a text have been seen before, so each worker keeps
+the ids of words it has met (a bounded table) and gives the library's model only those that are new. That
 is done for ASCII and the letters of Latin-1, for which lower case and pre-tokens are simple; words with
-other characters go to the library whole. No pre-token holds white space, so a text can be encoded in
+other characters go through the whole library. No pre-token holds white space, so a text can be encoded in
 sections that end at spaces, and long texts are.
 
 Cases: a null or empty text has the end id only, one piece of length 1. Rows that repeat an id are
@@ -34,10 +34,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
+from sitelens.llm.bpe import byte_letters
+
 #: The longest sequence; a power of two.
 LONGEST = 2048
 
-#: Pre-tokens whose ids a worker remembers, twice; longer ones are not remembered.
+#: Words, and pre-tokens of words, whose ids a worker remembers; longer ones are not remembered.
 REMEMBERED, LONG_WORD = 300_000, 64
 
 #: Characters after which a section of a text ends at the next space.
@@ -67,46 +69,42 @@ class Encoder:
         self.library = Tokenizer.from_str(definition)
         self.library.no_truncation()
         self.library.no_padding()
+        self.model = self.library.model
         self.special = [t.content for t in self.library.get_added_tokens_decoder().values()]
-        # Packed ids by pre-token. When the table is full it becomes the older one, and only what
-        # is met again moves on.
+        # The model knows bytes by letters that stand for them.
+        self.letters = {value: letter for letter, value in byte_letters().items()}
+        self.pre_token = functools.lru_cache(REMEMBERED)(self._pre_token)
+        # Ids by word. When the table is full it becomes the older one, and only what is met again
+        # moves on.
         self.known: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
 
     def _library(self, text: str) -> bytes:
         return array("I", self.library.encode(text, add_special_tokens=False).ids).tobytes()
 
-    def _learn(self, order: list[str]) -> dict[str, bytes]:
-        """Ids of words without white space that are single pre-tokens, all in one call.
-
-        What is short is remembered; what is long is only returned.
-        """
-        found = self.library.encode(" ".join(order), add_special_tokens=False)
-        ids = array("I", found.ids).tobytes()
-        ends = [0] * len(order)
-        for place, word in enumerate(found.word_ids):
-            ends[word] = place + 1
-        long_ones, begin = {}, 0
-        for word, end in zip(order, ends, strict=True):
-            packed = ids[4 * begin : 4 * end]
-            begin = end
-            (self.known if len(word) <= LONG_WORD else long_ones)[word] = packed
-        return long_ones
+    def _pre_token(self, word: str) -> bytes:
+        if not word.isascii():
+            word = word.encode().decode("latin-1").translate(self.letters)
+        return array("I", [token.id for token in self.model.tokenize(word)]).tobytes()
+
+    def _word(self, word: str) -> bytes:
+        """The ids of a lower-case word without odd characters."""
+        if len(word) > LONG_WORD:
+            return b"".join(map(self._pre_token, _PRE_TOKEN.findall(word)))
+        return b"".join(map(self.pre_token, _PRE_TOKEN.findall(word)))
 
     def _simple(self, text: str) -> bytes:
         """The ids of a text without odd characters and special tokens."""
-        words = _PRE_TOKEN.findall(text.lower())
+        words = text.lower().split()
         if len(self.known) >= REMEMBERED:
             self.known, self.older = {}, self.known
-        known, older = self.known, self.older
-        new = []
+        known, older, long_ones = self.known, self.older, {}
         for word in set(words):
             if word not in known:
-                if word in older:
-                    known[word] = older[word]
-                else:
-                    new.append(word)
-        long_ones = self._learn(new) if new else None
+                ids = older.get(word)
+                if ids is None:
+                    ids = self._word(word)
+                (known if len(word) <= LONG_WORD else long_ones)[word] = ids
         if long_ones:
             return b"".join([long_ones[w] if w in long_ones else known[w] for w in words])
         return b"".join(map(known.__getitem__, words))
