@@ -19,6 +19,7 @@ import bisect
 import math
 import re
 from collections import Counter
+from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -53,9 +54,11 @@ _IDENTIFIER = re.compile(
     re.IGNORECASE | re.ASCII,
 )
 _RANDOM = re.compile(r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{20,}(?![A-Za-z0-9+/_=-])", re.ASCII)
-_ENDPOINT = re.compile(
-    r"\b[a-z][a-z0-9+]*://[A-Za-z0-9.-]+(?::[0-9]+)?(?:/[A-Za-z0-9._~/-]*)?"
-    r"|\b(?:host|endpoint|server|url)[\"']?\x20*[:=]\x20*[\"']?[A-Za-z0-9.-]+(?::[0-9]+)?",
+_ADDRESS = re.compile(
+    r"[a-z][a-z0-9+]*://[A-Za-z0-9.-]+(?::[0-9]+)?(?:/[A-Za-z0-9._~/-]*)?", re.IGNORECASE | re.ASCII
+)
+_SERVICE = re.compile(
+    r"\b(?:host|endpoint|server|url)[\"']?\x20*[:=]\x20*[\"']?[A-Za-z0-9.-]+(?::[0-9]+)?",
     re.IGNORECASE | re.ASCII,
 )
 _BLANK_LINE = re.compile(r"\n[ \t]*\n")
@@ -86,10 +89,54 @@ def weak_parts(text: str) -> dict[str, list[tuple[int, int]]]:
     return {
         "identifier": [m.span(1) for m in _IDENTIFIER.finditer(text)],
         "secret": [m.span() for m in _RANDOM.finditer(text) if looks_random(m[0])],
-        "endpoint": [m.span() for m in _ENDPOINT.finditer(text)],
+        "endpoint": endpoints(text),
     }
 
 
+def endpoints(text: str) -> list[tuple[int, int]]:
+    """Addresses with a scheme, and names of services with a value, leftmost and not overlapping.
+
+    Addresses are looked for at their "://" and grown to the left, so that text without any is not
+    tried at every word.
+    """
+    found = []
+    place, mark = 0, text.find("://")
+    service = _SERVICE.search(text)
+    while mark >= 0 or service is not None:
+        address = None
+        if mark >= 0:
+            begin = _scheme(text, place, mark)
+            address = None if begin is None else _ADDRESS.match(text, begin)
+            if address is None:
+                mark = text.find("://", mark + 1)
+                continue
+        if address is not None and (service is None or address.start() <= service.start()):
+            found.append(address.span())
+        elif service is not None:
+            found.append(service.span())
+        place = found[-1][1]
+        if 0 <= mark < place:
+            mark = text.find("://", place)
+        if service is not None and service.start() < place:
+            service = _SERVICE.search(text, place)
+    return found
+
+
+def _scheme(text: str, place: int, mark: int) -> int | None:
+    """The first place, from `place` on, at which a scheme that ends at a mark can begin."""
+    begin = mark
+    while begin > place and (text[begin - 1].isascii() and (text[begin - 1].isalnum() or text[begin - 1] == "+")):
+        begin -= 1
+    for at in range(begin, mark):
+        if text[at].isalpha() and (at == 0 or not _word_character(text[at - 1])):
+            return at
+    return None
+
+
+def _word_character(character: str) -> bool:
+    return character.isascii() and (character.isalnum() or character == "_")
+
+
 def within_reach(
     parts: list[tuple[int, int]], others: list[tuple[int, int]], reach: int
 ) -> list[tuple[int, int]]:
@@ -153,10 +200,7 @@ def spans(text: str, reach: int | None = REACH) -> list[Span]:
         }
         edges = [0, *[m.start() for m in _BLANK_LINE.finditer(text)], len(text) + 1]
         linked: list[Span] = []
-        for begin, end in zip(edges, edges[1:], strict=False):
-            inside = lambda parts, b=begin, e=end: [p for p in parts if b <= p[0] < e]
-            here = {role: inside(parts) for role, parts in roles.items()}
-            mine = {role: inside(parts) for role, parts in weak.items()}
+        for here, mine in _by_scope(roles, weak, edges):
 
             def near(parts, others, reach=reach):
                 if reach is None:
@@ -173,6 +217,24 @@ def spans(text: str, reach: int | None = REACH) -> list[Span]:
     return sorted(found, key=lambda s: (s[1], _ORDER[s[0]], s[2]))
 
 
+Parts = dict[str, list[tuple[int, int]]]
+
+
+def _by_scope(roles: Parts, weak: Parts, edges: list[int]) -> Iterator[tuple[Parts, Parts]]:
+    """The parts of every scope that has some, in one walk along the sorted parts and edges."""
+    scopes: dict[int, tuple[Parts, Parts]] = {}
+    for which, lists in enumerate((roles, weak)):
+        for role, parts in lists.items():
+            scope = 0
+            for part in sorted(parts):
+                while edges[scope + 1] <= part[0]:
+                    scope += 1
+                if scope not in scopes:
+                    scopes[scope] = ({r: [] for r in roles}, {r: [] for r in weak})
+                scopes[scope][which][role].append(part)
+    yield from scopes.values()
+
+
 def _may_link(text: str, found: list[Span]) -> bool:
     """An identifier or an endpoint is needed for any link: without its marks there is none."""
     return "://" in text or ":" in text or "=" in text or any(k == "access" for k, *_ in found)
