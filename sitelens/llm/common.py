@@ -16,8 +16,9 @@ SPACE_CLASS = r"\x20\x09-\x0D"
 #: A side of a join is broadcast only if its measured rows need at most so many bytes.
 BROADCAST_BYTES = 32 << 20
 
-#: Rows of text per Arrow batch, so that a batch of long documents fits a Python worker.
-BATCH_ROWS = 1000
+#: Rows and bytes of text per Arrow batch, so that a batch of long documents fits a Python worker. A
+#: batch ends with the row that reaches the bytes.
+BATCH_ROWS, BATCH_BYTES = 1000, 16 << 20
 
 
 def documents(spark: SparkSession, folder: str) -> DataFrame:
@@ -28,7 +29,10 @@ def prepare(spark: SparkSession) -> None:
     """Session settings the operators rely on; a checkpoint folder only where none is named."""
     spark.conf.set("spark.sql.adaptive.enabled", "true")
     spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "true")
+    # A key with a large share of the rows is dealt to several tasks, even at the cost of a shuffle.
+    spark.conf.set("spark.sql.adaptive.forceOptimizeSkewedJoin", "true")
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     context = spark.sparkContext
     # Local Python workers import the package from where the driver did, whatever their folder.
     # On a cluster it is installed or sent along as for any job.

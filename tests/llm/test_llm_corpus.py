@@ -317,3 +317,18 @@ def test_stages_take_any_columns(ready, tmp_path):
             if name != "bpe":
                 assert found.columns == docs.columns
             found.collect()
+
+
+def test_batches_are_bounded_by_bytes(ready):
+    """A batch of long documents is as many rows as fit, not a thousand of them."""
+    from sitelens.llm.common import BATCH_BYTES, map_batches
+
+    long_ = ready.range(200).selectExpr("repeat('x', 1000000) AS text").coalesce(1)
+
+    def sizes(batch):
+        import pyarrow as pa
+
+        return pa.RecordBatch.from_arrays([pa.array([batch.num_rows])], names=["n"])
+
+    found = [r.n for r in map_batches(long_, sizes, "n long").collect()]
+    assert sum(found) == 200 and max(found) <= BATCH_BYTES // 1_000_000 + 2
