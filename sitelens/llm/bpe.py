@@ -2,15 +2,21 @@
 
 Splitting off a pre-token, the merges of a byte-level BPE define for every prefix one last token:
 the encoding of a prefix is the encoding of the prefix before that token, and the token. A token
-may follow another only if the merges of both together give the two back (`_Merges.may_follow`).
-So the encoder reads bytes one at a time and keeps, for each of the last `lookahead` positions,
-the last token of the prefix that ends there. `lookahead` is the length of the longest token that
-the merge list can make: whatever follows, the next token starts at one of these positions. Tokens
-on which the paths from all of them agree are stable and are emitted, so the state is bounded for
-a pre-token of any length. Finished pre-tokens are remembered in a bounded table.
-
-The decoder turns ids back into bytes and bytes into text with an incremental UTF-8 machine; an
-incomplete or wrong sequence becomes U+FFFD.
+may follow another only if the merges of both together give the two back (`_Merges.may_follow`), and
+of all ways to cut a pre-token into tokens just one lets every token follow the one before it.
+
+A long pre-token is read one byte at a time. Of each of the last `lookahead` positions the last token of
+the prefix that ends there is kept. `lookahead` is the length of the longest token that the merge list
+can make: whatever follows, the next token starts at one of these positions. Tokens on which the paths
+to all of them agree are stable and are emitted, so the state is bounded for a pre-token of any
+length. A pre-token that fits the lookahead is known to its end, so its one way is searched forward:
+the longest token that may follow, then shorter ones, going back where none can. Finished pieces are
+remembered in a bounded table.
+
+Long texts are encoded in sections that end before a single space, where a pre-token always begins.
+Ids leave a section as they are made; the decoder turns them back into bytes and bytes into text with an
+incremental UTF-8 machine, and an incomplete or wrong sequence becomes U+FFFD. So digests of a text need
+no more than a section of it besides the text.
 
 Cases: a null or empty text has no tokens and decodes to an empty text. Text that spells a special
 token is that token, as in the library whose results these are.
@@ -40,7 +46,10 @@ PRE_TOKEN = (
 )
 
 #: Pieces between spaces whose ids a worker remembers, twice; longer ones are not remembered.
-REMEMBERED, LONG_PIECE = 120_000, 64
+REMEMBERED, LONG_PIECE = 200_000, 64
+
+#: Characters after which a section of a text ends at the next single space.
+SECTION = 1 << 16
 
 SCHEMA = (
     "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string, n_chars long"
@@ -74,15 +83,39 @@ class _Merges:
             whole = vocabulary[left + right]
             self.rank[pair], self.made[pair] = rank, whole
             self.parts.setdefault(whole, (rank, *pair))
-        self.follow: dict[tuple[int, int], bool] = {}
+        # Whether a token may follow another, in two halves as in `_Pieces`.
+        self.follow: dict[int, bool] = {}
+        self.older: dict[int, bool] = {}
         reached = {i: b for i, b in self.bytes_of.items() if self.merged(b) == [i]}
         self.token = {b: i for i, b in reached.items()}
+        self.size = {i: len(b) for i, b in reached.items()}
         self.lookahead = max(map(len, self.token))
-        lengths: dict[bytes, set[int]] = {}
-        for data in self.token:
-            if len(data) > 2:
-                lengths.setdefault(data[-3:], {1, 2}).add(len(data))
-        self.endings = {e: tuple(sorted(x, reverse=True)) for e, x in lengths.items()}
+        self._plant()
+
+    def _plant(self) -> None:
+        """Tries of the tokens, read forwards and backwards: the node that a node and a byte lead to;
+        forwards the longest token on the way to a node, backwards the token that begins there (or -1);
+        and of every token the longest one that it begins with."""
+        self.forward: dict[int, int] = {}
+        self.longest: list[int] = [-1]
+        self.shorter: dict[int, int] = {}
+        self.backward: dict[int, int] = {}
+        self.beginning: list[int] = [-1]
+        # In this order a token's beginnings are planted before it.
+        for data, i in sorted(self.token.items()):
+            node = 0
+            for byte in data:
+                before = self.longest[node]
+                node = self.forward.setdefault(node << 8 | byte, len(self.longest))
+                if node == len(self.longest):
+                    self.longest.append(before)
+            self.longest[node], self.shorter[i] = i, before
+            node = 0
+            for byte in reversed(data):
+                node = self.backward.setdefault(node << 8 | byte, len(self.beginning))
+                if node == len(self.beginning):
+                    self.beginning.append(-1)
+            self.beginning[node] = i
 
     def merged(self, data: bytes) -> list[int]:
         """Encode by applying the merges in order; only for single tokens, to see which exist."""
@@ -109,11 +142,15 @@ class _Merges:
         then touch have a merge of an earlier rank than the step undone, that merge would have
         come first and joined them.
         """
-        known = self.follow.get((left, right))
+        key = left << 32 | right
+        known = self.follow.get(key)
         if known is None:
             if len(self.follow) >= REMEMBERED:
-                self.follow.clear()
-            known = self.follow[left, right] = self._apart(left, right)
+                self.follow, self.older = {}, self.follow
+            known = self.older.get(key)
+            if known is None:
+                known = self._apart(left, right)
+            self.follow[key] = known
         return known
 
     def _apart(self, left: int, right: int) -> bool:
@@ -139,27 +176,64 @@ class Transducer:
 
     def __init__(self, merges: _Merges):
         self.merges = merges
-        self.known: dict[bytes, int] = {}  # last tokens of beginnings met before
         self.start()
 
     def run(self, data: bytes) -> list[int]:
         """All tokens of a pre-token."""
+        if not data:
+            return []
+        token = self.merges.token.get(data)
+        if token is not None:
+            return [token]
         if len(data) > self.merges.lookahead:
             return [*self.feed(data), *self.finish()]
-        last, known = self.last, self.known
-        if len(known) >= REMEMBERED:
-            known.clear()
-        for end in range(1, len(data) + 1):
-            t = known.get(data[:end])
-            if t is None:
-                self.seen = data[: end - 1]
-                self._read(data[end - 1 :])
-                for more in range(end, len(data) + 1):
-                    known[data[:more]] = last[more]
-                break
-            last.append(t)
-        self.seen = data
-        return self.finish()
+        return self._search(data)
+
+    def _search(self, data: bytes) -> list[int]:
+        """The tokens of a pre-token that is known to its end.
+
+        The tokens so far can follow each other. Where no token can come next, the last one was wrong
+        and so is the place where it ends.
+        """
+        merges = self.merges
+        size, shorter, longest = merges.size, merges.shorter, merges.longest
+        step, follow = merges.forward.get, merges.follow.get
+        found: list[int] = []
+        wrong: set[int] = set()
+        place, end, left, token = 0, len(data), -1, -1
+        while place < end:
+            if token < 0:
+                node = 0
+                for byte in data[place:]:
+                    after = step(node << 8 | byte)
+                    if after is None:
+                        break
+                    node = after
+                token = longest[node]
+            while token >= 0:
+                if place + size[token] not in wrong:
+                    if left < 0:
+                        break
+                    apart = follow(left << 32 | token)
+                    if apart is None:
+                        apart = merges.may_follow(left, token)
+                    if apart:
+                        break
+                token = shorter[token]
+            if token >= 0:
+                found.append(token)
+                place += size[token]
+                left, token = token, -1
+                continue
+            wrong.add(place)
+            while token < 0:
+                last = found.pop()
+                place -= size[last]
+                token = shorter[last]
+                if token < 0:
+                    wrong.add(place)
+            left = found[-1] if found else -1
+        return found
 
     def start(self) -> None:
         self.seen = b""  # bytes that no emitted token covers
@@ -167,30 +241,24 @@ class Transducer:
         self.before = -1  # the token emitted last
 
     def _read(self, part: bytes) -> None:
-        """Find the last token of every longer prefix: the longest that may follow what its
-        own start ends with. Only lengths of tokens with the same last bytes are tried."""
-        token, longest, endings = self.merges.token, self.merges.lookahead, self.merges.endings
-        follow, may_follow = self.merges.follow, self.merges.may_follow
+        """Find the last token of every longer prefix: the longest that may follow what its own start
+        ends with. The tokens that end at a position are found by reading backwards from it."""
+        merges, last = self.merges, self.last
+        backward, beginning, may_follow = merges.backward, merges.beginning, merges.may_follow
         done = len(self.seen)
         self.seen = seen = self.seen + part
-        last, before = self.last, self.before
         for end in range(done + 1, len(seen) + 1):
-            for length in endings.get(seen[end - 3 : end] if end > 2 else seen[:end], _SHORT):
-                begin = end - length
-                if begin < 0:
-                    continue
-                t = token.get(seen[begin:end])
-                if t is None:
-                    continue
-                left = last[begin] if begin else before
-                if left == -1:
-                    break
-                apart = follow.get((left, t))
-                if apart is None:
-                    apart = may_follow(left, t)
-                if apart:
+            node, token = 0, -1
+            for begin in range(end - 1, -1, -1):
+                node = backward.get(node << 8 | seen[begin])
+                if node is None:
                     break
-            last.append(t)
+                t = beginning[node]
+                if t >= 0:
+                    left = last[begin] if begin else self.before
+                    if left == -1 or may_follow(left, t):
+                        token = t
+            last.append(token)
 
     def feed(self, data: bytes) -> Iterator[int]:
         longest = self.merges.lookahead
@@ -201,26 +269,34 @@ class Transducer:
 
     def _path(self, end: int) -> list[int]:
         """The ends of the tokens that lead to a position."""
-        ends, bytes_of, last = [], self.merges.bytes_of, self.last
+        ends, size, last = [], self.merges.size, self.last
         while end > 0:
             ends.append(end)
-            end -= len(bytes_of[last[end]])
+            end -= size[last[end]]
         return ends[::-1]
 
     def _stable(self) -> Iterator[int]:
-        """Emit what the paths to all positions in reach share."""
-        n = len(self.seen)
-        shared = None
-        for end in range(n - self.merges.lookahead + 1, n + 1):
-            path = set(self._path(end))
-            shared = path if shared is None else shared & path
-        ends = sorted(shared)
-        for end in ends:
-            yield self.last[end]
-        if ends:
-            self.before = self.last[ends[-1]]
-            self.seen = self.seen[ends[-1] :]
-            self.last = [-1, *self.last[ends[-1] + 1 :]]
+        """Emit what the paths to all positions in reach share.
+
+        Each path leads from a position to the begin of its last token. From the last position
+        backwards, positions that lie on a path are passed on to where they lead, until one is left
+        that all have reached.
+        """
+        n, size, last = len(self.seen), self.merges.size, self.last
+        open_ = set(range(n - self.merges.lookahead + 1, n + 1))
+        end = n
+        while len(open_) > 1:
+            if end in open_:
+                open_.discard(end)
+                open_.add(end - size[last[end]])
+            end -= 1
+        (shared,) = open_
+        if shared:
+            ends = self._path(shared)
+            yield from (last[end] for end in ends)
+            self.before = last[shared]
+            self.seen = self.seen[shared:]
+            self.last = [-1, *last[shared + 1 :]]
 
     def finish(self) -> list[int]:
         ids = [self.last[end] for end in self._path(len(self.seen))]
@@ -228,10 +304,6 @@ class Transducer:
         return ids
 
 
-#: Lengths to try where no token of three bytes or more has the same last bytes.
-_SHORT = (2, 1)
-
-
 class Decoder:
     """Ids in, text out as soon as its bytes are complete."""
 
@@ -312,22 +384,41 @@ class Encoder:
             parts = text.replace(" ", "\0 ").replace("\n", "\0\n\0").split("\0")
         return b"".join(map(pieces.__getitem__, parts))
 
+    def packed(self, text: str) -> Iterator[bytes]:
+        """The ids of a text, section by section, as packed 32-bit integers."""
+        for section in sections(text):
+            end = 0
+            if self.special_pattern is not None and any(x in section for x in self.special):
+                for match in self.special_pattern.finditer(section):
+                    yield self._plain(section[end : match.start()])
+                    yield array("I", [self.special[match[0]]]).tobytes()
+                    end = match.end()
+            yield self._plain(section[end:] if end else section)
+
     def encode(self, text: str) -> list[int]:
-        packed = []
-        end = 0
-        if self.special_pattern is not None and any(x in text for x in self.special):
-            for match in self.special_pattern.finditer(text):
-                packed.append(self._plain(text[end : match.start()]))
-                packed.append(array("I", [self.special[match[0]]]).tobytes())
-                end = match.end()
-        packed.append(self._plain(text[end:] if end else text))
-        return array("I", b"".join(packed)).tolist()
+        return array("I", b"".join(self.packed(text))).tolist()
 
     def decode(self, ids: Iterable[int]) -> str:
         decoder = Decoder(self.bytes_of)
         return decoder.feed(ids) + decoder.finish()
 
 
+#: A space that begins a pre-token whatever is around: one between two characters that are no white space.
+_CUT = regex.compile(r"(?<=\P{White_Space}) (?=\P{White_Space})")
+
+
+def sections(text: str, size: int = SECTION) -> Iterator[str]:
+    """A text in parts that end before a single space; a part without any stays whole."""
+    begin = 0
+    while len(text) - begin > size:
+        cut = _CUT.search(text, begin + size)
+        if cut is None:
+            break
+        yield text[begin : cut.start()]
+        begin = cut.start()
+    yield text[begin:] if begin else text
+
+
 #: White space other than the space and the line feed, and the byte that marks cuts.
 _ODD_SPACE = re.compile("[\0\t\x0b-\r\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
 _RUNS = ("  ", "\n\n", " \n", "\n ")
@@ -367,12 +458,24 @@ def digests(rows: DataFrame, definition: str, *, id: str = "doc_id", text: str =
         names = decimal_names(len(tool.bytes_of))
         counts, ids_hash, text_hash, lengths = [], [], [], []
         for t in texts(batch.column(1)):
-            ids = tool.encode(t)
-            decoded = tool.decode(ids)
-            counts.append(len(ids))
-            lengths.append(len(decoded))
-            ids_hash.append(sha256(",".join(map(names.__getitem__, ids))))
-            text_hash.append(sha256(decoded))
+            n = chars = 0
+            ids_sha, text_sha = hashlib.sha256(), hashlib.sha256()
+            decoder = Decoder(tool.bytes_of)
+            for packed in tool.packed(t):
+                if packed:
+                    ids = array("I", packed)
+                    joined = ",".join(map(names.__getitem__, ids))
+                    ids_sha.update(f",{joined}".encode() if n else joined.encode())
+                    n += len(ids)
+                    part = decoder.feed(ids)
+                    chars += len(part)
+                    text_sha.update(part.encode())
+            part = decoder.finish()
+            text_sha.update(part.encode())
+            counts.append(n)
+            lengths.append(chars + len(part))
+            ids_hash.append(ids_sha.hexdigest())
+            text_hash.append(text_sha.hexdigest())
         return pa.RecordBatch.from_arrays(
             [
                 batch.column(0),
@@ -391,7 +494,3 @@ def digests(rows: DataFrame, definition: str, *, id: str = "doc_id", text: str =
 @functools.lru_cache(maxsize=4)
 def decimal_names(count: int) -> list[str]:
     return list(map(str, range(count)))
-
-
-def sha256(text: str) -> str:
-    return hashlib.sha256(text.encode()).hexdigest()

@@ -2,6 +2,7 @@
 
 import hashlib
 import re
+from array import array
 
 import cases
 import public_tokenizers
@@ -205,3 +206,109 @@ def test_bpe_rows_of_every_case(ready):
     assert bpe.digests(cases.empty(ready), DEFINITION).collect() == []
     whole = bpe.encode(cases.frame(ready), DEFINITION).filter("doc_id = 9").first()
     assert whole.decoded == cases.texts()[8][1]
+
+
+#: One pattern for what the search puts together from marks.
+ENDPOINT = re.compile(
+    r"\b[a-z][a-z0-9+]*://[A-Za-z0-9.-]+(?::[0-9]+)?(?:/[A-Za-z0-9._~/-]*)?"
+    r"|\b(?:host|endpoint|server|url)[\"']?\x20*[:=]\x20*[\"']?[A-Za-z0-9.-]+(?::[0-9]+)?",
+    re.IGNORECASE | re.ASCII,
+)
+PIECES = [
+    "user=bob1", "host=", "a+b", "://", "x", ":8080", "/p/q", " ", "\n", "\n\n", "\n \t\n", "+", "_", "é",
+    "wJalrXUtnFEMI7K7MDENGbPxRfiCY", "AKIA" + "A1" * 8, "token=", "abcdefgh12", "http", "HOST: db", "url='",
+    "0123456789abcdef" * 2, "key_id: zed", "1",
+]
+
+
+def joined(seed, most=14):
+    r = cases.rng(seed)
+    return "".join(r.choice(PIECES) for _ in range(r.randint(1, most)))
+
+
+def test_endpoints_are_those_of_one_pattern():
+    for seed in range(20_000):
+        text = joined(seed)
+        assert credentials.endpoints(text) == [m.span() for m in ENDPOINT.finditer(text)], text
+
+
+def plain_linked(text):
+    """Every weak part of a section with a partner that does not overlap it, by all pairs."""
+    strong = credentials.base_spans(text)
+    apart = lambda a, b: a[1] <= b[0] or b[1] <= a[0]
+    weak = credentials.weak_parts(text)
+    weak = {k: [p for p in v if all(apart(p, s[1:]) for s in strong)] for k, v in weak.items()}
+    section = lambda p: sum(m.start() <= p[0] for m in re.finditer(r"\n[ \t]*\n", text))
+    identifiers = weak["identifier"] + [s[1:] for s in strong if s[0] == "access"]
+    secrets = weak["secret"] + [s[1:] for s in strong if s[0] in ("assign", "hex")]
+    partners = {"identifier": secrets, "endpoint": secrets, "secret": identifiers + weak["endpoint"]}
+    return sorted(
+        (f"linked_{role}", *p)
+        for role, parts in weak.items()
+        for p in parts
+        if any(apart(p, o) and section(p) == section(o) for o in partners[role])
+    )
+
+
+def test_linked_kinds_are_those_of_all_pairs(ready):
+    rows = [(seed, joined(seed, 25), None, None) for seed in range(4000)]
+    linked = 0
+    for seed, text, *_ in rows:
+        expected = plain_linked(text)
+        linked += bool(expected)
+        assert sorted(s for s in credentials.spans(text, None) if s[0].startswith("linked")) == expected
+    assert linked > 500
+    found = {r.doc_id: r.spans for r in credentials.find(cases.frame(ready, rows[:200])).collect()}
+    for seed, text, *_ in rows[:200]:
+        got = sorted(tuple(s) for s in found[seed] if s.kind.startswith("linked"))
+        assert got == plain_linked(text)
+
+
+@pytest.mark.parametrize(
+    "text",
+    ["user=bobby1 host=db.x\nwJalrXUtnFEMI7K7MDENGbPxRfiCY and more\n\n" * 30_000,
+     "x: " + "a+" * 300_000, "a://" * 200_000, "b+://" * 200_000, "user " * 200_000, "host   " * 200_000],
+)
+def test_search_is_linear(text):
+    """Each of these took minutes when every start was tried, or every scope read all parts."""
+    import time
+
+    begin = time.process_time()
+    credentials.spans(text, None)
+    assert time.process_time() - begin < 20
+
+
+def test_bpe_streams_long_pre_tokens_and_sections():
+    import time
+
+    tool = bpe.encoder(DEFINITION)
+    r = cases.rng(4)
+    long_ones = [" " * 200_000, "".join(r.choices("abcdefghij", k=100_000)), "-=" * 50_000]
+    begin = time.process_time()
+    for text in long_ones:
+        assert tool.encode(text) == LIBRARY.encode(text, add_special_tokens=False).ids
+    assert time.process_time() - begin < 30
+    prose = cases.prose(3, 60_000) + " <|endoftext|> end  \n " + "é 中 " * 20_000
+    parts = list(bpe.sections(prose))
+    assert "".join(parts) == prose and len(parts) > 5
+    assert max(map(len, parts)) < 2 * bpe.SECTION
+    assert tool.encode(prose) == LIBRARY.encode(prose, add_special_tokens=False).ids
+
+
+@pytest.mark.parametrize("size", [1, 5, 50])
+def test_bpe_sections_of_any_size_change_nothing(size, monkeypatch):
+    monkeypatch.setattr(bpe.sections, "__defaults__", (size,))
+    tool = bpe.encoder(DEFINITION)
+    r = cases.rng(size)
+    letters = ["a", "the", " ", "  ", "\n", "'s", "é", "中", "<|endoftext|>", "12", "!?", "\u00a0", "\x1c"]
+    for _ in range(500):
+        text = "".join(r.choice(letters) for _ in range(r.randint(0, 30)))
+        assert tool.encode(text) == LIBRARY.encode(text, add_special_tokens=False).ids
+
+
+def test_the_decoder_is_fed_part_by_part():
+    tool = bpe.encoder(DEFINITION)
+    text = "é中🙂 " * 50
+    decoder = bpe.Decoder(tool.bytes_of)
+    parts = [decoder.feed(array("I", packed)) for packed in tool.packed(text)] + [decoder.finish()]
+    assert "".join(parts) == text
