@@ -34,7 +34,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, StructField, StructType
 
@@ -54,8 +54,9 @@ class Settings:
     miss: float = 1e-6
     #: Bands with at most so many classes are paired completely.
     small_band: int = 6
-    #: Classes of a block.
+    #: Classes of a block, and bytes of their sets on average.
     block: int = 2000
+    block_bytes: int = 64 << 20
 
     @property
     def hashes(self) -> int:
@@ -418,20 +419,20 @@ def _components(rows: DataFrame, settings: Settings, id: str, text: str) -> Data
         .agg(
             F.min("doc_id").alias("id"),
             F.first(F.struct("bands", "signature")).alias("first"),
+            F.first("n_shingles").alias("n_shingles"),
         )
-        .select("key", "id", "first.bands", "first.signature")
+        .select("key", "id", "first.bands", "first.signature", "n_shingles")
         .checkpoint()
     )
     pairs, star = candidate_pairs(classes, settings)
     near = prune(pairs, classes, settings).unionByName(star).checkpoint()
     clusters = components(near).select(F.col("node").alias("key"), F.col("root").alias("cluster"))
     clusters = clusters.checkpoint()
-    sizes = clusters.groupBy("cluster").agg(
-        F.ceil(F.count("*") / settings.block).cast("int").alias("parts")
-    )
+    weighed = clusters.join(classes.select("key", "n_shingles"), "key")
+    sizes = weighed.groupBy("cluster").agg(_blocks(settings).alias("parts"))
     members = (
         clusters.join(sizes, "cluster")
-        .join(classes.select("key", "id", "signature"), "key")
+        .join(classes.select("key", "id", "signature", "n_shingles"), "key")
         .checkpoint()
     )
     block = F.pmod(F.xxhash64("key"), F.col("parts")).cast("int")
@@ -482,6 +483,14 @@ def _components(rows: DataFrame, settings: Settings, id: str, text: str) -> Data
     return every.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
 
+def _blocks(settings: Settings) -> Column:
+    """Into how many blocks the classes of a group are dealt, by their number and the size of their
+    sets."""
+    by_number = F.ceil(F.count("*") / settings.block)
+    by_bytes = F.ceil(F.sum("n_shingles") * 8 / settings.block_bytes)
+    return F.greatest(by_number, by_bytes).cast("int")
+
+
 def _between_blocks(
     rows: DataFrame,
     members: DataFrame,
@@ -506,9 +515,7 @@ def _between_blocks(
     if open_.isEmpty():
         return None
     outside = open_.filter("side = 0")
-    shares = outside.groupBy("cluster").agg(
-        F.ceil(F.count("*") / settings.block).cast("int").alias("shares")
-    )
+    shares = outside.groupBy("cluster").agg(_blocks(settings).alias("shares"))
     open_ = open_.join(shares, "cluster")
     share = F.pmod(F.xxhash64("key"), F.col("shares")).cast("int")
     block = F.pmod(F.xxhash64("key"), F.col("parts")).cast("int")

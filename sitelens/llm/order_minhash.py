@@ -2,8 +2,10 @@
 
 Every k-mer of code points is numbered by its occurrence, so repeats differ. A hash deals the
 numbered k-mers to slots; a slot selects its `tuple_size` smallest, puts them back into the order
-of the text and hashes the tuple of k-mers. Two texts agree in a slot only if they share the
-selected k-mers and their order. Likeness is the share of agreeing slots among those that either
+of the text and hashes the tuple of k-mers. So one pass over a long text selects for all slots. A slot
+that is dealt too few (in short texts) selects among all k-mers of the text by a hash of its own, as
+every slot would if each had one. Two texts agree in a slot only if they share the selected k-mers and
+their order. Likeness is the share of agreeing slots among those that either
 text fills.
 
 Cases: a text shorter than a k-mer is one k-mer; a null or empty text fills no slot, is like
@@ -66,7 +68,7 @@ def _kmers(codes: np.ndarray, k: int) -> np.ndarray:
 def signature(
     text: str, kmer: int = KMER, slots: int = SLOTS, tuple_size: int = TUPLE_SIZE
 ) -> np.ndarray:
-    """One number per slot; 0 for a slot without a k-mer."""
+    """One number per slot, which is 0 for an empty text."""
     found = np.zeros(slots, np.uint16)
     if not text:
         return found
@@ -88,8 +90,21 @@ def signature(
         # Slot in the upper half, rank within the slot in the lower half.
         low = value & _LOW
         key = (((value >> _32) * np.uint64(slots)) & ~_LOW) | low
+        weight = np.cumprod(np.full(tuple_size, _C[0], np.uint64))
+        dealt = np.bincount((key >> _32).astype(np.int64), minlength=slots)
+        short = np.flatnonzero(dealt < tuple_size)
+        if len(short):
+            own_hash = _mixed(value[None, :] + (short[:, None] + 1).astype(np.uint64) * _C[2])
+            chosen = np.argsort(own_hash, axis=1, kind="stable")[:, :tuple_size]
+            chosen = np.take_along_axis(chosen, np.argsort(place[chosen], axis=1), axis=1)
+            tuples = (_mixed(gram[chosen] + _C[2]) * weight[: chosen.shape[1]]).sum(axis=1)
+            found[short] = _hashed(tuples)
+            full = dealt[(key >> _32).astype(np.int64)] >= tuple_size
+            key, place, gram, low = key[full], place[full], gram[full], low[full]
+            if not len(key):
+                return found
         # Only values among the smallest of all can be among the smallest of their slot.
-        if n > 16 * slots * tuple_size:
+        if not len(short) and n > 16 * slots * tuple_size:
             few = np.flatnonzero(low < np.uint64((1 << 32) * 8 * slots * tuple_size // n))
             count = np.bincount((key[few] >> _32).astype(np.int64), minlength=slots)
             if count.min() >= tuple_size:
@@ -104,12 +119,15 @@ def signature(
         chosen = chosen[np.argsort((own << 32) | place[chosen], kind="stable")]
         first = np.flatnonzero(np.diff(own, prepend=-1))
         rank = np.arange(len(own)) - np.repeat(first, np.diff(first, append=len(own)))
-        weight = np.cumprod(np.full(tuple_size, _C[0], np.uint64))
         tuples = np.add.reduceat(_mixed(gram[chosen] + _C[2]) * weight[rank], first)
-        found[own[first]] = (_mixed(tuples) % np.uint64(65535) + np.uint64(1)).astype(np.uint16)
+        found[own[first]] = _hashed(tuples)
     return found
 
 
+def _hashed(tuples: np.ndarray) -> np.ndarray:
+    return (_mixed(tuples) % np.uint64(65535) + np.uint64(1)).astype(np.uint16)
+
+
 def likeness(a: np.ndarray, b: np.ndarray) -> float:
     filled = np.count_nonzero((a > 0) | (b > 0))
     if not filled:
@@ -154,7 +172,7 @@ def compare_with_next(rows: DataFrame, *, id: str = "doc_id", text: str = "text"
         F.col(id).cast("long").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text")
     )
     ids = base.select("doc_id")
-    count = ids.count()
+    count, named = ids.agg(F.count("*"), F.count("doc_id")).first()
     if not count:
         return rows.sparkSession.createDataFrame([], SCHEMA)
     ranges = max(1, min(MOST_RANGES, count // RANGE_ROWS))
@@ -165,18 +183,22 @@ def compare_with_next(rows: DataFrame, *, id: str = "doc_id", text: str = "text"
             F.percentile_approx("doc_id", shares, 100 * ranges)
         ).first()[0] or []
     splits = [-float("inf"), *sorted(set(map(float, cuts))), float("inf")]
+    # Null ids are ordered by a hash of the text, which is spread evenly.
+    nameless = max(1, min(MOST_RANGES, (count - named) // RANGE_ROWS))
+    share = (F.col("mark") / F.lit(2.0**64) + F.lit(0.5)) * nameless
+    of_null = F.least(F.floor(share), F.lit(nameless - 1)).cast("int") - nameless
 
     def ranged(frame: DataFrame) -> DataFrame:
-        """Ranges are numbered from the smallest ids; null ids are before them all."""
+        """Ranges are numbered from the smallest ids; those of null ids are before them all."""
         if len(splits) < 3:
-            return frame.withColumn("bin", F.when(F.col("doc_id").isNull(), -1).otherwise(0))
+            return frame.withColumn("bin", F.when(F.col("doc_id").isNull(), of_null).otherwise(0))
         part = frame.withColumn("as_double", F.coalesce(F.col("doc_id").cast("double"), F.lit(0.0)))
         part = Bucketizer(splits=splits, inputCol="as_double", outputCol="bin").transform(part)
         return part.withColumn(
-            "bin", F.when(F.col("doc_id").isNull(), -1).otherwise(F.col("bin").cast("int"))
+            "bin", F.when(F.col("doc_id").isNull(), of_null).otherwise(F.col("bin").cast("int"))
         ).drop("as_double")
 
-    keyed = ranged(base).withColumn("mark", F.xxhash64("text"))
+    keyed = ranged(base.withColumn("mark", F.xxhash64("text")))
     heads = keyed.groupBy("bin").agg(
         F.max(F.struct(F.coalesce("doc_id", F.lit(0).cast("long")).alias("i"), "mark")).alias("head")
     )

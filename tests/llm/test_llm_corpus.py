@@ -332,3 +332,94 @@ def test_batches_are_bounded_by_bytes(ready):
 
     found = [r.n for r in map_batches(long_, sizes, "n long").collect()]
     assert sum(found) == 200 and max(found) <= BATCH_BYTES // 1_000_000 + 2
+
+
+def plain_signature(text, kmer, slots, size):
+    """Slot by slot, with the numbers of k-mers counted one after another."""
+    mask = (1 << 64) - 1
+    c = [int(x) for x in order_minhash._C]
+
+    def mixed(h):
+        h &= mask
+        h = ((h ^ (h >> 30)) * c[1]) & mask
+        h = ((h ^ (h >> 27)) * c[2]) & mask
+        return h ^ (h >> 31)
+
+    if not text:
+        return [0] * slots
+    codes = [ord(x) for x in text]
+    if len(codes) < kmer:
+        data = text.encode("utf-32-le", "surrogatepass")
+        import numpy as np
+
+        wide = np.frombuffer(data, np.uint32).astype(np.uint64).tobytes()
+        grams = [int.from_bytes(hashlib.blake2b(wide, digest_size=8).digest(), "little")]
+    else:
+        import numpy as np
+
+        with np.errstate(over="ignore"):
+            grams = order_minhash._kmers(np.array(codes, np.uint64), kmer).tolist()
+    met = Counter()
+    entries = []
+    for place, gram in enumerate(g >> 32 for g in grams):
+        value = mixed(gram * c[0] + met[gram] * c[1])
+        met[gram] += 1
+        entries.append((value, place, gram))
+    out = []
+    for slot in range(slots):
+        mine = [e for e in entries if (e[0] >> 32) * slots >> 32 == slot]
+        if len(mine) >= size:
+            picked = sorted(mine, key=lambda e: e[0] & 0xFFFFFFFF)[:size]
+        else:
+            picked = sorted(entries, key=lambda e: mixed(e[0] + (slot + 1) * c[2]))[:size]
+        total, weight = 0, 1
+        for _, _, gram in sorted(picked, key=lambda e: e[1]):
+            weight = weight * c[0] & mask
+            total += mixed(gram + c[2]) * weight
+        out.append(mixed(total) % 65535 + 1)
+    return out
+
+
+@pytest.mark.parametrize("size", [1, 2, 3])
+def test_signatures_are_those_of_every_slot_on_its_own(size):
+    texts = [t for _, t, *_ in cases.texts() if t is None or len(t) < 3000]
+    texts += [cases.prose(3, n) for n in (1, 5, 20, 60, 150, 400)] + ["ab" * n for n in (1, 4, 5, 40, 700)]
+    for text in texts:
+        found = order_minhash.signature(text or "", 8, 16, size).tolist()
+        assert found == plain_signature(text or "", 8, 16, size), text
+
+
+def test_short_texts_fill_every_slot_and_see_their_order():
+    for n in (8, 9, 12, 40, 67, 120):
+        text = cases.prose(n, 60)[:n]
+        found = order_minhash.signature(text)
+        assert (found > 0).all()
+        if n >= 40:
+            turned = text[n // 2 :] + text[: n // 2]
+            assert order_minhash.likeness(found, order_minhash.signature(turned)) < 0.8
+            changed = text[:-3] + "zzz"
+            assert 0.3 < order_minhash.likeness(found, order_minhash.signature(changed)) < 1.0
+
+
+def test_rows_without_ids_are_dealt_to_ranges(ready, monkeypatch):
+    """In descending order of ids, then of a hash of the text where there is none."""
+    monkeypatch.setattr(order_minhash, "RANGE_ROWS", 3)
+    rows = [(i if i % 3 else None, cases.prose(i, 3 + i % 7), "en", "a") for i in range(60)]
+    found = order_minhash.compare_with_next(cases.frame(ready, rows)).collect()
+    signed = lambda t: (h := xxhash.xxh64_intdigest(t, 42)) - (1 << 64) * (h >> 63)
+    order = sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, signed(r[1])), reverse=True)
+    expected = set()
+    for a, b in zip(order, [*order[1:], order[0]], strict=True):
+        changed = order_minhash.edited(a[1], b[1])
+        expected.add((str(a[0]), len(a[1]), hashlib.sha256(changed.encode()).hexdigest()))
+    assert {(str(r.doc_id), r.n_chars, r.edited_sha256) for r in found} == expected and len(found) == 60
+
+
+def test_blocks_are_bounded_by_bytes_too(ready):
+    """Tiny bounds: the same components however the sets are dealt to blocks."""
+    base = cases.prose(70, 400).split()
+    rows = [(i, " ".join([*base[: 5 + 9 * i], f"new{i}", *base[6 + 9 * i :]]), "en", "a") for i in range(25)]
+    rows += cases.texts()
+    settings = near_duplicates.Settings(block_bytes=8 * 900, small_band=2)
+    found = near_duplicates.find(cases.frame(ready, rows), settings)
+    assert got_components(found) == plain_components(rows)
