@@ -1,6 +1,8 @@
 """Languages of words and texts by a linear-chain conditional random field.
 
-A word is a run of letters, a sequence the words of a line, at most `Settings.sequence` of them.
+A word is a run of letters, a sequence the words of a line. Long lines are worked on in pieces of
+`Settings.sequence` words; what the pieces before say about a piece's first word, and the pieces after
+about its last, is carried over, so the cuts do not show. (In learning each piece is a line.)
 A word's features are its character bigrams and trigrams with borders (so its first and last
 letters too), its first and last four letters, and its entry in a lexicon of frequent words.
 Forward-backward gives every word the probability of each language given its whole sequence, with
@@ -10,8 +12,9 @@ one with the largest sum of these probabilities, weighted by letters.
 Words are learned with the language of their text as label. A second round takes the labels that
 the first model gives where words switch, so that transitions are learned from switches.
 
-Sample bound: about `Settings.each` texts of every language (twice that in any case), each of at
-most `Settings.longest` characters, chosen by a hash. Prediction reads whole texts.
+Sample bound: about `Settings.each` texts of every language (twice that in any case), chosen by a hash
+among those of at most `Settings.longest` characters; longer ones are not learned from. Prediction reads
+whole texts, and of a long one keeps no more than places and scores of its words.
 
 Cases: a null text, or one without a letter, is `und` with score 0; ties go to the language that
 sorts first; without any labelled text everything is `und`; equal texts have equal results.
@@ -47,8 +50,9 @@ class Settings:
     decay: float = 1e-6
     #: Probability of a switch with which the second round's labels are found.
     switch: float = 0.02
-    #: Characters that are labelled at once.
+    #: Characters that are labelled at once, and that features are made of at once.
     block: int = 400_000
+    section: int = 400_000
 
 
 @dataclass(frozen=True)
@@ -163,8 +167,23 @@ def _grid(words: Words, scores: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return grid, there
 
 
+@dataclass
+class Borders:
+    """What is known at the ends of sequences that are pieces of a line: which of them continue the
+    one before, the state of that one's last word, and what follows says about the own last word."""
+
+    continued: np.ndarray
+    before: np.ndarray
+    after: np.ndarray
+
+
 def forward_backward(
-    grid: np.ndarray, there: np.ndarray, start: np.ndarray, moves: np.ndarray, count_moves: bool
+    grid: np.ndarray,
+    there: np.ndarray,
+    start: np.ndarray,
+    moves: np.ndarray,
+    count_moves: bool,
+    borders: Borders | None = None,
 ) -> tuple[np.ndarray, np.ndarray]:
     """Probabilities of every word's label and, for learning, expected numbers of moves.
 
@@ -173,17 +192,22 @@ def forward_backward(
     count, steps, k = grid.shape
     go = np.exp(moves - moves.max())
     ahead = np.zeros_like(grid)
-    state = grid[:, 0] * np.exp(start - start.max())
+    begin = np.tile(np.exp(start - start.max()), (count, 1))
+    after = np.ones((count, k))
+    if borders is not None:
+        begin = np.where(borders.continued[:, None], borders.before @ go, begin)
+        after = borders.after
+    state = grid[:, 0] * begin
     ahead[:, 0] = state = state / state.sum(axis=1, keepdims=True)
     for t in range(1, steps):
         step = (state @ go) * grid[:, t]
         step /= np.maximum(step.sum(axis=1, keepdims=True), 1e-300)
         state = np.where(there[:, t, None], step, state)
         ahead[:, t] = state
-    back = np.ones((count, k))
+    back = after
     found = np.zeros_like(grid)
     pairs = np.zeros((k, k))
-    found[:, steps - 1] = ahead[:, steps - 1]
+    found[:, steps - 1] = ahead[:, steps - 1] * after
     for t in range(steps - 2, -1, -1):
         reach = grid[:, t + 1] * back
         here = there[:, t + 1]
@@ -193,12 +217,89 @@ def forward_backward(
             pairs += (both / total)[here].sum(axis=0)
         step = reach @ go.T
         step /= np.maximum(step.sum(axis=1, keepdims=True), 1e-300)
-        back = np.where(here[:, None], step, 1.0)
+        back = np.where(here[:, None], step, after)
         found[:, t] = ahead[:, t] * back
     found /= np.maximum(found.sum(axis=2, keepdims=True), 1e-300)
     return found, pairs
 
 
+def _operators(
+    grid: np.ndarray, there: np.ndarray, start: np.ndarray, moves: np.ndarray, continued: np.ndarray
+) -> np.ndarray:
+    """What each sequence as a whole makes of a state: a matrix from the state before it (or from ones
+    at the start of a line) to the state of its last word, up to a factor."""
+    count, steps, k = grid.shape
+    go = np.exp(moves - moves.max())
+    first = np.where(continued[:, None, None], go, np.diag(np.exp(start - start.max())))
+    out = first * grid[:, 0][:, None, :]
+    out /= np.maximum(out.sum(axis=(1, 2), keepdims=True), 1e-300)
+    for t in range(1, steps):
+        step = (out @ go) * grid[:, t][:, None, :]
+        step /= np.maximum(step.sum(axis=(1, 2), keepdims=True), 1e-300)
+        out = np.where(there[:, t, None, None], step, out)
+    return out
+
+
+#: Sequences that are worked on at once.
+_TOGETHER = 2048
+
+
+def chain_posterior(
+    scores: np.ndarray, new_line: np.ndarray, longest: int, start: np.ndarray, moves: np.ndarray
+) -> np.ndarray:
+    """Probabilities of every word's label given its whole line, from scores of words in a row.
+
+    Lines are cut into sequences of `longest` words. First every sequence of a cut line becomes a
+    matrix; walking along the line with these gives the states at its cuts, both ways; then all
+    sequences are worked out between their borders.
+    """
+    n, k = scores.shape
+    begins = np.flatnonzero(new_line)
+    rank = np.arange(n) - np.repeat(begins, np.diff(begins, append=n))
+    place = rank % longest
+    firsts = np.flatnonzero(place == 0)
+    continued = rank[firsts] > 0
+    count = len(firsts)
+    ends = np.append(firsts[1:], n)
+    borders = Borders(continued, np.ones((count, k)), np.ones((count, k)))
+
+    def grid_of(low: int, high: int) -> tuple[np.ndarray, np.ndarray, slice]:
+        words = slice(firsts[low], ends[high - 1])
+        sequence = np.repeat(np.arange(high - low), ends[low:high] - firsts[low:high])
+        steps = int((ends[low:high] - firsts[low:high]).max())
+        grid, there = np.zeros((high - low, steps, k)), np.zeros((high - low, steps), bool)
+        own = scores[words]
+        grid[sequence, place[words]] = np.exp(own - own.max(axis=1, keepdims=True))
+        there[sequence, place[words]] = True
+        return grid, there, words
+
+    slices = [(low, min(count, low + _TOGETHER)) for low in range(0, count, _TOGETHER)]
+    if continued.any():
+        cut = continued | np.append(continued[1:], False)
+        matrices = np.zeros((count, k, k))
+        for low, high in slices:
+            own = np.flatnonzero(cut[low:high])
+            if len(own):
+                grid, there, _ = grid_of(low, high)
+                matrices[low + own] = _operators(
+                    grid[own], there[own], start, moves, continued[low + own]
+                )
+        pieces = np.flatnonzero(continued)
+        for c in pieces:
+            state = borders.before[c - 1] @ matrices[c - 1]
+            borders.before[c] = state / max(state.sum(), 1e-300)
+        for c in pieces[::-1]:
+            said = matrices[c] @ borders.after[c]
+            borders.after[c - 1] = said / max(said.sum(), 1e-300)
+    out = np.zeros((n, k))
+    for low, high in slices:
+        grid, there, words = grid_of(low, high)
+        own = Borders(continued[low:high], borders.before[low:high], borders.after[low:high])
+        found, _ = forward_backward(grid, there, start, moves, False, own)
+        out[words] = found[there]
+    return out
+
+
 def _scores(words: Words, weights: np.ndarray) -> np.ndarray:
     return np.add.reduceat(weights[words.features], words.first, axis=0)
 
@@ -295,17 +396,63 @@ class Labelled:
     runs: list[tuple[int, int, str]]
 
 
+@dataclass
+class Found:
+    """The words of some texts without their features."""
+
+    text: np.ndarray
+    start: np.ndarray
+    length: np.ndarray
+    new_line: np.ndarray
+    scores: np.ndarray
+
+
+def _found_words(lowered: list[str], model: Model) -> Found | None:
+    """Words of lower-case texts and their scores, section by section; None without any."""
+    joined = "\n\n".join(lowered) + "\n\n"
+    starts, lengths, scores, breaks = [], [], [], []
+    for offset, part in _sections(joined, model.settings.section):
+        words = words_of([part], model.settings.buckets, model.lexicon, model.settings.sequence)
+        if len(words.start):
+            starts.append(words.start + offset)
+            lengths.append(words.length)
+            scores.append(_scores(words, model.weights))
+        codes = np.frombuffer(part.encode("utf-32-le", "surrogatepass"), np.uint32)
+        breaks.append(np.flatnonzero(codes == 10) + offset)
+    if not starts:
+        return None
+    start = np.concatenate(starts)
+    line = np.searchsorted(np.concatenate(breaks), start)
+    new_line = np.diff(line, prepend=-1) != 0
+    new_line[0] = True
+    sizes = np.fromiter((len(t) + 2 for t in lowered), np.int64, len(lowered))
+    text = np.searchsorted(np.cumsum(sizes), start, side="right")
+    return Found(text, start, np.concatenate(lengths), new_line, np.concatenate(scores))
+
+
+def _sections(joined: str, size: int) -> Iterator[tuple[int, str]]:
+    """A text in parts that end before a character that is no letter, with where they begin."""
+    begin = 0
+    while begin < len(joined):
+        end = min(len(joined), begin + size)
+        while end < len(joined) and joined[end].isalpha():
+            end += 1
+        yield begin, joined[begin:end]
+        begin = end
+
+
 def label(model: Model, values: list[str], runs: bool = False) -> list[Labelled]:
     """The languages of texts; with `runs` also where words of one language follow each other."""
     out: list[Labelled] = []
     k = len(model.languages)
     for _, group in _blocks(values, model.settings.block):
-        lowered = [lower(t) for t in group]
-        words = words_of(lowered, model.settings.buckets, model.lexicon, model.settings.sequence) if k else None
-        if words is None or not len(words.start):
+        words = _found_words([lower(t) for t in group], model) if k else None
+        if words is None:
             out += [Labelled(NO_LANGUAGE, 0.0, 0, 0, 0, []) for _ in group]
             continue
-        found, _ = _posterior(words, model.weights, model.start, model.moves)
+        found = chain_posterior(
+            words.scores, words.new_line, model.settings.sequence, model.start, model.moves
+        )
         n = len(group)
         votes = np.stack(
             [np.bincount(words.text, weights=found[:, j] * words.length, minlength=n) for j in range(k)], 1

@@ -1,7 +1,9 @@
 """Classifier, language and language model: held-out accuracy and plain references."""
 
+import itertools
 import math
 from collections import Counter
+from dataclasses import replace
 
 import cases
 import numpy as np
@@ -217,3 +219,55 @@ def test_gains_are_the_change_of_information():
     for w in range(12):
         plain = [brown_lm.information(table(np.where(np.arange(14) == w, d, member))) for d in range(3)]
         assert np.allclose(found[w] - found[w, 0], np.array(plain) - plain[0])
+
+
+def test_cuts_of_long_lines_do_not_show(two_languages):
+    """However lines are cut and texts read in sections, labels are those of the whole line."""
+    r = cases.rng(8)
+    one, two = "thewher therwhed ther thing edwh".split(), "eau oueau quequeé eauou éeau".split()
+    texts = []
+    for _ in range(12):
+        words = []
+        for _ in range(r.randint(1, 8)):
+            words += [r.choice(r.choice([one, two])) for _ in range(r.randint(1, 40))]
+            words.append(r.choice([",", "\n", "12", "\n\n", ""]))
+        texts.append(" ".join(words))
+    texts += ["", "  \n", "12 !", "é" * 3000, " ".join(one * 60)]
+    whole = replace(two_languages, settings=replace(two_languages.settings, sequence=100_000))
+    expected = language.label(whole, texts, runs=True)
+    for sequence, section, block in ((1, 7, 50), (2, 100, 400_000), (5, 64, 1), (64, 1 << 16, 400_000)):
+        settings = replace(two_languages.settings, sequence=sequence, section=section, block=block)
+        found = language.label(replace(two_languages, settings=settings), texts, runs=True)
+        for a, b in zip(found, expected, strict=True):
+            assert (a.language, a.letters, a.words, a.switched, a.runs) == (
+                b.language, b.letters, b.words, b.switched, b.runs,
+            )
+            assert a.score == pytest.approx(b.score, abs=1e-9)
+
+
+def test_chains_are_enumerated_over_cuts():
+    """Against the sum over all label sequences of a line, with cuts after every word or two."""
+    rng = np.random.default_rng(3)
+    for n, k, longest in ((5, 2, 1), (6, 3, 2), (4, 2, 3)):
+        scores, start, moves = rng.normal(size=(n, k)), rng.normal(size=k), rng.normal(size=(k, k))
+        weight = np.zeros((n, k))
+        for labels in itertools.product(range(k), repeat=n):
+            total = start[labels[0]] + scores[0, labels[0]]
+            total += sum(moves[a, b] + scores[t + 1, b] for t, (a, b) in enumerate(itertools.pairwise(labels)))
+            for t, x in enumerate(labels):
+                weight[t, x] += np.exp(total)
+        expected = weight / weight.sum(axis=1, keepdims=True)
+        new_line = np.arange(n) == 0
+        found = language.chain_posterior(scores, new_line, longest, start, moves)
+        assert np.allclose(found, expected)
+
+
+def test_a_long_text_needs_little_more_than_its_words(two_languages):
+    import tracemalloc
+
+    text = "thewher therwhed eau " * 150_000
+    tracemalloc.start()
+    found = language.label(two_languages, [text])[0]
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert found.words == 450_000 and peak < 250 << 20
