@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from sitelens.operators.groups import first_row, rows_at_minimum, with_group_values
-from sitelens.plans import checks
+from sitelens.plans import checks, cohorts
 from sitelens.sources.specs import FactsOverTimeSpec, MissingVisitSpec, VocabularySpec
 from sitelens.sources.tables import Tables, frames
 
@@ -118,3 +118,19 @@ def test_grouped_selections(facts, frame, rows):
     for _, person, _, _, day, i in facts:
         latest[person] = max((day, i), latest.get(person, (day, i)))
     assert {r.person_id: (r.d, r.id) for r in last.collect()} == latest
+
+
+def final_plan(df):
+    return df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+
+
+def test_a_hot_key_is_split_among_tasks(spark, frame):
+    """Not only are results exact: the partition of the hot key is read by several tasks."""
+    flagged = with_group_values(frame, ["person_id", "site"], {"top": F.max("c")})
+    flagged.collect()
+    assert "skew=true" in final_plan(flagged)
+    visits = spark.range(0, 400).selectExpr("id AS visit_occurrence_id", "9202 + id % 2 AS visit_concept_id")
+    settings = {"one": cohorts.Setting((9202,), 5), "two": cohorts.Setting((9203,))}
+    found = cohorts.facts_by_setting(frame, visits, settings, "c")
+    found.collect()
+    assert "skew=true" in final_plan(found)
