@@ -48,6 +48,12 @@ def shared_folder(spark: SparkSession) -> str:
     return named or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/checkpoints"
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder that this program has written."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def unused(columns: Iterable[str], name: str) -> str:
     """A column name that clashes with none of the given ones, whatever their case."""
     taken = {c.lower() for c in columns}
