@@ -14,7 +14,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from sitelens.llm import bpe, credentials, mixing, near_duplicates, quality_classifier
-from sitelens.llm.common import documents, prepare, shared_folder
+from sitelens.llm.common import documents, prepare, remove, shared_folder
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -70,13 +70,16 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Apply all stages to the documents of a folder.
 
     What lies between stages is written to the shared folder of the session, so a lost executor
-    repeats at most its own stage.
+    repeats at most its own stage. Of these tables only the last one stays: what a stage has read is
+    removed once its own result is written.
     """
     prepare(spark)
     folder = f"{shared_folder(spark)}/corpus_pipeline-{uuid.uuid4().hex}"
-    docs = documents(spark, sf_dir)
+    docs, before = documents(spark, sf_dir), None
     for number, (name, stage) in enumerate(STAGES):
         path = f"{folder}/{number}-{name}"
         stage(spark, docs, sf_dir).write.parquet(path)
-        docs = spark.read.parquet(path)
+        if before is not None:
+            remove(spark, before)
+        docs, before = spark.read.parquet(path), path
     return docs
