@@ -460,10 +460,17 @@ def _components(rows: DataFrame, settings: Settings, id: str, text: str) -> Data
     )
     named = part_ids.join(least, "part").select("key", "component_id", "least.key")
     named = named.toDF("key", "component_id", "least_key")
-    whole = classes.select("key", "id").join(named, "key", "left").select(
-        "key",
-        F.coalesce("component_id", "id").alias("component_id"),
-        F.coalesce("least_key", "key").alias("least_key"),
+    # Stored, so that both sides of the next join are plain shuffles and the many copies of one text,
+    # which share a key, can be split among tasks.
+    whole = (
+        classes.select("key", "id")
+        .join(named, "key", "left")
+        .select(
+            "key",
+            F.coalesce("component_id", "id").alias("component_id"),
+            F.coalesce("least_key", "key").alias("least_key"),
+        )
+        .checkpoint()
     )
     found = linkable.select("key", "doc_id", "n_shingles").join(whole, "key").select(
         "doc_id",
