@@ -6,8 +6,8 @@ of the text, says which kind it resembles. A logistic curve fitted on labelled r
 neither dictionary turns the difference into a probability.
 
 Sample bound: at most `Settings.each` labelled rows of a class in expectation (twice that in any
-case) and at most `Settings.longest` bytes of each are learned from, chosen by a hash. Scoring reads
-whole texts.
+case) are learned from, chosen by a hash; of these, texts of more than `Settings.longest` bytes are left
+out. Scoring reads whole texts.
 
 Cases: a null or empty text has difference 0 and the score of that; labels that are null, or of
 rows without text, teach nothing; without labels of both classes every score is the share of good

@@ -271,3 +271,86 @@ def test_a_long_text_needs_little_more_than_its_words(two_languages):
     peak = tracemalloc.get_traced_memory()[1]
     tracemalloc.stop()
     assert found.words == 450_000 and peak < 250 << 20
+
+
+def test_classifier_scores_are_the_plain_ones(ready):
+    """Block by block with fresh compressors, and the curve at its best."""
+    import zstandard
+
+    docs, labels = documents(ready, FOLDER), ready.read.parquet(f"{FOLDER}/labels.parquet")
+    settings = quality_classifier.Settings(each=60, block_bytes=700)
+    model = quality_classifier.fit(docs, labels, settings)
+    assert model.curve is not None
+
+    def size(dictionary, block):
+        data = zstandard.ZstdCompressionDict(dictionary)
+        tool = zstandard.ZstdCompressor(
+            level=settings.level, dict_data=data, write_checksum=False, write_dict_id=False
+        )
+        return len(tool.compress(block))
+
+    def plain(text):
+        data = (text or "").encode()
+        blocks = [data[i : i + 700] for i in range(0, len(data), 700)]
+        saved = sum(size(model.bad, b) - size(model.good, b) for b in blocks)
+        z = model.curve[0] * (saved / len(data) if data else 0.0) + model.curve[1]
+        return 1 / (1 + math.exp(-z))
+
+    rows = [r for r in cases.texts() if r[1] is None or len(r[1]) < 30_000]
+    found = quality_classifier.score(cases.frame(ready, rows), model).collect()
+    got = sorted((str(r.doc_id), round(r.score, 6)) for r in found)
+    assert got == sorted((str(i), round(plain(t), 6)) for i, t, *_ in rows)
+
+
+def test_the_curve_is_the_most_likely_one():
+    rng = np.random.default_rng(1)
+    x = rng.normal(size=400) / 50
+    y = (rng.random(400) < 1 / (1 + np.exp(-(90 * x + 0.5)))).astype(float)
+    weight = rng.uniform(0.5, 2, 400)
+    slope, intercept = quality_classifier._curve(x, y, weight)
+
+    def likelihood(a, b):
+        z = a * x + b
+        penalty = 5e-4 * ((a * x.std()) ** 2 + b**2)
+        return float((weight * (y * z - np.logaddexp(0, z))).sum()) - penalty
+
+    best = likelihood(slope, intercept)
+    for a, b in ((1.02, 0), (0.98, 0), (1, 0.02), (1, -0.02), (1.01, 0.01)):
+        assert likelihood(slope * a, intercept + b) < best
+
+
+@pytest.mark.parametrize("chunk_bytes", [2_000, 12 << 20])
+def test_language_model_scores_are_the_plain_sum(ready, chunk_bytes):
+    """Word by word: transition of classes and emission, from the table of classes and counts."""
+    settings = brown_lm.Settings(exchanged=40, classes=5, chunk_bytes=chunk_bytes)
+    rows = cases.texts() + [(50 + i, "one two three four", "en", "a") for i in range(40)]
+    docs = cases.frame(ready, rows)
+    known = docs.filter(~remainder_is(F.col("doc_id"), 5, 1)).select("text")
+    counts = brown_lm.word_counts(known, settings).checkpoint()
+    model = brown_lm.fit(known, counts, settings)
+    class_of = {r["word"]: r["class"] for r in model.classes.collect()}
+    n_of = Counter()
+    for i, t, *_ in rows:
+        if cases.crc(i, 5) != 1:
+            n_of.update(w.lower() for w in cases.words(t))
+    tokens, words = Counter(), Counter()
+    for w, n in n_of.items():
+        c = class_of[int(brown_lm.word_hashes([w])[0])]
+        tokens[c] += n
+        words[c] += 1
+
+    def plain(text):
+        total, before = 0.0, len(model.transition) - 1
+        for w in (x.lower() for x in cases.words(text)):
+            n = n_of.get(w, 0)
+            c = class_of[int(brown_lm.word_hashes([w])[0])] if n else int(model.form_class[brown_lm.form(w)])
+            prior = settings.emission_prior
+            total += model.transition[before, c]
+            total += math.log10((n + prior) / (tokens[c] + prior * (words[c] + 1)))
+            before = c
+        return total + model.transition[before, len(model.transition) - 1]
+
+    found = brown_lm.score(docs, counts, model).collect()
+    got = sorted((str(r.doc_id), round(r.score, 4)) for r in found)
+    assert got == sorted((str(i), round(float(plain(t)), 4)) for i, t, *_ in rows)
+    assert np.allclose((10.0**model.transition).sum(axis=1), 1.0)
