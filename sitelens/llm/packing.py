@@ -40,7 +40,7 @@ from sitelens.llm.bpe import byte_letters
 LONGEST = 2048
 
 #: Words, and pre-tokens of words, whose ids a worker remembers; longer ones are not remembered.
-REMEMBERED, LONG_WORD = 300_000, 64
+REMEMBERED, LONG_WORD = 800_000, 64
 
 #: Characters after which a section of a text ends at the next space.
 SECTION = 1 << 16
