@@ -46,7 +46,7 @@ PRE_TOKEN = (
 )
 
 #: Pieces between spaces whose ids a worker remembers, twice; longer ones are not remembered.
-REMEMBERED, LONG_PIECE = 200_000, 64
+REMEMBERED, LONG_PIECE = 500_000, 64
 
 #: Characters after which a section of a text ends at the next single space.
 SECTION = 1 << 16
