@@ -9,7 +9,6 @@ from sitelens.bindings.registry import query
 from sitelens.bindings.relational import rounded, spread_sql
 from sitelens.bindings.views import BY_REGION, PREVIOUS_VERSION, VERSION
 from sitelens.functions.columns import all_present, not_in
-from sitelens.operators.sets import union_all
 from sitelens.plans import medication
 from sitelens.plans.medication import Field, FieldGroup
 

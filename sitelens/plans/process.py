@@ -14,7 +14,6 @@ from pyspark.sql import functions as F
 
 from sitelens.functions.columns import proportion, zero_if_null
 from sitelens.operators.groups import with_result_values, with_totals
-from sitelens.operators.joins import null_safe_join
 
 NAMED = ("check_name", "check_description", "check_type", "database_version")
 ROWS_SUFFIX = "_rows"
