@@ -67,6 +67,9 @@ def rename_checks(spark, folder):
 
 # --- gate --------------------------------------------------------------------------------
 
+# The names of the checks that each gate judges, and its thresholds. The comparison
+# SQL states them apart from the code.
+
 
 def _gate_sql(prefix, value, direction, threshold, verdict, source):
     return f"""SELECT site, check_name, '{prefix} - ' || check_description AS check_description,
