@@ -37,7 +37,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sitelens.llm.common import map_batches, texts
+from sitelens.llm.common import keeps_tables, map_batches, texts
 
 #: Fixed value: the pre-token pattern of byte-level BPE with contractions.
 PRE_TOKEN = (
@@ -47,6 +47,8 @@ PRE_TOKEN = (
 
 #: Pieces between spaces whose ids a worker remembers, twice; longer ones are not remembered.
 REMEMBERED, LONG_PIECE = 500_000, 64
+#: Pairs of tokens of which a worker remembers whether they may follow each other, twice.
+REMEMBERED_PAIRS = 150_000
 
 #: Characters after which a section of a text ends at the next single space.
 SECTION = 1 << 16
@@ -93,14 +95,11 @@ class _Merges:
         self._plant()
 
     def _plant(self) -> None:
-        """Tries of the tokens, read forwards and backwards: the node that a node and a byte lead to;
-        forwards the longest token on the way to a node, backwards the token that begins there (or -1);
-        and of every token the longest one that it begins with."""
+        """A trie of the tokens: the node that a node and a byte lead to, the longest token on the way
+        to a node (or -1), and of every token the longest one that it begins with."""
         self.forward: dict[int, int] = {}
         self.longest: list[int] = [-1]
         self.shorter: dict[int, int] = {}
-        self.backward: dict[int, int] = {}
-        self.beginning: list[int] = [-1]
         # In this order a token's beginnings are planted before it.
         for data, i in sorted(self.token.items()):
             node = 0
@@ -110,12 +109,21 @@ class _Merges:
                 if node == len(self.longest):
                     self.longest.append(before)
             self.longest[node], self.shorter[i] = i, before
+
+    @functools.cached_property
+    def backward(self) -> tuple[dict[int, int], list[int]]:
+        """A trie of the tokens read backwards, made for the first long pre-token: the node that a node
+        and a byte lead to, and the token that begins there (or -1)."""
+        step: dict[int, int] = {}
+        beginning = [-1]
+        for data, i in self.token.items():
             node = 0
             for byte in reversed(data):
-                node = self.backward.setdefault(node << 8 | byte, len(self.beginning))
-                if node == len(self.beginning):
-                    self.beginning.append(-1)
-            self.beginning[node] = i
+                node = step.setdefault(node << 8 | byte, len(beginning))
+                if node == len(beginning):
+                    beginning.append(-1)
+            beginning[node] = i
+        return step, beginning
 
     def merged(self, data: bytes) -> list[int]:
         """Encode by applying the merges in order; only for single tokens, to see which exist."""
@@ -145,7 +153,7 @@ class _Merges:
         key = left << 32 | right
         known = self.follow.get(key)
         if known is None:
-            if len(self.follow) >= REMEMBERED:
+            if len(self.follow) >= REMEMBERED_PAIRS:
                 self.follow, self.older = {}, self.follow
             known = self.older.get(key)
             if known is None:
@@ -244,7 +252,7 @@ class Transducer:
         """Find the last token of every longer prefix: the longest that may follow what its own start
         ends with. The tokens that end at a position are found by reading backwards from it."""
         merges, last = self.merges, self.last
-        backward, beginning, may_follow = merges.backward, merges.beginning, merges.may_follow
+        (backward, beginning), may_follow = merges.backward, merges.may_follow
         done = len(self.seen)
         self.seen = seen = self.seen + part
         for end in range(done + 1, len(seen) + 1):
@@ -429,6 +437,9 @@ def encoder(definition: str) -> Encoder:
     return Encoder(definition)
 
 
+keeps_tables(__name__, encoder.cache_clear)
+
+
 def encode(rows: DataFrame, definition: str, *, id: str = "doc_id", text: str = "text") -> DataFrame:
     """The token ids of every text, and the text that they decode to.
 

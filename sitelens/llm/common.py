@@ -98,6 +98,23 @@ def join_checked(
     return left.join(right, on, how)
 
 
+#: What workers keep from task to task, by the module that keeps it: functions that let it go.
+_TABLES: dict[str, Callable[[], None]] = {}
+
+
+def keeps_tables(module: str, forget: Callable[[], None]) -> None:
+    """Say how to free what a module keeps in a worker between its tasks. It is freed when a task of
+    another module begins there: a worker lives as long as the session, and a pipeline would have it
+    hold the tables of all stages at once."""
+    _TABLES[module] = forget
+
+
+def others_forget(module: str) -> None:
+    for name, forget in _TABLES.items():
+        if name != module:
+            forget()
+
+
 def map_batches(
     rows: DataFrame,
     function: Callable[[pa.RecordBatch], pa.RecordBatch],
@@ -105,7 +122,10 @@ def map_batches(
 ) -> DataFrame:
     """Apply a function to every Arrow batch of the rows; order and batches carry no meaning."""
 
+    module = function.__module__
+
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        others_forget(module)
         for batch in batches:
             if batch.num_rows:
                 yield function(batch)

@@ -38,7 +38,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, StructField, StructType
 
-from sitelens.llm.common import components, join_checked, map_batches, text_bytes, unused
+from sitelens.llm.common import (
+    components,
+    join_checked,
+    keeps_tables,
+    map_batches,
+    text_bytes,
+    unused,
+)
 
 
 @dataclass(frozen=True)
@@ -77,6 +84,7 @@ class _WordHashes(dict):
 
 
 _WORDS = _WordHashes()
+keeps_tables(__name__, _WORDS.clear)
 
 
 def _mixed(h: np.ndarray) -> np.ndarray:

@@ -35,6 +35,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from sitelens.llm.bpe import byte_letters
+from sitelens.llm.common import keeps_tables, others_forget
 
 #: The longest sequence; a power of two.
 LONGEST = 2048
@@ -150,6 +151,9 @@ def encoder(definition: str) -> Encoder:
     return Encoder(definition)
 
 
+keeps_tables(__name__, encoder.cache_clear)
+
+
 def lengths(tokens: int, longest: int = LONGEST) -> list[int]:
     """The lengths of the pieces of a document: powers of two that add up to its ids."""
     rest = tokens % longest
@@ -188,6 +192,7 @@ def pack(
     closing = array("I", [end_id]).tobytes()
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        others_forget(__name__)
         tool = encoder(shipped.value)
         partition = TaskContext.get().partitionId()
         places: dict[int, int] = {}

@@ -423,3 +423,14 @@ def test_blocks_are_bounded_by_bytes_too(ready):
     settings = near_duplicates.Settings(block_bytes=8 * 900, small_band=2)
     found = near_duplicates.find(cases.frame(ready, rows), settings)
     assert got_components(found) == plain_components(rows)
+
+
+def test_a_worker_keeps_the_tables_of_one_module(monkeypatch):
+    from sitelens.llm import common
+
+    kept = {"one": [1], "two": [2]}
+    monkeypatch.setattr(common, "_TABLES", {name: table.clear for name, table in kept.items()})
+    common.others_forget("one")
+    assert kept == {"one": [1], "two": []}
+    common.others_forget("three")
+    assert kept == {"one": [], "two": []}
