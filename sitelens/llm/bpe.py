@@ -46,7 +46,7 @@ PRE_TOKEN = (
 )
 
 #: Pieces between spaces whose ids a worker remembers, twice; longer ones are not remembered.
-REMEMBERED, LONG_PIECE = 500_000, 64
+REMEMBERED, LONG_PIECE = 300_000, 64
 #: Pairs of tokens of which a worker remembers whether they may follow each other, twice.
 REMEMBERED_PAIRS = 150_000
 
