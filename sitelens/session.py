@@ -30,10 +30,19 @@ SKEW_SETTINGS = {
 }
 
 
+#: Adaptive execution merges shuffle partitions up to this size. Keys compress well, so a partition of
+#: Spark's default 64 MB holds millions of rows; one task sorts and aggregates them several times
+#: over and would need gigabytes. Small partitions bound that memory, however large the tables.
+PARTITION_SETTING, PARTITION_BYTES = "spark.sql.adaptive.advisoryPartitionSizeInBytes", 16 << 20
+
+
 def prepare(spark: SparkSession) -> None:
-    """Apply the skew settings to a session."""
+    """Apply the skew settings to a session, and the size of partitions unless it is smaller there."""
     for name, value in SKEW_SETTINGS.items():
         spark.conf.set(name, value)
+    parse = spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes
+    if parse(spark.conf.get(PARTITION_SETTING, "64m")) > PARTITION_BYTES:
+        spark.conf.set(PARTITION_SETTING, f"{PARTITION_BYTES}b")
 
 
 def shared_folder(spark: SparkSession) -> str:

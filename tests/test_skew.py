@@ -4,9 +4,11 @@ import collections
 import datetime
 import random
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
+from sitelens import session
 from sitelens.operators.groups import first_row, rows_at_minimum, with_group_values
 from sitelens.plans import checks, cohorts
 from sitelens.sources.specs import FactsOverTimeSpec, MissingVisitSpec, VocabularySpec
@@ -134,3 +136,33 @@ def test_a_hot_key_is_split_among_tasks(spark, frame):
     found = cohorts.facts_by_setting(frame, visits, settings, "c")
     found.collect()
     assert "skew=true" in final_plan(found)
+
+
+def test_partitions_are_merged_up_to_a_size_that_bounds_the_memory_of_a_task(spark):
+    """co_13, ck_dcon_visit, ck_dconm: a task's memory follows the bytes of its partition."""
+    name = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    before = spark.conf.get(name, None)
+    parallel = "spark.sql.adaptive.coalescePartitions.parallelismFirst"
+    partitions = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        # 64 partitions of about 1.2 MB; without the cores in view, only the size decides how many merge.
+        spark.conf.set(parallel, "false")
+        spark.conf.set("spark.sql.shuffle.partitions", "64")
+        spark.conf.set(name, "64m")
+        session.prepare(spark)
+        rows = spark.range(0, 4_000_000, 1, 8).select(F.xxhash64("id").alias("a"), F.xxhash64("id", "id").alias("b"))
+        firsts = rows.repartition("a").mapInArrow(
+            lambda batches: [pa.record_batch({"bytes": [sum(b.nbytes for b in batches)]})], "bytes long"
+        )
+        assert max(r.bytes for r in firsts.collect()) < 20 << 20
+        # A smaller size that a session names is kept.
+        spark.conf.set(name, "1m")
+        session.prepare(spark)
+        assert spark.conf.get(name) == "1m"
+    finally:
+        spark.conf.unset(parallel)
+        spark.conf.set("spark.sql.shuffle.partitions", partitions)
+        if before is None:
+            spark.conf.unset(name)
+        else:
+            spark.conf.set(name, before)
