@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections import defaultdict
-from collections.abc import Callable, Hashable, Iterable, Mapping, Sequence
+from collections.abc import Callable, Hashable, Iterable, Iterator, Mapping, Sequence
 from dataclasses import dataclass, field
 from typing import TypeVar
 
@@ -95,20 +95,13 @@ def matching_rows(
     return matches.filter(F.col("__match").isNotNull()).select(*keep, "__match.*")
 
 
-def flagged_counts(
+def _flagged(
     tables: Tables,
     specs: Sequence[Spec],
     keys: Callable[[Spec], Mapping[str, Column]],
-) -> DataFrame:
-    """Rows counted per key and per combination of the checks they belong to.
-
-    keys gives the key columns for a check; checks of a table with equal keys share a scan and
-    a count. Column ``__in_<i>`` tells whether the rows belong to check i, ``__n`` how many
-    there are. Whatever is looked up by key afterwards is looked up once, not once per check
-    or per row.
-    """
+) -> Iterator[tuple[DataFrame, list[Column]]]:
+    """Scans that the checks share, each with its key and flag columns."""
     index = {id(spec): i for i, spec in enumerate(specs)}
-    parts = []
     for (schema, table), same_table in grouped(specs, lambda s: (s.schema, s.table)).items():
         for group in grouped(same_table, lambda s: str(keys(s))).values():
             df = tables.scan(table, schema)
@@ -119,16 +112,39 @@ def flagged_counts(
                 for spec in group
             }
             columns = {**keys(group[0]), **flags}
-            parts.append(
-                df.groupBy(*[column.alias(name) for name, column in columns.items()]).agg(
-                    F.count(F.lit(1)).alias("__n")
-                )
-            )
-    return union_all(parts)
+            yield df, [column.alias(name) for name, column in columns.items()]
+
+
+def flagged_rows(
+    tables: Tables,
+    specs: Sequence[Spec],
+    keys: Callable[[Spec], Mapping[str, Column]],
+) -> DataFrame:
+    """What flagged_counts counts, row by row: for keys that hardly any two rows share, which a count
+    would shuffle once more."""
+    return union_all(df.select(*columns) for df, columns in _flagged(tables, specs, keys))
+
+
+def flagged_counts(
+    tables: Tables,
+    specs: Sequence[Spec],
+    keys: Callable[[Spec], Mapping[str, Column]],
+) -> DataFrame:
+    """Rows counted per key and per combination of the checks they belong to.
+
+    keys gives the key columns for a check; checks of a table with equal keys share a scan and
+    a count. Column ``__in_<i>`` tells whether the rows belong to check i, ``__n`` how many
+    there are. Whatever is looked up by key afterwards is looked up once, not once per check
+    or per row.
+    """
+    return union_all(
+        df.groupBy(*columns).agg(F.count(F.lit(1)).alias("__n"))
+        for df, columns in _flagged(tables, specs, keys)
+    )
 
 
 def in_check(i: int) -> Column:
-    """Rows of flagged_counts that belong to check i."""
+    """Rows of flagged_counts or flagged_rows that belong to check i."""
     return F.coalesce(F.col(f"__in_{i}"), F.lit(False))
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 import re
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -88,34 +88,33 @@ def cohort_events(
 def near_pairs(events: DataFrame, windows: Mapping[str, float | None]) -> DataFrame:
     """Per check and key: in cohort 1, in cohort 2, and some pair of events near enough.
 
-    Events are first reduced to distinct dates, so a key holds at most one row per calendar
-    day. In date order the closest events of two different cohorts are neighbours, because
-    any event between them would be closer still; comparing each date with the one before it
-    therefore finds the smallest distance without forming pairs.
+    The distinct days of a key are gathered per cohort while it is grouped, so a key holds at most
+    two numbers per calendar day, and events are shuffled once. In date order the closest events of
+    two different cohorts are neighbours, because any event between them would be closer still;
+    comparing each with the one before it therefore finds the smallest distance without forming pairs.
     """
     limit = labelled("check_name", windows, "double")
-    dated = events.withColumn("__date", F.when(limit.isNotNull(), F.col("__date")))
-    days = dated.groupBy("check_name", "site", "__key", "__date").agg(
-        F.bool_or(F.col("cohort") == 1).alias("__one"),
-        F.bool_or(F.col("cohort") == 2).alias("__two"),
-    )
-    order = Window.partitionBy("check_name", "site", "__key").orderBy("__date")
-    before = days.withColumns(
-        {
-            "__gap": F.datediff("__date", F.lag("__date").over(order)),
-            "__one_before": F.lag("__one").over(order),
-            "__two_before": F.lag("__two").over(order),
-        }
-    )
-    same_day = F.col("__one") & F.col("__two") & F.col("__date").isNotNull()
-    crossing = (F.col("__one") & F.col("__two_before")) | (F.col("__two") & F.col("__one_before"))
-    near = same_day | (crossing & (F.col("__gap") <= limit))
-    return before.groupBy("check_name", "site", "__key").agg(
-        F.bool_or("__one").alias("__one"),
-        F.bool_or("__two").alias("__two"),
-        F.coalesce(F.bool_or(near), F.lit(False)).alias("__near"),
+    day = F.when(limit.isNotNull(), F.datediff("__date", F.lit("1970-01-01").cast("date")))
+    one, two = F.col("cohort") == 1, F.col("cohort") == 2
+    found = events.groupBy("check_name", "site", "__key").agg(
+        F.bool_or(one).alias("__one"),
+        F.bool_or(two).alias("__two"),
+        # Even for the first cohort, odd for the second.
+        F.array_sort(F.collect_set(2 * day + two.cast("int"))).alias("__days"),
     )
 
+    def near(before: Column, after: Column) -> Column:
+        gap = F.shiftright(after, 1) - F.shiftright(before, 1)
+        crossing = before.bitwiseAND(1) != after.bitwiseAND(1)
+        return crossing & ((gap == 0) | (gap <= limit))
+
+    following = F.slice("__days", F.lit(2), F.size("__days"))
+    beside = F.exists(F.zip_with("__days", following, near), lambda x: x)
+    return found.select(
+        "check_name", "site", "__key", "__one", "__two",
+        F.coalesce(beside, F.lit(False)).alias("__near"),
+    )
+
 
 def domain_concordance(
     tables: Tables,

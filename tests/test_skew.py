@@ -11,7 +11,13 @@ from pyspark.sql import functions as F
 from sitelens import session
 from sitelens.operators.groups import first_row, rows_at_minimum, with_group_values
 from sitelens.plans import checks, cohorts
-from sitelens.sources.specs import FactsOverTimeSpec, MissingVisitSpec, VocabularySpec
+from sitelens.plans.checks.concordance import near_pairs
+from sitelens.sources.specs import (
+    DatePlausibilitySpec,
+    FactsOverTimeSpec,
+    MissingVisitSpec,
+    VocabularySpec,
+)
 from sitelens.sources.tables import Tables, frames
 
 FIRST = datetime.date(2020, 1, 1)
@@ -166,3 +172,65 @@ def test_partitions_are_merged_up_to_a_size_that_bounds_the_memory_of_a_task(spa
             spark.conf.unset(name)
         else:
             spark.conf.set(name, before)
+
+
+def exchanges(df):
+    return df._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning")
+
+
+def test_events_and_dated_facts_are_shuffled_once_per_key(spark, frame):
+    """ck_meta: no shuffle only to remove duplicates before the one that the next step needs."""
+    events = frame.selectExpr("'x' AS check_name", "site", "visit_occurrence_id AS __key", "d AS __date",
+                              "1 + c % 2 AS cohort")
+    assert exchanges(near_pairs(events, {"x": 2})) == 1
+    visits = frame.selectExpr("site", "visit_occurrence_id", "d AS visit_start_date", "d AS visit_end_date")
+    persons = frame.selectExpr("site", "person_id", "d AS birth_date")
+    spec = DatePlausibilitySpec(check_id="x", check_description="X", table="t", date_field="d")
+    tables = Tables({"cdm": frames({"t": frame})})
+    # Two for each of the two joins, one for the sums per site.
+    assert exchanges(checks.date_plausibility(tables, [spec], visits, persons, "v")) == 5
+
+
+def test_near_pairs_around_the_epoch(spark):
+    """Against all pairs: days before 1970, null days, one day in both cohorts, a check without window."""
+    chance = random.Random(5)
+    rows = []
+    for _ in range(400):
+        day = datetime.date(1969, 12, 1) + datetime.timedelta(days=chance.randrange(60))
+        rows.append((chance.choice(["x", "y"]), "a", chance.randrange(40), chance.choice([day, day, None]),
+                     chance.choice([1, 2])))
+    events = spark.createDataFrame(rows, "check_name string, site string, __key int, __date date, cohort int")
+    expected = {}
+    for name, _, key, _, _ in rows:
+        own = [(day, cohort) for n, _, k, day, cohort in rows if (n, k) == (name, key)]
+        near = name == "x" and any(
+            a and b and abs((a - b).days) <= 2 for a, c in own for b, other in own if c != other
+        )
+        expected[name, key] = (any(c == 1 for _, c in own), any(c == 2 for _, c in own), near)
+    found = near_pairs(events, {"x": 2, "y": None}).collect()
+    assert {(r.check_name, r["__key"]): (r["__one"], r["__two"], r["__near"]) for r in found} == expected
+    assert len(found) == len(expected)
+
+
+def test_dates_of_a_hot_visit_and_person(spark, facts, frame):
+    """Rows are not counted before they meet visits and persons: repeats and null visits keep their number."""
+    visits = spark.range(1, 300).selectExpr(
+        "id AS visit_occurrence_id", "DATE'2020-01-20' AS visit_start_date", "DATE'2020-02-10' AS visit_end_date"
+    )
+    persons = spark.createDataFrame(
+        [(s, p, datetime.date(2020, 1, 11)) for s in "ab" for p in range(1, 60)],
+        "site string, person_id bigint, birth_date date",
+    )
+    spec = DatePlausibilitySpec(check_id="x", check_description="X", table="t", date_field="d")
+    found = checks.date_plausibility(Tables({"cdm": frames({"t": frame})}), [spec], visits, persons, "v")
+    expected = {}
+    for site in "ab":
+        own = [(p, visit, day) for s, p, visit, _, day, _ in facts if s == site]
+        seen = [day for _, visit, day in own if visit is not None and visit < 300]
+        for kind, n in {
+            "before_birth": sum(p < 60 and day < datetime.date(2020, 1, 11) for p, _, day in own),
+            "before_visit": sum(day < datetime.date(2020, 1, 20) for day in seen),
+            "after_visit": sum(day > datetime.date(2020, 2, 10) for day in seen),
+        }.items():
+            expected[site, kind] = (len(own), n)
+    assert {(r.site, r.implausible_type): (r.total_rows, r.implausible_row) for r in found.collect()} == expected
