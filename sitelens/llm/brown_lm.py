@@ -29,7 +29,7 @@ from __future__ import annotations
 
 import itertools
 import math
-from collections import Counter
+from collections import Counter, defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass, replace
 
@@ -39,7 +39,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sitelens.llm.common import join_checked, map_batches, text_bytes
+from sitelens.llm.common import text_bytes
 
 _FORMS = 4 * 6 * 4
 
@@ -50,6 +50,14 @@ _END = int(np.iinfo(np.int64).min)
 _STEPS = 16
 #: The smallest share of words that moves in a pass, as a power of 1 / 2.
 _HALVINGS = 5
+#: Words whose gains are computed at once.
+_ROWS = 2048
+#: Tasks that add up what the parts have counted.
+_SLICES = 16
+_PRIMES = np.array(
+    [0x9E3779B185EBCA87, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x85EBCA77C2B2AE63, 0x27D4EB2F165667C5],
+    np.uint64,
+)
 
 
 @dataclass(frozen=True)
@@ -142,45 +150,167 @@ def word_counts(texts: DataFrame, settings: Settings) -> DataFrame:
     return counted.groupBy("word", "form").agg(F.sum("n").alias("n"))
 
 
-def neighbours(texts: DataFrame, settings: Settings) -> DataFrame:
-    """before, after, n: neighbouring words of all texts, with an end on both sides."""
-    room = settings.chunk_bytes // 24
+def _pack(numbers: np.ndarray) -> bytes:
+    """Whole numbers with bytes of equal weight side by side, compressed, so that small ones need little."""
+    planes = np.ascontiguousarray(numbers, np.int64).view(np.uint8).reshape(-1, 8).T
+    return len(numbers).to_bytes(8, "little") + pa.compress(planes.tobytes(), codec="zstd", asbytes=True)
+
+
+def _unpack(packed: pa.Scalar) -> np.ndarray:
+    data = packed.as_py()
+    count = int.from_bytes(data[:8], "little")
+    planes = np.frombuffer(pa.decompress(data[8:], 8 * count, codec="zstd", asbytes=True), np.uint8)
+    return np.ascontiguousarray(planes.reshape(8, count).T).view(np.int64).reshape(-1)
+
+
+def _numbering() -> defaultdict[bytes | None, int]:
+    """Numbers words as they are looked up; None, the end, is 0."""
+    place: defaultdict[bytes | None, int] = defaultdict(itertools.count(1).__next__)
+    place[None] = 0
+    return place
+
+
+def part_of(words: np.ndarray, parts: int) -> np.ndarray:
+    return ((words.view(np.uint64) >> np.uint64(32)) % np.uint64(parts)).astype(np.int64)
+
+
+def _summed(keys: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct keys in order and the sum of n of each."""
+    order = np.argsort(keys, kind="stable")
+    keys = keys[order]
+    starts = np.flatnonzero(np.diff(keys, prepend=-1))
+    return keys[starts], np.add.reduceat(n[order], starts) if len(starts) else n[:0]
+
+
+def neighbours(texts: DataFrame, words: list[int], parts: int, settings: Settings) -> DataFrame:
+    """The neighbours of all words, one row per part of the words; checkpointed, dealt by `part`.
+
+    `words` go first and have their place as number; all others share the next number and the end, on
+    both sides of a text, has the one after. A row has `words`: the words of the part but for those with
+    numbers; `halo`: neighbours of these without a number; `degree`: entries of each word; for each
+    entry `code` and `n`: code // 2 is the number of a neighbour, or, less the count of numbers, its
+    place in the halo; code % 2 is 0 for one that follows and 1 for one that comes before. So a pair of
+    words without numbers is in the rows of both. `at` and `count` are the share that this part has in
+    the counts of pairs of numbers, at before * numbers + after.
+    """
+    room, others = settings.chunk_bytes // 24, len(words)
+    numbers = others + 2
+    sought = np.array([*words, _END], np.int64)
+    order = np.argsort(sought)
+    sought, named = sought[order], np.array([*range(others), others + 1])[order]
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        place: dict[bytes | None, int] = {None: 0}
-        line = [0]
+        place, line = _numbering(), [0]
         for batch in batches:
             for text in text_bytes(batch.column(0)):
-                line.extend([place.setdefault(w, len(place)) for w in tokens(text)])
+                line.extend(map(place.__getitem__, tokens(text)))
                 line.append(0)
                 if len(line) >= 4 * room or len(place) >= room:
                     yield flushed(place, line)
-                    place, line = {None: 0}, [0]
+                    place, line = _numbering(), [0]
         if len(line) > 1:
             yield flushed(place, line)
 
     def flushed(place: dict[bytes | None, int], line: list[int]) -> pa.RecordBatch:
-        words = list(place)
-        hashes = np.concatenate([[_END], word_hashes(words[1:])]).astype(np.int64)
-        numbers = np.array(line, np.int64)
-        pairs, n = np.unique(numbers[:-1] * len(words) + numbers[1:], return_counts=True)
-        return _batch(
-            {
-                "before": (hashes[pairs // len(words)], pa.int64()),
-                "after": (hashes[pairs % len(words)], pa.int64()),
-                "n": (n, pa.int64()),
-            }
+        found = list(place)
+        hashes = np.concatenate([[_END], word_hashes(found[1:])]).astype(np.int64)
+        at = np.minimum(np.searchsorted(sought, hashes), len(sought) - 1)
+        number = np.where(sought[at] == hashes, named[at], others)
+        series = np.array(line, np.int64)
+        pairs, n = np.unique(series[:-1] * len(found) + series[1:], return_counts=True)
+        before, after = pairs // len(found), pairs % len(found)
+        both = (number[before] != others) & (number[after] != others)
+        first, first_n = _summed(number[before[both]] * numbers + number[after[both]], n[both])
+        # Every entry lies with its word, words by part and hash.
+        sides = number[before] == others, number[after] == others
+        word = np.concatenate([before[sides[0]], after[sides[1]]])
+        other = np.concatenate([after[sides[0]], before[sides[1]]])
+        side = np.repeat([0, 1], [sides[0].sum(), sides[1].sum()])
+        n = np.concatenate([n[sides[0]], n[sides[1]]])
+        part = part_of(hashes, parts)
+        ranks = np.empty(len(hashes), np.int64)
+        ranked = np.lexsort((hashes, part))
+        ranks[ranked] = np.arange(len(hashes))
+        order = np.argsort(ranks[word], kind="stable")
+        word, other, side, n = word[order], other[order], side[order], n[order]
+        alone = number[other] == others
+        code = 2 * np.where(alone, numbers, number[other]) + side
+        cuts = np.searchsorted(part[word], np.arange(parts + 1))
+        rows = []
+        for p in range(parts):
+            here = slice(cuts[p], cuts[p + 1])
+            mine = first % parts == p
+            if cuts[p] == cuts[p + 1] and not mine.any():
+                continue
+            starts = np.flatnonzero(np.diff(word[here], prepend=-1))
+            degree = np.diff(starts, append=cuts[p + 1] - cuts[p])
+            columns = hashes[word[here][starts]], degree, code[here], n[here], hashes[other[here][alone[here]]]
+            rows.append((p, *map(_pack, (*columns, first[mine], first_n[mine]))))
+        names = ("part", "words", "degree", "code", "n", "halo", "at", "count")
+        kinds = [pa.int64()] + [pa.binary()] * 7
+        return _batch({c: (list(v), k) for c, v, k in zip(names, zip(*rows), kinds)})
+
+    def merged(table: pa.Table) -> pa.Table:
+        degree, code, n, halo, at, count = (
+            np.concatenate([_unpack(x) for x in table[c]]) for c in ("degree", "code", "n", "halo", "at", "count")
+        )
+        words, word = np.unique(np.concatenate([_unpack(x) for x in table["words"]]), return_inverse=True)
+        halo, other = np.unique(halo, return_inverse=True)
+        alone = code >= 2 * numbers
+        code[alone] += 2 * other
+        span = 2 * (numbers + len(halo))
+        keys, n = _summed(np.repeat(word, degree) * span + code, n)
+        code = keys % span
+        # Pairs with words that have no number, and of these.
+        number = np.where(code < 2 * numbers, code // 2, others)
+        side = (code % 2).astype(bool)
+        seen = ~side | (code < 2 * numbers)
+        beside = np.where(side, number * numbers + others, others * numbers + number)
+        at, count = _summed(np.concatenate([at, beside[seen]]), np.concatenate([count, n[seen]]))
+        packed = words, halo, np.bincount(keys // span, minlength=len(words)), code, n
+        return pa.table(
+            {"part": table["part"][:1]}
+            | {c: pa.array([_pack(x)], pa.binary()) for c, x in zip(("words", "halo", "degree", "code", "n"), packed)}
+            | {"at": pa.array([at], pa.list_(pa.int64())), "count": pa.array([count], pa.list_(pa.int64()))}
         )
 
-    counted = _map(texts.select("text"), apply, "before long, after long, n long")
-    return counted.groupBy("before", "after").agg(F.sum("n").alias("n"))
+    found = _map(
+        texts.select("text"),
+        apply,
+        "part long, words binary, degree binary, code binary, n binary, halo binary, at binary, count binary",
+    )
+    rows = found.groupBy("part").applyInArrow(
+        merged,
+        "part long, words binary, halo binary, degree binary, code binary, n binary, at array<long>, count array<long>",
+    )
+    # Only without adaptive execution a checkpoint remembers how it is dealt, and passes need no shuffle.
+    conf = texts.sparkSession.conf
+    adaptive = conf.get("spark.sql.adaptive.enabled")
+    conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        return rows.repartition(parts, "part").sortWithinPartitions("part").checkpoint()
+    finally:
+        conf.set("spark.sql.adaptive.enabled", adaptive)
+
+
+def _mixed(h: np.ndarray) -> np.ndarray:
+    h = (h ^ (h >> np.uint64(33))) * _PRIMES[1]
+    h = (h ^ (h >> np.uint64(29))) * _PRIMES[2]
+    return h ^ (h >> np.uint64(32))
+
+
+def _turned(x: np.ndarray, bits: int) -> np.ndarray:
+    return (x << np.uint64(bits)) | (x >> np.uint64(64 - bits))
 
 
-def _of_word(pairs: DataFrame, named: DataFrame, side: str, other: int) -> DataFrame:
-    """The pairs with the class of the word on one side as a column; `other` where it has none."""
-    right = named.select(F.col("word").alias(side), F.col("class").alias(f"{side}_class"))
-    joined = join_checked(pairs, right, [side], "left", 32)
-    return joined.withColumn(f"{side}_class", F.coalesce(f"{side}_class", F.lit(other)))
+def moving(words: np.ndarray, halvings: int, turn: int) -> np.ndarray:
+    """One word in 2 ** halvings, another share every turn: by xxhash64(word, turn), as Spark has it."""
+    p = _PRIMES
+    h = np.full(len(words), 42, np.uint64) + p[4] + np.uint64(8)
+    h = _turned(h ^ (_turned(words.view(np.uint64) * p[1], 31) * p[0]), 27) * p[0] + p[3]
+    h = _mixed(h) + p[4] + np.uint64(4)
+    h = _mixed(_turned(h ^ (np.full(len(words), turn, np.uint64) * p[0]), 23) * p[1] + p[2])
+    return h & np.uint64((1 << halvings) - 1) == 0
 
 
 def _log(x: np.ndarray) -> np.ndarray:
@@ -241,49 +371,114 @@ def gains(
     )
 
 
-def exchange_all(pairs: DataFrame, named: DataFrame, k: int, settings: Settings) -> DataFrame:
-    """word, class: all words of the pairs, and the end in class k + 1.
+def _best(gain: np.ndarray, own: np.ndarray, k: int) -> np.ndarray:
+    """The class of most gain of each word; its own one if that is as good, and if it stays for good."""
+    top = gain.max(axis=1)
+    to = np.argmax(gain >= top[:, None] - 1e-6, axis=1)
+    stays = np.flatnonzero(own < k)
+    stays = stays[gain[stays, own[stays]] >= top[stays] - 1e-6]
+    to[stays] = own[stays]
+    return np.where(own == k + 1, own, to)
 
-    `named` has the classes to start from; words it does not name are in class k until the first
-    pass has moved them to one of the k classes.
+
+@dataclass(frozen=True)
+class Moves:
+    """Classes of all words: those from which some words have moved to the ones proposed."""
+
+    proposed: DataFrame  # part, source, now, to, moved: for each part the words there and in its halo
+    first: tuple[np.ndarray, np.ndarray]  # the same for the words with numbers
+    halvings: int
+    turn: int
+
+
+@dataclass(frozen=True)
+class _Part:
+    """A row of `neighbours` with the present classes."""
+
+    words: np.ndarray
+    halo: np.ndarray
+    word: np.ndarray  # of each entry
+    code: np.ndarray
+    n: np.ndarray
+    classes: np.ndarray  # of words
+    other_classes: np.ndarray  # of the neighbour in each entry
+
+
+def _part(row: pa.Table, sent: pa.Table, first: np.ndarray, k: int, parts: int, step: tuple[int, int]) -> _Part:
+    """`first` has the classes by number; `step` says which of the proposed moves are made."""
+    words, halo, degree, code, n = (_unpack(row[c][0]) for c in ("words", "halo", "degree", "code", "n"))
+    classes, near = np.full(len(words), k), np.full(len(halo), k)
+    of = part_of(halo, parts)
+    for i, source in enumerate(sent["source"].to_pylist()):
+        now, to = _unpack(sent["now"][i]), _unpack(sent["to"][i])
+        if source < 0:
+            classes = np.where(moving(words, *step), to, now)
+        else:
+            at = of == source
+            near[at] = np.where(moving(halo[at], *step), to, now)
+    return _Part(
+        words, halo, np.repeat(np.arange(len(words)), degree), code, n, classes,
+        np.concatenate([first, near])[code // 2],
+    )
+
+
+def exchange_all(
+    rows: DataFrame, parts: int, words: list[int], pairs: np.ndarray, member: np.ndarray, k: int, settings: Settings
+) -> tuple[DataFrame, np.ndarray]:
+    """word, class of all words, and the table of pairs of classes, where k + 1 has the end.
+
+    `rows` are what `neighbours` gives and `pairs` its counts of pairs of numbers. `member` has the
+    classes by number to start from; other words are in class k until the first pass has moved them to
+    one of the k classes. A pass sends each part the classes of the words in its halo, not the pairs.
     """
-    size, spark = k + 2, pairs.sparkSession
-    best, kept, proposed, done, halvings = -math.inf, None, None, 0, 1
+    size, numbers, spark = k + 2, len(pairs), rows.sparkSession
+    others = numbers - 2
+    hashes = np.array([*words, 0, _END], np.int64)
+    stored = rows.select("part", "words", "halo", "degree", "code", "n")
+    known = np.arange(numbers) != others
+    pairs = np.where(known[:, None] & known[None], pairs, 0)
+    schema = "part long, source long, now binary, to binary, moved long"
+    best, kept, done, halvings = -math.inf, None, 0, 1
+    moves = Moves(spark.createDataFrame([], schema), (member, member), 0, 0)
     while True:
-        sides = [
-            _of_word(pairs, named, side, k).select(
-                F.col(other).alias("word"),
-                (F.col(f"{side}_class") + shift).alias("slot"),
-                "n",
-                F.when((F.col("before") == F.col("after")) & F.lit(shift == 0), F.col("n"))
-                .otherwise(0)
-                .alias("self"),
+        step = moves.halvings, moves.turn
+        first = np.where(moving(hashes, *step), moves.first[1], moves.first[0])
+
+        def counted(row: pa.Table, sent: pa.Table) -> pa.Table:
+            if not row.num_rows:
+                return pa.table({"slice": pa.array([], pa.int64()), "counts": pa.array([], pa.binary())})
+            x = _part(row, sent, first, k, parts, step)
+            after = x.code % 2 == 0
+            cells = np.bincount(
+                x.classes[x.word[after]] * size + x.other_classes[after], x.n[after], size * size
             )
-            for side, other, shift in (("after", "before", 0), ("before", "after", size))
-        ]
-        # At most two rows per word and class before they are gathered.
-        slots = (
-            sides[0].unionByName(sides[1])
-            .groupBy("word", "slot")
-            .agg(F.sum("n").alias("n"), F.sum("self").alias("self"))
-        )
-        profiles = (
-            slots.groupBy("word")
-            .agg(F.collect_list(F.struct("slot", "n")).alias("slots"), F.sum("self").alias("self"))
-            .join(named.select("word", "class"), "word", "left")
-            .select("word", F.coalesce("class", F.lit(k)).alias("class"), "slots", "self")
-            .checkpoint()
-        )
-        cells = (
-            profiles.select("class", F.explode("slots").alias("s"))
-            .filter(F.col("s.slot") < size)
-            .groupBy("class", "s.slot")
-            .agg(F.sum("s.n").alias("n"))
-            .collect()
+            near = x.code < 2 * numbers
+            slots = (x.code[near] // 2 * 2 + after[near]) * size + x.classes[x.word[near]]
+            counts = np.concatenate([cells, np.bincount(slots, x.n[near], 2 * numbers * size)])
+            slices = [_pack(c) for c in np.array_split(counts.astype(np.int64), _SLICES)]
+            return pa.table({"slice": np.arange(_SLICES), "counts": pa.array(slices, pa.binary())})
+
+        def added(table: pa.Table) -> pa.Table:
+            total = sum(_unpack(x) for x in table["counts"])
+            return pa.table({"slice": table["slice"][:1], "counts": pa.array([_pack(total)], pa.binary())})
+
+        grouped = stored.groupBy("part").cogroup(moves.proposed.groupBy("part"))
+        found = (
+            grouped.applyInArrow(counted, "slice long, counts binary")
+            .groupBy("slice")
+            .applyInArrow(added, "slice long, counts binary")
+            .toArrow()
         )
+        sides = np.zeros((numbers, 2, size))
         table = np.zeros((size, size))
-        for r in cells:
-            table[r["class"], r.slot] = r.n
+        if found.num_rows:
+            found = found.sort_by("slice")
+            counts = np.concatenate([_unpack(x) for x in found["counts"]]).astype(float)
+            table += counts[: size * size].reshape(size, size)
+            sides += counts[size * size :].reshape(numbers, 2, size)
+        np.add.at(sides[:, 0].T, first, pairs.T)
+        np.add.at(sides[:, 1].T, first, pairs)
+        np.add.at(table, first[known], sides[known, 0])
         open_ = table[k].any()
         if not open_:
             now = information(table)
@@ -291,50 +486,73 @@ def exchange_all(pairs: DataFrame, named: DataFrame, k: int, settings: Settings)
             if more <= 0 and halvings < _HALVINGS:
                 # Too many moved at once: fewer of the same moves.
                 halvings += 1
-                named = _some_moved(proposed, halvings, done)
+                moves = replace(moves, halvings=halvings)
                 continue
-            if more <= 0:
-                return kept
-            kept = named
-            if more < settings.least_gain * table.sum() / 2**halvings or done == settings.passes:
-                return kept
+            if more > 0:
+                kept = moves, first, table
+            if more <= 0 or more < settings.least_gain * table.sum() / 2**halvings or done == settings.passes:
+                break
             best = now
         shipped = spark.sparkContext.broadcast(table)
-
-        def move(batch: pa.RecordBatch, shipped=shipped) -> pa.RecordBatch:
-            own = batch.column(1).to_numpy().astype(np.int64)
-            slots, lengths = batch.column(2), batch.column(2).value_lengths().to_numpy()
-            at = np.repeat(np.arange(len(own)), lengths)
-            entries = slots.flatten()
-            both = np.zeros((len(own), 2 * size))
-            both[at, entries.field(0).to_numpy()] = entries.field(1).to_numpy()
-            self_ = batch.column(3).to_numpy().astype(float)
-            gain = gains(both[:, :size], both[:, size:], own, self_, shipped.value, k)
-            top = gain.max(axis=1)
-            to = np.argmax(gain >= top[:, None] - 1e-6, axis=1)
-            stays = np.flatnonzero(own < k)
-            stays = stays[gain[stays, own[stays]] >= top[stays] - 1e-6]
-            to[stays] = own[stays]
-            to = np.where(own == k + 1, own, to)
-            return pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(own, pa.int32()), pa.array(to, pa.int32())],
-                names=["word", "class", "to"],
-            )
-
-        proposed = map_batches(profiles, move, "word long, class int, to int").checkpoint()
-        done += 1
-        if open_:
-            named = proposed.select("word", F.col("to").alias("class"))
-        elif proposed.filter(F.col("class") != F.col("to")).isEmpty():
-            return named
-        else:
-            named = _some_moved(proposed, halvings, done)
-
-
-def _some_moved(proposed: DataFrame, halvings: int, turn: int) -> DataFrame:
-    """word, class: the proposed move of one word in 2 ** halvings, another share every turn."""
-    share = F.pmod(F.xxhash64("word", F.lit(turn)), F.lit(1 << halvings)) == 0
-    return proposed.select("word", F.when(share, F.col("to")).otherwise(F.col("class")).alias("class"))
+        share, turn = 0 if open_ else halvings, done + 1
+
+        def move(row: pa.Table, sent: pa.Table) -> pa.Table:
+            names = ("part", "source", "now", "to", "moved")
+            kinds = (pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.int64())
+            if not row.num_rows:
+                return pa.table({c: pa.array([], t) for c, t in zip(names, kinds)})
+            x = _part(row, sent, first, k, parts, step)
+            part = row["part"][0].as_py()
+            slots = x.code % 2 * size + x.other_classes
+            place = np.searchsorted(x.halo, x.words)
+            place = np.where(np.append(x.halo, _END)[place] == x.words, 2 * (numbers + place), -1)
+            self_ = np.bincount(x.word, np.where(x.code == place[x.word], x.n, 0), len(x.words))
+            # Words whose turn it is not stay, and so do they if fewer of these moves are made.
+            turns = moving(x.words, share, turn)
+            movers, to = np.flatnonzero(turns), x.classes.copy()
+            near = turns[x.word]
+            word, slot, n = (np.cumsum(turns) - 1)[x.word[near]], slots[near], x.n[near]
+            cuts = np.searchsorted(word, np.arange(0, len(movers) + _ROWS, _ROWS))
+            for i, (begin, end) in enumerate(itertools.pairwise(cuts)):
+                here = movers[i * _ROWS : (i + 1) * _ROWS]
+                own = x.classes[here]
+                at = (word[begin:end] - i * _ROWS) * 2 * size + slot[begin:end]
+                both = np.bincount(at, n[begin:end], len(own) * 2 * size).reshape(len(own), 2 * size)
+                gain = gains(both[:, :size], both[:, size:], own, self_[here], shipped.value, k)
+                to[here] = _best(gain, own, k)
+            out = [(part, -1, _pack(x.classes), _pack(to), int((x.classes != to).sum()))]
+            # Every part that has a neighbour of a word here has the word in its halo.
+            alone = x.code >= 2 * numbers
+            asked = part_of(x.halo, parts)[x.code[alone] // 2 - numbers]
+            sends = np.unique(asked * len(x.words) + x.word[alone])
+            cuts = np.searchsorted(sends, np.arange(parts + 1) * len(x.words))
+            for p in np.flatnonzero(np.diff(cuts)):
+                at = sends[cuts[p] : cuts[p + 1]] % len(x.words)
+                out.append((p, part, _pack(x.classes[at]), _pack(to[at]), 0))
+            return pa.table({c: pa.array(v, t) for c, v, t in zip(names, zip(*out), kinds)})
+
+        proposed = grouped.applyInArrow(move, schema).checkpoint()
+        gain = gains(sides[:, 0], sides[:, 1], first, np.diagonal(pairs).copy(), table, k)
+        to = np.where(known & moving(hashes, share, turn), _best(gain, first, k), first)
+        done = turn
+        moved = (to != first).any() or proposed.agg(F.sum("moved")).first()[0]
+        if not (open_ or moved):
+            break
+        moves = Moves(proposed, (first, to), share, turn)
+    moves, first, table = kept
+    step = moves.halvings, moves.turn
+
+    def named(row: pa.Table, sent: pa.Table) -> pa.Table:
+        if not row.num_rows:
+            return pa.table({"word": pa.array([], pa.int64()), "class": pa.array([], pa.int32())})
+        x = _part(row, sent, first, k, parts, step)
+        return pa.table({"word": x.words, "class": pa.array(x.classes, pa.int32())})
+
+    classes = (
+        stored.groupBy("part").cogroup(moves.proposed.groupBy("part")).applyInArrow(named, "word long, class int")
+    )
+    firsts = spark.createDataFrame([*zip(words, first[:others].tolist())], "word long, class int")
+    return classes.unionByName(firsts), table
 
 
 def exchange(pairs: np.ndarray, count: int, settings: Settings) -> np.ndarray:
@@ -419,32 +637,26 @@ def fit(texts: DataFrame, counts: DataFrame, settings: Settings = Settings()) ->
     spark = texts.sparkSession
     top = counts.orderBy(F.desc("n"), "word", "form").limit(settings.exchanged).collect()
     words = list(dict.fromkeys(r.word for r in top))
-    pairs = neighbours(texts, settings).checkpoint()
+    total = counts.agg(F.sum("n")).first()[0] or 0
+    parts = max(1, math.ceil(total / (settings.chunk_bytes // 6)))
+    rows = neighbours(texts, words, parts, settings)
     # The first words by number, then all others as one, then the end.
     count = len(words)
-    numbers = spark.createDataFrame([*zip(words, range(count)), (_END, count + 1)], "word long, class int")
     # At most the square of the number of first words.
     found = (
-        _of_word(_of_word(pairs, numbers, "after", count), numbers, "before", count)
-        .groupBy("before_class", "after_class")
-        .agg(F.sum("n").alias("n"))
+        rows.select(F.explode(F.arrays_zip("at", "count")).alias("x"))
+        .groupBy("x.at")
+        .agg(F.sum("x.count").alias("n"))
         .toArrow()
     )
     first = np.zeros((count + 2, count + 2))
-    first[found["before_class"].to_numpy(), found["after_class"].to_numpy()] = found["n"].to_numpy()
+    first.reshape(-1)[found["at"].to_numpy()] = found["n"].to_numpy()
     member = exchange(first, count, settings)
     k = int(member[-1]) - 1
-    start = spark.createDataFrame(
-        [*zip(words, member[:count].tolist()), (_END, k + 1)], "word long, class int"
-    )
-    named = exchange_all(pairs, start, k, settings).filter(F.col("word") != _END)
-    named = named.select("word", "class").checkpoint()
+    named, table = exchange_all(rows, parts, words, first, member, k, settings)
+    named = named.checkpoint()
     size = k + 1
-    table = np.zeros((size, size))
-    classed = named.unionByName(spark.createDataFrame([(_END, k)], "word long, class int"))
-    cells = _of_word(_of_word(pairs, classed, "after", k), classed, "before", k)
-    for r in cells.groupBy("before_class", "after_class").agg(F.sum("n").alias("n")).collect():
-        table[r.before_class, r.after_class] = r.n
+    table = np.delete(np.delete(table, k, axis=0), k, axis=1)
     into = table.sum(axis=0)
     frequency = (into + 0.5) / (into.sum() + 0.5 * size)
     prior = settings.transition_prior
@@ -484,7 +696,7 @@ def score(rows: DataFrame, counts: DataFrame, model: Model, *, id: str = "doc_id
     shipped = rows.sparkSession.sparkContext.broadcast(replace(model, classes=None))
 
     def distinct_words(table: pa.Table) -> pa.Table:
-        words = list({w for t in text_bytes(table["text"].combine_chunks()) for w in tokens(t)})
+        words = list(set(itertools.chain.from_iterable(map(tokens, text_bytes(table["text"].combine_chunks())))))
         number = table["chunk"][0].as_py()
         return pa.table(
             {"chunk": pa.array([number] * len(words), pa.int64()), "word": word_hashes(words)}
@@ -497,8 +709,12 @@ def score(rows: DataFrame, counts: DataFrame, model: Model, *, id: str = "doc_id
     def scored(key, table: pa.Table, counted: pa.Table) -> pa.Table:
         model: Model = shipped.value
         settings = model.settings
-        lists = [tokens(t) for t in text_bytes(table["text"].combine_chunks())]
-        words = list({w for found in lists for w in found})
+        place = defaultdict(itertools.count().__next__)
+        lists = [
+            np.array([*map(place.__getitem__, tokens(t))], np.int32)
+            for t in text_bytes(table["text"].combine_chunks())
+        ]
+        words = list(place)
         hashes = word_hashes(words)
         n = np.zeros(len(words))
         member = model.form_class[np.fromiter(map(form, words), np.int64, len(words))]
@@ -517,13 +733,11 @@ def score(rows: DataFrame, counts: DataFrame, model: Model, *, id: str = "doc_id
         base = np.log10((n + 0.5) / norm)
         end_base = math.log10((model.ends + 0.5) / norm)
         end = len(model.transition) - 1
-        place = {w: i for i, w in enumerate(words)}
         counts_, knowns, bases, scores = [], [], [], []
-        for found in lists:
-            at = np.fromiter(map(place.__getitem__, found), np.int64, len(found))
+        for at in lists:
             classes = np.concatenate([[end], member[at], [end]])
             moves = model.transition[classes[:-1], classes[1:]].sum()
-            counts_.append(len(found) + 1)
+            counts_.append(len(at) + 1)
             knowns.append(int(np.count_nonzero(n[at])) + (model.ends > 0))
             bases.append(float(base[at].sum()) + end_base)
             scores.append(float(emission[at].sum() + moves))

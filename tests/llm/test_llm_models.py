@@ -7,6 +7,7 @@ from dataclasses import replace
 
 import cases
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -200,6 +201,53 @@ def test_every_training_word_is_clustered(ready):
     assert len(of(groups[0])) == len(of(groups[1])) == 1 and of(groups[0]) != of(groups[1])
 
 
+def test_passes_shuffle_classes_only_and_neighbours_are_whole(ready):
+    r = cases.rng(5)
+    texts = [" ".join(r.choice("abcdefghij") * r.randint(1, 4) for _ in range(r.randint(0, 30))) for _ in range(60)]
+    docs = cases.frame(ready, [(i, t, "en", "s") for i, t in enumerate([*texts, "x x x"])]).select("text")
+    plain = Counter()
+    for t in [*texts, "x x x"]:
+        line = [None, *t.split(), None]
+        plain.update(zip(line, line[1:]))
+    hashes = {w: int(brown_lm.word_hashes([w.encode()])[0]) for pair in plain for w in pair if w}
+    first = [hashes["a"], hashes["bb"]]
+    settings = brown_lm.Settings(chunk_bytes=2000)
+    rows = brown_lm.neighbours(docs, first, 3, settings)
+    number = {None: 3} | {w: first.index(h) if h in first else 2 for w, h in hashes.items()}
+    found, at = Counter(), Counter()
+    for row in rows.collect():
+        words, halo, degree, code, n = (
+            brown_lm._unpack(pa.scalar(bytes(row[c]))).tolist() for c in ("words", "halo", "degree", "code", "n")
+        )
+        at.update(dict(zip(row["at"], row["count"])))
+        for word, c, k in zip(np.repeat(words, degree).tolist(), code, n):
+            other = c // 2 if c < 8 else halo[c // 2 - 4]
+            found[(other, word) if c % 2 else (word, other)] += k
+    name = lambda w: hashes[w] if number[w] == 2 else number[w]
+    twice = Counter()
+    for (a, b), k in plain.items():
+        twice[name(a), name(b)] += k * ((number[a] == 2) + (number[b] == 2))
+    assert found == +twice
+    pairs = Counter()
+    for (a, b), k in plain.items():
+        pairs[number[a] * 4 + number[b]] += k
+    assert at == pairs
+    sent = ready.createDataFrame([(0, 1)], "part long, source long")
+    passed = rows.groupBy("part").cogroup(sent.groupBy("part")).applyInArrow(lambda x, y: x, rows.schema)
+    passed.collect()
+    plan = passed._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    assert plan.count("Exchange hashpartitioning") == 1
+
+
+def test_words_move_in_turns_as_spark_hashes_them(ready):
+    words = np.array([0, 1, -1, brown_lm._END, *range(10**15, 10**15 + 400)], np.int64)
+    rows = ready.createDataFrame([(int(w),) for w in words], "word long")
+    for halvings, turn in ((0, 0), (1, 1), (2, 7), (5, 12)):
+        share = F.pmod(F.xxhash64("word", F.lit(turn)), F.lit(1 << halvings)) == 0
+        want = {r.word for r in rows.filter(share).collect()}
+        assert set(words[brown_lm.moving(words, halvings, turn)].tolist()) == want
+
+
 def test_gains_are_the_change_of_information():
     r = np.random.RandomState(2)
     pairs = r.poisson(0.7, (14, 14)).astype(float) * r.randint(1, 30, (14, 14))
