@@ -509,8 +509,16 @@ def exchange_all(
             self_ = np.bincount(x.word, np.where(x.code == place[x.word], x.n, 0), len(x.words))
             # Words whose turn it is not stay, and so do they if fewer of these moves are made.
             turns = moving(x.words, share, turn)
-            movers, to = np.flatnonzero(turns), x.classes.copy()
-            near = turns[x.word]
+            to = x.classes.copy()
+            # Words seen once, with equal classes around them, move alike: one of them is tried.
+            ends = np.cumsum(np.bincount(x.word, minlength=len(x.words)))
+            once = np.flatnonzero(turns & (np.bincount(x.word, x.n, len(x.words)) == 2))
+            once = once[np.diff(ends, prepend=0)[once] == 2]
+            around = (x.classes[once] * 2 * size + slots[ends[once] - 2]) * 2 * size + slots[ends[once] - 1]
+            _, tried, alike = np.unique(around, return_index=True, return_inverse=True)
+            turns[once] = False
+            turns[once[tried]] = True
+            movers, near = np.flatnonzero(turns), turns[x.word]
             word, slot, n = (np.cumsum(turns) - 1)[x.word[near]], slots[near], x.n[near]
             cuts = np.searchsorted(word, np.arange(0, len(movers) + _ROWS, _ROWS))
             for i, (begin, end) in enumerate(itertools.pairwise(cuts)):
@@ -520,6 +528,7 @@ def exchange_all(
                 both = np.bincount(at, n[begin:end], len(own) * 2 * size).reshape(len(own), 2 * size)
                 gain = gains(both[:, :size], both[:, size:], own, self_[here], shipped.value, k)
                 to[here] = _best(gain, own, k)
+            to[once] = to[once[tried]][alike]
             out = [(part, -1, _pack(x.classes), _pack(to), int((x.classes != to).sum()))]
             # Every part that has a neighbour of a word here has the word in its halo.
             alone = x.code >= 2 * numbers
