@@ -13,7 +13,8 @@ ASCII): the one that holds most training words of that form. Emissions are count
 corpus, with one unseen word per class; transitions are interpolated with the frequency of the class.
 
 Counts, neighbours and classes of words cover the whole corpus and grow with it: they stay in
-distributed tables, keyed by a 64-bit hash. To score, texts are cut into chunks by a hash of id and
+distributed tables, keyed by a 64-bit hash. Neighbours lie in parts of the words, which are dealt once and
+are not shuffled again: passes send each part the classes of the words next to its own. To score, texts are cut into chunks by a hash of id and
 text. A chunk's distinct words meet their counts and classes by a join on the word, and go back to the
 chunk, which is scored as a whole. So a frequent word is one row per chunk, and a chunk's size is
 bounded by `Settings.chunk_bytes` on average, whatever the number of texts. What is collected are the
