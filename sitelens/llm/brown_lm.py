@@ -30,18 +30,16 @@ from __future__ import annotations
 
 import itertools
 import math
-from collections import Counter, defaultdict
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, replace
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sitelens.llm.common import text_bytes
-
 _FORMS = 4 * 6 * 4
 
 
@@ -49,10 +47,26 @@ _FORMS = 4 * 6 * 4
 _END = int(np.iinfo(np.int64).min)
 #: Counts up to here have their gains in a table.
 _STEPS = 16
+#: And up to here they are summed by a product of matrices, at most `_STEPS`.
+_ONES = 3
 #: The smallest share of words that moves in a pass, as a power of 1 / 2.
 _HALVINGS = 5
 #: Words whose gains are computed at once.
 _ROWS = 2048
+#: Words that are hashed at once, as Python objects.
+_HASHED = 1 << 16
+#: By byte: a digit, an ASCII letter, other ASCII, beyond ASCII, as bits.
+_KINDS = np.array(
+    [1 if 48 <= b <= 57 else 2 if chr(b).isalpha() and b < 128 else 4 if b < 128 else 8 for b in range(256)], np.uint8
+)
+#: By last byte: a vowel, one of dnrst, another small letter, a digit, beyond ASCII, anything else.
+_ENDS = np.array(
+    [
+        (0 if b in b"aeiou" else 1 if b in b"dnrst" else 2) if 97 <= b <= 122
+        else 3 if 48 <= b <= 57 else 4 if b > 127 else 5
+        for b in range(256)
+    ]
+)
 #: Tasks that add up what the parts have counted.
 _SLICES = 16
 _PRIMES = np.array(
@@ -77,33 +91,66 @@ class Settings:
     chunk_bytes: int = 12 << 20
 
 
-def tokens(text: bytes) -> list[bytes]:
-    return text.lower().split()
-
-
-def word_hashes(words: list[bytes]) -> np.ndarray:
+@dataclass(frozen=True)
+class Block:
+    """The tokens of some texts."""
+
+    lengths: np.ndarray  # of texts
+    numbers: np.ndarray  # of tokens, text after text
+    words: pa.Array  # by number
+
+
+def blocks(columns: Iterable[pa.Array], room: int) -> Iterator[Block]:
+    """Texts cut into words, A-Z in lower case; a block ends with the column that reaches `room` tokens.
+    Null has no words."""
+    lengths, tokens, size = [], [], 0
+    for column in columns:
+        lines = pc.ascii_split_whitespace(pc.ascii_lower(pc.fill_null(column.cast(pa.large_string()), "")))
+        found = lines.flatten().cast(pa.large_binary())
+        # White space at either end of a text leaves an empty word.
+        whole = pc.greater(pc.binary_length(found), 0)
+        ends = np.cumsum(pc.list_value_length(lines).to_numpy())
+        upto = np.concatenate([[0], np.cumsum(whole.to_numpy(zero_copy_only=False))])[ends]
+        lengths.append(np.diff(upto, prepend=0))
+        tokens.append(found.filter(whole))
+        size += len(tokens[-1])
+        if size >= room:
+            yield _block(lengths, tokens)
+            lengths, tokens, size = [], [], 0
+    if lengths:
+        yield _block(lengths, tokens)
+
+
+def _block(lengths: list[np.ndarray], tokens: list[pa.Array]) -> Block:
+    coded = pa.concat_arrays(tokens).dictionary_encode()
+    return Block(np.concatenate(lengths), coded.indices.to_numpy().astype(np.int64), coded.dictionary)
+
+
+def word_hashes(words: list[bytes] | pa.Array) -> np.ndarray:
     """64-bit hashes as signed integers."""
-    if not words:
+    words = pa.array(words, pa.large_binary()) if isinstance(words, list) else words
+    found = np.zeros(len(words), np.int64)
+    for i in range(0, len(words), _HASHED):
+        some = words.slice(i, _HASHED).to_numpy(zero_copy_only=False)
+        found[i : i + len(some)] = pd.util.hash_array(some, categorize=False).view(np.int64)
+    return found
+
+
+def forms(words: pa.Array) -> np.ndarray:
+    """Classes of words (`large_binary`, none empty) by what they look like: length, last byte, and whether
+    they have digits, are letters only, or go beyond ASCII."""
+    if not len(words):
         return np.zeros(0, np.int64)
-    array = np.empty(len(words), object)
-    array[:] = [w.decode("utf-8", "surrogateescape") for w in words]
-    return pd.util.hash_array(array, categorize=False).view(np.int64)
+    offsets = np.frombuffer(words.buffers()[1], np.int64)[words.offset : words.offset + len(words) + 1]
+    data = np.frombuffer(words.buffers()[2], np.uint8)[: offsets[-1]]
+    size = np.searchsorted([4, 7, 11], np.diff(offsets), side="right")
+    held = np.bitwise_or.reduceat(_KINDS[data], offsets[:-1])
+    kind = np.where(held & 1, 1, np.where(held == 2, 0, np.where(held & 8, 3, 2)))
+    return (size * 6 + _ENDS[data[offsets[1:] - 1]]) * 4 + kind
 
 
 def form(word: bytes) -> int:
-    """A class of words by what they look like."""
-    n = len(word)
-    size = 0 if n < 4 else 1 if n < 7 else 2 if n < 11 else 3
-    last = word[-1]
-    if 97 <= last <= 122:
-        end = 0 if last in b"aeiou" else 1 if last in b"dnrst" else 2
-    elif 48 <= last <= 57:
-        end = 3
-    else:
-        end = 4 if last > 127 else 5
-    has_digit = any(48 <= b <= 57 for b in word)
-    kind = 1 if has_digit else 0 if word.isalpha() else 2 if word.isascii() else 3
-    return (size * 6 + end) * 4 + kind
+    return int(forms(pa.array([word], pa.large_binary()))[0])
 
 
 def _map(rows: DataFrame, function, schema: str) -> DataFrame:
@@ -122,53 +169,43 @@ def _batch(columns: dict[str, tuple]) -> pa.RecordBatch:
 def word_counts(texts: DataFrame, settings: Settings) -> DataFrame:
     """word, form, n over all texts (column `text`).
 
-    Tasks count in a table of bounded size before anything is shuffled.
+    Tasks count in blocks of bounded size before anything is shuffled.
     """
-    room = settings.chunk_bytes // 24
+    room = settings.chunk_bytes // 6
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts: Counter[bytes] = Counter()
-        for batch in batches:
-            for text in text_bytes(batch.column(0)):
-                counts.update(tokens(text))
-                if len(counts) >= room:
-                    yield flushed(counts)
-                    counts.clear()
-        if counts:
-            yield flushed(counts)
-
-    def flushed(counts: Counter[bytes]) -> pa.RecordBatch:
-        words = list(counts)
-        return _batch(
-            {
-                "word": (word_hashes(words), pa.int64()),
-                "form": (list(map(form, words)), pa.int32()),
-                "n": (list(counts.values()), pa.int64()),
-            }
-        )
+        for block in blocks((batch.column(0) for batch in batches), room):
+            yield _batch(
+                {
+                    "word": (word_hashes(block.words), pa.int64()),
+                    "form": (forms(block.words).astype(np.int32), pa.int32()),
+                    "n": (np.bincount(block.numbers, minlength=len(block.words)), pa.int64()),
+                }
+            )
 
     counted = _map(texts.select("text"), apply, "word long, form int, n long")
     return counted.groupBy("word", "form").agg(F.sum("n").alias("n"))
 
 
 def _pack(numbers: np.ndarray) -> bytes:
-    """Whole numbers with bytes of equal weight side by side, compressed, so that small ones need little."""
-    planes = np.ascontiguousarray(numbers, np.int64).view(np.uint8).reshape(-1, 8).T
-    return len(numbers).to_bytes(8, "little") + pa.compress(planes.tobytes(), codec="zstd", asbytes=True)
+    """Whole numbers with bytes of equal weight side by side, compressed; none for bytes that are 0 in all."""
+    unsigned = np.ascontiguousarray(numbers, np.int64).view(np.uint64)
+    width = (int(unsigned.max(initial=0)).bit_length() + 7) // 8
+    planes = b"".join((unsigned >> np.uint64(8 * i)).astype(np.uint8).tobytes() for i in range(width))
+    head = len(numbers).to_bytes(8, "little") + width.to_bytes(1, "little")
+    return head + pa.compress(planes, codec="zstd", asbytes=True)
 
 
 def _unpack(packed: pa.Scalar) -> np.ndarray:
-    data = packed.as_py()
-    count = int.from_bytes(data[:8], "little")
-    planes = np.frombuffer(pa.decompress(data[8:], 8 * count, codec="zstd", asbytes=True), np.uint8)
-    return np.ascontiguousarray(planes.reshape(8, count).T).view(np.int64).reshape(-1)
-
-
-def _numbering() -> defaultdict[bytes | None, int]:
-    """Numbers words as they are looked up; None, the end, is 0."""
-    place: defaultdict[bytes | None, int] = defaultdict(itertools.count(1).__next__)
-    place[None] = 0
-    return place
+    data = packed.as_buffer()
+    head = data.slice(0, 9).to_pybytes()
+    count, width = int.from_bytes(head[:8], "little"), head[8]
+    found = np.zeros(count, np.uint64)
+    if count and width:
+        planes = np.frombuffer(pa.decompress(data.slice(9), width * count, codec="zstd"), np.uint8)
+        for i, plane in enumerate(planes.reshape(width, count)):
+            found |= plane.astype(np.uint64) << np.uint64(8 * i)
+    return found.view(np.int64)
 
 
 def part_of(words: np.ndarray, parts: int) -> np.ndarray:
@@ -194,32 +231,26 @@ def neighbours(texts: DataFrame, words: list[int], parts: int, settings: Setting
     words without numbers is in the rows of both. `at` and `count` are the share that this part has in
     the counts of pairs of numbers, at before * numbers + after.
     """
-    room, others = settings.chunk_bytes // 24, len(words)
+    room, others = settings.chunk_bytes // 6, len(words)
     numbers = others + 2
     sought = np.array([*words, _END], np.int64)
     order = np.argsort(sought)
     sought, named = sought[order], np.array([*range(others), others + 1])[order]
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        place, line = _numbering(), [0]
-        for batch in batches:
-            for text in text_bytes(batch.column(0)):
-                line.extend(map(place.__getitem__, tokens(text)))
-                line.append(0)
-                if len(line) >= 4 * room or len(place) >= room:
-                    yield flushed(place, line)
-                    place, line = _numbering(), [0]
-        if len(line) > 1:
-            yield flushed(place, line)
-
-    def flushed(place: dict[bytes | None, int], line: list[int]) -> pa.RecordBatch:
-        found = list(place)
-        hashes = np.concatenate([[_END], word_hashes(found[1:])]).astype(np.int64)
+        for block in blocks((batch.column(0) for batch in batches), room):
+            yield flushed(block)
+
+    def flushed(block: Block) -> pa.RecordBatch:
+        hashes = np.concatenate([[_END], word_hashes(block.words)])
+        # The end is 0, before the first text and after each.
+        series = np.zeros(len(block.numbers) + len(block.lengths) + 1, np.int64)
+        text = np.repeat(np.arange(len(block.lengths)), block.lengths)
+        series[np.arange(1, len(text) + 1) + text] = block.numbers + 1
         at = np.minimum(np.searchsorted(sought, hashes), len(sought) - 1)
         number = np.where(sought[at] == hashes, named[at], others)
-        series = np.array(line, np.int64)
-        pairs, n = np.unique(series[:-1] * len(found) + series[1:], return_counts=True)
-        before, after = pairs // len(found), pairs % len(found)
+        pairs, n = np.unique(series[:-1] * len(hashes) + series[1:], return_counts=True)
+        before, after = pairs // len(hashes), pairs % len(hashes)
         both = (number[before] != others) & (number[after] != others)
         first, first_n = _summed(number[before[both]] * numbers + number[after[both]], n[both])
         # Every entry lies with its word, words by part and hash.
@@ -324,52 +355,89 @@ def information(table: np.ndarray) -> float:
     return float(_log(table).sum() - _log(table.sum(axis=1)).sum() - _log(table.sum(axis=0)).sum())
 
 
+@dataclass(frozen=True)
+class Steps:
+    """What small counts add to `information`, for a table of pairs of classes, on either side."""
+
+    base: tuple[np.ndarray, np.ndarray]  # other class x class
+    pairs: tuple[np.ndarray, np.ndarray]  # (count - 1) and other class x class
+    total: tuple[np.ndarray, np.ndarray]
+    totals: tuple[np.ndarray, np.ndarray]  # count x class
+
+    @staticmethod
+    def of(table: np.ndarray, k: int) -> Steps:
+        base = tuple(np.ascontiguousarray(t[:k].T) for t in (table, table.T))
+        total = tuple(t.sum(axis=1)[:k] for t in (table, table.T))
+        few = np.arange(1, _STEPS + 1)[:, None, None]
+        return Steps(
+            base, tuple((_log(b + few) - _log(b)).reshape(-1, k) for b in base),
+            total, tuple(_log(x + np.arange(_STEPS + 1)[:, None]) - _log(x) for x in total),
+        )
+
+
 def gains(
-    right: np.ndarray, left: np.ndarray, own: np.ndarray, self_: np.ndarray, table: np.ndarray, k: int
+    right: np.ndarray, left: np.ndarray, own: np.ndarray, self_: np.ndarray, table: np.ndarray, k: int,
+    steps: Steps | None = None,
 ) -> np.ndarray:
     """What every word, taken out of its own class, adds to `information` in each of k classes.
 
     `right` and `left` count the classes after and before each word, `self_` the word beside itself.
-    """
+    Most counts are small or 0: logarithms are taken of the others, and where the word itself was counted.
+    """
+    steps = steps or Steps.of(table, k)
     words = np.arange(len(own))
     inside = np.flatnonzero(own < k)
     found = np.zeros((len(own), k))
     near = []
-    for mine, cross, t in ((right, left, table), (left, right, table.T)):
+    for side, (mine, cross, t) in enumerate(((right, left, table), (left, right, table.T))):
         counts = mine.copy()
         counts[words, own] -= self_
         near.append(counts[:, :k])
-        base = t[:k].T  # other class x class
-        step = np.array([_log(base + a) - _log(base) for a in range(1, _STEPS + 1)])
-        i, c = np.nonzero(counts)
-        if len(i):
-            a, o = counts[i, c], own[i]
-            term = np.empty((len(i), k))
-            few = a <= _STEPS
-            term[few] = step[a[few].astype(np.int64) - 1, c[few]]
-            many = base[c[~few]]
-            term[~few] = _log(many + a[~few, None]) - _log(many)
-            # Cells that held the word itself.
-            met = np.flatnonzero(c == o)
-            held = base[o[met]] - cross[i[met], :k]
-            term[met] = _log(held + a[met, None]) - _log(held)
-            at = np.flatnonzero(o < k)
-            held = t[o[at], c[at]] - mine[i[at], c[at]]
-            held -= np.where(c[at] == o[at], cross[i[at], o[at]] - self_[i[at]], 0.0)
-            term[at, o[at]] = _log(held + a[at]) - _log(held)
-            first = np.flatnonzero(np.diff(i, prepend=-1))
-            found[i[first]] += np.add.reduceat(term, first)
-        n = mine.sum(axis=1, keepdims=True)
-        total = np.tile(t.sum(axis=1)[:k], (len(own), 1))
-        total[inside, own[inside]] -= n[inside, 0]
-        found -= _log(total + n) - _log(total)
-    corner = np.tile(np.diagonal(table)[:k], (len(own), 1))
-    at = inside, own[inside]
-    corner[at] -= right[at] + left[at] - self_[inside]
-    both = near[0] + near[1] + self_[:, None]
-    return found + (
-        _log(corner + both) - _log(corner + near[0]) - _log(corner + near[1]) + _log(corner)
+        base, small = steps.base[side], steps.pairs[side]
+        # The smallest counts, most of all, as one product.
+        ones = np.concatenate([counts == a for a in range(1, _ONES + 1)], axis=1).astype(float)
+        gain = ones @ small[: _ONES * len(base)]
+        at = np.flatnonzero(counts > 0)
+        i, c = np.divmod(at, counts.shape[1])
+        a, o = counts.reshape(-1)[at], own[i]
+        more = np.flatnonzero(a > _ONES)
+        if len(more):
+            term = small[(np.minimum(a[more], _STEPS).astype(np.int64) - 1) * len(base) + c[more]]
+            many = np.flatnonzero(a[more] > _STEPS)
+            term[many] = _log(base[c[more[many]]] + a[more[many], None]) - _log(base[c[more[many]]])
+            first = np.flatnonzero(np.diff(i[more], prepend=-1))
+            gain[i[more[first]]] += np.add.reduceat(term, first)
+        # Cells that held the word itself: those of a neighbour's class on the other side with its own class,
+        # and all of its own class.
+        met = np.zeros(len(own))
+        met[i[c == o]] = a[c == o]
+        w, d = np.nonzero((cross[:, :k] > 0) & (met > 0)[:, None])
+        held, with_ = base[own[w], d], met[w]
+        gain[w, d] -= _log(held + with_) - _log(held)
+        held = held - cross[w, d]
+        gain[w, d] += _log(held + with_) - _log(held)
+        at = np.flatnonzero(o < k)
+        held = t[o[at], c[at]] - mine[i[at], c[at]]
+        held -= np.where(c[at] == o[at], cross[i[at], o[at]] - self_[i[at]], 0.0)
+        gain[inside, own[inside]] = np.bincount(i[at], _log(held + a[at]) - _log(held), len(own))[inside]
+        n = mine.sum(axis=1)
+        total = steps.total[side]
+        more = steps.totals[side][np.minimum(n, _STEPS).astype(np.int64)]
+        many = np.flatnonzero(n > _STEPS)
+        more[many] = _log(total + n[many, None]) - _log(total)
+        held = total[own[inside]]
+        more[inside, own[inside]] = _log(held) - _log(held - n[inside])
+        found += gain - more
+    # Pairs of a class with itself, where the word has that class on both sides or is its own neighbour.
+    both = (near[0] > 0) & (near[1] > 0)
+    both[self_ > 0] = True
+    w, d = np.nonzero(both)
+    corner = np.diagonal(table)[d] - np.where(own[w] == d, right[w, d] + left[w, d] - self_[w], 0.0)
+    after, before = near[0][w, d], near[1][w, d]
+    found[w, d] += (
+        _log(corner + after + before + self_[w]) - _log(corner + after) - _log(corner + before) + _log(corner)
     )
+    return found
 
 
 def _best(gain: np.ndarray, own: np.ndarray, k: int) -> np.ndarray:
@@ -409,17 +477,22 @@ def _part(row: pa.Table, sent: pa.Table, first: np.ndarray, k: int, parts: int,
     """`first` has the classes by number; `step` says which of the proposed moves are made."""
     words, halo, degree, code, n = (_unpack(row[c][0]) for c in ("words", "halo", "degree", "code", "n"))
     classes, near = np.full(len(words), k), np.full(len(halo), k)
-    of = part_of(halo, parts)
+    if sent.num_rows:
+        # Words of the halo by the part that they come from.
+        of = part_of(halo, parts)
+        order = np.argsort(of.astype(np.uint16) if parts <= 1 << 16 else of, kind="stable")
+        cuts = np.searchsorted(of[order], np.arange(parts + 1))
     for i, source in enumerate(sent["source"].to_pylist()):
         now, to = _unpack(sent["now"][i]), _unpack(sent["to"][i])
-        if source < 0:
-            classes = np.where(moving(words, *step), to, now)
-        else:
-            at = of == source
-            near[at] = np.where(moving(halo[at], *step), to, now)
+        at = np.arange(len(words)) if source < 0 else order[cuts[source] : cuts[source + 1]]
+        found, hashes = (classes, words) if source < 0 else (near, halo)
+        found[at] = now
+        moved = np.flatnonzero(now != to)
+        moved = moved[moving(hashes[at[moved]], *step)]
+        found[at[moved]] = to[moved]
     return _Part(
         words, halo, np.repeat(np.arange(len(words)), degree), code, n, classes,
-        np.concatenate([first, near])[code // 2],
+        np.concatenate([first, near])[code >> 1],
     )
 
 
@@ -449,12 +522,12 @@ def exchange_all(
             if not row.num_rows:
                 return pa.table({"slice": pa.array([], pa.int64()), "counts": pa.array([], pa.binary())})
             x = _part(row, sent, first, k, parts, step)
-            after = x.code % 2 == 0
-            cells = np.bincount(
-                x.classes[x.word[after]] * size + x.other_classes[after], x.n[after], size * size
-            )
-            near = x.code < 2 * numbers
-            slots = (x.code[near] // 2 * 2 + after[near]) * size + x.classes[x.word[near]]
+            own = x.classes[x.word]
+            cells = np.bincount((own * 2 + (x.code & 1)) * size + x.other_classes, x.n, 2 * size * size)
+            cells = cells.reshape(size, 2, size)[:, 0].reshape(-1)
+            near = np.flatnonzero(x.code < 2 * numbers)
+            # The word follows a neighbour that comes before it.
+            slots = (x.code[near] ^ 1) * size + own[near]
             counts = np.concatenate([cells, np.bincount(slots, x.n[near], 2 * numbers * size)])
             slices = [_pack(c) for c in np.array_split(counts.astype(np.int64), _SLICES)]
             return pa.table({"slice": np.arange(_SLICES), "counts": pa.array(slices, pa.binary())})
@@ -504,7 +577,7 @@ def exchange_all(
                 return pa.table({c: pa.array([], t) for c, t in zip(names, kinds)})
             x = _part(row, sent, first, k, parts, step)
             part = row["part"][0].as_py()
-            slots = x.code % 2 * size + x.other_classes
+            slots = (x.code & 1) * size + x.other_classes
             place = np.searchsorted(x.halo, x.words)
             place = np.where(np.append(x.halo, _END)[place] == x.words, 2 * (numbers + place), -1)
             self_ = np.bincount(x.word, np.where(x.code == place[x.word], x.n, 0), len(x.words))
@@ -522,19 +595,21 @@ def exchange_all(
             movers, near = np.flatnonzero(turns), turns[x.word]
             word, slot, n = (np.cumsum(turns) - 1)[x.word[near]], slots[near], x.n[near]
             cuts = np.searchsorted(word, np.arange(0, len(movers) + _ROWS, _ROWS))
+            steps = Steps.of(shipped.value, k)
             for i, (begin, end) in enumerate(itertools.pairwise(cuts)):
                 here = movers[i * _ROWS : (i + 1) * _ROWS]
                 own = x.classes[here]
                 at = (word[begin:end] - i * _ROWS) * 2 * size + slot[begin:end]
                 both = np.bincount(at, n[begin:end], len(own) * 2 * size).reshape(len(own), 2 * size)
-                gain = gains(both[:, :size], both[:, size:], own, self_[here], shipped.value, k)
+                gain = gains(both[:, :size], both[:, size:], own, self_[here], shipped.value, k, steps)
                 to[here] = _best(gain, own, k)
             to[once] = to[once[tried]][alike]
             out = [(part, -1, _pack(x.classes), _pack(to), int((x.classes != to).sum()))]
             # Every part that has a neighbour of a word here has the word in its halo.
-            alone = x.code >= 2 * numbers
-            asked = part_of(x.halo, parts)[x.code[alone] // 2 - numbers]
-            sends = np.unique(asked * len(x.words) + x.word[alone])
+            alone = np.flatnonzero(x.code >= 2 * numbers)
+            asked = part_of(x.halo, parts)[(x.code[alone] >> 1) - numbers]
+            sends = np.sort(asked * len(x.words) + x.word[alone])
+            sends = sends[np.diff(sends, prepend=-1) > 0]
             cuts = np.searchsorted(sends, np.arange(parts + 1) * len(x.words))
             for p in np.flatnonzero(np.diff(cuts)):
                 at = sends[cuts[p] : cuts[p + 1]] % len(x.words)
@@ -705,12 +780,13 @@ def score(rows: DataFrame, counts: DataFrame, model: Model, *, id: str = "doc_id
     cut = chosen.withColumn("chunk", chunk).select("chunk", "doc_id", "text")
     shipped = rows.sparkSession.sparkContext.broadcast(replace(model, classes=None))
 
+    def block_of(table: pa.Table) -> Block:
+        return next(blocks([table["text"].combine_chunks()], 0))
+
     def distinct_words(table: pa.Table) -> pa.Table:
-        words = list(set(itertools.chain.from_iterable(map(tokens, text_bytes(table["text"].combine_chunks())))))
+        words = block_of(table).words
         number = table["chunk"][0].as_py()
-        return pa.table(
-            {"chunk": pa.array([number] * len(words), pa.int64()), "word": word_hashes(words)}
-        )
+        return pa.table({"chunk": np.full(len(words), number), "word": word_hashes(words)})
 
     wanted = cut.groupBy("chunk").applyInArrow(distinct_words, "chunk long, word long")
     learned = counts.select("word", "n").join(model.classes, "word")
@@ -719,16 +795,11 @@ def score(rows: DataFrame, counts: DataFrame, model: Model, *, id: str = "doc_id
     def scored(key, table: pa.Table, counted: pa.Table) -> pa.Table:
         model: Model = shipped.value
         settings = model.settings
-        place = defaultdict(itertools.count().__next__)
-        lists = [
-            np.array([*map(place.__getitem__, tokens(t))], np.int32)
-            for t in text_bytes(table["text"].combine_chunks())
-        ]
-        words = list(place)
-        hashes = word_hashes(words)
-        n = np.zeros(len(words))
-        member = model.form_class[np.fromiter(map(form, words), np.int64, len(words))]
-        if counted.num_rows and words:
+        block = block_of(table)
+        hashes = word_hashes(block.words)
+        n = np.zeros(len(hashes))
+        member = model.form_class[forms(block.words)]
+        if counted.num_rows and len(hashes):
             order = np.argsort(counted["word"].to_numpy())
             have = counted["word"].to_numpy()[order]
             at = np.minimum(np.searchsorted(have, hashes), len(have) - 1)
@@ -743,20 +814,25 @@ def score(rows: DataFrame, counts: DataFrame, model: Model, *, id: str = "doc_id
         base = np.log10((n + 0.5) / norm)
         end_base = math.log10((model.ends + 0.5) / norm)
         end = len(model.transition) - 1
-        counts_, knowns, bases, scores = [], [], [], []
-        for at in lists:
-            classes = np.concatenate([[end], member[at], [end]])
-            moves = model.transition[classes[:-1], classes[1:]].sum()
-            counts_.append(len(at) + 1)
-            knowns.append(int(np.count_nonzero(n[at])) + (model.ends > 0))
-            bases.append(float(base[at].sum()) + end_base)
-            scores.append(float(emission[at].sum() + moves))
+        # Each text is its words between two ends.
+        stops = np.cumsum(block.lengths)
+        starts = stops - block.lengths
+        classes = np.full(len(block.numbers) + len(stops) + 1, end)
+        text = np.repeat(np.arange(len(stops)), block.lengths)
+        classes[np.arange(1, len(text) + 1) + text] = member[block.numbers]
+        moves = model.transition[classes[:-1], classes[1:]]
+        emitted, plain = emission[block.numbers], base[block.numbers]
+        known_ = np.concatenate([[0], np.cumsum(n[block.numbers] > 0)])
+        bases, scores = [], []
+        for i, (start, stop) in enumerate(zip(starts.tolist(), stops.tolist())):
+            bases.append(float(plain[start:stop].sum()) + end_base)
+            scores.append(float(emitted[start:stop].sum() + moves[start + i : stop + i + 1].sum()))
         return pa.table(
             {
                 "doc_id": table["doc_id"],
-                "n_tokens": pa.array(counts_, pa.int64()),
-                "n_known": pa.array(knowns, pa.int64()),
-                "train_tokens": pa.array([model.total] * len(lists), pa.int64()),
+                "n_tokens": pa.array(block.lengths + 1, pa.int64()),
+                "n_known": pa.array(known_[stops] - known_[starts] + (model.ends > 0), pa.int64()),
+                "train_tokens": pa.array(np.full(len(stops), model.total), pa.int64()),
                 "base_score": pa.array(bases, pa.float64()),
                 "score": pa.array(scores, pa.float64()),
             }

@@ -7,6 +7,7 @@ from dataclasses import replace
 
 import cases
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
@@ -269,6 +270,83 @@ def test_gains_are_the_change_of_information():
         assert np.allclose(found[w] - found[w, 0], np.array(plain) - plain[0])
 
 
+def test_rare_words_need_few_logarithms(monkeypatch):
+    """Words seen two or three times, and some often or beside themselves: same gains, small counts looked up."""
+    r = np.random.RandomState(3)
+    count, k = 3000, 40
+    size, log, taken = k + 2, brown_lm._log, []
+    own = r.randint(0, k + 1, count)
+    sides, self_ = np.zeros((2, count, size)), np.zeros(count)
+    for _ in range(3):
+        for side in sides:
+            np.add.at(side, (np.arange(count), r.randint(0, size, count)), 1)
+    for w in range(0, count, 100):
+        own[w], self_[w] = w // 100, w % 7
+        sides[:, w] += r.randint(0, 60, size)
+        sides[:, w, own[w]] += self_[w]
+    table = np.zeros((size, size))
+    np.add.at(table, own, sides[0])
+    np.add.at(table.T, own, sides[1])
+    table += r.randint(0, 5, table.shape)
+
+    def information(w, d):
+        t, o = table.copy(), own[w]
+        for mine, here in ((sides[0, w], t), (sides[1, w], t.T)):
+            here[o] -= mine
+            beside = mine.copy()
+            beside[o] -= self_[w]
+            here[d] += beside
+        t[o, o] += self_[w]
+        t[d, d] += self_[w]
+        return brown_lm.information(t)
+
+    def counted(x):
+        taken.append(np.size(x))
+        return log(x)
+
+    monkeypatch.setattr(brown_lm, "_log", counted)
+    found = brown_lm.gains(*sides, own, self_, table, k)
+    # Two tables of small counts for each class and neighbour's class, and little for a word.
+    assert sum(taken) < 100 * count
+    for w in (*range(0, count, 500), *range(1, count, 300)):
+        plain = [information(w, d) for d in range(k)]
+        assert np.allclose(found[w] - found[w, 0], np.array(plain) - plain[0])
+
+
+def test_blocks_are_the_words_of_the_texts():
+    def plain(word):
+        size = 0 if len(word) < 4 else 1 if len(word) < 7 else 2 if len(word) < 11 else 3
+        last = word[-1]
+        small = 0 if last in b"aeiou" else 1 if last in b"dnrst" else 2
+        end = small if 97 <= last <= 122 else 3 if 48 <= last <= 57 else 4 if last > 127 else 5
+        digit = any(48 <= b <= 57 for b in word)
+        return (size * 6 + end) * 4 + (1 if digit else 0 if word.isalpha() else 2 if word.isascii() else 3)
+
+    r = cases.rng(6)
+    letters = [*map(chr, range(256)), *" " * 60, *"\u4e2d\u2003\x85\U0001f600AZaz09"]
+    texts = ["".join(r.choices(letters, k=r.randint(0, 60))) for _ in range(400)]
+    texts += [None, "", " ", "\x1c a\x00b \x1f", "  A B  "]
+    want = [[] if t is None else t.encode().lower().split() for t in texts]
+    for room in (0, 500, 10**9):
+        found = []
+        for block in brown_lm.blocks((pa.array(texts[i : i + 50]) for i in range(0, len(texts), 50)), room):
+            words = block.words.to_pylist()
+            tokens = iter(block.numbers.tolist())
+            found += [[words[next(tokens)] for _ in range(n)] for n in block.lengths.tolist()]
+            assert next(tokens, None) is None
+            assert brown_lm.forms(block.words).tolist() == list(map(plain, words))
+            strings = np.array([w.decode() for w in words], object)
+            hashes = pd.util.hash_array(strings, categorize=False).view(np.int64)
+            assert (brown_lm.word_hashes(block.words) == hashes).all()
+        assert found == want
+
+
+def test_packed_numbers_come_back():
+    for numbers in ([], [0], [0, 0, 300], [7] * 1000, [-1, 5, -(2**63), 2**63 - 1], [*range(0, 10**7, 999)]):
+        packed = brown_lm._pack(np.array(numbers, np.int64))
+        assert brown_lm._unpack(pa.scalar(packed)).tolist() == numbers
+
+
 def test_cuts_of_long_lines_do_not_show(two_languages):
     """However lines are cut and texts read in sections, labels are those of the whole line."""
     r = cases.rng(8)
