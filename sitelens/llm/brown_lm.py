@@ -14,8 +14,8 @@ corpus, with one unseen word per class; transitions are interpolated with the fr
 
 Counts, neighbours and classes of words cover the whole corpus and grow with it: they stay in
 distributed tables, keyed by a 64-bit hash. Neighbours lie in parts of the words, which are dealt once and
-are not shuffled again: passes send each part the classes of the words next to its own. To score, texts are cut into chunks by a hash of id and
-text. A chunk's distinct words meet their counts and classes by a join on the word, and go back to the
+are not shuffled again: passes send each part the classes of the words next to its own. To score, texts are
+cut into chunks by a hash of id and text. A chunk's distinct words meet their counts and classes by a join on the word, and go back to the
 chunk, which is scored as a whole. So a frequent word is one row per chunk, and a chunk's size is
 bounded by `Settings.chunk_bytes` on average, whatever the number of texts. What is collected are the
 counts of the `Settings.exchanged` words that go first and of pairs among these, of pairs of classes,
@@ -30,6 +30,7 @@ from __future__ import annotations
 
 import itertools
 import math
+import sys
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, replace
 
@@ -53,6 +54,8 @@ _ONES = 3
 _HALVINGS = 5
 #: Words whose gains are computed at once.
 _ROWS = 2048
+#: Bytes of text that are cut into words at once.
+_PIECE = 1 << 20
 #: Words that are hashed at once, as Python objects.
 _HASHED = 1 << 16
 #: By byte: a digit, an ASCII letter, other ASCII, beyond ASCII, as bits.
@@ -101,11 +104,11 @@ class Block:
 
 
 def blocks(columns: Iterable[pa.Array], room: int) -> Iterator[Block]:
-    """Texts cut into words, A-Z in lower case; a block ends with the column that reaches `room` tokens.
+    """Texts cut into words, A-Z in lower case; a block ends with the piece that reaches `room` tokens.
     Null has no words."""
     lengths, tokens, size = [], [], 0
-    for column in columns:
-        lines = pc.ascii_split_whitespace(pc.ascii_lower(pc.fill_null(column.cast(pa.large_string()), "")))
+    for piece in itertools.chain.from_iterable(map(_pieces, columns)):
+        lines = pc.ascii_split_whitespace(pc.ascii_lower(piece))
         found = lines.flatten().cast(pa.large_binary())
         # White space at either end of a text leaves an empty word.
         whole = pc.greater(pc.binary_length(found), 0)
@@ -114,16 +117,33 @@ def blocks(columns: Iterable[pa.Array], room: int) -> Iterator[Block]:
         lengths.append(np.diff(upto, prepend=0))
         tokens.append(found.filter(whole))
         size += len(tokens[-1])
+        del lines, found, whole
         if size >= room:
             yield _block(lengths, tokens)
-            lengths, tokens, size = [], [], 0
+            size = 0
     if lengths:
         yield _block(lengths, tokens)
+    # Workers live as long as the session and would keep what Arrow holds free.
+    pa.default_memory_pool().release_unused()
+
+
+def _pieces(column: pa.Array) -> Iterator[pa.Array]:
+    """Texts that follow each other, of `_PIECE` bytes or one text more."""
+    texts = pc.fill_null(column.cast(pa.large_string()), "")
+    place = np.cumsum(pc.binary_length(texts).to_numpy()) // _PIECE
+    cuts = np.flatnonzero(np.diff(place, prepend=-1, append=-1))
+    for begin, end in itertools.pairwise(cuts):
+        yield texts.slice(begin, end - begin)
 
 
 def _block(lengths: list[np.ndarray], tokens: list[pa.Array]) -> Block:
-    coded = pa.concat_arrays(tokens).dictionary_encode()
-    return Block(np.concatenate(lengths), coded.indices.to_numpy().astype(np.int64), coded.dictionary)
+    """Empties both lists: the tokens are not held while the block is in use."""
+    # Without any token there is no chunk.
+    coded = pa.chunked_array(tokens).dictionary_encode().chunks or [tokens[0].dictionary_encode()]
+    of = np.concatenate(lengths)
+    tokens.clear()
+    lengths.clear()
+    return Block(of, np.concatenate([c.indices.to_numpy() for c in coded]), coded[0].dictionary)
 
 
 def word_hashes(words: list[bytes] | pa.Array) -> np.ndarray:
@@ -246,7 +266,10 @@ def neighbours(texts: DataFrame, words: list[int], parts: int, settings: Setting
         # The end is 0, before the first text and after each.
         series = np.zeros(len(block.numbers) + len(block.lengths) + 1, np.int64)
         text = np.repeat(np.arange(len(block.lengths)), block.lengths)
-        series[np.arange(1, len(text) + 1) + text] = block.numbers + 1
+        text += np.arange(1, len(text) + 1)
+        series[text] = block.numbers
+        series[text] += 1
+        del text
         at = np.minimum(np.searchsorted(sought, hashes), len(sought) - 1)
         number = np.where(sought[at] == hashes, named[at], others)
         pairs, n = np.unique(series[:-1] * len(hashes) + series[1:], return_counts=True)
@@ -781,7 +804,7 @@ def score(rows: DataFrame, counts: DataFrame, model: Model, *, id: str = "doc_id
     shipped = rows.sparkSession.sparkContext.broadcast(replace(model, classes=None))
 
     def block_of(table: pa.Table) -> Block:
-        return next(blocks([table["text"].combine_chunks()], 0))
+        return next(blocks(table["text"].chunks, sys.maxsize))
 
     def distinct_words(table: pa.Table) -> pa.Table:
         words = block_of(table).words
@@ -814,24 +837,20 @@ def score(rows: DataFrame, counts: DataFrame, model: Model, *, id: str = "doc_id
         base = np.log10((n + 0.5) / norm)
         end_base = math.log10((model.ends + 0.5) / norm)
         end = len(model.transition) - 1
-        # Each text is its words between two ends.
+        knowns, bases, scores = [], [], []
         stops = np.cumsum(block.lengths)
-        starts = stops - block.lengths
-        classes = np.full(len(block.numbers) + len(stops) + 1, end)
-        text = np.repeat(np.arange(len(stops)), block.lengths)
-        classes[np.arange(1, len(text) + 1) + text] = member[block.numbers]
-        moves = model.transition[classes[:-1], classes[1:]]
-        emitted, plain = emission[block.numbers], base[block.numbers]
-        known_ = np.concatenate([[0], np.cumsum(n[block.numbers] > 0)])
-        bases, scores = [], []
-        for i, (start, stop) in enumerate(zip(starts.tolist(), stops.tolist())):
-            bases.append(float(plain[start:stop].sum()) + end_base)
-            scores.append(float(emitted[start:stop].sum() + moves[start + i : stop + i + 1].sum()))
+        for start, stop in zip((stops - block.lengths).tolist(), stops.tolist()):
+            at = block.numbers[start:stop]
+            classes = np.concatenate([[end], member[at], [end]])
+            moves = model.transition[classes[:-1], classes[1:]].sum()
+            knowns.append(int(np.count_nonzero(n[at])) + (model.ends > 0))
+            bases.append(float(base[at].sum()) + end_base)
+            scores.append(float(emission[at].sum() + moves))
         return pa.table(
             {
                 "doc_id": table["doc_id"],
                 "n_tokens": pa.array(block.lengths + 1, pa.int64()),
-                "n_known": pa.array(known_[stops] - known_[starts] + (model.ends > 0), pa.int64()),
+                "n_known": pa.array(knowns, pa.int64()),
                 "train_tokens": pa.array(np.full(len(stops), model.total), pa.int64()),
                 "base_score": pa.array(bases, pa.float64()),
                 "score": pa.array(scores, pa.float64()),

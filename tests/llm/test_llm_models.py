@@ -339,6 +339,8 @@ def test_blocks_are_the_words_of_the_texts():
             hashes = pd.util.hash_array(strings, categorize=False).view(np.int64)
             assert (brown_lm.word_hashes(block.words) == hashes).all()
         assert found == want
+    (block,) = brown_lm.blocks([pa.array([None, " "])], 0)
+    assert block.lengths.tolist() == [0, 0] and not len(block.words) and not len(block.numbers)
 
 
 def test_packed_numbers_come_back():
